@@ -54,12 +54,23 @@ class Scratch:
     def __init__(self, spark: SparkSession, name: str):
         self.spark, self.root, self.paths = spark, f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}", {}
 
-    def put(self, name: str, df: DataFrame, codec: str = "snappy") -> DataFrame:
+    def put(self, name: str, df: DataFrame, codec: str = "zstd") -> DataFrame:
         path = self.paths[name] = f"{self.root}/{name}"
         with shuffle_cleanup(self.spark):
             df.write.mode("overwrite").option("compression", codec).parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    @contextlib.contextmanager
+    def small_batches(self, rows: int = 16) -> Iterator[None]:
+        """For writes of tables with large rows: so few rows go to Python at a time."""
+        key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+        before = self.spark.conf.get(key)
+        self.spark.conf.set(key, str(rows))
+        try:
+            yield
+        finally:
+            self.spark.conf.set(key, before)
+
     def drop(self, *names: str) -> None:
         jvm = self.spark.sparkContext._jvm
         for name in names:
