@@ -25,7 +25,7 @@ def write_archive(pages: DataFrame, path: str, *, least: int = 100, date: str =
     """
     text = F.coalesce(F.col("html"), F.lit(""))
     rows = pages.select("page_id", F.regexp_replace(F.coalesce("url", F.lit("")), r"[\r\n]", " ").alias("url"), text.alias("payload"), F.sha2(text, 256).alias("digest"), F.octet_length(text).cast("long").alias("bytes"))
-    rows.select("digest", "payload").distinct().write.mode("overwrite").parquet(f"{path}/payloads")
+    rows.select("digest", "payload").distinct().write.mode("overwrite").option("compression", "zstd").parquet(f"{path}/payloads")
     narrow = rows.select("page_id", "url", "digest", "bytes")
     first = narrow.groupBy("digest").agg(F.min("page_id").alias("first_id"))
     refers = F.when((F.col("bytes") >= least) & (F.col("page_id") != F.col("first_id")), F.col("first_id"))
@@ -37,7 +37,7 @@ def write_archive(pages: DataFrame, path: str, *, least: int = 100, date: str =
         F.when(refers.isNotNull(), _field("WARC-Profile", F.lit("http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"))).otherwise(""),
         _field("Content-Type", F.lit("text/html; charset=utf-8")), _field("Content-Length", F.when(refers.isNull(), F.col("bytes")).otherwise(0)), F.lit(CRLF),
     )
-    narrow.join(first, "digest").select("page_id", "digest", header.alias("header")).write.mode("overwrite").parquet(f"{path}/headers")
+    narrow.join(first, "digest").select("page_id", "digest", header.alias("header")).write.mode("overwrite").option("compression", "zstd").parquet(f"{path}/headers")
 
 
 def read_archive(spark: SparkSession, path: str) -> DataFrame:
