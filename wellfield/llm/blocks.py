@@ -100,6 +100,15 @@ def send(number: int, buckets: np.ndarray, keys: np.ndarray, width: int, notes:
     })
 
 
+def answer(frame: pd.DataFrame, sorted_codes: np.ndarray, order: np.ndarray, width: int) -> pd.DataFrame:
+    """A bucket's codes, in sorted order, put back into each block's order."""
+    codes = np.empty(len(order), np.uint8)
+    codes[order] = sorted_codes
+    ends = np.cumsum([len(x) // width for x in frame["keys"]])
+    parts = [pack(x.tobytes()) for x in np.split(codes, ends[:-1])]
+    return pd.DataFrame({"block": frame["block"].to_numpy(), "bucket": frame["bucket"].to_numpy(), "codes": parts})
+
+
 def answers(frame: pd.DataFrame, buckets: np.ndarray) -> np.ndarray:
     """All codes of a block's answers in the order of its keys; `buckets` are those of the keys, rising."""
     codes = {int(b): c for b, c in zip(frame["bucket"], frame["codes"])}

@@ -75,7 +75,7 @@ def _classes(frame: pd.DataFrame) -> pd.DataFrame:
     order, first, group = B.groups(keys)
     hit = np.add.reduceat(twice[order].astype(np.int64), first) > 0
     hit |= np.diff(np.append(first, len(keys))) > 1
-    return _answer(frame, hit[group], order, SAMPLE_BYTES)
+    return B.answer(frame, hit[group], order, SAMPLE_BYTES)
 
 
 def _suffix_bucket(frame: pd.DataFrame) -> pd.DataFrame:
@@ -85,15 +85,7 @@ def _suffix_bucket(frame: pd.DataFrame) -> pd.DataFrame:
     order, first, group = B.groups(keys)
     later = np.ones(len(keys), bool)
     later[first] = False
-    return _answer(frame, later, order, WINDOW_BYTES)
-
-
-def _answer(frame: pd.DataFrame, sorted_codes: np.ndarray, order: np.ndarray, width: int) -> pd.DataFrame:
-    codes = np.empty(len(order), np.uint8)
-    codes[order] = sorted_codes
-    ends = np.cumsum([len(x) // width for x in frame["keys"]])
-    parts = [B.pack(x.tobytes()) for x in np.split(codes, ends[:-1])]
-    return pd.DataFrame({"block": frame["block"].to_numpy(), "bucket": frame["bucket"].to_numpy(), "codes": parts})
+    return B.answer(frame, later, order, WINDOW_BYTES)
 
 
 def _cut(suffixes: _Suffixes, frame: pd.DataFrame, buckets: int) -> pd.DataFrame:
