@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import base64
+import hashlib
 import heapq
 from collections.abc import Iterator
 from functools import lru_cache
@@ -22,7 +23,8 @@ L, N, O, A2, A3, W, Z, G, E = range(9)  # noqa: E741
 # What has been read: a finished token, letters, numbers, others, a leading blank, a contraction that lacks one or two
 # letters, white space.
 DONE, IN_L, IN_N, IN_O, BLANK, ONE, TWO, IN_W = range(8)
-CACHE = 400_000
+#: Pieces that a worker remembers; past that it starts anew, which costs time only.
+CACHE = 200_000
 
 
 def _machine() -> tuple[np.ndarray, np.ndarray]:
@@ -107,6 +109,7 @@ class Merger:
                 a, b = get(token[:k]), get(token[k:])
                 if a is not None and b is not None:
                     self.pairs[a, b] = rank
+        self.decimal = [str(k) for k in range(size)]
         self.cache: dict[str, tuple[int, ...]] = {}
 
     def piece(self, text: str) -> tuple[int, ...]:
@@ -178,41 +181,70 @@ def _lists(values: list[np.ndarray], kind: pa.DataType) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(values) if values else [], kind))
 
 
+def _encoded(bpe: Merger, batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list[np.ndarray], list[np.ndarray]]]:
+    for part in slices(batches, "text", 1 << 19):
+        ids = bpe.encode(part.column("text").fill_null("").to_pylist())
+        yield part, ids, [np.cumsum(bpe.lengths[x]) for x in ids]
+
+
+def _decoded(bpe: Merger, ids: np.ndarray, ends: np.ndarray) -> bytes:
+    """The bytes that the ids stand for: token k fills those up to ends[k]."""
+    lengths = bpe.lengths[ids]
+    shift = np.repeat(bpe.starts[ids] - (ends - lengths), lengths)
+    return bpe.bytes[shift + np.arange(len(shift))].tobytes()
+
+
+def _send(df: DataFrame, path: str):
+    """The rank file, read once by the driver and sent with the tasks (under 1 MB here)."""
+    return df.sparkSession.sparkContext.broadcast(open(path, "rb").read())
+
+
+def _kind(df: DataFrame) -> str:
+    return df.schema["doc_id"].dataType.simpleString()
+
+
 def encode(docs: DataFrame, path: str) -> DataFrame:
     """doc_id, ids, ends: the token ids of the whole text, and where in its UTF-8 bytes each token ends.
 
-    `path` names a rank file (base64 token, rank), read once by the driver and sent with the tasks (under 1 MB here).
-    A null text counts as empty: no ids. Long texts are encoded whole. Repeated rows and null ids are encoded like any
-    other; an empty table gives no rows; other columns of docs are ignored.
+    `path` names a rank file (base64 token, rank). A null text counts as empty: no ids. Long texts are encoded whole.
+    Repeated rows and null ids are encoded like any other; an empty table gives no rows; other columns are ignored.
     """
-    sent = docs.sparkSession.sparkContext.broadcast(open(path, "rb").read())
+    sent = _send(docs, path)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = merger(sent.value)
-        for part in slices(batches, "text"):
-            ids = bpe.encode(part.column("text").fill_null("").to_pylist())
-            ends = [np.cumsum(bpe.lengths[x]).astype(np.int32) for x in ids]
-            yield pa.RecordBatch.from_arrays([part.column("doc_id"), _lists(ids, pa.int32()), _lists(ends, pa.int32())], ["doc_id", "ids", "ends"])
+        for part, ids, ends in _encoded(merger(sent.value), batches):
+            yield pa.RecordBatch.from_arrays([part.column("doc_id"), _lists(ids, pa.int32()), _lists([x.astype(np.int32) for x in ends], pa.int32())], ["doc_id", "ids", "ends"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, ids array<int>, ends array<int>")
+    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {_kind(docs)}, ids array<int>, ends array<int>")
 
 
 def decode(tokens: DataFrame, path: str) -> DataFrame:
-    """The rows of encode() with `decoded`, the bytes that the ids stand for; token k fills the bytes up to ends[k]."""
-    sent = tokens.sparkSession.sparkContext.broadcast(open(path, "rb").read())
+    """doc_id, decoded: the bytes that the ids of encode() stand for."""
+    sent = _send(tokens, path)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = merger(sent.value)
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
-                out = []
-                for ids, ends in zip(part.column("ids"), part.column("ends"), strict=True):
-                    ids, ends = ids.values.to_numpy(), ends.values.to_numpy().astype(np.int64)
-                    lengths = bpe.lengths[ids]
-                    shift = np.repeat(bpe.starts[ids] - (ends - lengths), lengths)
-                    out.append(bpe.bytes[shift + np.arange(len(shift))].tobytes())
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(out, pa.binary())], [*part.schema.names, "decoded"])
-
-    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in tokens.schema)
-    return tokens.mapInArrow(run, f"{kinds}, decoded binary")
+                pairs = zip(part.column("ids"), part.column("ends"), strict=True)
+                out = [_decoded(bpe, x.values.to_numpy(), y.values.to_numpy()) for x, y in pairs]
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(out, pa.binary())], ["doc_id", "decoded"])
+
+    return tokens.select("doc_id", "ids", "ends").mapInArrow(run, f"doc_id {_kind(tokens)}, decoded binary")
+
+
+def digests(docs: DataFrame, path: str) -> DataFrame:
+    """doc_id, n_tokens, ids_sha256, decoded_sha256: each text encoded as by encode() and its ids decoded as by decode()
+    in one pass, so that no ids leave the task; the digests are of the decimal ids joined by commas and of the bytes."""
+    sent = _send(docs, path)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bpe = merger(sent.value)
+        sha = lambda data: hashlib.sha256(data).hexdigest()
+        for part, ids, ends in _encoded(bpe, batches):
+            texts = [",".join(map(bpe.decimal.__getitem__, x.tolist())).encode() for x in ids]
+            columns = [pa.array([len(x) for x in ids], pa.int64()), pa.array(map(sha, texts), pa.string()), pa.array([sha(_decoded(bpe, x, y)) for x, y in zip(ids, ends)], pa.string())]
+            yield pa.RecordBatch.from_arrays([part.column("doc_id"), *columns], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+
+    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {_kind(docs)}, n_tokens long, ids_sha256 string, decoded_sha256 string")

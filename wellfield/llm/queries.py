@@ -4,14 +4,15 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from .common import table
 from .exact_dedup import exact_dedup
 from .mixing import mix_sources
-from .byte_bpe import decode, encode
+from .byte_bpe import digests
 from .language_id import language_id
 from .license_scan import scan_licenses
+from .ngram_jaccard import near_duplicates
+from .quality import quality_rules, train
 from .sharding import shard_documents
 from .suffix_dedup import suffix_dedup
 from .warc import archive_pages
@@ -29,6 +30,10 @@ def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup(table(spark, sf_dir, "documents")).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 
+def op4_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id(table(spark, sf_dir, "documents"))
 
@@ -37,26 +42,24 @@ def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_licenses(table(spark, sf_dir, "documents")).drop("spans")
 
 
-def token_digests(docs: DataFrame, path: str) -> DataFrame:
-    """Encode, decode, and the digests of both."""
-    done = decode(encode(docs, path), path)
-    ids = F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256)
-    return done.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), ids.alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
-
-
 def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return token_digests(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+    return digests(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
 
 
 def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return archive_pages(table(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality_rules(docs, train(docs, table(spark, sf_dir, "labels"))).drop("content_share")
+
+
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_mix_sources, op2_exact_dedup, op3_suffix_dedup, op5_language_id, op6_license_scan, op7_byte_bpe, op8_warc, op10_sharding)}
+QUERIES = {f.__name__: f for f in (op1_mix_sources, op2_exact_dedup, op3_suffix_dedup, op4_ngram_jaccard, op5_language_id, op6_license_scan, op7_byte_bpe, op8_warc, op9_quality_rules, op10_sharding)}
 
 ORACLES = {
     "op2_exact_dedup": """
