@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from wellfield.llm.byte_bpe import decode, encode
+from wellfield.llm.byte_bpe import digests
 from wellfield.llm.common import WORD, Scratch
 from wellfield.llm.exact_dedup import exact_dedup
 from wellfield.llm.language_id import UNKNOWN, held_out, identify, profiles
@@ -64,11 +64,8 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of every row, and the digest of what they decode to."""
-    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
-    done = decode(encode(docs, path), path)
-    ids = F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256)
-    return done.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), ids.alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+    """Every row's tokens by number and digest, and the digest of what they decode to."""
+    return digests(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
 
 
 STAGES = [("language_id", language), ("exact_dedup", exact), ("ngram_jaccard", near), ("mix_sources", mix), ("byte_bpe", tokens)]
