@@ -74,7 +74,8 @@ def measure(data: np.ndarray, offsets: np.ndarray) -> Measured:
     line_key = mix64(B.run_hashes(data, line_a, line_b) + mix64(line_text.astype(np.uint64)))
     order, first, group = B.groups(line_key)
     again = np.ones(len(line_key), bool)
-    again[order[first]] = False
+    if len(first):
+        again[np.minimum.reduceat(order, first)] = False
     symbols = summed(SYMBOLS[data])
     counts = {
         "n_words": per_text(), "word_chars": per_text(size), "n_symbols": between(symbols, starts, ends),
