@@ -117,8 +117,9 @@ def answers(frame: pd.DataFrame, buckets: np.ndarray) -> np.ndarray:
 
 
 def groups(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Sort order of the keys (stable), where groups of equal keys start in it, and each sorted key's group."""
-    order = np.argsort(keys, kind="stable")
+    """Sort order of the keys (of equal keys in no set order), where groups of equal keys start in it, and each sorted
+    key's group."""
+    order = np.argsort(keys)
     ranked = keys[order]
     new = np.append(True, ranked[1:] != ranked[:-1]) if len(keys) else np.zeros(0, bool)
     return order, np.flatnonzero(new), np.cumsum(new) - 1
@@ -168,19 +169,24 @@ def words(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return np.flatnonzero(begin), np.flatnonzero(over) + 1
 
 
-def window_hashes(data: np.ndarray, length: int, seed: int) -> np.ndarray:
-    """A 64-bit hash of the `length` bytes from each place (those that reach past the end mean nothing), by doubling."""
+def window_hashes(data: np.ndarray, length: int, seed: int, step: int = 1 << 15) -> np.ndarray:
+    """A 64-bit hash of the `length` bytes from each place (those that reach past the end mean nothing), by doubling;
+    in stretches that fit a core's cache."""
     factor = int(mix64(np.array([seed], np.uint64))[0]) | 1
-    power, size, done = factor, 1, 0
-    block = BYTE[data] * np.uint64(2 * seed + 1)
+    values = BYTE * np.uint64(2 * seed + 1)
     out = np.zeros(len(data), np.uint64)
-    while True:
-        if length & size:
-            out *= np.uint64(power)
-            out[: len(data) - done] += block[done:]
-            done += size
-        if size * 2 > length:
-            return mix64(out)
-        grown = block * np.uint64(power)
-        grown[: len(data) - size] += block[size:]
-        block, power, size = grown, power * power % (1 << 64), size * 2
+    for lo in range(0, len(data), step):
+        block = values[data[lo : lo + step + length]]
+        total, power, size, done = np.zeros(len(block), np.uint64), factor, 1, 0
+        while True:
+            if length & size:
+                total *= np.uint64(power)
+                total[: max(0, len(block) - done)] += block[done:]
+                done += size
+            if size * 2 > length:
+                break
+            grown = block * np.uint64(power)
+            grown[: max(0, len(block) - size)] += block[size:]
+            block, power, size = grown, power * power % (1 << 64), size * 2
+        out[lo : lo + step] = mix64(total[:step])
+    return out

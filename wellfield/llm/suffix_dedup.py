@@ -28,39 +28,53 @@ class _Suffixes:
 
     def __init__(self, block: B.Block, length: int):
         self.block, self.length, self.head = block, length, length - PERIOD + 1
-        self.doc = np.repeat(np.arange(len(block.ends)), block.lengths)
-        self.place = np.arange(len(block.data)) - block.starts[self.doc]
-        self.left = block.ends[self.doc] - np.arange(len(block.data))
         self.heads = B.window_hashes(block.data, self.head, 1)
 
     def samples(self, buckets: int) -> tuple[np.ndarray, ...]:
         """Distinct sample keys in order with their buckets and whether two texts of this block hold them; each
         sampled place with the number of its key."""
-        covered = np.zeros(PERIOD, bool)
-        covered[COVER] = True
-        at = np.flatnonzero(covered[self.place % PERIOD] & (self.left >= self.head))
+        room = self.block.lengths - self.head
+        places = (np.arange(0, max(0, room.max(initial=0)) + 1, PERIOD)[:, None] + COVER).ravel()
+        counts = np.searchsorted(places, room, "right")
+        doc = np.repeat(np.arange(len(counts)), counts)
+        at = np.concatenate([places[:c] + a for c, a in zip(counts, self.block.starts)]) if len(counts) else np.zeros(0, np.int64)
         order, first, group = B.groups(self.heads[at])
-        keys = self.heads[at[order[first]]]
-        docs = self.doc[at[order]]
-        last = np.append(first[1:], len(at)) - 1
-        return keys, B.bucket_of(keys, buckets), (docs[first] != docs[last]).astype(np.uint8) if len(at) else np.zeros(0, np.uint8), at[order], group
+        keys, docs = self.heads[at[order[first]]], doc[order]
+        twice = (np.minimum.reduceat(docs, first) != np.maximum.reduceat(docs, first)).astype(np.uint8) if len(at) else np.zeros(0, np.uint8)
+        return keys, B.bucket_of(keys, buckets), twice, at[order], group
 
     def windows(self, shared: np.ndarray, buckets: int) -> tuple[np.ndarray, ...]:
         """Distinct windows that have a shared sample, in suffix buckets by the hash of their head, sorted within a
         bucket; each such place with the number of its window, and whether an earlier text of this block has it."""
-        flag = np.zeros(len(self.doc) + PERIOD + 1, np.int64)
+        n = len(self.block.data)
+        flag = np.zeros(n + PERIOD + 1, np.int32)
         flag[shared + 1] = 1
-        so_far = np.cumsum(flag)
-        n = len(self.doc)
-        at = np.flatnonzero((so_far[PERIOD : PERIOD + n] > so_far[:n]) & (self.left >= self.length))
-        keys = B.window_hashes(self.block.data, self.length, 2)[at]
+        so_far = np.cumsum(flag, dtype=np.int32)
+        at = np.flatnonzero(so_far[PERIOD : PERIOD + n] > so_far[:n])
+        doc = np.searchsorted(self.block.ends, at, "right")
+        whole = self.block.ends[doc] - at >= self.length
+        at, doc = at[whole], doc[whole]
+        keys = self._whole_hashes(at)
         bucket = B.bucket_of(self.heads[at], buckets)
-        order = np.argsort(keys, kind="stable")
+        order = np.argsort(keys)
         order = order[np.argsort(bucket[order].astype(np.uint16 if buckets < 1 << 16 else np.int64), kind="stable")]
-        keys, bucket, docs = keys[order], bucket[order], self.doc[at[order]]
+        keys, bucket, docs = keys[order], bucket[order], doc[order]
         new = np.append(True, (keys[1:] != keys[:-1]) | (bucket[1:] != bucket[:-1])) if len(at) else np.zeros(0, bool)
         group = np.cumsum(new) - 1
-        return keys[new], bucket[new], at[order], group, docs > docs[new][group] if len(at) else np.zeros(0, bool)
+        earliest = np.minimum.reduceat(docs, np.flatnonzero(new)) if len(at) else docs
+        return keys[new], bucket[new], at[order], group, docs > earliest[group]
+
+    def _whole_hashes(self, at: np.ndarray) -> np.ndarray:
+        """Hashes of the windows at rising places, run by run of places that lie close together."""
+        if not len(at):
+            return np.zeros(0, np.uint64)
+        edges = np.flatnonzero(np.append(True, np.diff(at) > self.length))
+        lo, hi = at[edges], at[np.append(edges[1:], len(at)) - 1] + self.length
+        size = hi - lo
+        base = np.cumsum(size) - size
+        within = np.arange(int(size.sum())) - np.repeat(base, size)
+        text = self.block.data[np.repeat(lo, size) + within]
+        return B.window_hashes(text, self.length, 2)[at - np.repeat(lo - base, np.diff(np.append(edges, len(at))))]
 
 
 def _shared_samples(suffixes: _Suffixes, frame: pd.DataFrame, buckets: int) -> np.ndarray:
@@ -83,21 +97,18 @@ def _suffix_bucket(frame: pd.DataFrame) -> pd.DataFrame:
     frame = frame.sort_values("block")
     keys = np.concatenate([B.unplanes(x, WINDOW_BYTES) for x in frame["keys"]])
     order, first, group = B.groups(keys)
-    later = np.ones(len(keys), bool)
-    later[first] = False
-    return B.answer(frame, later, order, WINDOW_BYTES)
+    return B.answer(frame, order != np.minimum.reduceat(order, first)[group], order, WINDOW_BYTES)
 
 
 def _cut(suffixes: _Suffixes, frame: pd.DataFrame, buckets: int) -> pd.DataFrame:
     block, length = suffixes.block, suffixes.length
     shared = _shared_samples(suffixes, frame[frame["step"] == 1], buckets)
     _, bucket, at, group, again = suffixes.windows(shared, buckets)
-    repeated = np.zeros(len(block.data) + 1, np.int64)
+    repeated = np.zeros(len(block.data) + 1, np.int32)
     if len(at):
         repeated[at[again | (B.answers(frame[frame["step"] == 2], bucket)[group] > 0)] + 1] = 1
-    so_far = np.cumsum(repeated)
-    here = np.arange(len(block.data))
-    gone = so_far[here + 1] > so_far[np.maximum(0, here + 1 - length)]
+    so_far = np.append(np.zeros(length, np.int32), np.cumsum(repeated, dtype=np.int32))
+    gone = so_far[length + 1 :] > so_far[1 : len(block.data) + 1]
     opens = gone.copy()
     opens[1:] &= ~gone[:-1]
     closes = gone.copy()
@@ -137,8 +148,8 @@ def suffix_dedup(docs: DataFrame, *, length: int = 50) -> DataFrame:
     scratch, buckets = Scratch(spark, "suffix"), shuffle_parts(spark)
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     distinct = rows.groupBy("text").agg(F.min("doc_id").alias("doc_id"))
-    order = [F.col("doc_id").asc_nulls_last(), F.col("text")]
-    texts = B.build(scratch, "blocks", distinct.repartitionByRange(*order).sortWithinPartitions(*order))
+    by_id = F.col("doc_id").asc_nulls_last()
+    texts = B.build(scratch, "blocks", distinct.repartitionByRange(by_id).sortWithinPartitions(by_id, "text"))
 
     def send_samples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in B.rows_of(batches):
