@@ -3,20 +3,44 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import header, production, upserts
+from ..operators import economics as E
+from ..operators import forecast as Q
+from ..session import ship
+from ..sources import fixtures as X
+from . import economics, fits, fluids, forecasts, header, production, spatial, streams, upserts
 
-FAMILIES = (production, header, upserts)
+FAMILIES = (production, header, upserts, forecasts, economics, fluids, spatial, fits, streams)
+
+
+def shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    """The query, once Python workers can import this package."""
+
+    @wraps(query)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ship(spark)
+        return query(spark, sf_dir)
+
+    return run
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return production.w4_cumulative(spark, sf_dir)
+    """Production history to forecasts, monthly volumes, cash flow and present value per well."""
+    view = Q.view(X.forecast(spark, sf_dir), forecasts.ranked(spark, sf_dir)).withColumn("q1", F.lit(0.0)).withColumn("q2", F.lit(0.0))
+    rows = Q.volumes(view).where("volume is not null").select(F.col("wellid").alias("uid"), F.col("month").cast("int").alias("m"), "measure", "volume")
+    wide = rows.groupBy("uid", "m").pivot("measure", ["OIL", "GAS", "WATER"]).agg(F.sum("volume"))
+    months = wide.select("uid", (F.col("m") - 1).alias("month"), *(F.coalesce(p, F.lit(0.0)).alias(p.lower()) for p in ("OIL", "GAS", "WATER")))
+    flows = E.economic(E.cash_flow(months, economics.inputs(spark, sf_dir)))
+    return flows.groupBy("uid").agg(F.round(E.present_value(F.lit(0.1)), 4).alias("npv"), F.round(F.sum("oil"), 4).alias("oil"), F.round(F.sum("gas"), 4).alias("gas"), F.max("aban_month").alias("last_month"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {name: query for family in FAMILIES for name, query in family.QUERIES.items()}
+    found = {name: query for family in FAMILIES for name, query in family.QUERIES.items()}
+    return {name: shipped(query) for name, query in (found | {"flagship": flagship}).items()}
 
 
 def oracle_sql() -> dict[str, str]:
