@@ -124,7 +124,7 @@ def test_license_scan(spark):
     assert scan_licenses(empty(spark)).count() == 0
 
 
-@pytest.mark.parametrize("text, label, edits", [("released under teh mit licence today", "mit", 2), ("the GNU Generl Public License, version 3", "gpl", 1), ("apache licens version 2 here", "apache-2", 1)])
+@pytest.mark.parametrize("text, label, edits", [("released under teh mit license today", "mit", 2), ("the GNU Generl Public License, version 3", "gpl", 1), ("apache licens version 2 here", "apache-2", 1)])
 def test_fuzzy_notices(spark, text, label, edits):
     row = scan_licenses(documents(spark, [(1, text, *[None] * 12)])).first()
     assert label in row.labels.split(",") and row.base_labels == "" and 0.8 < row.score < 1

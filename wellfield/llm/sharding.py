@@ -8,11 +8,11 @@ from pyspark.sql import functions as F
 from .common import Scratch, ranked
 
 
-def _round(scratch: Scratch, name: str, rows: DataFrame, shards: int, capacity: int) -> DataFrame:
+def _round(scratch: Scratch, name: str, rows: DataFrame, shards: int, capacity: int | None) -> DataFrame:
     """One round: every group draws its documents to the shard that holds most of them, as far as quotas allow.
 
     A shard's quota is its capacity less the documents that stay. Where more want to come than that, groups come in
-    the order of a drawn number, whole groups at a time."""
+    the order of a drawn number, whole groups at a time. Without a capacity all come."""
     linked = rows.where("linked")
     votes = linked.groupBy("g", "sub", "label").agg(F.count("*").alias("n"))
     aims = votes.groupBy("g", "sub").agg(F.max_by("label", F.struct("n", -F.col("label"))).alias("aim"), F.sum("n").alias("members"), F.max("n").alias("home"))
@@ -21,9 +21,9 @@ def _round(scratch: Scratch, name: str, rows: DataFrame, shards: int, capacity:
     leave = votes.join(aims, ["g", "sub"]).where("label <> aim").groupBy("label").agg(F.sum("n").alias("leaving"))
     come = aims.groupBy(F.col("aim").alias("label")).agg(F.sum(F.col("members") - F.col("home")).alias("coming"))
     quota = load.join(leave, "label", "left").join(come, "label", "left")  # a row for each shard
-    room = F.greatest(F.lit(0), F.lit(capacity) - F.col("rows") + F.coalesce("leaving", F.lit(0)))
+    room = F.greatest(F.lit(0), F.lit(capacity or 0) - F.col("rows") + F.coalesce("leaving", F.lit(0)))
     quota = quota.select(F.col("label").alias("aim"), F.least(F.lit(1.0), room / F.greatest(F.lit(1), F.coalesce("coming", F.lit(0)))).alias("open"))
-    moves = aims.join(F.broadcast(quota), "aim").where(F.col("draw_g") < F.col("open") * (1 << 20)).select("g", "sub", "aim")
+    moves = aims.select("g", "sub", "aim") if capacity is None else aims.join(F.broadcast(quota), "aim").where(F.col("draw_g") < F.col("open") * (1 << 20)).select("g", "sub", "aim")
     moved = linked.join(moves, ["g", "sub"], "left").withColumn("label", F.coalesce("aim", "label")).drop("aim")
     return scratch.put(name, moved.unionByName(rows.where("NOT linked")))
 
@@ -32,9 +32,9 @@ def shard_documents(docs: DataFrame, *, shards: int = 24, rounds: int = 2, seed:
     """One row per row of docs: doc_id, size, text_crc32, law, shard, slot, grown_shard.
 
     Documents with equal texts are linked. Labels start from a drawn number and move, in `rounds` of joins, towards
-    the shard that holds most of a document's group, under capacity quotas. A last pass lines all rows up by label and
-    group and cuts the line into `shards` equal parts (law `rows`: counts at most one apart), which separates at most
-    one group at each cut. A group of more than an eighth of a shard counts as several, so none outgrows a quota and
+    the shard that holds most of a document's group, under capacity quotas. Groups that quotas have kept apart then
+    unite, and a last pass lines all rows up by label and group and cuts the line into `shards` equal parts (law `rows`:
+    counts at most one apart), which separates at most one group at each cut. A group of more than an eighth of a shard counts as several, so none outgrows a quota and
     no task holds it whole; there are at most 8 * shards such groups, which bounds what is broadcast.
 
     A null text counts as empty (size 8, CRC 0). Null ids and repeated rows are placed like any other. An empty table
@@ -55,6 +55,7 @@ def shard_documents(docs: DataFrame, *, shards: int = 24, rounds: int = 2, seed:
     for k in range(rounds):
         rows = _round(scratch, f"round{k + 1}", rows, shards, -(-n // shards))
         scratch.drop(f"round{k}")
+    rows = _round(scratch, "united", rows, shards, None)
     order = [F.col("label"), F.col("linked"), F.col("g"), F.col("sub"), F.col("draw"), F.col("doc_id")]
     line = ranked(scratch, "line", rows, order, "at")
     shard = F.expr(f"cast((at * {shards}L) div {max(1, n)}L as int)")
