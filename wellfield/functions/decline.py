@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
+from typing import ClassVar
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 YEAR = 365.0
@@ -23,42 +24,70 @@ def decline_for(q_start: Column, q_end: Column, months: Column) -> Column:
     return 1 - F.exp(-_over(F.ln(_over(q_start, q_end)), months / 12))
 
 
+def _stage(f):
+    """A property that reads the column of its name where a frame has it."""
+
+    def get(self):
+        known = self._known(f.__name__)
+        return f(self) if known is None else known
+
+    return property(get, doc=f.__doc__)
+
+
 @dataclass(frozen=True)
 class Curve:
     """A curve from rate `qi`: exponential where both declines agree, else hyperbolic (harmonic for b = 1) until the
-    decline has fallen to the terminal one, and exponential from there."""
+    decline has fallen to the terminal one, and exponential from there. `known` holds columns of a frame that staged()
+    has computed, so that each is worked out once a row however often it is used."""
 
     qi: Column
     dei: Column
     deff: Column
     b: Column
+    known: str = ""
 
     @classmethod
     def of(cls, qi, dei, deff, b) -> "Curve":
         return cls(*map(number, (qi, dei, deff, b)))
 
-    @property
+    STAGES: ClassVar = (("exponential", "harmonic"), ("nominal", "terminal"), ("q_switch",), ("t_switch",))
+
+    def staged(self, df: DataFrame, prefix: str = "__") -> tuple[DataFrame, "Curve"]:
+        """df with the curve's fixed terms as columns, and the curve that reads them."""
+        inputs = {n: getattr(self, n).alias(f"{prefix}{n}") for n in ("qi", "dei", "deff", "b")}
+        df, done = df.select("*", *inputs.values()), list(inputs)
+        for names in self.STAGES:
+            curve = replace(self, **{n: F.col(f"{prefix}{n}") for n in inputs}, known=f"{prefix}:{','.join(done)}")
+            df = df.select("*", *(getattr(curve, n).alias(f"{prefix}{n}") for n in names))
+            done += names
+        return df, replace(self, **{n: F.col(f"{prefix}{n}") for n in inputs}, known=f"{prefix}:{','.join(done)}")
+
+    def _known(self, name: str) -> Column | None:
+        prefix, _, names = self.known.partition(":")
+        return F.col(prefix + name) if name in names.split(",") else None
+
+    @_stage
     def exponential(self) -> Column:
         return F.abs(self.dei - self.deff) <= 1e-8 + 1e-5 * F.abs(self.deff)
 
-    @property
+    @_stage
     def harmonic(self) -> Column:
         return (self.b == 1) & (self.dei > self.deff)
 
-    @property
+    @_stage
     def nominal(self) -> Column:
         """Nominal annual decline at the start."""
         return F.when(self.harmonic, _over(self.dei, 1 - self.dei)).otherwise(_over(F.pow(1 - self.dei, -self.b) - 1, self.b))
 
-    @property
+    @_stage
     def terminal(self) -> Column:
         return -F.ln(1 - self.deff)
 
-    @property
+    @_stage
     def q_switch(self) -> Column:
         return self.qi * F.pow(_over(self.terminal, self.nominal), _over(F.lit(1.0), self.b))
 
-    @property
+    @_stage
     def t_switch(self) -> Column:
         return _over(F.pow(_over(self.qi, self.q_switch), self.b) - 1, self.b * self.nominal) * 12
 

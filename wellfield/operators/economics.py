@@ -43,7 +43,7 @@ def cash_flow(volumes: DataFrame, inputs: DataFrame, *, cents: bool = False) ->
     than that of it; otherwise it is the well's own."""
     by = Window.partitionBy("uid")
     first = F.min(F.when(F.col("oil") + F.col("gas") > 0, F.col("month"))).over(by)
-    rows = volumes.join(F.broadcast(inputs), "uid").withColumn("first_month", first)
+    rows = volumes.join(inputs, "uid").withColumn("first_month", first)
     own = _flows(F.col("wi"), F.col("nri"), cents)
     full = (F.col("wi") == 0) | (F.col("nri") / F.nullif(F.col("wi"), F.lit(0.0)) > 1 - F.col("roy"))
     basis = _flows(F.when(full, F.lit(1.0)).otherwise(F.col("wi")), F.when(full, 1 - F.col("roy")).otherwise(F.col("nri")), cents)["op_cf"]

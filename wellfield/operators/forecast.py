@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ..functions.decline import Curve, decline_for, number
+from ..functions.decline import YEAR, Curve, decline_for, number
 from .production import month_diff, priority
 
 ANALYSTS = ("manual", "auto_fit_1", "auto_fit_2", "auto_fit_3")
@@ -55,9 +55,9 @@ def segments(rows: DataFrame, keys: list[str], *, duration: int = HORIZON, prior
     q1, q3 = number(F.col("q1")), number(F.col("q3"))
     q2 = F.when(three, F.when(F.col("q2") == F.col("q3"), F.col("q2") * 1.0001).otherwise(F.col("q2"))).otherwise(q3).cast("double")
     d1, d2 = decline_for(q1, q2, n1), decline_for(q2, q3, n2)
-    exp1, exp2 = Curve.of(q1, d1, d1, 1.0), Curve.of(q2, d2, d2, 1.0)
-    end1 = start + exp1.cumulative(n1)
-    end2 = end1 + exp2.cumulative(n2)
+    drained = lambda qa, qb, d: (qa - qb) / F.nullif(-F.ln(1 - d), F.lit(0.0)) * YEAR
+    end1 = start + drained(q1, q2, d1)
+    end2 = end1 + drained(q2, q3, d2)
     shift = F.lit(0) if compat else F.lit(0) + prior_t
 
     def part(order, on, q, de, deff, b, months, offset, cum):
@@ -74,13 +74,15 @@ def segments(rows: DataFrame, keys: list[str], *, duration: int = HORIZON, prior
     )
     cut = F.coalesce("qabn", F.lit(0.0)).alias("qabn")
     flat = rows.select(*keys, cut, F.explode(F.filter(parts, lambda s: s.isNotNull())).alias("s")).select(*keys, "qabn", "s.*").where("months > 0")
+    flat, curve = Curve(F.col("qi"), F.col("d"), F.col("f"), F.col("b")).staged(flat)
     flat = flat.withColumn("t", F.explode(F.sequence(F.lit(1), F.col("months"))))
-    curve, idle = Curve(F.col("qi"), F.col("d"), F.col("f"), F.col("b")), F.col("part") == 0
-    zero = F.lit(0.0)
-    now, before = curve.cumulative(F.col("t")), F.when(F.col("t") == 1, zero).otherwise(curve.cumulative(F.col("t") - 1))
+    idle, zero = F.col("part") == 0, F.lit(0.0)
+    flat = flat.select("*", curve.cumulative(F.col("t")).alias("now"), curve.cumulative(F.col("t") - 1).alias("before"), curve.rate(F.col("t")).alias("q"), curve.decline(F.col("t")).alias("de"))
+    shown = lambda x, n: F.when(idle, zero).otherwise(x).alias(n)
+    gain = F.col("now") - F.when(F.col("t") == 1, zero).otherwise(F.col("before"))
     out = flat.select(
-        *keys, "part", "qabn", (F.col("t") + F.col("offset")).alias("month"), F.when(idle, zero).otherwise(curve.rate(F.col("t"))).alias("q"), F.when(idle, zero).otherwise(curve.decline(F.col("t"))).alias("de"),
-        F.when(idle, zero).otherwise(F.col("cum") + now).alias("cumulative"), F.when(idle, zero).otherwise(F.greatest(zero, now - before)).alias("volume"),
+        *keys, "part", "qabn", (F.col("t") + F.col("offset")).alias("month"), shown(F.col("q"), "q"), shown(F.col("de"), "de"),
+        shown(F.col("cum") + F.col("now"), "cumulative"), shown(F.greatest(zero, gain), "volume"),
     )
     return out.where((F.col("part") != 3) | (F.col("qabn") <= 0) | (F.col("q") >= F.col("qabn"))).drop("part", "qabn")
 
@@ -101,10 +103,11 @@ def eur(forecast: DataFrame, production: DataFrame) -> DataFrame:
     """Recovery: the curve from its rate and decline at the last month on, to month 360, and what has been produced."""
     past = production.groupBy("wellid", "measure").agg(F.max("dt").alias("last"), F.sum("value").alias("produced"))
     rows = best(forecast).join(past, ["wellid", "measure"])
-    curve = Curve.of(F.col("q3"), F.col("dei"), F.col("def"), F.col("b_factor"))
-    t = F.greatest(month_diff(F.col("startdate"), F.col("last")), F.lit(0))
-    rows = rows.select("wellid", "measure", "produced", "def", "b_factor", curve.rate(t).alias("q"), curve.decline(t).alias("d"))
-    rest = Curve.of(F.col("q"), F.col("d"), F.col("def"), F.col("b_factor")).cumulative(F.lit(HORIZON))
+    rows, curve = Curve.of(F.col("q3"), F.col("dei"), F.col("def"), F.col("b_factor")).staged(rows)
+    rows = rows.withColumn("t", F.greatest(month_diff(F.col("startdate"), F.col("last")), F.lit(0)))
+    rows = rows.select("wellid", "measure", "produced", "def", "b_factor", curve.rate(F.col("t")).alias("q"), curve.decline(F.col("t")).alias("d"))
+    rows, curve = Curve.of(F.col("q"), F.col("d"), F.col("def"), F.col("b_factor")).staged(rows)
+    rest = curve.cumulative(F.lit(HORIZON))
     return rows.select("wellid", "measure", "produced", (F.col("produced") + rest).alias("eur"))
 
 
@@ -172,4 +175,6 @@ def goodness(rows: DataFrame, keys: list[str], q: str, fitted: str) -> DataFrame
     """r2 (0 for fewer than two points or a constant series), rmse and mae."""
     error = F.col(q) - F.col(fitted)
     flat = (F.count(q) < 2) | (F.max(q) == F.min(q)) | (F.max(fitted) == F.min(fitted))
-    return rows.groupBy(*keys).agg(F.when(flat, 0.0).otherwise(F.pow(F.corr(q, fitted), 2)).alias("r2"), F.sqrt(F.avg(error * error)).alias("rmse"), F.avg(F.abs(error)).alias("mae"))
+    spread = F.nullif(F.var_pop(q) * F.var_pop(fitted), F.lit(0.0))
+    r2 = F.pow(F.covar_pop(q, fitted), F.lit(2.0)) / spread
+    return rows.groupBy(*keys).agg(F.when(flat, 0.0).otherwise(r2).alias("r2"), F.sqrt(F.avg(error * error)).alias("rmse"), F.avg(F.abs(error)).alias("mae"))

@@ -74,16 +74,6 @@ def latest(rows: DataFrame, keys: list[str], *order: Column) -> DataFrame:
     return rows.withColumn("place", F.row_number().over(by)).where("place = 1").drop("place")
 
 
-def numbered_after(rows: DataFrame, order: list[str], start: int) -> DataFrame:
-    """New ids that follow `start`, in a stable order: ranks within ranges of the order, shifted by the ranges before."""
-    part = "__part"
-    dealt = rows.repartitionByRange(*order).withColumn(part, F.spark_partition_id())
-    sizes = dealt.groupBy(part).agg(F.count("*").alias("n"))
-    shift = sizes.select(part, (F.coalesce(F.sum("n").over(Window.orderBy(part).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)) + start).alias("shift"))
-    own = F.row_number().over(Window.partitionBy(part).orderBy(*order))
-    return dealt.withColumn("own", own).join(F.broadcast(shift), part).withColumn("newid", F.col("own") + F.col("shift")).drop(part, "own", "shift")
-
-
 def duplicated(rows: DataFrame, keys: list[str]) -> DataFrame:
     """All rows of keys that occur more than once."""
     return rows.withColumn("n", F.count("*").over(Window.partitionBy(*keys))).where("n > 1")

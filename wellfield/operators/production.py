@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ..session import checkpointed
+
 PHASES = ("OIL", "GAS", "WATER")
 SOURCES = ("PRIMARY", "SECONDARY")
 #: Days of a month where the producing days are not known.
@@ -88,12 +90,20 @@ def producing_ratios(wide: DataFrame, late: int = 12) -> DataFrame:
     return gor.join(cut, "wellid", "full").join(water, "wellid", "full")
 
 
+def numbered_after(rows: DataFrame, order: list[str], start: int) -> DataFrame:
+    """rows with newid, numbers that follow `start` in a stable order: ranks within ranges of the order, shifted by the
+    counts of the ranges before. The ranges are checkpointed, since both uses must see the same ones."""
+    part = "__part"
+    dealt = checkpointed(rows.repartitionByRange(*order).withColumn(part, F.spark_partition_id()))
+    sizes = dealt.groupBy(part).agg(F.count("*").alias("n"))
+    shift = sizes.select(part, (F.coalesce(F.sum("n").over(Window.orderBy(part).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)) + start).alias("shift"))
+    own = F.row_number().over(Window.partitionBy(part).orderBy(*order))
+    return dealt.withColumn("own", own).join(F.broadcast(shift), part).withColumn("newid", F.col("own") + F.col("shift")).drop(part, "own", "shift")
+
+
 def batches(rows: DataFrame, order: list[str], size: int) -> DataFrame:
-    """A batch number for each row in a stable order, from per-value counts rather than one window over all rows."""
-    counts = rows.groupBy(*order).agg(F.count("*").alias("n"))
-    before = Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    starts = counts.withColumn("start", F.coalesce(F.sum("n").over(before), F.lit(0)))
-    return starts.select(*order, F.ceil((F.col("start") + 1) / size).alias("batch"))
+    """A batch number for each row in a stable order."""
+    return numbered_after(rows, order, 0).select(*order, F.ceil(F.col("newid") / size).alias("batch"))
 
 
 def rates(production: DataFrame) -> DataFrame:

@@ -12,38 +12,36 @@ from .forecasts import BEST, _started, best
 from .production import BOTH, months
 
 W = f"with {X.SQL}"
-k = F.col("wellid")
-u = F.col("uid")
 
 
 def volumes(spark, d):
     """Gap-free months from 0 per well."""
-    number = F.row_number().over(Window.partitionBy("wellid").orderBy("dt")) - 1
-    return months(spark, d).select(k.alias("uid"), number.alias("month"), *(F.coalesce(c, F.lit(0.0)).alias(c) for c in ("oil", "gas", "water")))
+    number = F.row_number().over(Window.partitionBy("wellid").orderBy("dt")).cast("long") - 1
+    return months(spark, d).select(X.well().alias("uid"), number.alias("month"), *(F.coalesce(c, F.lit(0.0)).alias(c) for c in ("oil", "gas", "water")))
 
 
 def inputs(spark, d):
     """Economic inputs by arithmetic on the well's id: some wells without interest, some with more than their share."""
     n = lambda x: x.cast("double")
     c = dict(
-        wi=n(F.when(k % 11 == 0, 0).otherwise(80 + k % 3 * 10)) / 100, nri=n(60 + k % 4 * 5) / 100, roy=F.lit(0.2), weight=F.lit(1.0), prod_wt=F.lit(0.9), inv_wt=F.lit(1.0), shrink=F.lit(0.85), btu=F.lit(1.1),
-        ngl_yield=F.lit(0.05), pri_oil=n(50 + k % 5 * 5), pri_gas=F.lit(3.0), paj_oil=F.lit(-2.0), paj_gas=F.lit(-0.25), paj_ngl=F.lit(0.3), stx_oil=F.lit(0.046), stx_gas=F.lit(0.075), stx_ngl=F.lit(0.075),
-        adval=F.lit(0.025), opc_fix=n(500 + k % 7 * 300), opc_oil=F.lit(5.0), opc_gas=F.lit(0.5), opc_wtr=F.lit(2.0), capex=n(F.when(k % 13 == 0, 0).otherwise(20000 + k % 9 * 5000)), aban=F.lit(1000.0), eloss=(k % 3).cast("int"),
+        wi=n(F.when(X.well() % 11 == 0, 0).otherwise(80 + X.well() % 3 * 10)) / 100, nri=n(60 + X.well() % 4 * 5) / 100, roy=F.lit(0.2), weight=F.lit(1.0), prod_wt=F.lit(0.9), inv_wt=F.lit(1.0), shrink=F.lit(0.85), btu=F.lit(1.1),
+        ngl_yield=F.lit(0.05), pri_oil=n(50 + X.well() % 5 * 5), pri_gas=F.lit(3.0), paj_oil=F.lit(-2.0), paj_gas=F.lit(-0.25), paj_ngl=F.lit(0.3), stx_oil=F.lit(0.046), stx_gas=F.lit(0.075), stx_ngl=F.lit(0.075),
+        adval=F.lit(0.025), opc_fix=n(500 + X.well() % 7 * 300), opc_oil=F.lit(5.0), opc_gas=F.lit(0.5), opc_wtr=F.lit(2.0), capex=n(F.when(X.well() % 13 == 0, 0).otherwise(20000 + X.well() % 9 * 5000)), aban=F.lit(1000.0), eloss=(X.well() % 3).cast("int"),
     )
-    return X.well_header(spark, d).select(k.alias("uid"), *(x.alias(name) for name, x in c.items()))
+    return X.well_header(spark, d).select(X.well().alias("uid"), *(x.alias(name) for name, x in c.items()))
 
 
 FLOW = f"""{BOTH},
   v as (select wellid as uid, row_number() over (partition by wellid order by dt) - 1 as month, coalesce(oil, 0) as oil, coalesce(gas, 0) as gas, coalesce(water, 0) as water from w),
   i as (select wellid as uid, case when wellid % 11 = 0 then 0 else 80 + wellid % 3 * 10 end::double / 100 as wi, (60 + wellid % 4 * 5)::double / 100 as nri, (50 + wellid % 5 * 5)::double as po, (500 + wellid % 7 * 300)::double as fix,
     case when wellid % 13 = 0 then 0 else 20000 + wellid % 9 * 5000 end::double as capex, (wellid % 3)::int as eloss from well_header),
-  j as (select v.*, i.* exclude (uid), min(case when oil + gas > 0 then month end) over (partition by v.uid) as fm, (wi = 0 or nri / nullif(wi, 0) > 0.8::double) as full from v join i using (uid)),
+  j as (select v.*, i.* exclude (uid), min(case when oil + gas > 0 then month end) over (partition by v.uid) as fm, (wi = 0 or nri / nullif(wi, 0) > 0.8::double) as is_full from v join i using (uid)),
   r as (select *, oil * nri * 0.9::double as os, gas * nri * 0.85::double * 0.9::double as gs, 0.05::double * gas * nri * 0.9::double as ns,
     0.9::double * (oil * 5 + gas * 0.85::double * 0.5::double + water * 2) + fix as cost from j),
   s as (select *, os * (po - 2) as orv, gs * 1.1::double * 2.75::double as grv, ns * po * 0.3::double as nrv from r),
   t as (select *, orv + grv + nrv as rev, orv * 0.046::double + (grv + nrv) * 0.075::double + (orv + grv + nrv) * 0.025::double as tax, case when month >= fm then wi * cost else 0 end as opex from s),
   f as (select *, rev - tax - opex as op, rev - tax - opex - case when month = fm then capex * wi else 0 end as net,
-    (rev - tax) / nri * case when full then 0.8::double else nri end - case when month >= fm then case when full then 1 else wi end * cost else 0 end as bas from t),
+    (rev - tax) / nri * case when is_full then 0.8::double else nri end - case when month >= fm then case when is_full then 1 else wi end * cost else 0 end as bas from t),
   c as (select *, sum(op) over o as cum_op, sum(net) over o as cum_net, sum(bas) over o as cum_bas from f window o as (partition by uid order by month))"""
 ECON = f"""{FLOW}, l as (select uid, arg_min(month, struct_pack(a := -cum_bas, b := month)) as life, count(*) as n from c group by 1),
   e0 as (select c.*, life, n, least(life + eloss, n) - 1 as am from c join l using (uid)),
@@ -61,16 +59,17 @@ def econ(spark, d):
     return E.economic(flows(spark, d))
 
 
-def rounded(*names):
-    return [F.round(c, 4).alias(c) for c in names]
+def rounded(*names, shift=0.0):
+    """Rounded for comparison; a small shift keeps exact halves off the edge where engines differ."""
+    return [F.round(F.col(c) + shift, 4).alias(c) for c in names]
 
 
 def e1_cash_flow(spark, d):
-    return flows(spark, d).select("uid", "month", *rounded("oil_sales", "gas_sales", "ngl_sales", "total_rev", "tax", "opex", "op_cf", "net_cf", "cum_op", "cum_net"))
+    return flows(spark, d).select("uid", "month", *rounded("oil_sales", "gas_sales", "ngl_sales", "total_rev", "tax", "opex", "op_cf", "net_cf", "cum_op", "cum_net", shift=1e-7))
 
 
 def e2_economic_limit(spark, d):
-    return econ(spark, d).select("uid", "month", "aban_month", *rounded("total_rev", "op_cf", "net_cf", "cum_net"))
+    return econ(spark, d).select("uid", "month", "aban_month", *rounded("total_rev", "op_cf", "net_cf", "cum_net", shift=1e-7))
 
 
 def e3_npv(spark, d):
@@ -99,7 +98,7 @@ def e8_breakeven(spark, d):
 
 def e9_dates(spark, d):
     start = F.add_months(F.trunc(F.lit("2024-05-17").cast("date"), "month"), 1)
-    rows = econ(spark, d).where("total_rev <> 0").select("uid", "month", F.add_months(start, F.col("month")).alias("dt"))
+    rows = econ(spark, d).where("total_rev <> 0").select("uid", "month", F.add_months(start, F.col("month").cast("int")).alias("dt"))
     return rows
 
 
@@ -133,7 +132,7 @@ def e12_expiry_gas(spark, d):
 
 def src9_prices(spark, d):
     """The contract's own close, else the front month's, else nothing."""
-    dates = e11_strip(spark, d).withColumn("n", k % 3)
+    dates = e11_strip(spark, d).withColumn("n", X.well() % 3)
     own = dates.where("n = 0").select("contract_month", "ticker", F.lit(71.5).alias("close")).distinct()
     front = dates.where("n <> 2").select("contract_month", F.lit(68.25).alias("front")).distinct()
     return dates.select("contract_month", "ticker").distinct().join(own, ["contract_month", "ticker"], "left").join(front, "contract_month", "left").select("contract_month", "ticker", F.coalesce("close", "front").alias("close"))
@@ -141,7 +140,7 @@ def src9_prices(spark, d):
 
 def _forecast(spark, d):
     f = _started(best(spark, d))
-    return f.withColumn("q1", F.floor(F.col("q3") * 2)).withColumn("q2", F.floor(F.col("q3") * 1.5)).withColumn("q3", F.floor("q3")).withColumn("t1", (k % 4 * 5).cast("int")).withColumn("t2", F.when(k % 4 == 3, 6).otherwise(0))
+    return f.withColumn("q1", F.floor(F.col("q3") * 2)).withColumn("q2", F.floor(F.col("q3") * 1.5)).withColumn("q3", F.floor("q3")).withColumn("t1", (X.well() % 4 * 5).cast("int")).withColumn("t2", F.when(X.well() % 4 == 3, 6).otherwise(0))
 
 
 def e13_expressions(spark, d):
@@ -163,7 +162,7 @@ def e15_assembly(spark, d):
     start = _forecast(spark, d).select("wellid", "measure", F.lit(0).alias("place"), F.lit("START").alias("keyword"), F.date_format("startdate", "MM/yyyy").alias("expression"))
     all_lines = start.unionByName(numbered.select("wellid", "measure", "place", keyword.alias("keyword"), "expression"))
     order = Window.partitionBy("wellid").orderBy(P.priority("measure", ("OIL", "GAS", "WATER")), "place")
-    return all_lines.select("wellid", F.row_number().over(order).alias("sequence"), "keyword", "expression")
+    return all_lines.select("wellid", F.row_number().over(order).cast("long").alias("sequence"), "keyword", "expression")
 
 
 def e16_parse(spark, d):
@@ -173,14 +172,14 @@ def e16_parse(spark, d):
 
 def w12_stream_order(spark, d):
     oil_first, gas_first = P.priority("measure", ("OIL", "GAS")), P.priority("measure", ("GAS", "OIL"))
-    order = F.when(k % 2 == 0, oil_first).otherwise(gas_first)
-    return best(spark, d).select("wellid", "measure", F.rank().over(Window.partitionBy("wellid").orderBy(order)).alias("streamorder"))
+    order = F.when(X.well() % 2 == 0, oil_first).otherwise(gas_first)
+    return best(spark, d).select("wellid", "measure", F.rank().over(Window.partitionBy("wellid").orderBy(order)).cast("long").alias("streamorder"))
 
 
 def w13_redensify(spark, d):
     lines = E.live_lines(E.expressions(_forecast(spark, d)))
     by = Window.partitionBy("wellid", "measure").orderBy("line")
-    return lines.select("wellid", "measure", F.col("line").cast("long").alias("line"), F.dense_rank().over(by).alias("exp_order"))
+    return lines.select("wellid", "measure", F.col("line").cast("long").alias("line"), F.dense_rank().over(by).cast("long").alias("exp_order"))
 
 
 def w16_shift(spark, d):
@@ -189,7 +188,7 @@ def w16_shift(spark, d):
 
 
 def w17_reverse_count(spark, d):
-    return best(spark, d).select("wellid", "measure", (F.row_number().over(Window.partitionBy("wellid").orderBy(F.desc("measure"))) - 1).alias("from_end"))
+    return best(spark, d).select("wellid", "measure", (F.row_number().over(Window.partitionBy("wellid").orderBy(F.desc("measure"))).cast("long") - 1).alias("from_end"))
 
 
 def w20_running_cash(spark, d):
@@ -207,7 +206,7 @@ def up13_replace_section(spark, d):
 
 
 def up14_replace_template(spark, d):
-    old = X.well_header(spark, d).select("wellid", F.explode(F.array(F.lit(2), F.lit(4), F.lit(7))).alias("section")).withColumn("keyword", F.when(k % 2 == 0, "OP/MIN").otherwise("X"))
+    old = X.well_header(spark, d).select("wellid", F.explode(F.array(F.lit(2), F.lit(4), F.lit(7))).alias("section")).withColumn("keyword", F.when(X.well() % 2 == 0, "OP/MIN").otherwise("X"))
     gone = (~F.col("section").isin(4, 7)) | ((F.col("section") == 7) & (F.col("keyword") == "OP/MIN"))
     lines = spark.createDataFrame([(2, "PRI/OIL"), (5, "CAP"), (7, "OP/MIN")], "section int, keyword string")
     return old.where(~gone).unionByName(X.well_header(spark, d).select("wellid").crossJoin(F.broadcast(lines)))
@@ -224,19 +223,19 @@ _CAL = """with dd as (select unnest(generate_series(date '2005-01-01', date '201
   bd as (select day from dd where isodow(day) < 6 and strftime(day, '%m-%d') not in ('07-04', '12-25', '01-01')),
   cm as (select (date '2005-01-01' + to_months(n::int))::date as contract_month from (select unnest(generate_series(2, 99)) as n))"""
 _LINES = f"""{BEST}, st as (select *, last_day(startdate + case when wellid % 3 = 0 then interval 90 month else to_months(cast(wellid % 50 as int)) end) as sd, floor(q3 * 2) as a1, floor(q3 * 1.5::double) as a2, floor(q3) as a3, wellid % 4 * 5 as n1, case when wellid % 4 = 3 then 6 else 0 end as n2, case when measure = 'GAS' then 'M/D' else 'B/D' end as un from best),
-  li as (select wellid, measure, sd, n1, n2, 1 as line, printf('%.6f', a1) || ' ' || printf('%.6f', case when n2 = 0 then a3 else a2 end) || ' ' || un || ' ' || n1 || ' MO EXP X' as expression from st
+  li as (select wellid, measure, sd, n1, n2, 1::bigint as line, printf('%.6f', a1) || ' ' || printf('%.6f', case when n2 = 0 then a3 else a2 end) || ' ' || un || ' ' || n1 || ' MO EXP X' as expression from st
     union all select wellid, measure, sd, n1, n2, 2, printf('%.6f', a2) || ' ' || printf('%.6f', a3) || ' ' || un || ' ' || n2 || ' IMO EXP X' from st
     union all select wellid, measure, sd, n1, n2, 3, printf('%.6f', a3) || ' X ' || un || ' ' || printf('%.6f', round(def * 100, 6)) || ' EXP B/' || printf('%.4f', b_factor) || ' ' || printf('%.6f', round(dei * 100, 6)) from st
     union all select wellid, measure, sd, n1, n2, 4, 'X ' || printf('%.6f', qabn) || ' ' || un || ' X YRS EXP ' || printf('%.6f', round(def * 100, 6)) from st),
   lv as (select * from li where not (line = 1 and n1 = 0) and not (line = 2 and n2 = 0))"""
 ORACLES = {
-    "e1_cash_flow": f"{FLOW} select uid, month, round(os, 4) as oil_sales, round(gs, 4) as gas_sales, round(ns, 4) as ngl_sales, round(rev, 4) as total_rev, round(tax, 4) as tax, round(opex, 4) as opex, round(op, 4) as op_cf, round(net, 4) as net_cf, round(cum_op, 4) as cum_op, round(cum_net, 4) as cum_net from c",
-    "e2_economic_limit": f"{ECON} select uid, month, am as aban_month, round(rev, 4) as total_rev, round(op, 4) as op_cf, round(net, 4) as net_cf, round(cum_net, 4) as cum_net from e",
+    "e1_cash_flow": f"{FLOW} select uid, month, round(os + 1e-7, 4) as oil_sales, round(gs + 1e-7, 4) as gas_sales, round(ns + 1e-7, 4) as ngl_sales, round(rev + 1e-7, 4) as total_rev, round(tax + 1e-7, 4) as tax, round(opex + 1e-7, 4) as opex, round(op + 1e-7, 4) as op_cf, round(net + 1e-7, 4) as net_cf, round(cum_op + 1e-7, 4) as cum_op, round(cum_net + 1e-7, 4) as cum_net from c",
+    "e2_economic_limit": f"{ECON} select uid, month, am as aban_month, round(rev + 1e-7, 4) as total_rev, round(op + 1e-7, 4) as op_cf, round(net + 1e-7, 4) as net_cf, round(cum_net + 1e-7, 4) as cum_net from e",
     "e3_npv": f"{ECON} select uid, round({_NPV.format(r='0.1::double')}, 4) as npv from e group by 1",
     "e4_npv_profile": f"{ECON} select uid, rate, round({_NPV.format(r='rate')}, 4) as npv from e, (select unnest([0.05, 0.08, 0.09, 0.1, 0.12, 0.15, 0.2, 0.25, 0.3, 0.35, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9, 1.0])::double as rate) group by 1, 2",
     "e6_summary": f"""{ECON}, g as (select *, lag(cum_net) over (partition by uid order by month) as b from e),
-      h as (select uid, max(life) as life, max(eloss) as el, max(n) as n, min(case when cum_net >= 0 and b < 0 then month - 1 - b / (cum_net - b) end) as cross, arg_min(cum_net, month) as f, max(month) as last, sum(net) as net, {_NPV.format(r='0.1::double')} as pv, max(capex * wi) as spent from g group by 1)
-      select uid, round(least(life + el, n) / 12, 4) as life, round(case when f >= 0 then 0 else coalesce(cross, last) end / 12, 4) as payout, round(case when spent = 0 then 0 else (spent + net) / spent end, 4) as roi, round(case when spent = 0 then 0 else (spent + pv) / spent end, 4) as droi from h""",
+      h as (select uid, max(life) as life, max(eloss) as el, max(n) as n, min(case when cum_net >= 0 and b < 0 then month - 1 - b / (cum_net - b) end) as crossing, arg_min(cum_net, month) as f, max(month) as last, sum(net) as net, {_NPV.format(r='0.1::double')} as pv, max(capex * wi) as spent from g group by 1)
+      select uid, round(least(life + el, n) / 12, 4) as life, round(case when f >= 0 then 0 else coalesce(crossing, last) end / 12, 4) as payout, round(case when spent = 0 then 0 else (spent + net) / spent end, 4) as roi, round(case when spent = 0 then 0 else (spent + pv) / spent end, 4) as droi from h""",
     "e7_gross_eur": f"{ECON} select uid, round(sum(os) / max(nri), 4) as oil_eur, round(sum(gs) / (max(nri) * 0.85::double), 4) as gas_eur from e group by 1",
     "e9_dates": f"{ECON} select uid, month, (date '2024-06-01' + to_months(month::int))::date as dt from e where rev <> 0",
     "e10_volumes": f"{FLOW} select uid, month - 1 as month, round(oil / 3, 4) as oil, round(gas / 3, 4) as gas, round(water / 3, 4) as water from v where month >= 1",

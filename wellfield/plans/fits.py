@@ -9,7 +9,6 @@ from ..operators import header as H
 from ..operators import production as P
 from ..sources import fixtures as X
 
-k = F.col("wellid")
 
 
 def series(spark, d):
@@ -17,7 +16,7 @@ def series(spark, d):
     rows = P.months_producing(P.preferred(X.production(spark, d)))
     rows = rows.groupBy("wellid", "measure", "months").agg(F.sum("value").alias("value"))
     method = X.well_header(spark, d).select("wellid", H.fit_method(F.col("fitmethod")).alias("fitmethod"))
-    return rows.join(F.broadcast(method), "wellid").select("wellid", "measure", F.col("months").cast("int").alias("months"), "value", "fitmethod")
+    return rows.join(method, "wellid").select("wellid", "measure", F.col("months").cast("int").alias("months"), "value", "fitmethod")
 
 
 def declining(spark, d):
@@ -25,7 +24,7 @@ def declining(spark, d):
     t = F.explode(F.sequence(F.lit(0), F.lit(59)))
     wells = X.well_header(spark, d).withColumn("months", t)
     first = (F.pow(F.lit(0.4), F.lit(-0.9)) - 1) / 0.9 / 12
-    value = 900 * F.pow(1 + 0.9 * first * F.col("months"), F.lit(-1 / 0.9)) * (1 + F.sin(F.col("months") * 7.0 + k) / 50)
+    value = 900 * F.pow(1 + 0.9 * first * F.col("months"), F.lit(-1 / 0.9)) * (1 + F.sin(F.col("months") * 7.0 + X.well()) / 50)
     return wells.select("wellid", F.lit("OIL").alias("measure"), F.col("months").cast("int").alias("months"), value.alias("value"), F.lit("curve_fit").alias("fitmethod"))
 
 
@@ -60,7 +59,7 @@ def b9_evolution(spark, d):
 
 
 def b10_monte_carlo(spark, d):
-    return _fitted(T.fit(declining(spark, d).where(k % 5 == 0).withColumn("segment", F.lit(1)).withColumn("fitmethod", F.lit("monte_carlo"))))
+    return _fitted(T.fit(declining(spark, d).where(X.well() % 5 == 0).withColumn("segment", F.lit(1)).withColumn("fitmethod", F.lit("monte_carlo"))))
 
 
 def b11_fit_driver(spark, d):
@@ -72,7 +71,7 @@ def b12_auto_forecast(spark, d):
 
 
 def b14_draws(spark, d):
-    fitted = T.fit(declining(spark, d).where(k % 10 == 0).withColumn("segment", F.lit(1)).withColumn("fitmethod", F.lit("monte_carlo")))
+    fitted = T.fit(declining(spark, d).where(X.well() % 10 == 0).withColumn("segment", F.lit(1)).withColumn("fitmethod", F.lit("monte_carlo")))
     return fitted.select("wellid", "measure", F.posexplode("draws").alias("draw", "p")).select("wellid", "measure", "draw", *(F.round(F.col("p")[c], 4).alias(c) for c in ("qi", "dei", "b")))
 
 

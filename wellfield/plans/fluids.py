@@ -8,7 +8,6 @@ from ..functions import fluids as L
 from ..sources import fixtures as X
 
 c = F.col
-k = F.col("wellid")
 #: Inputs by arithmetic on the well's id; pressures stay where plain substitution converges too.
 INPUTS = f"""with {X.SQL}, f as (select wellid, (500 + (wellid * 23) % 2500)::double as p, (100 + wellid % 150)::double as t, (60 + wellid % 30)::double / 100 as sg, (wellid % 3)::double / 100 as co2, (wellid % 2)::double / 200 as h2s,
   (30 + wellid % 20)::double as api, (300 + wellid % 500)::double as rsb, (wellid % 5)::double as salt, (wellid % 20)::double as rsw, (20 + wellid % 20)::double / 100 as sw from well_header)"""
@@ -17,8 +16,8 @@ INPUTS = f"""with {X.SQL}, f as (select wellid, (500 + (wellid * 23) % 2500)::do
 def inputs(spark, d):
     n = lambda x: x.cast("double")
     return X.well_header(spark, d).select(
-        "wellid", n(500 + (k * 23) % 2500).alias("p"), n(100 + k % 150).alias("t"), (n(60 + k % 30) / 100).alias("sg"), (n(k % 3) / 100).alias("co2"), (n(k % 2) / 200).alias("h2s"), n(30 + k % 20).alias("api"), n(300 + k % 500).alias("rsb"),
-        n(k % 5).alias("salt"), n(k % 20).alias("rsw"), (n(20 + k % 20) / 100).alias("sw"),
+        "wellid", n(500 + (X.well() * 23) % 2500).alias("p"), n(100 + X.well() % 150).alias("t"), (n(60 + X.well() % 30) / 100).alias("sg"), (n(X.well() % 3) / 100).alias("co2"), (n(X.well() % 2) / 200).alias("h2s"), n(30 + X.well() % 20).alias("api"), n(300 + X.well() % 500).alias("rsb"),
+        n(X.well() % 5).alias("salt"), n(X.well() % 20).alias("rsw"), (n(20 + X.well() % 20) / 100).alias("sw"),
     )
 
 
@@ -27,7 +26,7 @@ def with_z(spark, d):
 
 
 def f1_to_float(spark, d):
-    text = F.when(k % 4 == 0, "bad").when(k % 4 == 1, "NaN").when(k % 4 == 2, k.cast("string"))
+    text = F.when(X.well() % 4 == 0, "bad").when(X.well() % 4 == 1, "NaN").when(X.well() % 4 == 2, X.well().cast("string"))
     return X.well_header(spark, d).select("wellid", L.to_float(text, 7.5).alias("x"))
 
 
@@ -63,9 +62,9 @@ def f8_pseudo_pressure(spark, d):
     return L.pseudo_pressure(inputs(spark, d).select("wellid", "p", "t", "sg", "co2", "h2s")).select("wellid", F.round("m", 2).alias("m"))
 
 
-def _oil(name, f):
+def _oil(name, f, digits=4):
     def query(spark, d):
-        return inputs(spark, d).select("wellid", F.round(f(), 4).alias("x"))
+        return inputs(spark, d).select("wellid", F.round(f(), digits).alias("x"))
 
     query.__name__ = name
     return query
@@ -78,7 +77,7 @@ f12_oil_viscosity = _oil("f12_oil_viscosity", lambda: L.oil_viscosity(c("p"), c(
 f13_water_compressibility = _oil("f13_water_compressibility", lambda: L.water_compressibility(c("p"), c("t"), c("rsw"), c("salt")) * 1e6)
 f14_water_volume_factor = _oil("f14_water_volume_factor", lambda: L.water_volume_factor(c("p"), c("t"), c("salt")))
 f15_water_viscosity = _oil("f15_water_viscosity", lambda: L.water_viscosity(c("p"), c("t"), c("salt")))
-f16_water_gas = _oil("f16_water_gas", lambda: L.water_gas(c("p"), c("t"), c("salt")))
+f16_water_gas = _oil("f16_water_gas", lambda: L.water_gas(c("p"), c("t"), c("salt")), 7)
 
 
 def f17_free_gas(spark, d):
@@ -144,7 +143,7 @@ ORACLES = {
     "f15_water_viscosity": f"""{INPUTS}, w as (select *, (t - 32) * 5 / 9 as tc, (t - 32) * 5 / 9 + 273.15 as tk, 0.65 - 0.01 * ((t - 32) * 5 / 9) as x from f),
       v as (select *, 22088 * exp((374.136 - tc) * (-7.419242 - 0.29721 * x - 0.1155286 * x ** 2 - 0.008685635 * x ** 3 + 0.001094098 * x ** 4 + 0.00439993 * x ** 5 + 0.002520658 * x ** 6 + 0.0005218684 * x ** 7) / tk) as ps from w)
       select wellid, round(0.02414 * power(10, 247.8 / (tk - 140)) * (1 + (p / 14.504 - ps) * 0.0000010467 * (tk - 305)) * (1 - 0.00187 * sqrt(salt) + 0.000218 * power(salt, 2.5) + (sqrt(t) - 0.0135 * t) * (0.00276 * salt - 0.000344 * power(salt, 1.5))), 4) as x from v""",
-    "f16_water_gas": f"""{INPUTS} select wellid, round((2.12 + 0.00345 * t - 0.0000359 * t * t + (0.0107 - 0.0000526 * t + 0.000000148 * t * t) * p + (-0.000000875 + 0.0000000039 * t - 0.0000000000102 * t * t) * p * p) * (1 - (0.0753 - 0.000173 * t) * salt), 4) as x from f""",
+    "f16_water_gas": f"""{INPUTS} select wellid, round((2.12 + 0.00345 * t - 0.0000359 * t * t + (0.0107 - 0.0000526 * t + 0.000000148 * t * t) * p + (-0.000000875 + 0.0000000039 * t - 0.0000000000102 * t * t) * p * p) * (1 - (0.0753 - 0.000173 * t) * salt), 7) as x from f""",
     "f18_gas_processing": f"{_GAS} select component, round(gals, 4) as recovered_gals, round(wet, 4) as wet_btu, round(wet * rec, 4) as extracted_btu, round(red, 4) as reduced_mol from r",
     "f19_gas_batch": f"{_GAS} select stream_id, component, round(gals * pop, 4) as settlement_gals, round(red / case when sum(red) over w > 0 then sum(red) over w else 1 end * btu * (14.65::double / 14.696), 4) as residue_btu from r window w as (partition by stream_id)",
 }

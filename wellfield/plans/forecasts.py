@@ -11,7 +11,6 @@ from ..operators import production as P
 from ..sources import fixtures as X
 
 W = f"with {X.SQL}"
-k = F.col("wellid")
 #: One well-measure series per well: months and rates.
 RANKED = f"""{W}, pref as (select * from (select *, dense_rank() over (partition by wellid, measure, cadence, dt order by case datasource when 'PRIMARY' then 1 else 2 end) as sr from production) where sr = 1),
   ranked as (select *, dense_rank() over (partition by wellid, measure, cadence order by dt) as daterank from pref)"""
@@ -59,7 +58,7 @@ def jn11_cumulative_at_start(spark, d):
 
 def _started(forecast):
     """Starts moved into, and for every third well past, the history."""
-    return forecast.withColumn("startdate", F.last_day(F.add_months("startdate", F.when(k % 3 == 0, 90).otherwise((k % 50).cast("int")))))
+    return forecast.withColumn("startdate", F.last_day(F.add_months("startdate", F.when(X.well() % 3 == 0, 90).otherwise((X.well() % 50).cast("int")))))
 
 
 STARTED = f"{BEST}, s as (select * replace (last_day(startdate + case when wellid % 3 = 0 then interval 90 month else to_months(cast(wellid % 50 as int)) end) as startdate) from best)"
@@ -84,12 +83,12 @@ def flt6_fit_window(spark, d):
 
 
 def d1_month_diff(spark, d):
-    return best(spark, d).select("wellid", "measure", P.month_diff(F.col("startdate"), F.lit("2002-03-01").cast("date")).alias("months"))
+    return best(spark, d).select("wellid", "measure", P.month_diff(F.col("startdate"), F.lit("2002-03-01").cast("date")).cast("long").alias("months"))
 
 
 def d2_arps(spark, d):
-    rows = best(spark, d).withColumn("t", F.explode(F.array(*map(F.lit, (1, 12, 60, 120, 240, 360)))))
-    c = curve()
+    rows, c = curve().staged(best(spark, d))
+    rows = rows.withColumn("t", F.explode(F.array(*map(F.lit, (1, 12, 60, 120, 240, 360)))))
     return rows.select("wellid", "measure", "t", *(F.round(x, 4).alias(n) for n, x in (("q", c.rate(F.col("t"))), ("de", c.decline(F.col("t"))), ("np", c.cumulative(F.col("t"))))))
 
 
@@ -99,18 +98,19 @@ def d3_rate_only(spark, d):
 
 
 def d4_exp_dei(spark, d):
-    return best(spark, d).select("wellid", "measure", F.round(decline_for(F.col("q3"), F.col("q3") * (0.5 + k % 3 * 0.5), F.lit(12.0)), 4).alias("dei1"))
+    return best(spark, d).select("wellid", "measure", F.round(decline_for(F.col("q3"), F.col("q3") * (0.5 + X.well() % 3 * 0.5), F.lit(12.0)), 4).alias("dei1"))
 
 
 def d5_roll_forward(spark, d):
     t = F.greatest(P.month_diff(F.col("startdate"), F.lit("2001-06-30").cast("date")), F.lit(0))
-    return best(spark, d).select("wellid", "measure", F.round(curve().rate(t), 4).alias("q"), F.round(curve().decline(t), 4).alias("de"))
+    rows, c = curve().staged(best(spark, d).withColumn("t", t))
+    return rows.select("wellid", "measure", F.round(c.rate(F.col("t")), 4).alias("q"), F.round(c.decline(F.col("t")), 4).alias("de"))
 
 
 def _parts(spark, d):
     """Forecasts of one, two and three segments, and some without a last rate."""
-    rows = best(spark, d).withColumn("q1", F.col("q3") * 1.5).withColumn("q2", F.col("q3") * 1.2).withColumn("t1", (k % 3 * 6).cast("int")).withColumn("t2", F.when(k % 3 == 2, 12).otherwise(0))
-    return rows.withColumn("q3", F.when((k % 3 == 0) & (k % 7 == 1), 0.0).otherwise(F.col("q3")))
+    rows = best(spark, d).withColumn("q1", F.col("q3") * 1.5).withColumn("q2", F.col("q3") * 1.2).withColumn("t1", (X.well() % 3 * 6).cast("int")).withColumn("t2", F.when(X.well() % 3 == 2, 12).otherwise(0))
+    return rows.withColumn("q3", F.when((X.well() % 3 == 0) & (X.well() % 7 == 1), 0.0).otherwise(F.col("q3")))
 
 
 def d6_segments(spark, d):
@@ -133,16 +133,17 @@ def d9_type_curve(spark, d):
 
 
 def d10_scaling(spark, d):
-    rows = ranked(spark, d).join(F.broadcast(X.well_header(spark, d).select("wellid", "laterallength_ft")), "wellid")
-    value = Q.scaled(F.col("value"), length=F.when(k % 6 != 0, F.col("laterallength_ft")), fluid=(k % 40 + 10).cast("double"), left=(k % 9 * 200 + 300).cast("double"), right=(k % 7 * 250 + 400).cast("double"), target_length=10000.0, target_fluid=30.0, target_distance=880.0, most=1500.0)
+    rows = ranked(spark, d).join(X.well_header(spark, d).select("wellid", "laterallength_ft"), "wellid")
+    value = Q.scaled(F.col("value"), length=F.when(X.well() % 6 != 0, F.col("laterallength_ft")), fluid=(X.well() % 40 + 10).cast("double"), left=(X.well() % 9 * 200 + 300).cast("double"), right=(X.well() % 7 * 250 + 400).cast("double"), target_length=10000.0, target_fluid=30.0, target_distance=880.0, most=1500.0)
     wide = rows.withColumn("value", value).groupBy("wellid").pivot("measure", list(P.PHASES)).agg(F.max("value"))
     return wide.select("wellid", *(F.round(F.coalesce(F.col(p), F.lit(0.0)), 4).alias(p.lower()) for p in P.PHASES))
 
 
 def _series(spark, d):
     """A curve per well and phase with a small ripple, over 72 months."""
-    rows = best(spark, d).withColumn("t", F.explode(F.sequence(F.lit(1), F.lit(72)))).withColumn("t", F.col("t").cast("double"))
-    return rows.select("wellid", "measure", "t", (curve().rate(F.col("t")) * (1 + (F.col("t") % 3) / 500)).alias("q"))
+    rows, c = curve().staged(best(spark, d))
+    rows = rows.withColumn("t", F.explode(F.sequence(F.lit(1), F.lit(72)))).withColumn("t", F.col("t").cast("double"))
+    return rows.select("wellid", "measure", "t", (c.rate(F.col("t")) * (1 + (F.col("t") % 3) / 500)).alias("q"))
 
 
 SERIES = f"{BEST}, src as (select wellid, measure, q3 as qi, dei, def, b_factor as b, t from best, (select unnest(generate_series(1, 72))::double as t)), {arps('src')}, series as (select wellid, measure, t, q * (1 + (t % 3) / 500) as q from c6)"
@@ -154,7 +155,7 @@ def b1_b_factor(spark, d):
 
 
 def b2_bounds(spark, d):
-    rows = X.well_header(spark, d).select("wellid", (k % 13 / 10).alias("lo"), F.when(k % 5 != 0, k % 17 / 10).alias("mid"), (k % 19 / 10).alias("hi"))
+    rows = X.well_header(spark, d).select("wellid", (X.well() % 13 / 10).alias("lo"), F.when(X.well() % 5 != 0, X.well() % 17 / 10).alias("mid"), (X.well() % 19 / 10).alias("hi"))
     return rows.select("wellid", *Q.b_bounds(F.col("lo"), F.col("mid"), F.col("hi")))
 
 
@@ -163,14 +164,15 @@ def b7_thinning(spark, d):
 
 
 def b13_goodness(spark, d):
-    rows = _series(spark, d).withColumn("fit", F.when(k % 4 == 0, 5.0).otherwise(F.col("q") + F.col("t") % 5))
+    rows = _series(spark, d).withColumn("fit", F.when(X.well() % 4 == 0, 5.0).otherwise(F.col("q") + F.col("t") % 5))
     return Q.goodness(rows, ["wellid", "measure"], "q", "fit").select("wellid", "measure", *(F.round(c, 4).alias(c) for c in ("r2", "rmse", "mae")))
 
 
 def b15_bands(spark, d):
     """Quantiles of the rate over draws of the initial decline."""
     draws = best(spark, d).withColumn("draw", F.explode(F.sequence(F.lit(1), F.lit(9)))).withColumn("dei", F.col("dei") + F.col("draw") * 0.01).withColumn("t", F.explode(F.array(F.lit(12), F.lit(60))))
-    rates = draws.select("wellid", "measure", "t", curve().rate(F.col("t")).alias("q"))
+    draws, c = curve().staged(draws)
+    rates = draws.select("wellid", "measure", "t", c.rate(F.col("t")).alias("q"))
     return rates.groupBy("wellid", "measure", "t").agg(*(F.round(F.percentile("q", p), 4).alias(n) for n, p in (("p90", 0.1), ("p50", 0.5), ("p10", 0.9))))
 
 
@@ -225,7 +227,9 @@ ORACLES = {
     "flt6_fit_window": f"{RANKED} select wellid, measure, dt, datasource, value from ranked qualify dt >= max(dt) over (partition by wellid, measure) - interval 24 month",
     "d1_month_diff": f"{BEST} select wellid, measure, datediff('month', startdate, date '2002-03-01') as months from best",
     "d2_arps": f"{BEST}, src as (select wellid, measure, q3 as qi, dei, def, b_factor as b, t from best, (values (1), (12), (60), (120), (240), (360)) v(t)), {arps('src')} select wellid, measure, t, round(q, 4) as q, round(de, 4) as de, round(np, 4) as np from c6",
-    "d3_rate_only": f"{BEST}, src as (select wellid, measure, q3 as qi, dei, def, b_factor as b, unnest(generate_series(0, 360, 30)) as t from best), {arps('src')} select wellid, measure, t, round(q, 4) as q from c6",
+    "d3_rate_only": f"""{BEST}, s as (select wellid, measure, q3, dei, def, b_factor as b, unnest(generate_series(0, 360, 30))::int as t, (power(1 - dei, -b_factor) - 1) / b_factor / 365 as di, -ln(1 - def) / 365 as dm from best),
+      x as (select *, greatest((1 / dm - 1 / di) / b, 0) as tx, t * 365 / 12 as d from s)
+      select wellid, measure, t, round(case when d <= tx then q3 / power(1 + b * di * d, 1 / b) else q3 / power(1 + b * di * tx, 1 / b) * exp(dm * (tx - d)) end, 4) as q from x""",
     "d4_exp_dei": f"{BEST} select wellid, measure, round(1 - power(0.5 + wellid % 3 * 0.5, 1.0), 4) as dei1 from best",
     "d5_roll_forward": f"{BEST}, src as (select wellid, measure, q3 as qi, dei, def, b_factor as b, greatest(datediff('month', startdate, date '2001-06-30'), 0)::double as t from best), {arps('src')} select wellid, measure, round(q, 4) as q, round(de, 4) as de from c6",
     "d6_segments": f"""{_PARTS.replace('{0}', '120')} select wellid, measure, (t + off)::bigint as month, round(q, 4) as q, round(de, 4) as de, round(cum + np0, 4) as cumulative, round(greatest(volume, 0), 4) as volume from vol where t > 0 and (part <> 3 or q >= qabn)

@@ -10,9 +10,14 @@ from ..operators import production as P
 from ..sources import fixtures as X
 
 W = f"with {X.SQL}"
-k = F.col("wellid")
-#: Angles, texts and numbers that the headers lack, made from the well's id.
-ANGLE, TEXT = (k * 37) % 180, F.concat(k, F.lit("-123-4567"), k % 10, F.lit("-01"))
+
+
+def angle():
+    return (X.well() * 37) % 180
+
+
+def text():
+    return F.concat(X.well(), F.lit("-123-4567"), X.well() % 10, F.lit("-01"))
 
 
 def prj1_override(spark, d):
@@ -21,7 +26,7 @@ def prj1_override(spark, d):
 
 
 def prj3_length_bin(spark, d):
-    feet = F.when(k % 11 != 0, F.col("laterallength_ft") + (k % 2) / 2)
+    feet = F.when(X.well() % 11 != 0, F.col("laterallength_ft") + (X.well() % 2) / 2)
     return X.well_header(spark, d).select("wellid", H.length_bin(feet).alias("ll_bin"))
 
 
@@ -32,7 +37,7 @@ def prj4_primary_phase(spark, d):
 
 
 def prj7_toe_up(spark, d):
-    return X.well_header(spark, d).select("wellid", H.toe_up(ANGLE).alias("toeup"))
+    return X.well_header(spark, d).select("wellid", H.toe_up(angle()).alias("toeup"))
 
 
 def prj8_zone_distance(spark, d):
@@ -40,11 +45,11 @@ def prj8_zone_distance(spark, d):
 
 
 def prj9_text(spark, d):
-    return X.well_header(spark, d).select("wellid", F.upper("fitmethod").alias("method"), F.left("operator", F.lit(4)).alias("short"), F.left(k.cast("string"), F.lit(2)).alias("id_text"))
+    return X.well_header(spark, d).select("wellid", F.upper("fitmethod").alias("method"), F.left("operator", F.lit(4)).alias("short"), F.left(X.well().cast("string"), F.lit(2)).alias("id_text"))
 
 
 def prj10_try_cast(spark, d):
-    text = F.when(k % 3 == 0, F.concat(k.cast("string"), F.lit(".5"))).otherwise(F.concat(F.lit("n/a "), k.cast("string")))
+    text = F.when(X.well() % 3 == 0, F.concat(X.well().cast("string"), F.lit(".5"))).otherwise(F.concat(F.lit("n/a "), X.well().cast("string")))
     return X.well_header(spark, d).select("wellid", text.try_cast("double").alias("size"))
 
 
@@ -53,12 +58,12 @@ def prj11_fit_method(spark, d):
 
 
 def prj12_api(spark, d):
-    return X.well_header(spark, d).select("wellid", H.clean_api(TEXT).alias("api"))
+    return X.well_header(spark, d).select("wellid", H.clean_api(text()).alias("api"))
 
 
 def prj13_select_eur(spark, d):
     sums = X.production(spark, d).groupBy("wellid").pivot("measure", list(P.PHASES)).agg(F.sum("value"))
-    pick = F.when(k % 3 == 0, F.col("OIL")).when(k % 3 == 1, F.col("GAS")).otherwise(0.0)
+    pick = F.when(X.well() % 3 == 0, F.col("OIL")).when(X.well() % 3 == 1, F.col("GAS")).otherwise(0.0)
     return sums.select("wellid", F.coalesce(pick, F.lit(0.0)).alias("eur"))
 
 
@@ -82,13 +87,13 @@ def flt4_stale(spark, d):
 
 def flt7_two_points(spark, d):
     point = lambda x, y: F.struct(x.cast("double").alias("x"), y.cast("double").alias("y"))
-    coords = F.array(point(F.col("x0"), F.col("y0")), point(F.col("x0"), F.col("y0") + F.when(k % 4 == 0, 0).otherwise(100)))
+    coords = F.array(point(F.col("x0"), F.col("y0")), point(F.col("x0"), F.col("y0") + F.when(X.well() % 4 == 0, 0).otherwise(100)))
     return X.well_header(spark, d).withColumn("coords", coords).where(F.size(F.array_distinct("coords")) >= 2).select("wellid")
 
 
 def jn1_inner(spark, d):
     wells = X.well_header(spark, d).select("wellid", "basin")
-    return X.completion_header(spark, d).join(F.broadcast(wells), "wellid").select("completionid", "wellid", "basin")
+    return X.completion_header(spark, d).join(wells, "wellid").select("completionid", "wellid", "basin")
 
 
 def jn2_left_outer(spark, d):
@@ -97,13 +102,13 @@ def jn2_left_outer(spark, d):
 
 
 def jn3_nullable_key(spark, d):
-    wells = X.well_header(spark, d).select("wellid", F.when(k % 2 == 0, F.col("currentcompletionid")).alias("own"))
+    wells = X.well_header(spark, d).select("wellid", F.when(X.well() % 2 == 0, F.col("currentcompletionid")).alias("own"))
     same = (wells["wellid"] == F.col("w")) & (F.col("own").isNull() | (F.col("own") == F.col("completionid")))
     return wells.join(X.completion_header(spark, d).select(F.col("wellid").alias("w"), "completionid"), same, "left").select("wellid", "completionid")
 
 
 def jn4_full_outer(spark, d):
-    sums = lambda m, n: X.production(spark, d).where((F.col("measure") == m) & (k % n == 0)).groupBy("wellid").agg(F.sum("value").alias(m.lower()))
+    sums = lambda m, n: X.production(spark, d).where((F.col("measure") == m) & (X.well() % n == 0)).groupBy("wellid").agg(F.sum("value").alias(m.lower()))
     return sums("OIL", 2).join(sums("WATER", 3), "wellid", "full").select("wellid", "oil", "water")
 
 
@@ -122,13 +127,13 @@ def jn13_earliest(spark, d):
 
 
 def jn15_cast_key(spark, d):
-    texts = X.completion_header(spark, d).select("completionid", k.cast("string").alias("well_text"))
-    return X.well_header(spark, d).join(texts, k.cast("string") == F.col("well_text")).select("wellid", "completionid")
+    texts = X.completion_header(spark, d).select("completionid", X.well().cast("string").alias("well_text"))
+    return X.well_header(spark, d).join(texts, X.well().cast("string") == F.col("well_text")).select("wellid", "completionid")
 
 
 def jn18_explode_merge(spark, d):
     lists = X.well_header(spark, d).groupBy("y0").agg(F.sort_array(F.collect_list("wellid")).alias("ids"))
-    near = X.well_header(spark, d).select(k.alias("own"), "y0").join(lists, "y0").select("own", F.explode("ids").alias("wellid")).where("own <> wellid")
+    near = X.well_header(spark, d).select(X.well().alias("own"), "y0").join(lists, "y0").select("own", F.explode("ids").alias("wellid")).where("own <> wellid")
     return near.join(X.well_header(spark, d).select("wellid", "operator"), "wellid").select("own", F.col("wellid").alias("other"), "operator")
 
 
@@ -154,11 +159,11 @@ def w9_two_keys(spark, d):
 
 def w11_surrogates(spark, d):
     start = X.well_header(spark, d).agg(F.max("wellid")).first()[0] or 0
-    return H.numbered_after(X.completion_header(spark, d).select("completionid"), ["completionid"], start).select("completionid", "newid")
+    return P.numbered_after(X.completion_header(spark, d).select("completionid"), ["completionid"], start).select("completionid", "newid")
 
 
 def ag8_first_of_key(spark, d):
-    return H.latest(X.well_header(spark, d), ["operator"], F.col("firstproddate"), k).select("operator", "wellid")
+    return H.latest(X.well_header(spark, d), ["operator"], F.col("firstproddate"), X.well()).select("operator", "wellid")
 
 
 def ag9_duplicates(spark, d):
@@ -204,7 +209,7 @@ ORACLES = {
     "prj9_text": f"{W} select wellid, upper(fitmethod) as method, substring(operator, 1, 4) as short, substring(cast(wellid as varchar), 1, 2) as id_text from well_header",
     "prj10_try_cast": f"{W} select wellid, case when wellid % 3 = 0 then wellid + 0.5::double end as size from well_header",
     "prj11_fit_method": f"{W} select wellid, case when fitmethod like 'MONTE%' then 'monte_carlo' else 'curve_fit' end as method from well_header",
-    "prj12_api": f"{W}, t as (select wellid, left(regexp_replace(concat(wellid, '-123-4567', wellid % 10, '-01'), '\\D', '', 'g'), 10) as a from well_header) select wellid, lpad(a, greatest(length(a), if(length(a) = 9, 10, 0)), '0') as api from t",
+    "prj12_api": f"{W}, t as (select wellid, left(regexp_replace(concat(wellid, '-123-4567', wellid % 10, '-01'), '\\D', '', 'g'), 10) as a from well_header) select wellid, lpad(a, greatest(length(a), if(length(a) = 9, 10, 0))::int, '0') as api from t",
     "prj13_select_eur": f"{W} select wellid, coalesce(sum(value) filter (measure = case wellid % 3 when 0 then 'OIL' when 1 then 'GAS' end), 0) as eur from production group by 1",
     "flt1_status": f"{W} select wellid, wellstatus, basin, fitmethod from well_header where wellstatus not like '%DUC%' and basin not in ('ASIA') and fitmethod is distinct from 'curve_fit'",
     "flt2_candidates": f"{W} select wellid, basin from well_header where trajectory = 'HORIZONTAL' and year(firstproddate) >= 2006 and laterallength_ft > 4000 and basin in ('ASIA', 'EUROPE')",

@@ -27,15 +27,15 @@ def months(spark, d):
 
 
 def w1_date_rank(spark, d):
-    return P.date_rank(X.production(spark, d)).select("wellid", "dt", "measure", "datasource", "daterank")
+    return P.date_rank(X.production(spark, d)).select("wellid", "dt", "measure", "datasource", X.long("daterank"))
 
 
 def w2_source_rank(spark, d):
-    return P.source_rank(X.production(spark, d)).select("wellid", "dt", "measure", "datasource", "value", "sourcerank")
+    return P.source_rank(X.production(spark, d)).select("wellid", "dt", "measure", "datasource", "value", X.long("sourcerank"))
 
 
 def w3_row_numbers(spark, d):
-    return P.history(wide(spark, d)).select("wellid", "dt", "datasource", "rank_asc", "rank_desc")
+    return P.history(wide(spark, d)).select("wellid", "dt", "datasource", X.long("rank_asc"), X.long("rank_desc"))
 
 
 def w4_cumulative(spark, d):
@@ -51,12 +51,12 @@ def w10_batches(spark, d):
 
 
 def w21_months_producing(spark, d):
-    return P.months_producing(P.preferred(X.production(spark, d))).select("wellid", "measure", "dt", "datasource", "months")
+    return P.months_producing(P.preferred(X.production(spark, d))).select("wellid", "measure", "dt", "datasource", X.long("months"))
 
 
 def w22_rank_variants(spark, d):
     by = Window.partitionBy("wellid", "measure").orderBy("dt")
-    return X.production(spark, d).select("wellid", "measure", "dt", "datasource", F.dense_rank().over(by).alias("dense"), F.rank().over(by).alias("lowest"))
+    return X.production(spark, d).select("wellid", "measure", "dt", "datasource", F.dense_rank().over(by).cast("long").alias("dense"), F.rank().over(by).cast("long").alias("lowest"))
 
 
 def ag1_monthly_totals(spark, d):
@@ -113,7 +113,7 @@ def so1_sorted(spark, d):
 
 def so2_top_per_group(spark, d):
     by = Window.partitionBy("measure").orderBy(F.desc("value"), "wellid", "dt", "datasource")
-    return X.production(spark, d).withColumn("place", F.row_number().over(by)).where("place <= 5").select("measure", "place", "wellid", "dt", "value")
+    return X.production(spark, d).withColumn("place", F.row_number().over(by)).where("place <= 5").select("measure", X.long("place"), "wellid", "dt", "value")
 
 
 def so3_page(spark, d):
@@ -126,7 +126,7 @@ def materialised_production(spark, d):
     rows = P.preferred(X.production(spark, d)).where("value > 0")
     header = X.well_header(spark, d).select("wellid", "laterallength_ft")
     rows = rows.withColumn("prodmonth", F.row_number().over(by)).withColumn("cumulative", F.sum("value").over(by.rowsBetween(Window.unboundedPreceding, 0)))
-    return rows.join(F.broadcast(header), "wellid").select("wellid", "measure", "dt", "datasource", "prodmonth", "cumulative", F.round(F.col("cumulative") / F.col("laterallength_ft") * 1000, 4).alias("per_1000_ft"))
+    return rows.join(header, "wellid").select("wellid", "measure", "dt", "datasource", X.long("prodmonth"), "cumulative", F.round(F.col("cumulative") / F.col("laterallength_ft") * 1000, 4).alias("per_1000_ft"))
 
 
 QUERIES = {f.__name__: f for f in (

@@ -9,7 +9,6 @@ from ..functions import geometry as G
 from ..operators import spacing as S
 from ..sources import fixtures as X
 
-k = F.col("wellid")
 W = f"with {X.SQL}"
 FT = 3.281
 
@@ -21,13 +20,13 @@ def wells(spark, d):
 def laterals(spark, d):
     """Two-point laterals that run north, some of them slanted to the east."""
     top = F.col("y0") + 160 + F.col("laterallength_ft") / FT
-    a, b = G.point(F.col("x0"), F.col("y0") + 160), G.point(F.col("x0") + F.when(k % 6 == 0, 150).otherwise(0), top)
-    return wells(spark, d).where("trajectory = 'HORIZONTAL'").select(k.alias("id"), a.alias("a"), b.alias("b"))
+    a, b = G.point(F.col("x0"), F.col("y0") + 160), G.point(F.col("x0") + F.when(X.well() % 6 == 0, 150).otherwise(0), top)
+    return wells(spark, d).where("trajectory = 'HORIZONTAL'").select(X.well().alias("id"), a.alias("a"), b.alias("b"))
 
 
 def g1_wkt(spark, d):
-    text = F.concat(F.lit("LINESTRING ("), F.col("x0").cast("long"), F.lit(" "), F.col("y0").cast("long"), F.lit(", "), k, F.lit(" -12.5)"))
-    coords = G.from_wkt(F.when(k % 5 == 0, "EMPTY").otherwise(text))
+    text = F.concat(F.lit("LINESTRING ("), F.col("x0").cast("long"), F.lit(" "), F.col("y0").cast("long"), F.lit(", "), X.well(), F.lit(" -12.5)"))
+    coords = G.from_wkt(F.when(X.well() % 5 == 0, "EMPTY").otherwise(text))
     return wells(spark, d).select("wellid", coords).toDF("wellid", "c").select("wellid", G.first(F.col("c"))["x"].alias("x"), G.last(F.col("c"))["y"].alias("y"))
 
 
@@ -43,21 +42,21 @@ def g5_endpoints(spark, d):
 
 
 def g6_longest(spark, d):
-    short, long = F.array(G.point(k, k), G.point(k + 3, k + 4)), F.array(G.point(k, k), G.point(k + 3, k + 4), G.point(k + 3, k + 4 + k % 9))
+    short, long = F.array(G.point(X.well(), X.well()), G.point(X.well() + 3, X.well() + 4)), F.array(G.point(X.well(), X.well()), G.point(X.well() + 3, X.well() + 4), G.point(X.well() + 3, X.well() + 4 + X.well() % 9))
     return wells(spark, d).select("wellid", F.round(G.length(G.longest(F.array(short, long))), 4).alias("length"))
 
 
 def g7_azimuth(spark, d):
-    a, b = G.point(F.lit(0.0), F.lit(0.0)), G.point((k * 37) % 21 - 10, (k * 53) % 23 - 11)
+    a, b = G.point(F.lit(0.0), F.lit(0.0)), G.point((X.well() * 37) % 21 - 10, (X.well() * 53) % 23 - 11)
     return wells(spark, d).select("wellid", F.round(G.bearing(a, b), 4).alias("bearing"), F.round(G.math_angle(a, b), 4).alias("angle"))
 
 
 def g8_side(spark, d):
-    return wells(spark, d).select("wellid", G.side(((k * 45) % 360).cast("double"), ((k * 90) % 360).cast("double")).alias("side"))
+    return wells(spark, d).select("wellid", G.side(((X.well() * 45) % 360).cast("double"), ((X.well() * 90) % 360).cast("double")).alias("side"))
 
 
 def g12_vertical_distance(spark, d):
-    points = wells(spark, d).select(k.alias("id"), F.col("x0").alias("x"), F.col("y0").alias("y"))
+    points = wells(spark, d).select(X.well().alias("id"), F.col("x0").alias("x"), F.col("y0").alias("y"))
     return S.within(points, points, 1609.0).select("id", "other", F.round(F.col("distance") * FT, 4).alias("feet"))
 
 
@@ -65,21 +64,21 @@ jn17_distance_join = g12_vertical_distance
 
 
 def survey(spark, d):
-    return wells(spark, d).withColumn("s", F.explode(F.sequence(F.lit(0), F.lit(20)))).select("wellid", (F.col("s") * 500).cast("double").alias("md_ft"), F.round(F.lit(6000.0) * (1 - F.exp(-F.col("s") / (5 + k % 4))), 4).alias("tvd_ft"))
+    return wells(spark, d).withColumn("s", F.explode(F.sequence(F.lit(0), F.lit(20)))).select("wellid", (F.col("s") * 500).cast("double").alias("md_ft"), F.round(F.lit(6000.0) * (1 - F.exp(-F.col("s") / (5 + X.well() % 4))), 4).alias("tvd_ft"))
 
 
 def g16_tvd(spark, d):
-    wanted = wells(spark, d).select("wellid", ((k * 131) % 11500).cast("double").alias("md"))
+    wanted = wells(spark, d).select("wellid", ((X.well() * 131) % 11500).cast("double").alias("md"))
     return S.depth_at(survey(spark, d), wanted).select("wellid", "md", F.round("tvd", 4).alias("tvd"))
 
 
 def g17_units(spark, d):
-    return wells(spark, d).select("wellid", F.round(F.col("x0") * F.when(k % 2 == 0, G.SURVEY_FOOT).otherwise(1.0), 4).alias("x"))
+    return wells(spark, d).select("wellid", F.round(F.col("x0") * F.when(X.well() % 2 == 0, G.SURVEY_FOOT).otherwise(1.0), 4).alias("x"))
 
 
 def g19_covers(spark, d):
     ring = F.array(*(G.point(F.lit(x), F.lit(y)) for x, y in ((0, 0), (10, 0), (10, 10), (5, 4), (0, 10))))
-    return wells(spark, d).select("wellid", G.covers(ring, G.point(k % 13 - 1, (k * 7) % 12)).alias("inside"))
+    return wells(spark, d).select("wellid", G.covers(ring, G.point(X.well() % 13 - 1, (X.well() * 7) % 12)).alias("inside"))
 
 
 def grid(spark):
@@ -90,7 +89,7 @@ def grid(spark):
 
 
 def spots(spark, d):
-    return wells(spark, d).select(k.alias("id"), ((k * 733) % 4200).cast("double").alias("x"), ((k * 377) % 4050 + 0.5).cast("double").alias("y"))
+    return wells(spark, d).select(X.well().alias("id"), ((X.well() * 733) % 4200).cast("double").alias("x"), ((X.well() * 377) % 4050 + 0.5).cast("double").alias("y"))
 
 
 def g20_bilinear(spark, d):
@@ -102,7 +101,7 @@ def g20_nearest(spark, d):
 
 
 def _lines(spark, d):
-    return wells(spark, d).select(k.alias("id"), G.point((k * 31) % 1500, (k * 17) % 2500).alias("a"), G.point((k * 31) % 1500 + 900, (k * 17) % 2500 + 1200).alias("b"))
+    return wells(spark, d).select(X.well().alias("id"), G.point((X.well() * 31) % 1500, (X.well() * 17) % 2500).alias("a"), G.point((X.well() * 31) % 1500 + 900, (X.well() * 17) % 2500 + 1200).alias("b"))
 
 
 def _values(spark, d):
@@ -118,7 +117,7 @@ def g22_update_geology(spark, d):
     """Means per zone as columns, with the wells' own value where a zone has none."""
     zones = S.sampled(_values(spark, d)).withColumn("zone", F.when(F.col("id") % 2 == 0, "TOP").otherwise("BASE"))
     wide = zones.groupBy("id").pivot("zone", ["TOP", "BASE"]).agg(F.sum("mean"))
-    joined = wells(spark, d).select(k.alias("id"), F.lit(1.0).alias("own")).join(wide, "id", "left")
+    joined = wells(spark, d).select(X.well().alias("id"), F.lit(1.0).alias("own")).join(wide, "id", "left")
     return joined.select("id", F.round(F.coalesce("TOP", "own"), 4).alias("top"), F.round(F.coalesce("BASE", "own"), 4).alias("base"))
 
 
@@ -132,8 +131,8 @@ def snk6_bounds(spark, d):
 
 def pairs(spark, d):
     w = wells(spark, d).where("trajectory = 'HORIZONTAL'").select("wellid", "x0", "y0", "firstproddate")
-    other = w.select(k.alias("neighbor"), F.col("x0").alias("ox"), "y0", F.col("firstproddate").alias("neighbor_first"))
-    joined = w.join(other, "y0").where((k != F.col("neighbor")) & (F.abs(F.col("x0") - F.col("ox")) <= 1609))
+    other = w.select(X.well().alias("neighbor"), F.col("x0").alias("ox"), "y0", F.col("firstproddate").alias("neighbor_first"))
+    joined = w.join(other, "y0").where((X.well() != F.col("neighbor")) & (F.abs(F.col("x0") - F.col("ox")) <= 1609))
     return joined.select("wellid", "neighbor", F.col("firstproddate").alias("first"), "neighbor_first", (F.abs(F.col("x0") - F.col("ox")) * FT).alias("distance"), F.when(F.col("ox") > F.col("x0"), "RIGHT").otherwise("LEFT").alias("side"))
 
 
@@ -158,20 +157,20 @@ def g9_buffers(spark, d):
 
 
 def g3_resample(spark, d):
-    bent = F.array(G.point(k, k), G.point(k + 100, k), G.point(k + 100, k + 95))
-    straight = F.array(G.point(k, k), G.point(k + 1, k))
-    lines = wells(spark, d).select(k.alias("id"), F.when(k % 3 == 0, straight).otherwise(bent).alias("coords"))
+    bent = F.array(G.point(X.well(), X.well()), G.point(X.well() + 100, X.well()), G.point(X.well() + 100, X.well() + 95))
+    straight = F.array(G.point(X.well(), X.well()), G.point(X.well() + 1, X.well()))
+    lines = wells(spark, d).select(X.well().alias("id"), F.when(X.well() % 3 == 0, straight).otherwise(bent).alias("coords"))
     return S.resampled(lines, 100 / FT).groupBy("id").agg(F.count("*").alias("n"), F.round(F.max("x"), 4).alias("x"), F.round(F.max("y"), 4).alias("y"))
 
 
 def g4_conformity(spark, d):
-    ring = F.array(G.point(F.lit(0), F.lit(0)), G.point(k % 7 + 1, F.lit(0)), G.point(k % 7 + 1, k % 5 + 1), G.point(F.lit(0), k % 3 + 1))
-    return S.conformity(wells(spark, d).select(k.alias("id"), ring.alias("coords"))).select("id", F.round("conformity", 4).alias("conformity"))
+    ring = F.array(G.point(F.lit(0), F.lit(0)), G.point(X.well() % 7 + 1, F.lit(0)), G.point(X.well() % 7 + 1, X.well() % 5 + 1), G.point(F.lit(0), X.well() % 3 + 1))
+    return S.conformity(wells(spark, d).select(X.well().alias("id"), ring.alias("coords"))).select("id", F.round("conformity", 4).alias("conformity"))
 
 
 def g18_mesh(spark, d):
-    ring = F.array(G.point(F.lit(0), F.lit(0)), G.point(k % 7 + 1, F.lit(0)), G.point(F.lit(0), k % 5 + 1))
-    return S.mesh(wells(spark, d).select(k.alias("id"), ring.alias("coords"))).groupBy("id").agg(F.count("*").alias("n"), F.round(F.avg("x"), 4).alias("x"), F.round(F.avg("y"), 4).alias("y"))
+    ring = F.array(G.point(F.lit(0), F.lit(0)), G.point(X.well() % 7 + 1, F.lit(0)), G.point(F.lit(0), X.well() % 5 + 1))
+    return S.mesh(wells(spark, d).select(X.well().alias("id"), ring.alias("coords"))).groupBy("id").agg(F.count("*").alias("n"), F.round(F.avg("x"), 4).alias("x"), F.round(F.avg("y"), 4).alias("y"))
 
 
 def g13_relation(spark, d):
@@ -189,7 +188,7 @@ def w14_running_least(spark, d):
 
 
 def w15_forward_fill(spark, d):
-    rows = survey(spark, d).select("wellid", "md_ft", F.when((F.col("md_ft") + k * 500) % 1500 == 0, F.col("tvd_ft")).alias("v"))
+    rows = survey(spark, d).select("wellid", "md_ft", F.when((F.col("md_ft") + X.well() * 500) % 1500 == 0, F.col("tvd_ft")).alias("v"))
     return S.forward_fill(rows, ["wellid"], "md_ft", ["v"], {"v": -1.0})
 
 

@@ -9,15 +9,14 @@ from ..operators import upsert as U
 from ..sources import fixtures as X
 
 W = f"with {X.SQL}"
-k = F.col("wellid")
 FORECAST = ["wellid", "measure", "analyst"]
 NATURAL = ["wellid", "dt", "measure", "datasource"]
 
 
 def _stage(forecast):
     """New forecasts: every second well again with another rate and no b factor, and some wells that are new."""
-    old = forecast.where(k % 2 == 0).withColumn("q3", F.col("q3") * 2).withColumn("b_factor", F.lit(None).cast("double"))
-    return old.unionByName(forecast.where(k % 3 == 0).withColumn("wellid", k + 100000))
+    old = forecast.where(X.well() % 2 == 0).withColumn("q3", F.col("q3") * 2).withColumn("b_factor", F.lit(None).cast("double"))
+    return old.unionByName(forecast.where(X.well() % 3 == 0).withColumn("wellid", X.well() + 100000))
 
 
 def _production(spark, d, even):
@@ -31,21 +30,21 @@ def up1_merge_forecast(spark, d):
 
 
 def up2_merge_keep(spark, d):
-    target = X.well_header(spark, d).select("wellid", "basin", "fitmethod").where(k % 5 != 0)
-    source = X.well_header(spark, d).select("wellid", F.lit("NEW").alias("basin"), F.lit("x").alias("fitmethod")).where(k % 2 == 0)
+    target = X.well_header(spark, d).select("wellid", "basin", "fitmethod").where(X.well() % 5 != 0)
+    source = X.well_header(spark, d).select("wellid", F.lit("NEW").alias("basin"), F.lit("x").alias("fitmethod")).where(X.well() % 2 == 0)
     return U.merge(target, source, ["wellid"])
 
 
 def up3_merge_newer(spark, d):
     target = X.production(spark, d).select(*NATURAL, "value", "datecreated")
-    moved = F.col("datecreated") + F.when(k % 2 == 0, F.expr("interval 1 day")).otherwise(F.expr("interval -1 day"))
-    source = target.where(k % 3 == 0).withColumn("value", F.col("value") + 1).withColumn("datecreated", moved)
+    moved = F.col("datecreated") + F.when(X.well() % 2 == 0, F.expr("interval 1 day")).otherwise(F.expr("interval -1 day"))
+    source = target.where(X.well() % 3 == 0).withColumn("value", F.col("value") + 1).withColumn("datecreated", moved)
     return U.merge(target, source, NATURAL, only_newer="datecreated").select(*NATURAL, "value")
 
 
 def up4_replace(spark, d):
     target = X.completion_header(spark, d).select("wellid", "completionid", "proppant_lbs")
-    source = target.where((k % 4 == 0) & (F.col("completionid") % 10 == 1)).withColumn("proppant_lbs", F.lit(1.0))
+    source = target.where((X.well() % 4 == 0) & (F.col("completionid") % 10 == 1)).withColumn("proppant_lbs", F.lit(1.0))
     return U.replace_keys(target, source, ["wellid"])
 
 
@@ -53,8 +52,9 @@ def up5_incremental(spark, d):
     """Months of the last 30 days before the newest, or not yet loaded, aggregated, unpivoted and merged if newer."""
     feed = X.production(spark, d)
     last = feed.agg(F.max("datecreated").alias("last"))
-    loaded = feed.where(k % 2 == 0).select("wellid", "dt", "measure", "value", "datecreated").groupBy("wellid", "dt", "measure").agg(F.sum("value").alias("value"), F.max("datecreated").alias("datecreated"))
-    recent = feed.crossJoin(F.broadcast(last)).where((F.col("datecreated") >= F.col("last") - F.expr("interval 30 days")) | (k % 2 == 1))
+    loaded = feed.where(X.well() % 2 == 0).select("wellid", "dt", "measure", "value", "datecreated").groupBy("wellid", "dt", "measure").agg(F.sum("value").alias("value"), F.max("datecreated").alias("datecreated"))
+    touched = feed.crossJoin(F.broadcast(last)).where((F.col("datecreated") >= F.col("last") - F.expr("interval 30 days")) | (X.well() % 2 == 1))
+    recent = feed.join(touched.select("wellid", "dt").distinct(), ["wellid", "dt"], "left_semi")
     wide = P.pivot_phases(recent.groupBy("wellid", "dt", "measure").agg(F.sum("value").alias("value")), ["wellid", "dt"])
     new = P.unpivot_phases(wide, ["wellid", "dt"]).join(recent.groupBy("wellid", "dt").agg(F.max("datecreated").alias("datecreated")), ["wellid", "dt"])
     return U.merge(loaded, new, ["wellid", "dt", "measure"], only_newer="datecreated").select("wellid", "dt", "measure", "value")
@@ -63,19 +63,19 @@ def up5_incremental(spark, d):
 def up6_merge_three_keys(spark, d):
     keys = ["completionid", "wellid", "datasource"]
     target = X.completion_header(spark, d).select(*keys, "interval_name", "proppant_lbs")
-    source = target.where(k % 3 == 0).withColumn("datasource", F.when(F.col("completionid") % 2 == 0, "THIRD").otherwise(F.col("datasource"))).withColumn("proppant_lbs", F.lit(5.0))
+    source = target.where(X.well() % 3 == 0).withColumn("datasource", F.when(F.col("completionid") % 2 == 0, "THIRD").otherwise(F.col("datasource"))).withColumn("proppant_lbs", F.lit(5.0))
     return U.merge(target, source, keys)
 
 
 def up7_insert_only_columns(spark, d):
-    target = X.well_header(spark, d).select("wellid", "basin", "fitmethod").where(k % 5 != 0)
-    source = X.well_header(spark, d).select("wellid", F.lit("NEW").alias("basin"), F.lit("x").alias("fitmethod")).where(k % 2 == 0)
+    target = X.well_header(spark, d).select("wellid", "basin", "fitmethod").where(X.well() % 5 != 0)
+    source = X.well_header(spark, d).select("wellid", F.lit("NEW").alias("basin"), F.lit("x").alias("fitmethod")).where(X.well() % 2 == 0)
     return U.merge(target, source, ["wellid"], keep_old=["fitmethod"])
 
 
 def up8_merge_property(spark, d):
-    target = X.well_header(spark, d).where(k % 3 == 0).select(k.cast("string").alias("propnum"), "operator", F.lit("2PUD").alias("rsv_cat"))
-    source = X.well_header(spark, d).where(k % 2 == 0).select(k.cast("string").alias("propnum"), F.upper("basin").alias("operator"), F.lit("1PDP").alias("rsv_cat"))
+    target = X.well_header(spark, d).where(X.well() % 3 == 0).select(X.well().cast("string").alias("propnum"), "operator", F.lit("2PUD").alias("rsv_cat"))
+    source = X.well_header(spark, d).where(X.well() % 2 == 0).select(X.well().cast("string").alias("propnum"), F.upper("basin").alias("operator"), F.lit("1PDP").alias("rsv_cat"))
     return U.merge(target, source, ["propnum"], keep_old=["rsv_cat"])
 
 
@@ -96,7 +96,7 @@ def up10_merge_by_source(spark, d):
 
 
 def up11_backfill(spark, d):
-    wells = X.well_header(spark, d).select("wellid", F.when(k % 3 != 0, F.col("x0")).alias("x0"))
+    wells = X.well_header(spark, d).select("wellid", F.when(X.well() % 3 != 0, F.col("x0")).alias("x0"))
     return U.update_from(wells, X.well_header(spark, d).select("wellid", (F.col("x0") + 1).alias("x0")), ["wellid"], only_null=True)
 
 
@@ -105,7 +105,7 @@ def up12_update_from(spark, d):
 
 
 def up15_orphans(spark, d):
-    return U.delete_orphans(X.completion_header(spark, d), X.well_header(spark, d).where(k % 3 != 0), ["wellid"]).select("completionid", "wellid")
+    return U.delete_orphans(X.completion_header(spark, d), X.well_header(spark, d).where(X.well() % 3 != 0), ["wellid"]).select("completionid", "wellid")
 
 
 def jn7_anti(spark, d):
@@ -143,7 +143,7 @@ def se3_concat(spark, d):
 
 def src10_checkpoint(spark, d):
     """Groups of work that no finished fingerprint names."""
-    groups = U.fingerprint(X.forecast(spark, d).withColumn("chunk", k % 13), ["chunk"], ["wellid", "measure"])
+    groups = U.fingerprint(X.forecast(spark, d).withColumn("chunk", X.well() % 13), ["chunk"], ["wellid", "measure"])
     done = groups.where("chunk % 2 = 0").select("fingerprint")
     return groups.join(done, "fingerprint", "left_anti").select("chunk")
 

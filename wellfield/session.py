@@ -7,7 +7,7 @@ import shutil
 import tempfile
 from pathlib import Path
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 ROOT = Path(__file__).resolve().parent.parent
 
@@ -29,3 +29,11 @@ def ship(spark: SparkSession) -> None:
         return
     context.addPyFile(shutil.make_archive(f"{tempfile.mkdtemp()}/wellfield", "zip", ROOT, "wellfield"))
     context._wellfield_shipped = True
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """df, written to the folder in spark.checkpoint.dir (a temporary one where it is unset) and read from there."""
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="wellfield-"))
+    return df.checkpoint()

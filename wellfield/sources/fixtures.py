@@ -50,6 +50,14 @@ forecast as (
 """
 
 
+def well():
+    return F.col("wellid")
+
+
+def long(name: str):
+    return F.col(name).cast("long").alias(name)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
