@@ -58,8 +58,18 @@ class Scratch:
         path = self.paths[name] = f"{self.root}/{name}"
         with shuffle_cleanup(self.spark):
             df.write.mode("overwrite").option("compression", codec).parquet(path)
+        self.until_exit(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def _file(self, path: str):
+        place = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        return place.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), place
+
+    def until_exit(self, path: str) -> None:
+        """Results may still read the table; it goes when the application ends."""
+        system, place = self._file(path)
+        system.deleteOnExit(place)
+
     @contextlib.contextmanager
     def small_batches(self, rows: int = 16) -> Iterator[None]:
         """For writes of tables with large rows: so few rows go to Python at a time."""
@@ -72,10 +82,9 @@ class Scratch:
             self.spark.conf.set(key, before)
 
     def drop(self, *names: str) -> None:
-        jvm = self.spark.sparkContext._jvm
         for name in names:
-            path = jvm.org.apache.hadoop.fs.Path(self.paths.pop(name))
-            path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+            system, place = self._file(self.paths.pop(name))
+            system.delete(place, True)
 
 
 def shuffle_parts(spark: SparkSession) -> int:

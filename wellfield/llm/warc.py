@@ -19,7 +19,7 @@ def write_archive(pages: DataFrame, path: str, *, least: int = 100, date: str =
 
     Of records with equal payloads of at least `least` bytes the one with the smallest page_id is a response and the
     others revisit it; smaller ones are all responses. Payload rows are made distinct on digest and bytes together,
-    so equal digests of different bytes would show as two rows, which read_archive() refuses. Line ends in a url are
+    so different bytes stay different rows, and read_archive() refuses those that do not match. Line ends in a url are
     blanked, so that no header field can be forged. A null html is an empty payload; a null page_id is written as no
     record id and is never revisited.
     """
@@ -43,8 +43,8 @@ def write_archive(pages: DataFrame, path: str, *, least: int = 100, date: str =
 def read_archive(spark: SparkSession, path: str) -> DataFrame:
     """page_id, header, payload (a revisit has the payload it revisits), payload_digest, record_type, refers_to, payload_bytes.
 
-    Every stored payload is hashed again; one that does not match its digest, or a second payload under a digest,
-    ends the read with an error. Headers are read from their text alone.
+    Every stored payload is hashed again; one that does not match its digest ends the read with an error, so a digest
+    has one payload at most. Headers are read from their text alone.
     """
     stored = spark.read.parquet(f"{path}/payloads")
     payloads = stored.select("digest", F.when(F.sha2("payload", 256) == F.col("digest"), F.col("payload")).otherwise(F.raise_error(F.lit("payload does not match its digest"))).alias("payload"))
@@ -75,4 +75,5 @@ def archive_pages(pages: DataFrame) -> DataFrame:
     """Write the pages to an archive in the shared folder and read it back."""
     scratch = Scratch(pages.sparkSession, "warc")
     write_archive(pages, scratch.root)
+    scratch.until_exit(scratch.root)
     return read_archive(pages.sparkSession, scratch.root)
