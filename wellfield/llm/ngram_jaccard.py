@@ -100,8 +100,8 @@ def _typical(tokens: np.ndarray, codes: np.ndarray, draw: int) -> np.ndarray:
 
 
 def class_counts(tokens: np.ndarray) -> np.ndarray:
-    """How many tokens fall in each class; two sets share at most the sum of the lesser counts. All 255, which bounds
-    nothing, for sets so large that a count might not fit."""
+    """How many tokens fall in each class; two sets share at most the sum of the lesser counts. A count of 255 may stand
+    for more and bounds nothing; all are 255 for sets so large that a count might not fit."""
     if len(tokens) > 20 * CLASSES:
         return np.full(CLASSES, 255, np.uint8)
     return np.minimum(255, np.bincount((mix64(tokens) % np.uint64(CLASSES)).astype(np.int64), minlength=CLASSES)).astype(np.uint8)
@@ -155,8 +155,9 @@ def _mixed(token: np.ndarray, row: np.ndarray, comp: np.ndarray) -> tuple[np.nda
 
 def _may_link(i: np.ndarray | int, j: np.ndarray, size: np.ndarray, counts: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
     """The most that sets can share by their class counts, and whether that and their sizes allow a link."""
-    shared = np.minimum(counts[j], counts[i]).sum(axis=-1, dtype=np.int64)
     n, m = size[i], size[j]
+    least = np.minimum(counts[j], counts[i])
+    shared = np.where((least == 255).any(axis=-1), np.minimum(n, m), least.sum(axis=-1, dtype=np.int64))
     return shared, (100 * np.minimum(n, m) >= percent * np.maximum(n, m)) & (shared * (100 + percent) >= percent * (n + m))
 
 
