@@ -59,7 +59,7 @@ def b9_evolution(spark, d):
 
 
 def b10_monte_carlo(spark, d):
-    return _fitted(T.fit(declining(spark, d).where(X.well() % 5 == 0).withColumn("segment", F.lit(1)).withColumn("fitmethod", F.lit("monte_carlo"))))
+    return _fitted(T.fit(declining(spark, d).withColumn("segment", F.lit(1)).withColumn("fitmethod", F.lit("monte_carlo"))))
 
 
 def b11_fit_driver(spark, d):
@@ -71,7 +71,7 @@ def b12_auto_forecast(spark, d):
 
 
 def b14_draws(spark, d):
-    fitted = T.fit(declining(spark, d).where(X.well() % 10 == 0).withColumn("segment", F.lit(1)).withColumn("fitmethod", F.lit("monte_carlo")))
+    fitted = T.fit(declining(spark, d).withColumn("segment", F.lit(1)).withColumn("fitmethod", F.lit("monte_carlo")))
     return fitted.select("wellid", "measure", F.posexplode("draws").alias("draw", "p")).select("wellid", "measure", "draw", *(F.round(F.col("p")[c], 4).alias(c) for c in ("qi", "dei", "b")))
 
 
