@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wellfield.llm.byte_bpe import digests
-from wellfield.llm.common import WORD, Scratch
+from wellfield.llm.common import WORD, Scratch, lower_ascii
 from wellfield.llm.exact_dedup import exact_dedup
 from wellfield.llm.language_id import UNKNOWN, held_out, identify, profiles
 from wellfield.llm.mixing import mix_sources
@@ -25,19 +25,26 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row of each group of equal texts stays: that with the largest id; of rows that repeat it, one."""
-    kept = exact_dedup(docs).where("kept").select("doc_id", "text_sha256").distinct()
-    return _only(docs, kept.select("doc_id"))
+    """One row of each group of equal texts stays: that with the largest id; of rows that repeat it, the first by the
+    other columns. Repeats shrink to one before the shuffle."""
+    kept = exact_dedup(docs).where("kept").select(_id_and_text("doc_id", F.col("text_sha256")).alias("pick")).distinct()
+    text = F.sha2(lower_ascii(F.coalesce(F.col("text"), F.lit(""))), 256)
+    rows = docs.groupBy(_id_and_text("doc_id", text).alias("pick")).agg(F.min(F.struct(*docs.columns)).alias("row"))
+    return rows.join(kept, "pick", "left_semi").select("row.*").select(*docs.columns)
 
 
-def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each component stays."""
-    return _only(docs, near_duplicates(docs).where("doc_id <=> component_id").select("doc_id"))
+def _id_and_text(doc_id: str, digest: Column) -> Column:
+    return F.concat_ws(" ", F.coalesce(F.col(doc_id).cast("string"), F.lit("null")), digest)
 
 
-def _only(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    ids = ids.distinct().select(F.col("doc_id").alias("kept_id"))
-    return docs.join(ids, F.col("doc_id").eqNullSafe(F.col("kept_id")), "left_semi").select(*docs.columns)
+def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One row of each component stays: that with the smallest id, a null id after all others; of several, the first in
+    docs. Rows are numbered for that, as ids may repeat or be null."""
+    rows = Scratch(spark, "near").put("numbered", docs.withColumn("row__", F.monotonically_increasing_id()))
+    found = near_duplicates(rows.select(F.col("row__").alias("doc_id"), "text")).select(F.col("doc_id").alias("row__"), "component_id")
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", "row__")
+    first = found.join(rows.select("row__", "doc_id"), "row__").groupBy("component_id").agg(F.min(order).alias("first"))
+    return rows.join(first.select("first.row__"), "row__", "left_semi").select(*docs.columns)
 
 
 @F.udf(T.StringType(), useArrow=True)
