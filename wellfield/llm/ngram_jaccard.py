@@ -107,9 +107,15 @@ def class_counts(tokens: np.ndarray) -> np.ndarray:
     return np.minimum(255, np.bincount((mix64(tokens) % np.uint64(CLASSES)).astype(np.int64), minlength=CLASSES)).astype(np.uint8)
 
 
-def _postings(classes: DataFrame, turn: int | None, counted: bool, percent: int, buckets: int) -> DataFrame:
+def _slices(all_tokens: np.ndarray, codes: np.ndarray, tokens: np.ndarray, most: int) -> np.ndarray:
+    """Into how many slices of about `most` documents each token's group goes, by its frequency; `all_tokens` rise."""
+    return np.int64(1) << np.maximum(0, codes[np.searchsorted(all_tokens, tokens)].astype(np.int64) + 2 - most.bit_length())
+
+
+def _postings(classes: DataFrame, turn: int | None, counted: bool, percent: int, buckets: int, most: int) -> DataFrame:
     """Tokens by bucket, a bucket apart for each order: the prefixes, or typical tokens drawn anew
-    each turn. What belongs to a document goes once to each of its buckets."""
+    each turn. What belongs to a document goes once to each of its buckets. Typical tokens that more than `most`
+    documents may hold stand for a slice of these, drawn anew each turn; such tokens of prefixes are left to _hot."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -121,6 +127,14 @@ def _postings(classes: DataFrame, turn: int | None, counted: bool, percent: int,
                 picked = [_typical(t, s, o + turn * len(ORDERS)) if turn is not None else prefix(t, s, int(m), o, percent) for (t, s), m in zip(lists, size)]
                 row = np.repeat(np.arange(len(picked)), [len(p) for p in picked])
                 tokens = np.concatenate(picked)
+                many = np.concatenate([_slices(t, s, p, most) for (t, s), p in zip(lists, picked)])
+                if turn is None:
+                    row, tokens = row[many == 1], tokens[many == 1]
+                else:
+                    own = mix64(node[row].astype(np.uint64) ^ mix64(np.array([turn + 1], np.uint64))) % many.astype(np.uint64)
+                    tokens = np.where(many > 1, mix64(tokens ^ mix64(own + np.uint64(1))), tokens)
+                if not len(tokens):
+                    continue
                 bucket = B.bucket_of(tokens, buckets) + o * buckets
                 by = np.argsort(bucket, kind="stable")
                 bucket, tokens, row = bucket[by], tokens[by], row[by]
@@ -134,8 +148,65 @@ def _postings(classes: DataFrame, turn: int | None, counted: bool, percent: int,
     return classes.select("node", "n", "tokens", "codes", "comp").mapInArrow(run, POSTINGS)
 
 
+def _hot(classes: DataFrame, counted: bool, percent: int, most: int) -> DataFrame:
+    """The prefix tokens that more than `most` documents may hold: a row for each of their documents with its class
+    counts, or the number of documents by component."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            node, size, comp = (batch.column(k).to_numpy() for k in ("node", "n", "comp"))
+            out = []
+            for k, (t, s) in enumerate(zip(batch.column("tokens"), batch.column("codes"), strict=True)):
+                t, s = np.frombuffer(t.as_py(), np.uint64), np.frombuffer(s.as_py(), np.uint8)
+                if not (_slices(t, s, t, most) > 1).any():
+                    continue
+                counts = class_counts(t).tobytes() if counted else b""
+                for o in range(len(ORDERS)):
+                    tokens = prefix(t, s, int(size[k]), o, percent)
+                    for token in tokens[_slices(t, s, tokens, most) > 1].view(np.int64):
+                        out.append((o, int(token), int(node[k]), int(size[k]), int(comp[k]), counts))
+            frame = pd.DataFrame(out, columns=["o", "token", "node", "n", "comp", "counts"]).astype({"o": np.int32, "token": np.int64, "comp": np.int64})
+            if not counted:
+                frame = frame.groupby(["o", "token", "comp"]).size().reset_index(name="held").astype({"held": np.int64})
+            if len(frame):
+                yield pa.RecordBatch.from_pandas(frame, preserve_index=False)
+
+    kinds = "o int, token long, node long, n long, comp long, counts binary" if counted else "o int, token long, comp long, held long"
+    return classes.select("node", "n", "tokens", "codes", "comp").mapInArrow(run, kinds)
+
+
+def _mixed_hot(classes: DataFrame, percent: int, most: int) -> DataFrame:
+    """The hot tokens of more than one component: the largest of these, and how many slices it and the others make."""
+    held = _hot(classes, False, percent, most).groupBy("o", "token", "comp").agg(F.sum("held").alias("held"))
+    held = held.groupBy("o", "token").agg(F.max_by("comp", "held").alias("largest"), F.max("held").alias("top"), F.sum("held").alias("total"))
+    slices = lambda c: F.ceil(c * 2 / most).cast("int")
+    return held.where("total > top").select("o", "token", "largest", slices(F.col("top")).alias("tops"), slices(F.col("total") - F.col("top")).alias("rests"))
+
+
+def _sliced(classes: DataFrame, mixed: DataFrame, percent: int, buckets: int, most: int, salts: int = 64) -> DataFrame:
+    """Rows by bucket, in which every two documents of a hot token, but two of its largest component, meet in some part:
+    each slice of the largest with each of the others, and each two of the others. A part is a pair of slices."""
+    salt = F.pmod(F.xxhash64("node"), F.lit(salts)).cast("int")
+    spread = mixed.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    rows = _hot(classes, True, percent, most).withColumn("salt", salt).join(spread, ["o", "token", "salt"])
+    top = F.col("comp") == F.col("largest")
+    rows = rows.withColumn("own", F.pmod(F.xxhash64("node", F.lit(1)), F.when(top, F.col("tops")).otherwise(F.col("rests"))).cast("int"))
+    part = lambda kind, i, j: F.xxhash64("o", "token", F.lit(kind), i.cast("int"), j.cast("int"))
+    others = lambda n: F.sequence(F.lit(0), F.col(n) - 1)
+    own = F.col("own")
+    with_top = F.transform(others("tops"), lambda i: part(0, i, own))
+    with_rest = F.transform(others("rests"), lambda j: part(1, F.least(own, j), F.greatest(own, j)))
+    parts = F.when(top, F.transform(others("rests"), lambda j: part(0, own, j))).otherwise(F.concat(with_top, with_rest))
+    rows = rows.withColumn("part", F.explode(parts))
+    return rows.select((F.pmod(F.xxhash64("part"), F.lit(buckets)) + F.col("o") * buckets).cast("int").alias("bucket"), "part", "node", "n", "comp", "counts")
+
+
 def _bucket(frame: pd.DataFrame) -> tuple[np.ndarray, ...]:
-    """One bucket: tokens, the document of each, and the documents' nodes, sizes, components and class counts."""
+    """One bucket: tokens, the document of each, and the documents' nodes, sizes, components and class counts. Of sliced
+    rows a part counts as the token."""
+    if "part" in frame:
+        counts = np.frombuffer(b"".join(frame["counts"]), np.uint8).reshape(len(frame), -1)
+        return frame["part"].to_numpy().view(np.uint64), np.arange(len(frame)), *(frame[k].to_numpy() for k in ("node", "n", "comp")), counts
     token, node, size, comp = (np.frombuffer(b"".join(frame[k]), t) for k, t in (("tokens", np.uint64), ("nodes", np.int64), ("sizes", np.int64), ("comps", np.int64)))
     many = [len(x) // 8 for x in frame["nodes"]]
     row = np.concatenate([np.frombuffer(x, np.int32) + start for x, start in zip(frame["rows"], np.cumsum([0, *many[:-1]]))])
@@ -257,7 +328,7 @@ def components(scratch: Scratch, name: str, edges: DataFrame) -> DataFrame:
         labels = labels.select("node", "comp")
 
 
-def near_duplicates(docs: DataFrame, *, words: int = 5, percent: int = 75, stars: int = 8) -> DataFrame:
+def near_duplicates(docs: DataFrame, *, words: int = 5, percent: int = 75, stars: int = 8, most: int = 1 << 14) -> DataFrame:
     """One row per row of docs: doc_id, n_shingles, component_id (the smallest doc_id that links reach).
 
     Documents link when the Jaccard similarity of their sets of `words`-word shingles is `percent` % or more; a
@@ -274,6 +345,9 @@ def near_duplicates(docs: DataFrame, *, words: int = 5, percent: int = 75, stars
        256 classes allow enough overlap. Only pairs that are candidates under every order are verified, on the whole
        sets. So no link between components is missed; links inside one change nothing.
 
+    A token that more than `most` documents (a power of two) may hold is hot: in step 3 its documents meet by slices drawn
+    anew each round, in step 4 by pairs of slices, so that no task holds the whole group.
+
     Only step 4 can grow faster than the input: by the pairs of a group that are nearly alike, yet in different
     components after step 3.
 
@@ -320,12 +394,15 @@ def near_duplicates(docs: DataFrame, *, words: int = 5, percent: int = 75, stars
 
     with scratch.small_batches(512):
         for turn in range(stars):
-            star = pairs_of(_postings(placed(), turn, True, percent, buckets), _star_pairs(percent, turn), "x long, y long")
+            star = pairs_of(_postings(placed(), turn, True, percent, buckets, most), _star_pairs(percent, turn), "x long, y long")
             comps, more = linked(f"star{turn}", star.distinct())
             if not more:
                 break
-        opened = scratch.put("open", pairs_of(_postings(placed(), None, False, percent, buckets), _open_nodes, "node long").distinct())
-        found = pairs_of(_postings(placed().join(opened, "node", "left_semi"), None, True, percent, buckets), _candidates(percent, buckets), "x long, y long, o int")
+        opened = scratch.put("open", pairs_of(_postings(placed(), None, False, percent, buckets, most), _open_nodes, "node long").distinct())
+        found = pairs_of(_postings(placed().join(opened, "node", "left_semi"), None, True, percent, buckets, most), _candidates(percent, buckets), "x long, y long, o int")
+        mixed = scratch.put("mixed", _mixed_hot(placed(), percent, most))
+        if mixed.limit(1).count():
+            found = found.union(pairs_of(_sliced(placed(), mixed, percent, buckets, most), _candidates(percent, buckets), "x long, y long, o int"))
         under_all = found.groupBy("x", "y").agg(F.bit_or(F.expr("1 << o")).alias("orders")).where(F.col("orders") == 2 ** len(ORDERS) - 1)
         comps, _ = linked("all", under_all.select("x", "y"))
     named = classes.select("node", "digest", "first_id").join(comps, "node")
