@@ -2,21 +2,17 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import functions as F
 
+from ..session import shared_dir
 from ..sources import fixtures as X
 from ..streaming.updates import VersionedTable, merge_stream, monthly_totals, updates
 
 
 def _root(spark) -> str:
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = "file://" + tempfile.mkdtemp(prefix="wellfield-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    return f"{root.rstrip('/')}/stream-{uuid.uuid4().hex[:12]}"
+    return f"{shared_dir(spark)}/stream-{uuid.uuid4().hex[:12]}"
 
 
 def _source(spark, d, root):

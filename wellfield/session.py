@@ -31,9 +31,21 @@ def ship(spark: SparkSession) -> None:
     context._wellfield_shipped = True
 
 
+def shared_dir(spark: SparkSession) -> str:
+    """The folder that driver and executors share, as spark.checkpoint.dir names it. Only on a local master, where one
+    machine does all, an unset one becomes a temporary folder; on a cluster that is an error."""
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+        root = "file://" + tempfile.mkdtemp(prefix="wellfield-")
+        spark.conf.set("spark.checkpoint.dir", root)
+    return root.rstrip("/")
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
-    """df, written to the folder in spark.checkpoint.dir (a temporary one where it is unset) and read from there."""
+    """df, written to the shared folder and read from there."""
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
-        context.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="wellfield-"))
+        context.setCheckpointDir(shared_dir(df.sparkSession))
     return df.checkpoint()
