@@ -36,30 +36,60 @@ def plain_targets(data, weights=(5, 2, 1), share=1.5, cap=2):
         held |= above
 
 
+def plain_seats(targets, seats):
+    won = [0] * len(targets)
+    for _ in range(seats if sum(targets) else 0):
+        k = max((k for k in range(len(targets)) if targets[k]), key=lambda k: (targets[k] / (2 * won[k] + 1), -k))
+        won[k] += 1
+    return won
+
+
 @pytest.mark.parametrize("where", ["edges", SF])
 def test_mix(spark, where):
+    """Targets, every shard's quotas and every row's words against a walk along the drawn line, word by word."""
     docs = documents(spark) if where == "edges" else spark.read.parquet(f"{where}/documents.parquet")
     data = [tuple(r) for r in docs.select("doc_id", "text", "lang", "source").collect()]
     sizes, targets = plain_targets(data)
     got = mix_sources(docs).collect()
     assert len(got) == len(data) and sorted(map(str, mix_sources(docs).collect())) == sorted(map(str, got))
-    taken = Counter()
+    names = sorted(sizes, key=lambda s: (s is None, s or ""))
+    houses = [round(1.5 * sum(sizes.values()) * (k + 1) / (16 * 4)) for k in range(4)]
+    quotas = [plain_seats([targets[s] for s in names], seats) for seats in houses]
+    draw = {r[0]: r[1] for r in docs.select("doc_id", F.xxhash64(F.lit(17), "doc_id")).distinct().collect()}
+    rows = Counter((r.source, r.doc_id, r.size, tuple(r.shard_words)) for r in got)
+    for n, s in enumerate(names):
+        own = sorted((draw[i], i is None, i or 0, len(WORD.findall(t or "")), i) for i, t, _, source in data if source == s)
+        line = [(k, r[4]) for k, r in enumerate(own) for _ in range(r[3])]
+        words, ends = [[0] * 4 for _ in own], [min(q[n] * 16, 2 * sizes[s]) for q in quotas]
+        for shard, (a, b) in enumerate(zip([0, *ends], ends)):
+            for w in range(a, b):
+                words[line[w % len(line)][0]][shard] += 1
+        for r, w in zip(own, words):
+            rows[s, r[4], r[3], tuple(w)] -= 1
+        assert abs(ends[-1] - targets[s]) <= 16
+    assert not any(rows.values())
     for r in got:
-        assert r.source_size == sizes[r.source] and r.target == pytest.approx(targets[r.source]) and 0 <= r.taken <= 2 * r.size
-        taken[r.source] += r.taken
-    for s, target in targets.items():
-        assert abs(taken[s] - target) <= 2 * 16 * 4
+        assert r.source_size == sizes[r.source] and r.target == pytest.approx(targets[r.source]) and r.taken == sum(r.shard_words) == r.passes * r.size + r.part_words <= 2 * r.size
+        assert r.quotas == [q[names.index(r.source)] for q in quotas]
     assert mix_sources(empty(spark)).count() == 0
 
 
+def test_mix_does_not_depend_on_the_cluster(spark):
+    docs, key = documents(spark), "spark.sql.shuffle.partitions"
+    first, before = sorted(map(str, mix_sources(docs).collect())), spark.conf.get(key)
+    spark.conf.set(key, "13")
+    try:
+        assert sorted(map(str, mix_sources(docs.repartition(5)).collect())) == first
+    finally:
+        spark.conf.set(key, before)
+
+
 def test_quotas_are_sainte_lague(spark):
     for seats, targets in ((10, [53.0, 24.0, 23.0]), (7, [1.0] * 9), (100, [0.0, 5.5, 1000.0, 3.2]), (1, [2.0, 2.0]), (57, [9.0, 9.0, 9.0, 1.0])):
         frame = spark.createDataFrame([(k, t) for k, t in enumerate(targets)], "source_rank long, target double")
-        won = [0] * len(targets)
-        for _ in range(seats):
-            k = max(range(len(targets)), key=lambda k: (targets[k] / (2 * won[k] + 1), -k))
-            won[k] += 1
-        assert [r.quota for r in _quotas(frame, seats).orderBy("source_rank").collect()] == won
+        houses = [seats // 3, seats]
+        found = _quotas(frame, houses).orderBy("source_rank").collect()
+        assert [r.quotas for r in found] == [list(x) for x in zip(*(plain_seats(targets, h) for h in houses))]
 
 
 PAGES = "page_id long, url string, html string, digest string, payload string, bytes long"
@@ -152,7 +182,10 @@ def test_pipeline(spark):
         if name != "byte_bpe":
             assert docs.columns == raw.columns and docs.dtypes == raw.dtypes
     before, after = kept["language_id"]
-    assert sorted(r["doc_id"] for r in after) == sorted(r["doc_id"] for r in before if any(c.isalpha() for c in r["text"] or ""))
+    lettered = [r for r in before if any(c.isalpha() for c in r["text"] or "")]
+    given = lambda found: sorted(str({**r, "lang": None}) for r in found)
+    assert given(after) == given(lettered) and all(r["lang"] for r in after)
+    assert not Counter((r["doc_id"], r["lang"]) for r in lettered if r["lang"]) - Counter((r["doc_id"], r["lang"]) for r in after)
     before, after = kept["exact_dedup"]
     best = {}
     for r in before:
@@ -168,7 +201,7 @@ def test_pipeline(spark):
     for r in after:
         words[r["source"]] += len(WORD.findall(r["text"]))
         assert originals[r["doc_id"]]["text"].startswith(r["text"]) and r["n_chars"] == len(r["text"])
-    assert all(abs(words[s] - t) <= 2 * 16 * 4 for s, t in targets.items()) and sum(sizes.values())
+    assert all(abs(words[s] - t) <= 16 for s, t in targets.items()) and sum(sizes.values())
     before, after = kept["byte_bpe"]
     import base64
 
@@ -179,13 +212,53 @@ def test_pipeline(spark):
     assert corpus_pipeline.run(spark, SF).count() == len(after)
 
 
+#: Names that stages use inside, as columns of the documents.
+CLASHES = ("id", "size", "kept_id", "copy", "lang_pred", "score", "row", "row__", "pick", "passes", "part_words", "component_id", "keep_id", "node")
+
+
+def plain_pipeline(data):
+    """The rows (a tuple of doc_id, text, lang, source, n_chars and the clashing columns) after the first four stages, as
+    sets of what may stay: repeats of one row can't be told apart."""
+    key = lambda i: (i is None, i or 0)
+    told = [r for r in data if any(c.isalpha() for c in r[1] or "")]
+    best = {}
+    for r in told:
+        text = r[1].translate(FOLD)
+        if text not in best or key(r[0])[0] < key(best[text][0])[0] or (key(r[0])[0] == key(best[text][0])[0] and key(r[0]) > key(best[text][0])):
+            best[text] = r
+    kept = sorted(best.values(), key=lambda r: key(r[0]))
+    near = plain_near([(k, r[1]) for k, r in enumerate(kept)])
+    return told, kept, [kept[k] for k, _, c in near if k == c]
+
+
 def test_pipeline_edges(spark):
-    schema = spark.read.parquet(f"{SF}/documents.parquet").schema
-    for frame in (documents(spark).select(*schema.names), empty(spark).select(*schema.names)):
-        docs = frame
-        for _, stage in corpus_pipeline.STAGES:
-            docs = stage(spark, docs, SF)
-        assert docs.count() >= 0
+    """Each stage on its predecessor's rows, with every clashing column, repeated rows, null ids and texts; and empty."""
+    base = documents(spark).select("doc_id", "text", "lang", "source", F.col("n_chars").cast("int").alias("n_chars"))
+    frame = base.select("*", *(F.lit(f"own {c}").alias(c) for c in CLASHES))
+    data = [tuple(r) for r in frame.collect()]
+    told, exact, near = plain_pipeline(data)
+    stages, ids = dict(corpus_pipeline.STAGES), lambda found: Counter((r[0], r[1]) for r in found)
+    docs = stages["language_id"](spark, frame, "")
+    assert docs.columns == frame.columns and ids(docs.collect()) == ids(told)
+    docs = stages["exact_dedup"](spark, docs, "")
+    assert docs.columns == frame.columns
+    assert Counter((r[0], r[1].translate(FOLD)) for r in docs.collect()) == Counter((r[0], r[1].translate(FOLD)) for r in exact)
+    docs = stages["ngram_jaccard"](spark, docs, "").cache()
+    got = docs.collect()
+    assert docs.columns == frame.columns and Counter(r[0] for r in got) == Counter(r[0] for r in near)
+    mixed = stages["mix_sources"](spark, docs, "")
+    after = mixed.collect()
+    sizes, targets = plain_targets([tuple(r) for r in got])
+    words = Counter()
+    for r in after:
+        assert tuple(r[5:]) == tuple(f"own {c}" for c in CLASHES) and r.n_chars == len(r.text) and any(o.doc_id == r.doc_id and o.text.startswith(r.text) for o in got)
+        words[r.source] += len(WORD.findall(r.text))
+    assert mixed.columns == frame.columns and all(abs(words[s] - t) <= 16 for s, t in targets.items()) and sum(sizes.values())
+    assert Counter(r.doc_id for r in stages["byte_bpe"](spark, mixed, "").collect()) == Counter(r.doc_id for r in after)
+    docs = frame.limit(0)
+    for _, stage in corpus_pipeline.STAGES:
+        docs = stage(spark, docs, "")
+        assert docs.count() == 0
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import contextlib
-import tempfile
 import uuid
 from collections.abc import Iterator
 
@@ -13,6 +12,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ..session import shared_dir
+
 #: Spark releases the shuffle files of a finished write under this setting.
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 #: A word: a run of anything but ASCII white space.
@@ -25,13 +26,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, set here only where it is unset."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = "file://" + tempfile.mkdtemp(prefix="wellfield-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    return root.rstrip("/")
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """The names, each with as many underscores after it as make it none of df's columns."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
 
 
 @contextlib.contextmanager
@@ -92,6 +95,11 @@ def shuffle_parts(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
+def first_words(text: Column, n: Column) -> Column:
+    """The text up to the end of its n-th word."""
+    return F.array_join(F.slice(F.regexp_extract_all(text, F.lit(rf"[\x20\x09-\x0D]*{WORD}"), F.lit(0)), F.lit(1), n.cast("int")), "")
+
+
 def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 

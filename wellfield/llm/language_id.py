@@ -8,6 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .codepoints import LETTER, classes, code_points
 from .common import slices
@@ -93,15 +94,15 @@ def profiles(docs: DataFrame) -> dict[str, np.ndarray]:
     return {r["lang"]: np.array([x["v"] for x in r["kv"]], np.float64) for r in sorted(found, key=lambda r: r["lang"])}
 
 
-def identify(docs: DataFrame, known: dict[str, np.ndarray]) -> DataFrame:
-    """docs with lang_pred and score added; each task compares a document's bundle with the prototypes by cosine.
+def identify(docs: DataFrame, known: dict[str, np.ndarray], *, names: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
+    """docs with a predicted language and a score added, under `names` (columns so named are replaced); each task compares a document's bundle with the prototypes by cosine.
 
     Prototypes are scaled to length one and their mean is taken off, as it tells no language from another. The score
     is (1 + cosine) / 2. A text that is null or has no letter is `und` with score 0, as is all text where no language
     was learned. Ties go to the first language by name. Texts are read whole; all columns and rows of docs stay."""
-    vectors, names = _vectors(), list(known)
-    table = np.array([known[n] / max(1.0, np.linalg.norm(known[n])) for n in names]) if names else np.zeros((0, DIMENSIONS))
-    if len(names) > 1:
+    vectors, languages = _vectors(), list(known)
+    table = np.array([known[n] / max(1.0, np.linalg.norm(known[n])) for n in languages]) if languages else np.zeros((0, DIMENSIONS))
+    if len(languages) > 1:
         table = table - table.mean(axis=0)
     table = table / np.maximum(1e-12, np.linalg.norm(table, axis=1, keepdims=True))
 
@@ -109,17 +110,16 @@ def identify(docs: DataFrame, known: dict[str, np.ndarray]) -> DataFrame:
         for part in slices(batches, "text"):
             code, text, has = triples(part.column("text").fill_null("").to_pylist())
             pred, score = np.full(part.num_rows, UNKNOWN, object), np.zeros(part.num_rows)
-            if names and has.any():
+            if languages and has.any():
                 bundle = bundles(code, text, part.num_rows, vectors)
                 cosine = np.round(bundle @ table.T / np.maximum(1e-12, np.linalg.norm(bundle, axis=1, keepdims=True)), 9)
                 best = cosine.argmax(axis=1)
-                pred = np.where(has, np.array(names, object)[best], UNKNOWN)
+                pred = np.where(has, np.array(languages, object)[best], UNKNOWN)
                 score = np.where(has, np.clip((1 + cosine.max(axis=1)) / 2, 0, 1), 0.0)
-            yield pa.RecordBatch.from_arrays([*part.columns, pa.array(pred.tolist(), pa.string()), pa.array(score)], [*part.schema.names, "lang_pred", "score"])
+            yield pa.RecordBatch.from_arrays([*part.columns, pa.array(pred.tolist(), pa.string()), pa.array(score)], [*part.schema.names, *names])
 
-    clean = docs.drop("lang_pred", "score")
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in clean.schema)
-    return clean.mapInArrow(run, f"{kinds}, lang_pred string, score double")
+    clean = docs.drop(*names)
+    return clean.mapInArrow(run, T.StructType([*clean.schema.fields, T.StructField(names[0], T.StringType()), T.StructField(names[1], T.DoubleType())]))
 
 
 def held_out(doc_id: Column) -> Column:
