@@ -153,8 +153,16 @@ def test_sharding(spark):
     assert shard_documents(empty(spark)).count() == 0
 
 
+def cut_links(got, data):
+    """Of each group, the documents that are not in the shard that holds most of it."""
+    text, where = {r[0]: r[1] for r in data}, defaultdict(Counter)
+    for r in got:
+        where[text[r.doc_id]][r.shard] += 1
+    return {g: sum(c.values()) - max(c.values()) for g, c in where.items()}
+
+
 def test_sharding_keeps_groups_together(spark):
-    """Groups of two to nine copies, one group of a third of all rows, and single texts."""
+    """Groups of two to nine copies, one of a third of all rows (three shards at least), and single texts."""
     data, n = [], 0
     for g in range(300):
         for _ in range(g % 9 + 1):
@@ -163,53 +171,40 @@ def test_sharding_keeps_groups_together(spark):
     data += [(n + k, "hot", *[None] * 12) for k in range(700)]
     got = shard_documents(documents(spark, data), shards=8).collect()
     check_shards(got, data, 8)
-    text, where = {r[0]: r[1] for r in data}, defaultdict(set)
-    for r in got:
-        where[text[r.doc_id]].add(r.shard)
-    split = sum(len(s) > 1 for g, s in where.items() if g != "hot")
-    assert split <= 7
-
-
-def test_pipeline(spark):
-    raw = spark.read.parquet(f"{SF}/documents.parquet")
-    docs, kept = raw, {}
-    for name, stage in corpus_pipeline.STAGES:
-        before = [r.asDict() for r in docs.collect()]
-        path = f"{spark.conf.get('spark.checkpoint.dir')}/test-{name}"
-        stage(spark, docs, SF).write.mode("overwrite").parquet(path)
-        docs = spark.read.parquet(path)
-        kept[name] = (before, [r.asDict() for r in docs.collect()])
-        if name != "byte_bpe":
-            assert docs.columns == raw.columns and docs.dtypes == raw.dtypes
-    before, after = kept["language_id"]
-    lettered = [r for r in before if any(c.isalpha() for c in r["text"] or "")]
-    given = lambda found: sorted(str({**r, "lang": None}) for r in found)
-    assert given(after) == given(lettered) and all(r["lang"] for r in after)
-    assert not Counter((r["doc_id"], r["lang"]) for r in lettered if r["lang"]) - Counter((r["doc_id"], r["lang"]) for r in after)
-    before, after = kept["exact_dedup"]
-    best = {}
-    for r in before:
-        key = (r["text"] or "").translate(FOLD)
-        best[key] = max(best.get(key, r["doc_id"]), r["doc_id"])
-    assert sorted(r["doc_id"] for r in after) == sorted(best.values())
-    before, after = kept["ngram_jaccard"]
-    components = plain_near([(r["doc_id"], r["text"]) for r in before])
-    assert sorted(r["doc_id"] for r in after) == sorted(i for i, _, c in components if i == c)
-    before, after = kept["mix_sources"]
-    sizes, targets = plain_targets([(r["doc_id"], r["text"], None, r["source"]) for r in before])
-    words, originals = Counter(), {r["doc_id"]: r for r in before}
-    for r in after:
-        words[r["source"]] += len(WORD.findall(r["text"]))
-        assert originals[r["doc_id"]]["text"].startswith(r["text"]) and r["n_chars"] == len(r["text"])
-    assert all(abs(words[s] - t) <= 16 for s, t in targets.items()) and sum(sizes.values())
-    before, after = kept["byte_bpe"]
-    import base64
-
-    ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), "rb"))}
-    encoder = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
-    expected = Counter((r["doc_id"], len(encoder.encode_ordinary(r["text"])), hashlib.sha256(r["text"].encode()).hexdigest()) for r in before)
-    assert Counter((r["doc_id"], r["n_tokens"], r["decoded_sha256"]) for r in after) == expected
-    assert corpus_pipeline.run(spark, SF).count() == len(after)
+    cut = cut_links(got, data)
+    hot = Counter(r.shard for r in got if r.doc_id >= n)
+    assert cut.pop("hot") <= 700 - 240 and len(hot) <= 4 and sum(cut.values()) == 0
+
+
+@pytest.mark.parametrize("singles", [0, 3000])
+def test_sharding_cuts_fewer_links_by_round(spark, singles):
+    """1,000 groups of four: each round leaves fewer links cut, and the rounds alone, not the repair, bring them together."""
+    data = [(k, f"group {k % 1000}", *[None] * 12) for k in range(4000)] + [(4000 + k, f"single {k}", *[None] * 12) for k in range(singles)]
+    cuts = []
+    for rounds in (0, 1, 2, 8):
+        got = shard_documents(documents(spark, data), shards=8, rounds=rounds).collect()
+        check_shards(got, data, 8)
+        cuts.append(sum(cut_links(got, data).values()))
+    assert cuts[0] > 1500 and cuts == sorted(cuts, reverse=True) and cuts[1] < cuts[0] / 2 and cuts[3] <= (0 if singles else 24)
+
+
+def deals(room, n):
+    """All ways to deal n documents over shards with so much room."""
+    if not n:
+        yield ()
+    for k, r in enumerate(room):
+        if n and r:
+            yield from ((k, *rest) for rest in deals([x - (j == k) for j, x in enumerate(room)], n - 1))
+
+
+def test_sharding_is_the_best_on_a_small_graph(spark):
+    """All ways of placing a few groups in three shards of four: no way cuts fewer links."""
+    texts = ["a"] * 4 + ["b"] * 3 + ["c"] * 2 + ["d", "e", "f"]
+    data = [(k, t, *[None] * 12) for k, t in enumerate(texts)]
+    least = min(sum(len(g) - max(Counter(g).values()) for g in (s[:4], s[4:7], s[7:9])) for s in deals([4, 4, 4], 12))
+    got = shard_documents(documents(spark, data), shards=3).collect()
+    check_shards(got, data, 3)
+    assert sum(cut_links(got, data).values()) == least == 0
 
 
 #: Names that stages use inside, as columns of the documents.
