@@ -16,8 +16,9 @@ import pyarrow as pa
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from .common import SPACES, Scratch, mix64, slices, utf8
+from .common import SPACES, Scratch, mix64, shuffle_parts, slices, utf8
 
 BLOCK = "block long, doc_ids array<long>, ends array<long>, data binary"
 SENT = "bucket int, block long, keys binary, notes binary"
@@ -52,6 +53,12 @@ def build(scratch: Scratch, name: str, docs: DataFrame, most: int = 1 << 20) ->
     return scratch.put(name, docs.select("doc_id", "text").mapInArrow(run, BLOCK), "uncompressed")
 
 
+def bucket_count(blocks: DataFrame, text_bytes: int = 1 << 26) -> int:
+    """As many buckets as the cluster deals rows to, and so many that one holds the keys of `text_bytes` of text."""
+    total = blocks.agg(F.sum(F.element_at("ends", -1))).first()[0] or 0  # a single number
+    return max(shuffle_parts(blocks.sparkSession), -(-total // text_bytes))
+
+
 class Block:
     """The texts of one block: data, and for each text its id, start and end."""
 
@@ -130,28 +137,46 @@ BYTE = _RANDOM.integers(0, 1 << 63, 256, np.uint64) * np.uint64(2) + np.uint64(1
 _places = np.zeros(0, np.uint64)
 
 
-def places(n: int) -> np.ndarray:
-    """An odd random factor for each of the first n places."""
+def places(a: int, b: int) -> np.ndarray:
+    """An odd random factor for each place from a to b; those of the first places are kept."""
     global _places
-    if len(_places) < n:
-        _places = mix64(np.arange(1, 2 * n + 1024, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
-    return _places[:n]
+    if b > 1 << 16:
+        return mix64(np.arange(a + 1, b + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
+    if not len(_places):
+        _places = mix64(np.arange(1, (1 << 16) + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
+    return _places[a:b]
 
 
-def run_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+def run_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, step: int = 1 << 18) -> np.ndarray:
     """A 64-bit hash of each run of bytes; runs rise and do not overlap. Each byte has a random value and each place a
-    random factor, so the sum is a multilinear hash; the length goes in as well."""
+    random factor, so the sum is a multilinear hash; the length goes in as well. Runs are summed in stretches of about
+    `step` bytes, and a longer run in pieces, so memory does not grow with the text."""
     if not len(starts):
         return np.zeros(0, np.uint64)
     lengths = ends - starts
+    sums, upto = np.zeros(len(starts), np.uint64), np.cumsum(lengths)
+    lo = 0
+    while lo < len(starts):
+        hi = max(lo + 1, int(np.searchsorted(upto, (upto[lo - 1] if lo else 0) + step, "right")))
+        if hi == lo + 1:
+            for at in range(0, int(lengths[lo]), step):
+                size = min(step, int(lengths[lo]) - at)
+                first = int(starts[lo]) + at
+                sums[lo] += (BYTE[data[first : first + size]] * places(at, at + size)).sum(dtype=np.uint64)
+        else:
+            sums[lo:hi] = _short_sums(data, starts[lo:hi], lengths[lo:hi])
+        lo = hi
+    return mix64(sums + lengths.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+
+
+def _short_sums(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     first = np.cumsum(lengths) - lengths
     within = np.arange(int(lengths.sum())) - np.repeat(first, lengths)
-    sums = np.zeros(len(starts), np.uint64)
-    full = lengths > 0
+    sums, full = np.zeros(len(starts), np.uint64), lengths > 0
     if full.any():
-        value = BYTE[data[np.repeat(starts, lengths) + within]] * places(int(lengths.max()))[within]
+        value = BYTE[data[np.repeat(starts, lengths) + within]] * places(0, int(lengths.max()))[within]
         sums[full] = np.add.reduceat(value, first[full])
-    return mix64(sums + lengths.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+    return sums
 
 
 def words(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

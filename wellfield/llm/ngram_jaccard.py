@@ -12,13 +12,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import blocks as B
-from .common import Scratch, mix64, shuffle_parts
+from .common import Scratch, mix64
 
 TOKEN_BYTES = 5
 ORDERS = np.array([0x51ED270B, 0x2545F491, 0x9E3779B1], np.uint64)
+#: All orders but the first take a frequency class for up to so many classes higher, each by a hash of its own.
+SHIFTS = 4
 #: Classes of tokens whose counts bound the overlap of two sets from above.
 CLASSES = 256
-SETS = "doc_id long, n long, digest binary, tokens binary, codes binary"
+SETS = "doc_id long, n long, digest binary, tokens binary, codes binary, marks binary"
 POSTINGS = "bucket int, tokens binary, rows binary, nodes binary, sizes binary, comps binary, counts binary"
 
 
@@ -78,25 +80,41 @@ def _sets(block: B.Block, frame: pd.DataFrame, words: int, percent: int, buckets
     edges = np.append(0, np.cumsum(n))
     rows = []
     for k, size in enumerate(n):
-        row = (int(block.doc_ids[k]), int(size), None, None, None)
+        row = (int(block.doc_ids[k]), int(size), None, None, None, None)
         if size and common[k] >= least_overlap(size, percent):
             own, code = keys[edges[k] : edges[k + 1]], codes[edges[k] : edges[k + 1]]
-            row = (*row[:2], hashlib.blake2b(own.tobytes(), digest_size=16).digest(), own[code > 0].tobytes(), code[code > 0].tobytes())
+            tokens, code = own[code > 0], code[code > 0]
+            row = (*row[:2], hashlib.blake2b(own.tobytes(), digest_size=16).digest(), tokens.tobytes(), code.tobytes(), marks(tokens, code, size, percent).tobytes())
         rows.append(row)
-    return pd.DataFrame(rows, columns=["doc_id", "n", "digest", "tokens", "codes"])
+    return pd.DataFrame(rows, columns=["doc_id", "n", "digest", "tokens", "codes", "marks"])
 
 
 def prefix(tokens: np.ndarray, codes: np.ndarray, n: int, order: int, percent: int) -> np.ndarray:
-    """The tokens that decide under one order: the rarest first, equal frequency classes by the order's own hash. Of
-    two sets that link, each has a prefix token of the other. Tokens that no other set has come first and can't match."""
-    ranked = np.lexsort((mix64(tokens ^ ORDERS[order]), codes))
-    return tokens[ranked[: max(0, n - int(least_overlap(np.int64(n), percent)) + 1 - (n - len(tokens)))]]
+    """The places of the tokens that decide under one order, the first of the whole set in it. Of two sets that link,
+    each has a prefix token of the other. Tokens that no other set has come first in every order and can't match.
+
+    The first order is rarest first. The others raise the frequency class of a token by 0 to SHIFTS - 1, each by its own
+    hash, so other tokens lead, yet no frequent one comes before much rarer ones. Equal places go by hash, too."""
+    hashes = mix64(tokens ^ ORDERS[order])
+    shift = (hashes >> np.uint64(32)) % np.uint64(SHIFTS) if order else np.zeros(len(tokens), np.uint64)
+    ranked = np.lexsort((hashes, codes + shift.astype(np.uint8)))
+    return ranked[: max(0, n - int(least_overlap(np.int64(n), percent)) + 1 - (n - len(tokens)))]
+
+
+def marks(tokens: np.ndarray, codes: np.ndarray, n: int, percent: int) -> np.ndarray:
+    """For each token a byte with a bit for each order under which it is a prefix token."""
+    out = np.zeros(len(tokens), np.uint8)
+    for o in range(len(ORDERS)):
+        out[prefix(tokens, codes, int(n), o, percent)] |= np.uint8(1 << o)
+    return out
 
 
 def _typical(tokens: np.ndarray, codes: np.ndarray, draw: int) -> np.ndarray:
-    """One token of middling frequency, drawn by its hash: sets that are much alike often pick the same."""
-    middle = tokens[np.abs(codes.astype(int) - int(np.sort(codes)[len(codes) // 2])) <= 1]
-    return middle[[np.argmin(mix64(middle ^ mix64(np.array([draw + 1], np.uint64))))]]
+    """Of prefix tokens one of the most frequent, drawn by its hash: sets that are much alike often pick the same."""
+    if not len(tokens):
+        return tokens
+    common = tokens[codes >= codes.max() - min(1, int(codes.max()))]
+    return common[[np.argmin(mix64(common ^ mix64(np.array([draw + 1], np.uint64))))]]
 
 
 def class_counts(tokens: np.ndarray) -> np.ndarray:
@@ -112,8 +130,8 @@ def _slices(all_tokens: np.ndarray, codes: np.ndarray, tokens: np.ndarray, most:
     return np.int64(1) << np.maximum(0, codes[np.searchsorted(all_tokens, tokens)].astype(np.int64) + 2 - most.bit_length())
 
 
-def _postings(classes: DataFrame, turn: int | None, counted: bool, percent: int, buckets: int, most: int) -> DataFrame:
-    """Tokens by bucket, a bucket apart for each order: the prefixes, or typical tokens drawn anew
+def _postings(classes: DataFrame, turn: int | None, counted: bool, buckets: int, most: int) -> DataFrame:
+    """Tokens by bucket, a bucket apart for each order: the prefixes, or one token of each prefix, drawn anew
     each turn. What belongs to a document goes once to each of its buckets. Typical tokens that more than `most`
     documents may hold stand for a slice of these, drawn anew each turn; such tokens of prefixes are left to _hot."""
 
@@ -121,13 +139,15 @@ def _postings(classes: DataFrame, turn: int | None, counted: bool, percent: int,
         for batch in batches:
             c = {name: batch.column(name) for name in batch.schema.names}
             node, size, comp = (c[k].to_numpy() for k in ("node", "n", "comp"))
-            lists = [(np.frombuffer(t.as_py(), np.uint64), np.frombuffer(s.as_py(), np.uint8)) for t, s in zip(c["tokens"], c["codes"], strict=True)]
-            counts = np.stack([class_counts(t) for t, _ in lists]) if counted else np.zeros((len(lists), 0), np.uint8)
+            lists = _lists(c)
+            counts = np.stack([class_counts(t) for t, _, _ in lists]) if counted else np.zeros((len(lists), 0), np.uint8)
             for o in range(len(ORDERS)):
-                picked = [_typical(t, s, o + turn * len(ORDERS)) if turn is not None else prefix(t, s, int(m), o, percent) for (t, s), m in zip(lists, size)]
+                picked = [t[m & (1 << o) > 0] for t, _, m in lists]
+                if turn is not None:
+                    picked = [_typical(p, s[m & (1 << o) > 0], o + turn * len(ORDERS)) for p, (_, s, m) in zip(picked, lists)]
                 row = np.repeat(np.arange(len(picked)), [len(p) for p in picked])
                 tokens = np.concatenate(picked)
-                many = np.concatenate([_slices(t, s, p, most) for (t, s), p in zip(lists, picked)])
+                many = np.concatenate([_slices(t, s, p, most) for (t, s, _), p in zip(lists, picked)])
                 if turn is None:
                     row, tokens = row[many == 1], tokens[many == 1]
                 else:
@@ -145,10 +165,16 @@ def _postings(classes: DataFrame, turn: int | None, counted: bool, percent: int,
                     out.append((int(bucket[a]), tokens[a:b].tobytes(), place.astype(np.int32).tobytes(), node[rows].tobytes(), size[rows].tobytes(), comp[rows].tobytes(), counts[rows].tobytes()))
                 yield pa.RecordBatch.from_pandas(pd.DataFrame(out, columns=["bucket", "tokens", "rows", "nodes", "sizes", "comps", "counts"]).astype({"bucket": np.int32}), preserve_index=False)
 
-    return classes.select("node", "n", "tokens", "codes", "comp").mapInArrow(run, POSTINGS)
+    return classes.select("node", "n", "tokens", "codes", "marks", "comp").mapInArrow(run, POSTINGS)
+
 
+def _lists(columns) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Tokens, codes and marks of each set."""
+    kinds = (("tokens", np.uint64), ("codes", np.uint8), ("marks", np.uint8))
+    return list(zip(*([np.frombuffer(x.as_py(), kind) for x in columns[name]] for name, kind in kinds), strict=True))
 
-def _hot(classes: DataFrame, counted: bool, percent: int, most: int) -> DataFrame:
+
+def _hot(classes: DataFrame, counted: bool, most: int) -> DataFrame:
     """The prefix tokens that more than `most` documents may hold: a row for each of their documents with its class
     counts, or the number of documents by component."""
 
@@ -156,13 +182,12 @@ def _hot(classes: DataFrame, counted: bool, percent: int, most: int) -> DataFram
         for batch in batches:
             node, size, comp = (batch.column(k).to_numpy() for k in ("node", "n", "comp"))
             out = []
-            for k, (t, s) in enumerate(zip(batch.column("tokens"), batch.column("codes"), strict=True)):
-                t, s = np.frombuffer(t.as_py(), np.uint64), np.frombuffer(s.as_py(), np.uint8)
+            for k, (t, s, m) in enumerate(_lists({name: batch.column(name) for name in ("tokens", "codes", "marks")})):
                 if not (_slices(t, s, t, most) > 1).any():
                     continue
                 counts = class_counts(t).tobytes() if counted else b""
                 for o in range(len(ORDERS)):
-                    tokens = prefix(t, s, int(size[k]), o, percent)
+                    tokens = t[m & (1 << o) > 0]
                     for token in tokens[_slices(t, s, tokens, most) > 1].view(np.int64):
                         out.append((o, int(token), int(node[k]), int(size[k]), int(comp[k]), counts))
             frame = pd.DataFrame(out, columns=["o", "token", "node", "n", "comp", "counts"]).astype({"o": np.int32, "token": np.int64, "comp": np.int64})
@@ -172,23 +197,23 @@ def _hot(classes: DataFrame, counted: bool, percent: int, most: int) -> DataFram
                 yield pa.RecordBatch.from_pandas(frame, preserve_index=False)
 
     kinds = "o int, token long, node long, n long, comp long, counts binary" if counted else "o int, token long, comp long, held long"
-    return classes.select("node", "n", "tokens", "codes", "comp").mapInArrow(run, kinds)
+    return classes.select("node", "n", "tokens", "codes", "marks", "comp").mapInArrow(run, kinds)
 
 
-def _mixed_hot(classes: DataFrame, percent: int, most: int) -> DataFrame:
+def _mixed_hot(classes: DataFrame, most: int) -> DataFrame:
     """The hot tokens of more than one component: the largest of these, and how many slices it and the others make."""
-    held = _hot(classes, False, percent, most).groupBy("o", "token", "comp").agg(F.sum("held").alias("held"))
+    held = _hot(classes, False, most).groupBy("o", "token", "comp").agg(F.sum("held").alias("held"))
     held = held.groupBy("o", "token").agg(F.max_by("comp", "held").alias("largest"), F.max("held").alias("top"), F.sum("held").alias("total"))
     slices = lambda c: F.ceil(c * 2 / most).cast("int")
     return held.where("total > top").select("o", "token", "largest", slices(F.col("top")).alias("tops"), slices(F.col("total") - F.col("top")).alias("rests"))
 
 
-def _sliced(classes: DataFrame, mixed: DataFrame, percent: int, buckets: int, most: int, salts: int = 64) -> DataFrame:
+def _sliced(classes: DataFrame, mixed: DataFrame, buckets: int, most: int, salts: int = 64) -> DataFrame:
     """Rows by bucket, in which every two documents of a hot token, but two of its largest component, meet in some part:
     each slice of the largest with each of the others, and each two of the others. A part is a pair of slices."""
     salt = F.pmod(F.xxhash64("node"), F.lit(salts)).cast("int")
     spread = mixed.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    rows = _hot(classes, True, percent, most).withColumn("salt", salt).join(spread, ["o", "token", "salt"])
+    rows = _hot(classes, True, most).withColumn("salt", salt).join(spread, ["o", "token", "salt"])
     top = F.col("comp") == F.col("largest")
     rows = rows.withColumn("own", F.pmod(F.xxhash64("node", F.lit(1)), F.when(top, F.col("tops")).otherwise(F.col("rests"))).cast("int"))
     part = lambda kind, i, j: F.xxhash64("o", "token", F.lit(kind), i.cast("int"), j.cast("int"))
@@ -297,18 +322,28 @@ def _candidates(percent: int, buckets: int):
 
 
 def _links(classes: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
-    """Verify each pair on the whole sets: 100 * intersection >= percent * union."""
+    """The pairs that share a prefix token under every order, and whether they are links: only these are verified, on
+    the whole sets, by 100 * intersection >= percent * union."""
+    names = [("node", "x", "y"), ("n", "n", "m"), ("tokens", "s", "t"), ("marks", "p", "q")]
+    every = (1 << len(ORDERS)) - 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             x, y, n, m = (batch.column(k).to_numpy() for k in ("x", "y", "n", "m"))
-            both = np.fromiter((len(np.intersect1d(np.frombuffer(a.as_py(), np.uint64), np.frombuffer(b.as_py(), np.uint64), assume_unique=True)) for a, b in zip(batch.column("s"), batch.column("t"), strict=True)), np.int64, len(x))
-            ok = 100 * both >= percent * (n + m - both)
-            yield pa.RecordBatch.from_arrays([pa.array(x[ok]), pa.array(y[ok])], ["x", "y"])
-
-    left = classes.select(F.col("node").alias("x"), "n", F.col("tokens").alias("s"))
-    right = classes.select(F.col("node").alias("y"), F.col("n").alias("m"), F.col("tokens").alias("t"))
-    return pairs.join(left, "x").join(right, "y").select("x", "y", "n", "m", "s", "t").mapInArrow(run, "x long, y long")
+            sets = ([np.frombuffer(v.as_py(), kind) for v in batch.column(k)] for k, kind in (("s", np.uint64), ("t", np.uint64), ("p", np.uint8), ("q", np.uint8)))
+            passed, links = np.zeros(len(x), bool), np.zeros(len(x), bool)
+            for k, (s, t, p, q) in enumerate(zip(*sets, strict=True)):
+                s0, t0 = p > 0, q > 0
+                _, i, j = np.intersect1d(s[s0], t[t0], assume_unique=True, return_indices=True)
+                passed[k] = len(i) and np.bitwise_or.reduce(p[s0][i] & q[t0][j]) == every
+                if passed[k]:
+                    both = len(np.intersect1d(s, t, assume_unique=True))
+                    links[k] = 100 * both >= percent * (n[k] + m[k] - both)
+            yield pa.RecordBatch.from_arrays([pa.array(x[passed]), pa.array(y[passed]), pa.array(links[passed])], ["x", "y", "link"])
+
+    left = classes.select(*(F.col(a).alias(b) for a, b, _ in names))
+    right = classes.select(*(F.col(a).alias(c) for a, _, c in names))
+    return pairs.join(left, "x").join(right, "y").select("x", "y", "n", "m", "s", "t", "p", "q").mapInArrow(run, "x long, y long, link boolean")
 
 
 def components(scratch: Scratch, name: str, edges: DataFrame) -> DataFrame:
@@ -328,7 +363,7 @@ def components(scratch: Scratch, name: str, edges: DataFrame) -> DataFrame:
         labels = labels.select("node", "comp")
 
 
-def near_duplicates(docs: DataFrame, *, words: int = 5, percent: int = 75, stars: int = 8, most: int = 1 << 14) -> DataFrame:
+def near_duplicates(docs: DataFrame, *, words: int = 5, percent: int = 75, stars: int = 8, most: int = 1 << 11, report: dict | None = None) -> DataFrame:
     """One row per row of docs: doc_id, n_shingles, component_id (the smallest doc_id that links reach).
 
     Documents link when the Jaccard similarity of their sets of `words`-word shingles is `percent` % or more; a
@@ -336,14 +371,16 @@ def near_duplicates(docs: DataFrame, *, words: int = 5, percent: int = 75, stars
 
     1. Every shingle's document frequency is counted over all documents, as a power of two. A document with too few
        shingles that another one has links with nothing and leaves here.
-    2. Equal sets become one class; only classes are joined.
-    3. In up to `stars` first rounds, classes that share a token of middling frequency are compared with the likeliest
-       of a few hubs drawn per token, until a round finds links for less than one class in 500. This joins large groups
-       by few comparisons; it decides nothing that the next step does not find too.
-    4. Under each of three global orders (rarest first, equal frequencies by another hash) classes whose prefixes share
-       a token are candidates, if they are not in one component already, are of like size, and their token counts in
-       256 classes allow enough overlap. Only pairs that are candidates under every order are verified, on the whole
-       sets. So no link between components is missed; links inside one change nothing.
+    2. Equal sets become one class; only classes are joined. Each has a prefix under each of three global orders.
+    3. Classes that share a prefix token form a group. In up to `stars` rounds the groups of one token drawn from each
+       prefix compare every class with the likeliest of a few drawn hubs, until a round finds links for less than
+       one class in 500. Large groups of like texts become one component so, by a number of pairs in proportion to their size.
+    4. In all groups of all prefix tokens, classes are candidates if they are not in one component already, are
+       of like size, and their token counts in 256 classes allow enough overlap. Pairs must be candidates under every order.
+
+    In 3 and 4 only pairs that share a prefix token under every order are verified, on the whole sets. As two
+    sets that link share such a token under any order, no link between components is missed by 4; links inside one
+    change nothing. `report` receives the pairs before and after the orders are intersected, and the links, of each step.
 
     A token that more than `most` documents (a power of two) may hold is hot: in step 3 its documents meet by slices drawn
     anew each round, in step 4 by pairs of slices, so that no task holds the whole group.
@@ -352,10 +389,12 @@ def near_duplicates(docs: DataFrame, *, words: int = 5, percent: int = 75, stars
     components after step 3.
 
     A null text has no words. Null ids count as larger than any other; rows with one id are documents of their own
-    that show the same id. An empty table gives no rows; other columns are ignored. doc_id is an integer.
+    that show the same id. Ties in an order are broken by hashes that are the same for every document. Texts are read
+    whole; a very long one is a block of its own. An empty table gives no rows; other columns are ignored. doc_id is
+    an integer.
     """
     spark = docs.sparkSession
-    scratch, buckets = Scratch(spark, "jaccard"), shuffle_parts(spark)
+    scratch = Scratch(spark, "jaccard")
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in B.rows_of(batches):
@@ -369,12 +408,13 @@ def near_duplicates(docs: DataFrame, *, words: int = 5, percent: int = 75, stars
         return _sets(B.first_block(left), right, words, percent, buckets)
 
     texts = B.build(scratch, "blocks", docs)
+    buckets = B.bucket_count(texts)
     with scratch.small_batches():
-        counted = scratch.put("counted", texts.mapInArrow(send, B.SENT).groupBy("bucket").applyInPandas(_frequencies, B.ANSWER))
+        counted = scratch.put("counted", texts.mapInArrow(send, B.SENT).repartition(buckets, "bucket").groupBy("bucket").applyInPandas(_frequencies, B.ANSWER))
         sets = scratch.put("sets", texts.groupBy("block").cogroup(counted.groupBy("block")).applyInPandas(cut, SETS))
     scratch.drop("blocks", "counted")
     able = sets.where("digest is not null")
-    classes = able.groupBy("digest").agg(F.min("doc_id").alias("first_id"), F.first("n").alias("n"), F.first("tokens").alias("tokens"), F.first("codes").alias("codes"))
+    classes = able.groupBy("digest").agg(F.min("doc_id").alias("first_id"), *(F.first(c).alias(c) for c in ("n", "tokens", "codes", "marks")))
     classes = scratch.put("classes", classes.withColumn("node", F.monotonically_increasing_id()))
     comps, many = classes.select("node", F.col("node").alias("comp")), classes.count()
     placed = lambda: classes.join(comps, "node")
@@ -383,8 +423,12 @@ def near_duplicates(docs: DataFrame, *, words: int = 5, percent: int = 75, stars
     def linked(name: str, pairs: DataFrame) -> tuple[DataFrame, bool]:
         """Components after the pairs that prove to be links, whose ends count as their components so far; and whether
         there were many of them."""
-        new = scratch.put(f"links-{name}", _links(classes, scratch.put(f"pairs-{name}", pairs), percent))
+        pairs = scratch.put(f"pairs-{name}", pairs)
+        tried = scratch.put(f"tried-{name}", _links(classes, pairs, percent))
+        new = tried.where("link")
         count = new.count()
+        if report is not None:
+            report[name] = {"pairs": pairs.count(), "under_all_orders": tried.count(), "links": count}
         if not count:
             return comps, False
         ends = new.join(comps.toDF("x", "cx"), "x").join(comps.toDF("y", "cy"), "y").where("cx <> cy")
@@ -394,17 +438,23 @@ def near_duplicates(docs: DataFrame, *, words: int = 5, percent: int = 75, stars
 
     with scratch.small_batches(512):
         for turn in range(stars):
-            star = pairs_of(_postings(placed(), turn, True, percent, buckets, most), _star_pairs(percent, turn), "x long, y long")
+            star = pairs_of(_postings(placed(), turn, True, buckets, most), _star_pairs(percent, turn), "x long, y long")
             comps, more = linked(f"star{turn}", star.distinct())
             if not more:
                 break
-        opened = scratch.put("open", pairs_of(_postings(placed(), None, False, percent, buckets, most), _open_nodes, "node long").distinct())
-        found = pairs_of(_postings(placed().join(opened, "node", "left_semi"), None, True, percent, buckets, most), _candidates(percent, buckets), "x long, y long, o int")
-        mixed = scratch.put("mixed", _mixed_hot(placed(), percent, most))
+        opened = scratch.put("open", pairs_of(_postings(placed(), None, False, buckets, most), _open_nodes, "node long").distinct())
+        found = pairs_of(_postings(placed().join(opened, "node", "left_semi"), None, True, buckets, most), _candidates(percent, buckets), "x long, y long, o int")
+        mixed = scratch.put("mixed", _mixed_hot(placed(), most))
         if mixed.limit(1).count():
-            found = found.union(pairs_of(_sliced(placed(), mixed, percent, buckets, most), _candidates(percent, buckets), "x long, y long, o int"))
-        under_all = found.groupBy("x", "y").agg(F.bit_or(F.expr("1 << o")).alias("orders")).where(F.col("orders") == 2 ** len(ORDERS) - 1)
+            found = found.union(pairs_of(_sliced(placed(), mixed, buckets, most), _candidates(percent, buckets), "x long, y long, o int"))
+        found = scratch.put("found", found.groupBy("x", "y").agg(F.bit_or(F.expr("1 << o")).alias("orders")))
+        if report is not None:
+            report["all"] = {"orders": {int(r["orders"]): r["count"] for r in found.groupBy("orders").count().collect()}}
+        under_all = found.where(F.col("orders") == 2 ** len(ORDERS) - 1)
+        before = (report or {}).get("all", {})
         comps, _ = linked("all", under_all.select("x", "y"))
+        if report is not None:
+            report["all"] |= before
     named = classes.select("node", "digest", "first_id").join(comps, "node")
     least = named.groupBy("comp").agg(F.min("first_id").alias("component_id"))
     named = named.join(least, "comp").select("digest", "component_id")
