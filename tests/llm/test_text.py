@@ -18,7 +18,7 @@ from wellfield.llm.byte_bpe import Merger, decode, digests, encode, token_starts
 from wellfield.llm.codepoints import code_points
 from wellfield.llm.license_scan import fuzzy_spans, scan_licenses, words_of
 
-from .common import SCHEMA, WORD, documents, empty, rows
+from .common import SCHEMA, WORD, documents, empty, prose, rows
 
 PATH = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 SF = "/root/testdata/sf0.001"
@@ -195,5 +195,49 @@ def test_crf_learns_runs():
     assert share(1) > 0.9 and share(0) < 0.1 and crf.pairs[0, 0] + crf.pairs[1, 1] > crf.pairs[0, 1] + crf.pairs[1, 0]
 
 
+def test_crf_marks_planted_boilerplate(spark):
+    """Junk lines between ordinary ones are marked, the lines around them are not, and the share decides."""
+    junk = ["Home | News | About | Contact | Login", "CLICK HERE!! BUY NOW!! SAVE BIG!!", "### *** $$$ &&& ### *** $$$"]
+    line = lambda k: prose(k, 12).capitalize().rstrip(".") + "."
+    mixed = lambda k, n: "\n".join(x for j in range(12) for x in ([line(k + j)] + ([junk[(k + j) % 3] + f" {j}"] if j < n else [])))
+    data = [(k, mixed(k, 0 if k % 2 else 12), *[None] * 12) for k in range(80)] + [(1000 + k, mixed(k + 100, 5), *[None] * 12) for k in range(20)]
+    docs = documents(spark, data)
+    crf = Q.train(docs, spark.createDataFrame([(k, k % 2, 0) for k in range(80)], "doc_id long, quality int, toxic int"))
+    got = {r.doc_id: r for r in Q.quality_rules(docs, crf).collect()}
+    size = lambda lines: sum(map(len, lines))
+    for k, text, *_ in data:
+        lines = text.split("\n")
+        bad = [x for x in lines if x.startswith(("Home", "CLICK", "###"))]
+        assert got[k].content_share == pytest.approx(1 - size(bad) / size(lines), abs=0.05)
+        assert k >= 1000 or got[k].kept == bool(k % 2)
+
+
+def test_training_lines_are_bounded(spark):
+    """Rows with one id, two labels for one id, long documents: a bounded number of lines, and the same each time."""
+    data = [(1, "\n".join(f"line {k} of it." for k in range(3000)), *[None] * 12)] * 3 + [(2, "# # #\n" * 9, *[None] * 12), (2, None, *[None] * 12), (3, "", *[None] * 12)]
+    labels = spark.createDataFrame([(1, 1, 0), (2, 1, 0), (2, 0, 0), (3, 1, 0)], "doc_id long, quality int, toxic int")
+    found = []
+    keep = Q._least_share
+    try:
+        Q._least_share = lambda crf, documents: found.append([(len(x), q) for x, _, q in documents]) or keep(crf, documents)
+        first, second = (Q.train(documents(spark, data), labels) for _ in range(2))
+    finally:
+        Q._least_share = keep
+    assert found == [[(Q.MOST_LINES, 1), (9, 0)]] * 2 and (first.weights == second.weights).all()
+
+
+@pytest.mark.parametrize("unit", ["word and another, ", "x", "a b\n"])
+def test_measure_of_very_long_texts_is_bounded(unit):
+    import tracemalloc
+
+    n = 8 << 20
+    data = np.resize(np.frombuffer(unit.encode(), np.uint8), n)
+    tracemalloc.start()
+    counts = Q.measure(data, np.array([0, n])).counts
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert counts["n_words"][0] == len(data.tobytes().split()) and peak < (90 if "\n" in unit else 24) * n
+
+
 def test_schema_has_clashing_names():
     assert "size long" in SCHEMA and "block long" in SCHEMA

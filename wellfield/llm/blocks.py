@@ -162,7 +162,7 @@ def run_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, step: int
             for at in range(0, int(lengths[lo]), step):
                 size = min(step, int(lengths[lo]) - at)
                 first = int(starts[lo]) + at
-                sums[lo] += (BYTE[data[first : first + size]] * places(at, at + size)).sum(dtype=np.uint64)
+                sums[lo : lo + 1] += (BYTE[data[first : first + size]] * places(at, at + size)).sum(dtype=np.uint64, keepdims=True)
         else:
             sums[lo:hi] = _short_sums(data, starts[lo:hi], lengths[lo:hi])
         lo = hi
