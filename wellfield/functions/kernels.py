@@ -20,15 +20,14 @@ def rate(t: np.ndarray, qi: float, dei: float, deff: float, b: float) -> np.ndar
 
 
 def weighted_derivative(y: np.ndarray, x: np.ndarray, apart: float) -> np.ndarray:
-    """Three-point derivative of y over x with neighbours at least `apart` away, weighted by the other side's distance;
+    """Three-point derivative of y over rising x with neighbours at least `apart` away, weighted by the other side's distance;
     nothing at the ends."""
-    out = np.full(len(x), np.nan)
-    for i in range(len(x)):
-        before, after = np.flatnonzero(x <= x[i] - max(apart, 1e-12)), np.flatnonzero(x >= x[i] + max(apart, 1e-12))
-        if len(before) and len(after):
-            l, r = before[-1], after[0]
-            dl, dr = x[i] - x[l], x[r] - x[i]
-            out[i] = ((y[i] - y[l]) / dl * dr + (y[r] - y[i]) / dr * dl) / (dl + dr)
+    out, gap = np.full(len(x), np.nan), max(apart, 1e-12)
+    left, right = np.searchsorted(x, x - gap, "right") - 1, np.searchsorted(x, x + gap, "left")
+    i = np.flatnonzero((left >= 0) & (right < len(x)))
+    l, r = left[i], right[i]
+    dl, dr = x[i] - x[l], x[r] - x[i]
+    out[i] = ((y[i] - y[l]) / dl * dr + (y[r] - y[i]) / dr * dl) / (dl + dr)
     return out
 
 

@@ -98,12 +98,25 @@ def summary(flows: DataFrame, rate: float = 0.1) -> DataFrame:
     return sums.select("uid", (life / 12).alias("life"), (months / 12).alias("payout"), roi(F.col("net")).alias("roi"), roi(F.col("pv")).alias("droi"), "oil_eur", "gas_eur")
 
 
-def _root(f, lo: float, hi: float, steps: int = 80) -> float:
-    """Where f, falling, crosses zero; the nearer end if it doesn't."""
-    if f(lo) <= 0:
-        return lo
-    if f(hi) > 0:
-        return hi
+#: Brackets of roots double up to this power of two; where f has no change of sign by then, there is no root.
+DOUBLINGS = 40
+
+
+def _root(f, lo: float, hi: float, steps: int = 100) -> float | None:
+    """Where f, positive below and not above, changes sign: the bracket grows on both sides until it does, or None."""
+    width = hi - lo
+    for k in range(DOUBLINGS):
+        if f(lo) > 0:
+            break
+        lo, hi = lo - width * 2.0**k, lo
+    else:
+        return None
+    for k in range(DOUBLINGS):
+        if f(hi) <= 0:
+            break
+        lo, hi = hi, hi + width * 2.0**k
+    else:
+        return None
     for _ in range(steps):
         mid = (lo + hi) / 2
         lo, hi = (mid, hi) if f(mid) > 0 else (lo, mid)
@@ -111,22 +124,28 @@ def _root(f, lo: float, hi: float, steps: int = 80) -> float:
 
 
 def irr(flows: DataFrame) -> DataFrame:
-    """The yearly rate at which the net present value is zero, 0 at least; 1 without interest or investment."""
+    """The yearly rate at which the net present value is zero, 0 at least; 1 without interest or investment, null where
+    the value is positive at every rate."""
+
+    def root(cash: np.ndarray, years: np.ndarray) -> float | None:
+        value = lambda r: float(np.sum(cash / (1 + r) ** years))
+        return 0.0 if value(0.0) <= 0 else _root(value, 0.0, 1.0)
 
     def run(frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.sort_values("month")
         if not frame["spent"].iloc[0]:
             return pd.DataFrame({"uid": frame["uid"].iloc[:1], "irr": [1.0]})
         cash, years = frame["net_cf"].to_numpy(), (frame["month"].to_numpy() + 0.5) / 12
-        return pd.DataFrame({"uid": frame["uid"].iloc[:1], "irr": [_root(lambda r: float(np.sum(cash / (1 + r) ** years)), 0.0, 100.0)]})
+        return pd.DataFrame({"uid": frame["uid"].iloc[:1], "irr": [None if (found := root(cash, years)) is None else float(found)]}).astype({"irr": float})
 
     rows = flows.select("uid", "month", "net_cf", (F.col("wi") * F.col("capex")).alias("spent"))
     return rows.groupBy("uid").applyInPandas(run, f"uid {flows.schema['uid'].dataType.simpleString()}, irr double")
 
 
-def breakeven(volumes: DataFrame, inputs: DataFrame, *, rate: float = 0.1, ratio: float = 20.0, most: float = 500.0) -> DataFrame:
-    """The oil price, to cents, at which the present value is zero, the gas price being a fixed share of it. A well's
-    months come together as one array; every row is solved on its own."""
+def breakeven(volumes: DataFrame, inputs: DataFrame, *, rate: float = 0.1, ratio: float = 20.0) -> DataFrame:
+    """The oil price, to cents, above which the present value is positive, the gas price being a fixed share of it; it
+    may be negative, and is null where the value is positive at all prices or at none. A well's months come together as
+    one array; every row is solved on its own."""
     months = volumes.groupBy("uid").agg(F.sort_array(F.collect_list(F.struct("month", "oil", "gas", "water"))).alias("rows"))
 
     def solve(batches):
@@ -134,8 +153,9 @@ def breakeven(volumes: DataFrame, inputs: DataFrame, *, rate: float = 0.1, ratio
             prices = []
             for row in frame.to_dict("records"):
                 table = pd.DataFrame(list(row["rows"])).astype(float)
-                prices.append(round(_root(lambda p, t=table, r=row: -_value(t, r, p, rate, ratio), 0.0, most), 2))
-            yield pd.DataFrame({"uid": frame["uid"], "price": prices})
+                found = _root(lambda p, t=table, r=row: 0.5 - (_value(t, r, p, rate, ratio) > 0), 0.0, 50.0)
+                prices.append(None if found is None else round(found, 2))
+            yield pd.DataFrame({"uid": frame["uid"], "price": np.array(prices, float)})
 
     return months.join(inputs, "uid").mapInPandas(solve, f"uid {inputs.schema['uid'].dataType.simpleString()}, price double")
 

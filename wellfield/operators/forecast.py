@@ -138,7 +138,8 @@ def b_diagnostics(rows: DataFrame, keys: list[str], *, rate: str = "q", time: st
 
     Rates of zero go; a group starts at the last place of its largest rate and needs `least` points. D is the log of the
     last rate over this one per time; only values between 0.001 t and 3 t count. Every limit from `least` to `most`
-    months is tried, and the first with the largest r2 stays."""
+    months is tried, and the first with the largest r2 stays. Running sums up to a point give the line of every limit
+    from its place to the next point's, so one pass over the group serves them all."""
     group = Window.partitionBy(*keys)
     rows = rows.where(F.col(rate) > 0).withColumn("top", F.max(rate).over(group))
     rows = rows.withColumn("from", F.max(F.when(F.col(rate) == F.col("top"), F.col(time))).over(group)).where(F.col(time) >= F.col("from"))
@@ -148,9 +149,15 @@ def b_diagnostics(rows: DataFrame, keys: list[str], *, rate: str = "q", time: st
     step = F.nullif(F.col(time) - F.lag(time).over(order), F.lit(0))
     rows = rows.withColumn("d", F.ln(F.lag(rate).over(order) / F.col(rate)) / step)
     rows = rows.withColumn("y", (1 - F.col("d")) / F.nullif(F.col("d"), F.lit(0.0))).where(f"y > 0.001 * {time} and y < 3 * {time}")
-    limits = F.explode(F.sequence(F.lit(least), F.lit(most)))
-    tried = rows.withColumn("months", limits).where(F.col("k") <= F.col("months"))
-    lines = tried.groupBy(*keys, "months").agg(F.regr_slope("y", time).alias("slope"), F.regr_r2("y", time).alias("r2"), F.count("*").alias("points")).where("r2 is not null")
+    so_far = order.rowsBetween(Window.unboundedPreceding, 0)
+    x, y = F.col(time) - F.col("from"), F.col("y")
+    sums = {"points": F.lit(1), "sx": x, "sy": y, "sxx": x * x, "sxy": x * y, "syy": y * y}
+    rows = rows.select(*keys, "k", *(F.sum(v).over(so_far).alias(n) for n, v in sums.items()), F.coalesce(F.lead("k").over(order) - 1, F.lit(most)).alias("upto"))
+    rows = rows.withColumn("months", F.greatest("k", F.lit(least))).where((F.col("months") <= F.col("upto")) & (F.col("months") <= most))
+    spread = lambda a, b, ab: F.col(ab) * F.col("points") - F.col(a) * F.col(b)
+    rows = rows.select(*keys, "months", "points", spread("sx", "sx", "sxx").alias("xx"), spread("sx", "sy", "sxy").alias("xy"), spread("sy", "sy", "syy").alias("yy"))
+    flat = F.when(F.col("yy") <= 1e-12 * F.col("points"), 1.0)
+    lines = rows.where("xx > 0").select(*keys, "months", (F.col("xy") / F.col("xx")).alias("slope"), F.coalesce(flat, F.col("xy") * F.col("xy") / (F.col("xx") * F.col("yy"))).alias("r2"), "points")
     by = Window.partitionBy(*keys).orderBy(F.desc(F.round("r2", 10)), "months")
     return lines.withColumn("place", F.row_number().over(by)).where("place = 1").drop("place")
 

@@ -31,15 +31,20 @@ def within(left: DataFrame, right: DataFrame, reach: float, *, same_id: bool = F
 def lateral_pairs(laterals: DataFrame, reach: float) -> DataFrame:
     """Pairs (id, other) of two-point laterals of which the other meets the id's flat-ended buffer of `reach` metres.
 
-    Both envelopes go to grid cells; pairs that share one meet the exact test once. In the frame of the id's chord the
-    buffer is a rectangle, so clipping the other to it is a slab test in closed form. The clipped ends come along."""
+    Both envelopes go to grid cells. Pairs whose envelopes overlap meet the exact test once, in the cell that holds the
+    overlap's lower corner, so no pair is shuffled to be made distinct. In the frame of the id's chord the buffer is a
+    rectangle, so clipping the other to it is a slab test in closed form. The clipped ends come along."""
     size = 2 * reach
-    a, b = F.col("a"), F.col("b")
-    envelope = lambda k, pad: (F.least(a[k], b[k]) - pad, F.greatest(a[k], b[k]) + pad)
-    celled = lambda pad: laterals.withColumn("cx", F.explode(_cells(*envelope("x", pad), size))).withColumn("cy", F.explode(_cells(*envelope("y", pad), size)))
-    own = celled(reach).select("id", "a", "b", "cx", "cy")
-    other = celled(0.0).select(F.col("id").alias("other"), F.col("a").alias("oa"), F.col("b").alias("ob"), "cx", "cy")
-    pairs = own.join(other, ["cx", "cy"]).where("id <> other").dropDuplicates(["id", "other"])
+    edges = lambda pad: [f(F.col("a")[k], F.col("b")[k]) + sign * pad for k in "xy" for f, sign in ((F.least, -1), (F.greatest, 1))]
+
+    def celled(pad: float, names: dict[str, str], mark: str) -> DataFrame:
+        boxed = laterals.select(*(F.col(a).alias(b) for a, b in names.items()), *(e.alias(f"{mark}{n}") for e, n in zip(edges(pad), ("x0", "x1", "y0", "y1"))))
+        return boxed.withColumn("cx", F.explode(_cells(F.col(f"{mark}x0"), F.col(f"{mark}x1"), size))).withColumn("cy", F.explode(_cells(F.col(f"{mark}y0"), F.col(f"{mark}y1"), size)))
+
+    met = celled(reach, {"id": "id", "a": "a", "b": "b"}, "o").join(celled(0.0, {"id": "other", "a": "oa", "b": "ob"}, "p"), ["cx", "cy"])
+    overlap = (F.col("ox0") <= F.col("px1")) & (F.col("px0") <= F.col("ox1")) & (F.col("oy0") <= F.col("py1")) & (F.col("py0") <= F.col("oy1"))
+    corner = (F.floor(F.greatest("ox0", "px0") / size) == F.col("cx")) & (F.floor(F.greatest("oy0", "py0") / size) == F.col("cy"))
+    pairs = met.where((F.col("id") != F.col("other")) & overlap & corner).select("id", "a", "b", "other", "oa", "ob")
     return _clipped(pairs, reach).where("t0 <= t1")
 
 
@@ -61,7 +66,8 @@ def _clipped(pairs: DataFrame, reach: float) -> DataFrame:
 
     l0, l1 = slab("s0", "s1", F.lit(0.0), F.col("span"))
     w0, w1 = slab("c0", "c1", F.lit(-reach), F.lit(reach))
-    return pairs.select("*", F.greatest(F.lit(0.0), l0, w0).alias("t0"), F.least(F.lit(1.0), l1, w1).alias("t1")).drop("s0", "s1", "c0", "c1", "ux", "uy", "span")
+    pairs = pairs.select("*", *(c.alias(n) for c, n in zip((l0, l1, w0, w1), ("l0", "l1", "w0", "w1"))))
+    return pairs.select("*", F.greatest(F.lit(0.0), F.col("l0"), F.col("w0")).alias("t0"), F.least(F.lit(1.0), F.col("l1"), F.col("w1")).alias("t1")).drop("s0", "s1", "c0", "c1", "ux", "uy", "span", "l0", "l1", "w0", "w1")
 
 
 def spacing(pairs: DataFrame, reach: float, *, every: float = 100 / G.FEET, least_feet: float = 100.0) -> DataFrame:

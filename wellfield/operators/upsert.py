@@ -8,7 +8,8 @@ from pyspark.sql.window import Window
 
 
 def merge(target: DataFrame, source: DataFrame, keys: list[str], *, keep_old: list[str] = (), coalesce_old: list[str] = (), only_newer: str | None = None) -> DataFrame:
-    """Update rows whose keys match, insert the others. Null keys never match.
+    """Update rows whose keys match, insert the others. Null keys never match. A key that the source has twice would
+    update one row twice: that is an error, raised when the result is computed.
 
     keep_old: columns set on insert only. coalesce_old: the old value stays where the new one is null. only_newer: an
     update happens only where this column has grown. One full join on the keys does all of it."""
@@ -16,7 +17,11 @@ def merge(target: DataFrame, source: DataFrame, keys: list[str], *, keep_old: li
     for key in keys:
         match = match & (F.col(f"t.{key}") == F.col(f"s.{key}"))
     there, here = F.col("t.__old").isNotNull(), F.col("s.__new").isNotNull()
-    t, s = target.withColumn("__old", F.lit(1)).alias("t"), source.withColumn("__new", F.lit(1)).alias("s")
+    known = F.lit(True)
+    for key in keys:
+        known = known & F.col(key).isNotNull()
+    twice = F.when(known & (F.count("*").over(Window.partitionBy(*keys)) > 1), F.raise_error(F.lit("several source rows for one key"))).otherwise(1)
+    t, s = target.withColumn("__old", F.lit(1)).alias("t"), source.withColumn("__new", twice.cast("int")).alias("s")
     take = here if only_newer is None else here & (~there | (F.col(f"t.{only_newer}") < F.col(f"s.{only_newer}")))
 
     def pick(c: str):
@@ -62,7 +67,8 @@ def insert_missing(target: DataFrame, source: DataFrame, keys: list[str]) -> Dat
 
 
 def latest_wins(rows: DataFrame, keys: list[str], column: str) -> DataFrame:
-    by = Window.partitionBy(*keys).orderBy(F.desc(column))
+    """The row of each key with the largest `column`; of equal ones the largest by the other columns."""
+    by = Window.partitionBy(*keys).orderBy(F.desc_nulls_last(column), *(F.desc(c) for c in rows.columns if c not in (*keys, column)))
     return rows.withColumn("__n", F.row_number().over(by)).where("__n = 1").drop("__n")
 
 

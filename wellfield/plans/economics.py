@@ -228,7 +228,14 @@ _LINES = f"""{BEST}, st as (select *, last_day(startdate + case when wellid % 3
     union all select wellid, measure, sd, n1, n2, 3, printf('%.6f', a3) || ' X ' || un || ' ' || printf('%.6f', round(def * 100, 6)) || ' EXP B/' || printf('%.4f', b_factor) || ' ' || printf('%.6f', round(dei * 100, 6)) from st
     union all select wellid, measure, sd, n1, n2, 4, 'X ' || printf('%.6f', qabn) || ' ' || un || ' X YRS EXP ' || printf('%.6f', round(def * 100, 6)) from st),
   lv as (select * from li where not (line = 1 and n1 = 0) and not (line = 2 and n2 = 0))"""
+_AT = "list_sum(list_transform(nets, lambda x, i: x / power(1 + {r}, (i - 0.5) / 12)))"
+#: Halving of the bracket between nothing and the first power of two at which the value is not positive.
+_IRR = f"""{ECON.replace('with', 'with recursive', 1)}, g as (select uid, max(wi * capex) as spent, list(net order by month) as nets from e group by 1),
+  k as (select *, list_sum(nets) as f0, list_filter(range(0, 40), lambda n: {_AT.format(r='power(2, n)')} <= 0)[1] as k0 from g),
+  b as (select uid, nets, 0::double as lo, power(2, k0)::double as hi, 0 as step from k where spent <> 0 and f0 > 0 and k0 is not null
+    union all select uid, nets, case when v > 0 then (lo + hi) / 2 else lo end, case when v > 0 then hi else (lo + hi) / 2 end, step + 1 from (select *, {_AT.format(r='(lo + hi) / 2')} as v from b where step < 60))"""
 ORACLES = {
+    "e5_irr": f"{_IRR} select k.uid, round(case when spent = 0 then 1 when f0 <= 0 then 0 else (lo + hi) / 2 end, 4) as irr from k left join b on b.uid = k.uid and step = 60",
     "e1_cash_flow": f"{FLOW} select uid, month, round(os + 1e-7, 4) as oil_sales, round(gs + 1e-7, 4) as gas_sales, round(ns + 1e-7, 4) as ngl_sales, round(rev + 1e-7, 4) as total_rev, round(tax + 1e-7, 4) as tax, round(opex + 1e-7, 4) as opex, round(op + 1e-7, 4) as op_cf, round(net + 1e-7, 4) as net_cf, round(cum_op + 1e-7, 4) as cum_op, round(cum_net + 1e-7, 4) as cum_net from c",
     "e2_economic_limit": f"{ECON} select uid, month, am as aban_month, round(rev + 1e-7, 4) as total_rev, round(op + 1e-7, 4) as op_cf, round(net + 1e-7, 4) as net_cf, round(cum_net + 1e-7, 4) as cum_net from e",
     "e3_npv": f"{ECON} select uid, round({_NPV.format(r='0.1::double')}, 4) as npv from e group by 1",

@@ -257,7 +257,7 @@ ORACLES = {
     "b13_goodness": f"{SERIES}, f as (select *, case when wellid % 4 = 0 then 5.0::double else q + t % 5 end as fit from series) select wellid, measure, round(case when wellid % 4 = 0 then 0 else power(corr(q, fit), 2) end, 4) as r2, round(sqrt(avg(power(q - fit, 2))), 4) as rmse, round(avg(abs(q - fit)), 4) as mae from f group by 1, 2",
     "b15_bands": f"{BEST}, src as (select wellid, measure, q3 as qi, dei + n * 0.01::double as dei, def, b_factor as b, t from best, (select unnest(generate_series(1, 9)) as n), (values (12), (60)) v(t)), {arps('src')} select wellid, measure, t, round(quantile_cont(q, 0.1), 4) as p90, round(quantile_cont(q, 0.5), 4) as p50, round(quantile_cont(q, 0.9), 4) as p10 from c6 group by 1, 2, 3",
     "w18_smoothing": f"{SERIES}, s1 as (select wellid, measure, t, avg(q) over (partition by wellid, measure order by t rows 2 preceding) as q from series) select wellid, measure, t, round(avg(q) over (partition by wellid, measure order by t rows 2 preceding), 4) as q from s1",
-    "w19_log_difference": f"{SERIES} select a.wellid, a.measure, a.t, round(ln(b.q / a.q), 4) as d from series a left join series b on a.wellid = b.wellid and a.measure = b.measure and b.t = a.t - 1",
+    "w19_log_difference": f"{SERIES} select wellid, measure, t, round(ln(lag(q) over w / q), 4) as d from series window w as (partition by wellid, measure order by t)",
     "ag14_regression": f"{RANKED} select wellid, measure, round(regr_slope(value, daterank), 4) as slope, round(regr_r2(value, daterank), 4) as r2, round(regr_sxx(value, daterank), 4) as sxx from ranked group by 1, 2",
     "ag15_errors": f"{RANKED}, f as (select measure, value, value * 0.9::double + daterank as fit from ranked) select measure, round(power(corr(value, fit), 2), 4) as r2, round(sqrt(avg(power(value - fit, 2))), 4) as rmse, round(avg(abs(value - fit)), 4) as mae from f group by 1",
 }

@@ -16,14 +16,14 @@ def updates(stream: DataFrame, keys: list[str], time: str, late: str = "30 days"
 
 
 def monthly_totals(stream: DataFrame, time: str, late: str = "30 days") -> DataFrame:
-    """Volume by phase over windows of thirty days, final once the watermark has passed."""
+    """Volume by phase over windows of thirty days; state is kept until the watermark has passed a window."""
     timed = stream.withColumn(time, F.col(time).cast("timestamp")).withWatermark(time, late)
     return timed.groupBy(F.window(time, "30 days"), "measure").agg(F.sum("value").alias("value"), F.count("*").alias("n"))
 
 
 class VersionedTable:
     """A table at root/<version>; a batch writes the next version and then points to it, so a reader or a restarted
-    stream sees whole versions only."""
+    stream sees whole versions only. The version before stays for its readers, older ones are removed."""
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
@@ -43,7 +43,11 @@ class VersionedTable:
     def replace(self, df: DataFrame, batch: int) -> None:
         version = f"v{batch}-{uuid.uuid4().hex[:8]}"
         df.write.parquet(f"{self.root}/{version}")
+        old = [] if self.current() is None else [r[0] for r in self.spark.read.parquet(f"{self.root}/pointers").orderBy("batch").collect()]
         self.spark.createDataFrame([(batch, version)], "batch long, version string").coalesce(1).write.mode("append").parquet(f"{self.root}/pointers")
+        for name in old[:-1]:
+            path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}")
+            path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def merge_stream(stream: DataFrame, table: VersionedTable, keys: list[str], newer: str, checkpoint: str) -> StreamingQuery:
@@ -55,3 +59,13 @@ def merge_stream(stream: DataFrame, table: VersionedTable, keys: list[str], newe
         table.replace(rows if old is None else merge(old, rows, keys, only_newer=newer), number)
 
     return stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def upsert_stream(stream: DataFrame, table: VersionedTable, keys: list[str], checkpoint: str) -> StreamingQuery:
+    """Start a query in update mode: the rows that a micro-batch changes replace those with their keys."""
+
+    def apply(batch: DataFrame, number: int) -> None:
+        old = table.read()
+        table.replace(batch if old is None else merge(old, batch, keys), number)
+
+    return stream.writeStream.outputMode("update").foreachBatch(apply).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
