@@ -38,25 +38,30 @@ def lateral_pairs(laterals: DataFrame, reach: float) -> DataFrame:
     edges = lambda pad: [f(F.col("a")[k], F.col("b")[k]) + sign * pad for k in "xy" for f, sign in ((F.least, -1), (F.greatest, 1))]
 
     def celled(pad: float, names: dict[str, str], mark: str) -> DataFrame:
-        boxed = laterals.select(*(F.col(a).alias(b) for a, b in names.items()), *(e.alias(f"{mark}{n}") for e, n in zip(edges(pad), ("x0", "x1", "y0", "y1"))))
+        boxed = _held(laterals, **{f"{mark}{n}": e for e, n in zip(edges(pad), ("x0", "x1", "y0", "y1"))}).withColumnsRenamed(names)
         return boxed.withColumn("cx", F.explode(_cells(F.col(f"{mark}x0"), F.col(f"{mark}x1"), size))).withColumn("cy", F.explode(_cells(F.col(f"{mark}y0"), F.col(f"{mark}y1"), size)))
 
-    met = celled(reach, {"id": "id", "a": "a", "b": "b"}, "o").join(celled(0.0, {"id": "other", "a": "oa", "b": "ob"}, "p"), ["cx", "cy"])
+    met = celled(reach, {}, "o").join(celled(0.0, {"id": "other", "a": "oa", "b": "ob"}, "p"), ["cx", "cy"])
     overlap = (F.col("ox0") <= F.col("px1")) & (F.col("px0") <= F.col("ox1")) & (F.col("oy0") <= F.col("py1")) & (F.col("py0") <= F.col("oy1"))
     corner = (F.floor(F.greatest("ox0", "px0") / size) == F.col("cx")) & (F.floor(F.greatest("oy0", "py0") / size) == F.col("cy"))
     pairs = met.where((F.col("id") != F.col("other")) & overlap & corner).select("id", "a", "b", "other", "oa", "ob")
     return _clipped(pairs, reach).where("t0 <= t1")
 
 
+def _held(df: DataFrame, **columns: Column) -> DataFrame:
+    """df with columns that later filters and projections read as they are: a generator of one row stands between, so
+    the optimizer does not write large expressions out again where they are used."""
+    return df.select("*", F.inline(F.array(F.struct(*(c.alias(n) for n, c in columns.items())))))
+
+
 def _clipped(pairs: DataFrame, reach: float) -> DataFrame:
     """t0, t1: the part of the other lateral (oa, ob) inside the flat buffer of (a, b)."""
     a, b, oa, ob = (F.col(c) for c in ("a", "b", "oa", "ob"))
     span = G.distance(a, b)
-    ux, uy = (b["x"] - a["x"]) / F.nullif(span, F.lit(0.0)), (b["y"] - a["y"]) / F.nullif(span, F.lit(0.0))
-    pairs = pairs.withColumn("ux", ux).withColumn("uy", uy).withColumn("span", span)
+    pairs = _held(pairs, span=span, ux=(b["x"] - a["x"]) / F.nullif(span, F.lit(0.0)), uy=(b["y"] - a["y"]) / F.nullif(span, F.lit(0.0)))
     along = lambda p: (p["x"] - a["x"]) * F.col("ux") + (p["y"] - a["y"]) * F.col("uy")
     across = lambda p: (p["y"] - a["y"]) * F.col("ux") - (p["x"] - a["x"]) * F.col("uy")
-    pairs = pairs.select("*", along(oa).alias("s0"), along(ob).alias("s1"), across(oa).alias("c0"), across(ob).alias("c1"))
+    pairs = _held(pairs, s0=along(oa), s1=along(ob), c0=across(oa), c1=across(ob))
 
     def slab(v0: str, v1: str, lo: Column, hi: Column) -> tuple[Column, Column]:
         start, change = F.col(v0), F.col(v1) - F.col(v0)
@@ -64,10 +69,9 @@ def _clipped(pairs: DataFrame, reach: float) -> DataFrame:
         inside = (start >= lo) & (start <= hi)
         return F.when(change == 0, F.when(inside, 0.0).otherwise(2.0)).otherwise(F.least(x, y)), F.when(change == 0, F.when(inside, 1.0).otherwise(-1.0)).otherwise(F.greatest(x, y))
 
-    l0, l1 = slab("s0", "s1", F.lit(0.0), F.col("span"))
-    w0, w1 = slab("c0", "c1", F.lit(-reach), F.lit(reach))
-    pairs = pairs.select("*", *(c.alias(n) for c, n in zip((l0, l1, w0, w1), ("l0", "l1", "w0", "w1"))))
-    return pairs.select("*", F.greatest(F.lit(0.0), F.col("l0"), F.col("w0")).alias("t0"), F.least(F.lit(1.0), F.col("l1"), F.col("w1")).alias("t1")).drop("s0", "s1", "c0", "c1", "ux", "uy", "span", "l0", "l1", "w0", "w1")
+    (l0, l1), (w0, w1) = slab("s0", "s1", F.lit(0.0), F.col("span")), slab("c0", "c1", F.lit(-reach), F.lit(reach))
+    pairs = _held(pairs, t0=F.greatest(F.lit(0.0), l0, w0), t1=F.least(F.lit(1.0), l1, w1))
+    return pairs.drop("s0", "s1", "c0", "c1", "ux", "uy", "span")
 
 
 def spacing(pairs: DataFrame, reach: float, *, every: float = 100 / G.FEET, least_feet: float = 100.0) -> DataFrame:
