@@ -162,3 +162,28 @@ def test_lost_text_is_whole(spark):
     data = [(1, prose(9, 40_000), None, None, None, *[None] * 9), (2, prose(9, 40_000) + " end", None, None, None, *[None] * 9)]
     got = suffix_dedup(documents(spark, data)).drop("spans")
     assert Counter(tuple(r) for r in got.collect()) == plain_suffix(data)
+
+
+def test_windows_with_equal_keys_are_told_apart_by_their_tails():
+    from wellfield.llm.suffix_dedup import _order
+
+    keys, tails = np.array([5, 3, 5, 5, 3, 9], np.uint64), np.array([1, 7, 2, 1, 7, 0], np.uint16)
+    order, new = _order(keys, tails)
+    assert [keys[k] for k in order] == sorted(keys) and new.tolist() == [True, False, True, False, True, True]
+    order, new = _order(keys, tails, np.array([0, 1, 0, 0, 2, 0]))
+    assert new.tolist() == [True, False, True, True, True, True]
+    assert _order(keys[:0], tails[:0])[1].tolist() == []
+
+
+@pytest.mark.parametrize("buckets", [7, 1000])
+def test_suffix_dedup_by_many_buckets(spark, monkeypatch, buckets):
+    monkeypatch.setattr(B, "bucket_count", lambda *_: buckets)
+    got = suffix_dedup(documents(spark)).drop("spans")
+    assert Counter(tuple(r) for r in got.collect()) == plain_suffix(rows())
+
+
+def test_suffix_dedup_of_a_long_run_of_one_byte(spark):
+    """All suffixes of these texts tie to the end of their windows."""
+    data = [(2, "a" * 300_000, *[None] * 12), (1, "b" + "a" * 60, *[None] * 12), (3, "a" * 49, *[None] * 12)]
+    got = {r.doc_id: (r.n_removed, r.n_spans) for r in suffix_dedup(documents(spark, data)).collect()}
+    assert got == {1: (0, 0), 2: (300_000, 1), 3: (0, 0)}

@@ -12,12 +12,35 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import blocks as B
-from .common import Scratch, shuffle_parts
+from .common import Scratch
 
 #: A difference cover: every remainder modulo PERIOD is a difference of two of these, so for any two places some shift
 #: below PERIOD brings both onto sampled places.
 PERIOD, COVER = 21, np.array([3, 6, 7, 12, 14])
 SAMPLE_BYTES, WINDOW_BYTES = 5, 8
+#: A bucket holds the samples or windows of so many bytes of text.
+BUCKET_TEXT = 1 << 24
+
+
+def _order(keys: np.ndarray, tails: np.ndarray, major: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """A sort order by `major` (small whole numbers), key and tail, and where it starts a new group of equals."""
+    order = np.argsort(keys)
+    if major is not None:
+        order = order[np.argsort(major[order].astype(np.uint16 if major.max(initial=0) < 1 << 16 else np.int64), kind="stable")]
+
+    def fresh(*columns: np.ndarray | None) -> np.ndarray:
+        new = np.zeros(len(order), bool)
+        new[:1] = True
+        for c in columns:
+            if c is not None:
+                new[1:] |= c[order[1:]] != c[order[:-1]]
+        return new
+
+    new = fresh(keys, major)
+    if (new != fresh(keys, major, tails)).any():
+        order = np.lexsort((tails, keys) if major is None else (tails, keys, major))
+        new = fresh(keys, major, tails)
+    return order, new
 
 
 class _Suffixes:
@@ -54,15 +77,13 @@ class _Suffixes:
         doc = np.searchsorted(self.block.ends, at, "right")
         whole = self.block.ends[doc] - at >= self.length
         at, doc = at[whole], doc[whole]
-        keys = self._whole_hashes(at)
+        keys, tails = self._whole_hashes(at), self.heads[at + self.length - self.head].astype(np.uint16)
         bucket = B.bucket_of(self.heads[at], buckets)
-        order = np.argsort(keys)
-        order = order[np.argsort(bucket[order].astype(np.uint16 if buckets < 1 << 16 else np.int64), kind="stable")]
-        keys, bucket, docs = keys[order], bucket[order], doc[order]
-        new = np.append(True, (keys[1:] != keys[:-1]) | (bucket[1:] != bucket[:-1])) if len(at) else np.zeros(0, bool)
-        group = np.cumsum(new) - 1
+        order, new = _order(keys, tails, bucket)
+        docs, group = doc[order], np.cumsum(new) - 1
         earliest = np.minimum.reduceat(docs, np.flatnonzero(new)) if len(at) else docs
-        return keys[new], bucket[new], at[order], group, docs > earliest[group]
+        first = order[new]
+        return keys[first], bucket[first], tails[first], at[order], group, docs > earliest[group]
 
     def _whole_hashes(self, at: np.ndarray) -> np.ndarray:
         """Hashes of the windows at rising places, run by run of places that lie close together."""
@@ -96,14 +117,14 @@ def _suffix_bucket(frame: pd.DataFrame) -> pd.DataFrame:
     """One suffix bucket, sorted: which blocks sent a window that an earlier block sent too."""
     frame = frame.sort_values("block")
     keys = np.concatenate([B.unplanes(x, WINDOW_BYTES) for x in frame["keys"]])
-    order, first, group = B.groups(keys)
-    return B.answer(frame, order != np.minimum.reduceat(order, first)[group], order, WINDOW_BYTES)
+    order, new = _order(keys, np.frombuffer(b"".join(map(B.unpack, frame["notes"])), np.uint16))
+    return B.answer(frame, order != np.minimum.reduceat(order, np.flatnonzero(new))[np.cumsum(new) - 1], order, WINDOW_BYTES)
 
 
 def _cut(suffixes: _Suffixes, frame: pd.DataFrame, buckets: int) -> pd.DataFrame:
     block, length = suffixes.block, suffixes.length
     shared = _shared_samples(suffixes, frame[frame["step"] == 1], buckets)
-    _, bucket, at, group, again = suffixes.windows(shared, buckets)
+    _, bucket, _, at, group, again = suffixes.windows(shared, buckets)
     repeated = np.zeros(len(block.data) + 1, np.int32)
     if len(at):
         repeated[at[again | (B.answers(frame[frame["step"] == 2], bucket)[group] > 0)] + 1] = 1
@@ -135,8 +156,9 @@ def suffix_dedup(docs: DataFrame, *, length: int = 50) -> DataFrame:
     is `length` bytes or more. The texts then form blocks in the order of their ids. Samples at the places of a
     difference cover are ranked into classes, one bucket of the key space at a time; only suffixes with a sample whose
     class two texts share can repeat. Those suffixes go to suffix buckets by their head's hash, where one task sorts
-    one bucket at a time. Both sorts are on hashes (45 bits or more for samples, where a chance hit only costs time;
-    64 bits and the bucket's own bits for windows), as only equality to a fixed depth counts here, not order.
+    one bucket at a time; buckets are so many that one holds what BUCKET_TEXT bytes of text send to it. Both sorts are on
+    hashes: 40 bits and the bucket's own for samples, where a chance hit only costs time; for windows 64 bits of the
+    whole, 16 of its last bytes and the bucket's own of its first, as only equality to a fixed depth counts, not order.
 
     A null text counts as empty and has nothing removed; texts are read whole, however long. A null doc_id counts as
     larger than any other. Rows that repeat id and text are one document; rows with one id and several texts are taken
@@ -145,11 +167,12 @@ def suffix_dedup(docs: DataFrame, *, length: int = 50) -> DataFrame:
     if length < 2 * PERIOD:
         raise ValueError(f"length must be {2 * PERIOD} or more")
     spark = docs.sparkSession
-    scratch, buckets = Scratch(spark, "suffix"), shuffle_parts(spark)
+    scratch = Scratch(spark, "suffix")
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     distinct = rows.groupBy("text").agg(F.min("doc_id").alias("doc_id"))
     by_id = F.col("doc_id").asc_nulls_last()
     texts = B.build(scratch, "blocks", distinct.repartitionByRange(by_id).sortWithinPartitions(by_id, "text"))
+    buckets = B.bucket_count(texts, BUCKET_TEXT)
 
     def send_samples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in B.rows_of(batches):
@@ -161,16 +184,16 @@ def suffix_dedup(docs: DataFrame, *, length: int = 50) -> DataFrame:
             return pd.DataFrame({"bucket": [], "block": [], "keys": [], "notes": []})
         block = B.first_block(left)
         suffixes = _Suffixes(block, length)
-        keys, bucket, *_ = suffixes.windows(_shared_samples(suffixes, right, buckets), buckets)
-        return B.send(block.number, bucket, keys, WINDOW_BYTES)
+        keys, bucket, tails, *_ = suffixes.windows(_shared_samples(suffixes, right, buckets), buckets)
+        return B.send(block.number, bucket, keys, WINDOW_BYTES, tails)
 
     def cut(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         return _cut(_Suffixes(B.first_block(left), length), right, buckets)
 
     with scratch.small_batches():
-        samples = scratch.put("samples", texts.mapInArrow(send_samples, B.SENT).groupBy("bucket").applyInPandas(_classes, B.ANSWER))
+        samples = scratch.put("samples", texts.mapInArrow(send_samples, B.SENT).repartition(buckets, "bucket").groupBy("bucket").applyInPandas(_classes, B.ANSWER))
         sent = texts.groupBy("block").cogroup(samples.groupBy("block")).applyInPandas(send_windows, B.SENT)
-        windows = scratch.put("windows", sent.groupBy("bucket").applyInPandas(_suffix_bucket, B.ANSWER))
+        windows = scratch.put("windows", sent.repartition(buckets, "bucket").groupBy("bucket").applyInPandas(_suffix_bucket, B.ANSWER))
         both = samples.withColumn("step", F.lit(1)).unionByName(windows.withColumn("step", F.lit(2)))
         schema = "first_id long, sha string, n_bytes long, n_removed long, n_spans long, kept_sha256 string, spans array<struct<start: long, end: long>>"
         firsts = scratch.put("firsts", texts.groupBy("block").cogroup(both.groupBy("block")).applyInPandas(cut, schema))
