@@ -85,34 +85,42 @@ def bucket_of(keys: np.ndarray, buckets: int) -> np.ndarray:
     return ((keys >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
 
 
-def planes(keys: np.ndarray, width: int) -> bytes:
-    """The low `width` bytes of each key."""
-    return np.ascontiguousarray(keys.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width]).tobytes()
+def gaps(keys: np.ndarray, bits: int) -> bytes:
+    """The upper `bits` of rising keys, as the gaps between them, byte by byte: sorted keys lie close, so the upper bytes
+    of the gaps are mostly nothing and pack away."""
+    upper = keys >> np.uint64(64 - bits)
+    flat = np.diff(upper, prepend=np.uint64(0)).astype("<u8").view(np.uint8).reshape(-1, 8)[:, : bits // 8]
+    return pack(np.ascontiguousarray(flat.T).tobytes())
 
 
-def unplanes(data: bytes, width: int) -> np.ndarray:
-    flat = np.frombuffer(data, np.uint8).reshape(-1, width)
+def ungaps(data: bytes, bits: int) -> np.ndarray:
+    flat = np.frombuffer(unpack(data), np.uint8).reshape(bits // 8, -1).T
     out = np.zeros((len(flat), 8), np.uint8)
-    out[:, :width] = flat
-    return out.view("<u8").ravel()
+    out[:, : bits // 8] = flat
+    return np.cumsum(out.view("<u8").ravel(), dtype=np.uint64)
 
 
-def send(number: int, buckets: np.ndarray, keys: np.ndarray, width: int, notes: np.ndarray | None = None) -> pa.RecordBatch | pd.DataFrame:
-    """The rows of one block; `buckets` rises."""
+def send(number: int, buckets: np.ndarray, keys: np.ndarray, bits: int, notes: np.ndarray | None = None) -> pd.DataFrame:
+    """The rows of one block; `buckets` rises, and keys rise within a bucket."""
     edges = np.flatnonzero(np.append(True, buckets[1:] != buckets[:-1])) if len(buckets) else np.zeros(0, np.int64)
     ends = np.append(edges[1:], len(buckets))
     return pd.DataFrame({
-        "bucket": buckets[edges].astype(np.int32), "block": np.full(len(edges), number, np.int64), "keys": [planes(keys[a:b], width) for a, b in zip(edges, ends)],
+        "bucket": buckets[edges].astype(np.int32), "block": np.full(len(edges), number, np.int64), "keys": [gaps(keys[a:b], bits) for a, b in zip(edges, ends)],
         "notes": [b"" if notes is None else pack(notes[a:b].tobytes()) for a, b in zip(edges, ends)],
     })
 
 
-def answer(frame: pd.DataFrame, sorted_codes: np.ndarray, order: np.ndarray, width: int) -> pd.DataFrame:
+def received(frame: pd.DataFrame, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """A bucket's keys, block after block, and how many each block sent."""
+    parts = [ungaps(x, bits) for x in frame["keys"]]
+    return np.concatenate(parts), np.array([len(p) for p in parts])
+
+
+def answer(frame: pd.DataFrame, sorted_codes: np.ndarray, order: np.ndarray, sizes: np.ndarray) -> pd.DataFrame:
     """A bucket's codes, in sorted order, put back into each block's order."""
     codes = np.empty(len(order), np.uint8)
     codes[order] = sorted_codes
-    ends = np.cumsum([len(x) // width for x in frame["keys"]])
-    parts = [pack(x.tobytes()) for x in np.split(codes, ends[:-1])]
+    parts = [pack(x.tobytes()) for x in np.split(codes, np.cumsum(sizes)[:-1])]
     return pd.DataFrame({"block": frame["block"].to_numpy(), "bucket": frame["bucket"].to_numpy(), "codes": parts})
 
 

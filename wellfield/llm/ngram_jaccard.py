@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 from . import blocks as B
 from .common import Scratch, mix64
 
-TOKEN_BYTES = 5
+#: Bits of a shingle hash that its frequency is counted by.
+TOKEN_BITS = 48
 ORDERS = np.array([0x51ED270B, 0x2545F491, 0x9E3779B1], np.uint64)
 #: All orders but the first take a frequency class for up to so many classes higher, each by a hash of its own.
 SHIFTS = 4
@@ -61,11 +62,11 @@ def least_overlap(n: np.ndarray, percent: int) -> np.ndarray:
 
 def _frequencies(frame: pd.DataFrame) -> pd.DataFrame:
     """One bucket of shingles: floor(log2(documents that hold it)), 0 for a single one."""
-    keys = np.concatenate([B.unplanes(x, TOKEN_BYTES) for x in frame["keys"]])
+    keys, sizes = B.received(frame, TOKEN_BITS)
     counts = np.frombuffer(b"".join(map(B.unpack, frame["notes"])), np.uint32)
     order, first, group = B.groups(keys)
     total = np.add.reduceat(counts[order].astype(np.int64), first)
-    return B.answer(frame, np.minimum(255, np.floor(np.log2(total))).astype(np.uint8)[group], order, TOKEN_BYTES)
+    return B.answer(frame, np.minimum(255, np.floor(np.log2(total))).astype(np.uint8)[group], order, sizes)
 
 
 def _sets(block: B.Block, frame: pd.DataFrame, words: int, percent: int, buckets: int) -> pd.DataFrame:
@@ -402,7 +403,7 @@ def near_duplicates(docs: DataFrame, *, words: int = 5, percent: int = 75, stars
             order, first, _ = B.groups(keys)
             counts = np.diff(np.append(first, len(keys))).astype(np.uint32)
             keys = keys[order[first]]
-            yield pa.RecordBatch.from_pandas(B.send(block.number, B.bucket_of(keys, buckets), keys, TOKEN_BYTES, counts), preserve_index=False)
+            yield pa.RecordBatch.from_pandas(B.send(block.number, B.bucket_of(keys, buckets), keys, TOKEN_BITS, counts), preserve_index=False)
 
     def cut(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         return _sets(B.first_block(left), right, words, percent, buckets)

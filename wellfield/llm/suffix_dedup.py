@@ -17,7 +17,7 @@ from .common import Scratch
 #: A difference cover: every remainder modulo PERIOD is a difference of two of these, so for any two places some shift
 #: below PERIOD brings both onto sampled places.
 PERIOD, COVER = 21, np.array([3, 6, 7, 12, 14])
-SAMPLE_BYTES, WINDOW_BYTES = 5, 8
+SAMPLE_BITS, WINDOW_BITS = 48, 64
 #: A bucket holds the samples or windows of so many bytes of text.
 BUCKET_TEXT = 1 << 24
 
@@ -105,20 +105,20 @@ def _shared_samples(suffixes: _Suffixes, frame: pd.DataFrame, buckets: int) -> n
 
 def _classes(frame: pd.DataFrame) -> pd.DataFrame:
     """One bucket of samples: a key is shared if two blocks sent it, or one block for two texts."""
-    keys = np.concatenate([B.unplanes(x, SAMPLE_BYTES) for x in frame["keys"]])
+    keys, sizes = B.received(frame, SAMPLE_BITS)
     twice = np.frombuffer(b"".join(map(B.unpack, frame["notes"])), np.uint8)
     order, first, group = B.groups(keys)
     hit = np.add.reduceat(twice[order].astype(np.int64), first) > 0
     hit |= np.diff(np.append(first, len(keys))) > 1
-    return B.answer(frame, hit[group], order, SAMPLE_BYTES)
+    return B.answer(frame, hit[group], order, sizes)
 
 
 def _suffix_bucket(frame: pd.DataFrame) -> pd.DataFrame:
     """One suffix bucket, sorted: which blocks sent a window that an earlier block sent too."""
     frame = frame.sort_values("block")
-    keys = np.concatenate([B.unplanes(x, WINDOW_BYTES) for x in frame["keys"]])
+    keys, sizes = B.received(frame, WINDOW_BITS)
     order, new = _order(keys, np.frombuffer(b"".join(map(B.unpack, frame["notes"])), np.uint16))
-    return B.answer(frame, order != np.minimum.reduceat(order, np.flatnonzero(new))[np.cumsum(new) - 1], order, WINDOW_BYTES)
+    return B.answer(frame, order != np.minimum.reduceat(order, np.flatnonzero(new))[np.cumsum(new) - 1], order, sizes)
 
 
 def _cut(suffixes: _Suffixes, frame: pd.DataFrame, buckets: int) -> pd.DataFrame:
@@ -157,8 +157,7 @@ def suffix_dedup(docs: DataFrame, *, length: int = 50) -> DataFrame:
     difference cover are ranked into classes, one bucket of the key space at a time; only suffixes with a sample whose
     class two texts share can repeat. Those suffixes go to suffix buckets by their head's hash, where one task sorts
     one bucket at a time; buckets are so many that one holds what BUCKET_TEXT bytes of text send to it. Both sorts are on
-    hashes: 40 bits and the bucket's own for samples, where a chance hit only costs time; for windows 64 bits of the
-    whole, 16 of its last bytes and the bucket's own of its first, as only equality to a fixed depth counts, not order.
+    hashes: 48 bits for samples, where a chance hit only costs time; for windows 64 bits of the whole, 16 of its last bytes and the bucket's own of its first, as only equality to a fixed depth counts, not order.
 
     A null text counts as empty and has nothing removed; texts are read whole, however long. A null doc_id counts as
     larger than any other. Rows that repeat id and text are one document; rows with one id and several texts are taken
@@ -177,7 +176,7 @@ def suffix_dedup(docs: DataFrame, *, length: int = 50) -> DataFrame:
     def send_samples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in B.rows_of(batches):
             keys, bucket, twice, _, _ = _Suffixes(block, length).samples(buckets)
-            yield pa.RecordBatch.from_pandas(B.send(block.number, bucket, keys, SAMPLE_BYTES, twice), preserve_index=False)
+            yield pa.RecordBatch.from_pandas(B.send(block.number, bucket, keys, SAMPLE_BITS, twice), preserve_index=False)
 
     def send_windows(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         if left.empty:
@@ -185,7 +184,7 @@ def suffix_dedup(docs: DataFrame, *, length: int = 50) -> DataFrame:
         block = B.first_block(left)
         suffixes = _Suffixes(block, length)
         keys, bucket, tails, *_ = suffixes.windows(_shared_samples(suffixes, right, buckets), buckets)
-        return B.send(block.number, bucket, keys, WINDOW_BYTES, tails)
+        return B.send(block.number, bucket, keys, WINDOW_BITS, tails)
 
     def cut(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         return _cut(_Suffixes(B.first_block(left), length), right, buckets)
