@@ -53,7 +53,7 @@ def build(scratch: Scratch, name: str, docs: DataFrame, most: int = 1 << 20) ->
     return scratch.put(name, docs.select("doc_id", "text").mapInArrow(run, BLOCK), "uncompressed")
 
 
-def bucket_count(blocks: DataFrame, text_bytes: int = 1 << 26) -> int:
+def bucket_count(blocks: DataFrame, text_bytes: int = 1 << 24) -> int:
     """As many buckets as the cluster deals rows to, and so many that one holds the keys of `text_bytes` of text."""
     total = blocks.agg(F.sum(F.element_at("ends", -1))).first()[0] or 0  # a single number
     return max(shuffle_parts(blocks.sparkSession), -(-total // text_bytes))

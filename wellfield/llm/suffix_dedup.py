@@ -19,7 +19,7 @@ from .common import Scratch
 PERIOD, COVER = 21, np.array([3, 6, 7, 12, 14])
 SAMPLE_BITS, WINDOW_BITS = 48, 64
 #: A bucket holds the samples or windows of so many bytes of text.
-BUCKET_TEXT = 1 << 24
+BUCKET_TEXT = 1 << 22
 
 
 def _order(keys: np.ndarray, tails: np.ndarray, major: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
