@@ -12,7 +12,7 @@ import corpus_pipeline
 from wellfield.llm.mixing import _quotas, mix_sources
 from wellfield.llm.queries import ORACLES, QUERIES
 from wellfield.llm.sharding import shard_documents
-from wellfield.llm.warc import archive_pages, export_warc, read_archive, records, write_archive
+from wellfield.llm.warc import archive_pages, export_warc, read_archive, read_warc, records_in, write_archive
 
 from .common import FOLD, WORD, documents, empty, rows
 from .test_dedup import plain_near
@@ -114,13 +114,16 @@ def test_warc(spark, tmp_path):
     got = archive_pages(frame)
     assert Counter((r.page_id, r.payload_bytes, r.payload_digest, r.record_type, r.refers_to) for r in got.collect()) == expected
     assert Counter((r.page_id, r.payload) for r in got.collect()) == Counter((r[0], r[2] or "") for r in pages())
-    for r in records(got).collect():
+    for r in got.collect():
         head, _, rest = r.record.partition("\r\n\r\n")
-        length = int(dict(x.split(": ", 1) for x in head.split("\r\n")[1:])["Content-Length"])
-        assert len(rest.encode()) == length + 4 and rest.endswith("\r\n\r\n")
-    export_warc(got.repartition(1), str(tmp_path / "w"))
-    written = b"".join(p.read_bytes() for p in (tmp_path / "w").glob("part-*"))
-    assert Counter(written.split(b"WARC/1.1\r\nWARC-Type: ")).total() == 1 + len(pages()) and written == b"".join(r.record.encode() for r in records(spark.createDataFrame([], got.schema).union(got.repartition(1))).collect()) or len(written) == sum(len(r.record.encode()) for r in records(got).collect())
+        fields = dict(x.split(": ", 1) for x in head.split("\r\n")[1:])
+        assert len(rest.encode()) == int(fields["Content-Length"]) + 4 and rest.endswith("\r\n\r\n") and fields["Content-Type"].startswith("application/http")
+        assert rest == r.http + (r.payload if r.record_type == "response" else "") + "\r\n\r\n" and f"Content-Length: {r.payload_bytes}\r\n" in r.http
+    export_warc(got, str(tmp_path / "w"))
+    back = read_warc(spark, str(tmp_path / "w")).collect()
+    assert Counter(r.header + r.block + "\r\n\r\n" for r in back) == Counter(r.record for r in got.collect())
+    with pytest.raises(ValueError, match="no record end"):
+        list(records_in(back[0].header.encode() + b"short"))
     assert archive_pages(spark.createDataFrame([], PAGES)).count() == 0
 
 

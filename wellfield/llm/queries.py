@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .common import table
 from .exact_dedup import exact_dedup
@@ -47,7 +48,8 @@ def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return archive_pages(table(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+    found = archive_pages(table(spark, sf_dir, "pages"))
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", F.sha2("record", 256).alias("record_sha256"))
 
 
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -67,10 +69,13 @@ ORACLES = {
         select doc_id, max(doc_id) over w as keep_id, count(*) over w as group_size, doc_id = max(doc_id) over w as kept, sha256(norm) as text_sha256
         from t window w as (partition by norm)""",
     "op8_warc": """
-        with t as (select page_id, coalesce(html, '') as body from pages),
-        r as (select *, strlen(body) as n, min(page_id) over (partition by body) as first_id from t)
-        select page_id, n as payload_bytes, sha256(body) as payload_digest,
-          case when n >= 100 and page_id <> first_id then 'revisit' else 'response' end as record_type,
-          case when n >= 100 and page_id <> first_id then first_id end as refers_to
-        from r""",
+        with t as (select page_id, url, coalesce(html, '') as body from pages),
+        r as (select *, strlen(body) as n, min(page_id) over (partition by body) as first_id from t),
+        k as (select *, case when n >= 100 and page_id <> first_id then first_id end as other, 'HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: ' || n || '\r\n\r\n' as http from r)
+        select page_id, n as payload_bytes, sha256(body) as payload_digest, case when other is null then 'response' else 'revisit' end as record_type, other as refers_to,
+          sha256('WARC/1.1\r\nWARC-Type: ' || case when other is null then 'response' else 'revisit' end || '\r\nWARC-Record-ID: <urn:page:' || page_id || '>\r\n'
+            || case when coalesce(url, '') <> '' then 'WARC-Target-URI: ' || regexp_replace(url, '[\r\n]', ' ', 'g') || '\r\n' else '' end || 'WARC-Date: 2024-01-01T00:00:00Z\r\nWARC-Payload-Digest: sha256:' || sha256(body) || '\r\n'
+            || case when other is null then '' else 'WARC-Refers-To: <urn:page:' || other || '>\r\nWARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest\r\n' end
+            || 'Content-Type: application/http; msgtype=response\r\nContent-Length: ' || (strlen(http) + case when other is null then n else 0 end) || '\r\n\r\n' || http || case when other is null then body else '' end || '\r\n\r\n') as record_sha256
+        from k""",
 }

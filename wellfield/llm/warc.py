@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import Scratch
 
 CRLF = "\r\n"
+#: Records in an exported file at most.
+FILE_RECORDS = 10_000
 
 
 def _field(name: str, value) -> "F.Column":
@@ -15,64 +20,95 @@ def _field(name: str, value) -> "F.Column":
 
 
 def write_archive(pages: DataFrame, path: str, *, least: int = 100, date: str = "2024-01-01T00:00:00Z") -> None:
-    """Write path/payloads (digest, payload) and path/headers (page_id, digest, header).
+    """Write path/payloads (digest, payload) and path/headers (page_id, digest, header, http).
+
+    A record's header and the head of its HTTP response are kept exactly, apart from the payload, which is stored once.
 
     Of records with equal payloads of at least `least` bytes the one with the smallest page_id is a response and the
     others revisit it; smaller ones are all responses. Payload rows are made distinct on digest and bytes together,
     so different bytes stay different rows, and read_archive() refuses those that do not match. Line ends in a url are
     blanked, so that no header field can be forged. A null html is an empty payload; a null page_id is written as no
-    record id and is never revisited.
+    record id and is never revisited. Rows with one page_id are records of their own under one record id; of equal
+    payloads under the smallest id all rows are responses. Payloads are handled by row, however long. An empty table
+    gives an empty archive; other columns are ignored.
     """
     text = F.coalesce(F.col("html"), F.lit(""))
     rows = pages.select("page_id", F.regexp_replace(F.coalesce("url", F.lit("")), r"[\r\n]", " ").alias("url"), text.alias("payload"), F.sha2(text, 256).alias("digest"), F.octet_length(text).cast("long").alias("bytes"))
     rows.select("digest", "payload").distinct().write.mode("overwrite").option("compression", "zstd").parquet(f"{path}/payloads")
     narrow = rows.select("page_id", "url", "digest", "bytes")
     first = narrow.groupBy("digest").agg(F.min("page_id").alias("first_id"))
+    http = F.concat(F.lit(f"HTTP/1.1 200 OK{CRLF}Content-Type: text/html; charset=utf-8{CRLF}Content-Length: "), F.col("bytes").cast("string"), F.lit(CRLF * 2))
+    block = F.length(http) + F.when(F.col("kind") == "response", F.col("bytes")).otherwise(0)
     refers = F.when((F.col("bytes") >= least) & (F.col("page_id") != F.col("first_id")), F.col("first_id"))
     kind = F.when(refers.isNull(), "response").otherwise("revisit")
     header = F.concat(
-        F.lit(f"WARC/1.1{CRLF}"), _field("WARC-Type", kind), _field("WARC-Record-ID", F.concat(F.lit("<urn:page:"), F.col("page_id").cast("string"), F.lit(">"))),
+        F.lit(f"WARC/1.1{CRLF}"), _field("WARC-Type", F.col("kind")), _field("WARC-Record-ID", F.concat(F.lit("<urn:page:"), F.col("page_id").cast("string"), F.lit(">"))),
         _field("WARC-Target-URI", F.when(F.col("url") != "", F.col("url"))), _field("WARC-Date", F.lit(date)), _field("WARC-Payload-Digest", F.concat(F.lit("sha256:"), F.col("digest"))),
-        _field("WARC-Refers-To", F.concat(F.lit("<urn:page:"), refers.cast("string"), F.lit(">"))),
-        F.when(refers.isNotNull(), _field("WARC-Profile", F.lit("http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"))).otherwise(""),
-        _field("Content-Type", F.lit("text/html; charset=utf-8")), _field("Content-Length", F.when(refers.isNull(), F.col("bytes")).otherwise(0)), F.lit(CRLF),
+        _field("WARC-Refers-To", F.concat(F.lit("<urn:page:"), F.col("refers").cast("string"), F.lit(">"))),
+        F.when(F.col("refers").isNotNull(), _field("WARC-Profile", F.lit("http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"))).otherwise(""),
+        _field("Content-Type", F.lit("application/http; msgtype=response")), _field("Content-Length", block), F.lit(CRLF),
     )
-    narrow.join(first, "digest").select("page_id", "digest", header.alias("header")).write.mode("overwrite").option("compression", "zstd").parquet(f"{path}/headers")
+    told = narrow.join(first, "digest").withColumn("refers", refers).withColumn("kind", kind)
+    told.select("page_id", "digest", header.alias("header"), http.alias("http")).write.mode("overwrite").option("compression", "zstd").parquet(f"{path}/headers")
 
 
 def read_archive(spark: SparkSession, path: str) -> DataFrame:
-    """page_id, header, payload (a revisit has the payload it revisits), payload_digest, record_type, refers_to, payload_bytes.
+    """page_id, header, http, payload (a revisit has the payload it revisits), payload_digest, record_type, refers_to,
+    payload_bytes, record: the exact WARC record, that is header, block (in a revisit without payload) and blank lines.
 
     Every stored payload is hashed again; one that does not match its digest ends the read with an error, so a digest
-    has one payload at most. Headers are read from their text alone.
+    has one payload at most. So does a block whose length is not what its header says. Headers are read from their
+    text alone.
     """
     stored = spark.read.parquet(f"{path}/payloads")
     payloads = stored.select("digest", F.when(F.sha2("payload", 256) == F.col("digest"), F.col("payload")).otherwise(F.raise_error(F.lit("payload does not match its digest"))).alias("payload"))
-    headers = spark.read.parquet(f"{path}/headers")
     field = lambda name, what: F.regexp_extract("header", rf"\r\n{name}: {what}\r\n", 1)
     id_of = lambda name: F.expr(f"try_cast({name} as bigint)")
-    parsed = headers.select(
-        field("WARC-Record-ID", "<urn:page:(-?[0-9]+)>").alias("own"), "header", field("WARC-Payload-Digest", "sha256:([0-9a-f]{64})").alias("payload_digest"),
-        field("WARC-Type", "(response|revisit)").alias("record_type"), field("WARC-Refers-To", "<urn:page:(-?[0-9]+)>").alias("other"),
+    parsed = spark.read.parquet(f"{path}/headers").select(
+        field("WARC-Record-ID", "<urn:page:(-?[0-9]+)>").alias("own"), "header", "http", field("WARC-Payload-Digest", "sha256:([0-9a-f]{64})").alias("payload_digest"),
+        field("WARC-Type", "(response|revisit)").alias("record_type"), field("WARC-Refers-To", "<urn:page:(-?[0-9]+)>").alias("other"), field("Content-Length", "([0-9]+)").cast("long").alias("length"),
     )
     joined = parsed.join(payloads, parsed["payload_digest"] == payloads["digest"])
-    return joined.select(id_of("own").alias("page_id"), "header", "payload", "payload_digest", "record_type", id_of("other").alias("refers_to"), F.octet_length("payload").cast("long").alias("payload_bytes"))
+    block = F.concat("http", F.when(F.col("record_type") == "response", F.col("payload")).otherwise(""))
+    whole = F.when(F.octet_length(block) == F.col("length"), F.concat("header", block, F.lit(CRLF * 2))).otherwise(F.raise_error(F.lit("block is not as long as its header says")))
+    return joined.select(
+        id_of("own").alias("page_id"), "header", "http", "payload", "payload_digest", "record_type", id_of("other").alias("refers_to"), F.octet_length("payload").cast("long").alias("payload_bytes"), whole.alias("record"),
+    )
 
 
-def records(archive: DataFrame) -> DataFrame:
-    """The exact WARC records as text: header, the block (none in a revisit), and the blank lines after it."""
-    block = F.when(F.col("record_type") == "response", F.col("payload")).otherwise("")
-    return archive.select("page_id", F.concat("header", block, F.lit(CRLF * 2)).alias("record"))
+def export_warc(archive: DataFrame, path: str) -> None:
+    """Write the records as WARC files of up to FILE_RECORDS records; the writer puts the blank lines after each."""
+    ends = F.expr(f"substring(record, 1, length(record) - {len(CRLF * 2)})")
+    archive.select(ends).write.mode("overwrite").option("lineSep", CRLF * 2).option("maxRecordsPerFile", FILE_RECORDS).text(path)
 
 
-def export_warc(archive: DataFrame, path: str) -> None:
-    """Write the records as WARC files, one for each partition; the writer puts the blank lines after each."""
-    block = F.when(F.col("record_type") == "response", F.col("payload")).otherwise("")
-    archive.select(F.concat("header", block)).write.mode("overwrite").option("lineSep", CRLF * 2).text(path)
+def records_in(data: bytes) -> Iterator[tuple[bytes, bytes]]:
+    """Header and block of each record in a WARC file, by the lengths that the headers give."""
+    at = 0
+    while at < len(data):
+        end = data.index(b"\r\n\r\n", at) + 4
+        fields = dict(line.split(b": ", 1) for line in data[at:end].split(b"\r\n")[1:] if line)
+        size = int(fields[b"Content-Length"])
+        if data[end + size : end + size + 4] != b"\r\n\r\n":
+            raise ValueError(f"no record end after {size} bytes at {end}")
+        yield data[at:end], data[end : end + size]
+        at = end + size + 4
+
+
+def read_warc(spark: SparkSession, path: str) -> DataFrame:
+    """header, block of every record in the WARC files under path; a task holds one file at a time."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for content in batch.column("content"):
+                found = list(records_in(content.as_py()))
+                yield pa.RecordBatch.from_arrays([pa.array([r[k].decode() for r in found], pa.string()) for k in (0, 1)], ["header", "block"])
+
+    return spark.read.format("binaryFile").load(path).select("content").mapInArrow(run, "header string, block string")
 
 
 def archive_pages(pages: DataFrame) -> DataFrame:
-    """Write the pages to an archive in the shared folder and read it back."""
+    """Write the pages to an archive in the shared folder and read it back, every record rebuilt."""
     scratch = Scratch(pages.sparkSession, "warc")
     write_archive(pages, scratch.root)
     scratch.until_exit(scratch.root)
