@@ -144,6 +144,34 @@ def test_pigeonhole_finds_what_a_full_search_finds():
         assert bool(fuzzy_spans(f" foo{line}bar ", notices)) == bool(matcher.search(f" foo{line}bar "))
 
 
+def test_close_notices_with_unlike_edits_are_all_found():
+    """A worse copy before or after a better one in the same window is reported, too."""
+    from wellfield.llm.license_scan import NOTICES
+
+    spans = lambda line: [(NOTICES[k][0], e) for k, _, _, e in fuzzy_spans(f" {line} ") if NOTICES[k][1] == "under the mit license"]
+    assert spans("under the mxt licenze foo under the mit license") == [("mit", 2), ("mit", 0)]
+    assert spans("under the mit license foo under the mxt licenze") == [("mit", 0), ("mit", 2)]
+    assert spans("undr the mit license under the mit license under the mitt license") == [("mit", 1), ("mit", 0), ("mit", 1)]
+
+
+def test_every_notice_is_found_with_any_edits():
+    """Insertions, deletions and replacements up to the bound: the seeds miss nothing that a search of the whole line finds."""
+    from wellfield.llm.license_scan import CHARACTERS_PER_EDIT, NOTICES, _search
+
+    _, matchers = _search(NOTICES, CHARACTERS_PER_EDIT)
+    rng = np.random.default_rng(8)
+    for k, (_, phrase) in enumerate(NOTICES):
+        edits, matcher, _ = matchers[k]
+        for _ in range(12):
+            text = list(phrase)
+            for _ in range(int(rng.integers(0, edits + 2))):
+                at, kind = int(rng.integers(0, len(text))), int(rng.integers(0, 3))
+                text[at : at + (kind < 2)] = [] if kind == 0 else [str(rng.choice(list("aexyz")))]
+            line = " foo " + " ".join("".join(text).split()) + " bar "
+            whole = matcher.search(line)
+            assert bool(whole) == any(n == k for n, *_ in fuzzy_spans(line))
+
+
 def test_words_of():
     assert words_of("A-b ÀÉ_x9") == [b"a", b"b", "ÀÉ".encode(), b"x9"]
 

@@ -51,7 +51,7 @@ def _search(notices: tuple[tuple[str, str], ...], per_edit: int):
         cuts = [len(phrase) * j // (edits + 1) for j in range(edits + 2)]
         for a, b in zip(cuts, cuts[1:]):
             seeds.setdefault(phrase[a:b], []).append((k, a))
-        matchers.append((edits, regex.compile(rf"(?b)(?<![^ ])(?:{regex.escape(phrase)}){{e<={edits}}}(?![^ ])")))
+        matchers.append((edits, regex.compile(rf"(?b)(?<![^ ])(?:{regex.escape(phrase)}){{e<={edits}}}(?![^ ])"), len(phrase) - edits - 1))
     automaton = ahocorasick.Automaton()
     for seed, places in seeds.items():
         automaton.add_word(seed, (len(seed), places))
@@ -75,12 +75,16 @@ def fuzzy_spans(line: str, notices=NOTICES, per_edit: int = CHARACTERS_PER_EDIT)
                 kept.append([lo, hi])
     found = []
     for k, kept in windows.items():
-        for lo, hi in kept:
-            # One character more on each side shows whether the match ends with a word.
-            for match in matchers[k][1].finditer(line, max(0, lo - 1), min(len(line), hi + 1)):
+        # One character more on each side shows whether the match ends with a word.
+        left = [(max(0, lo - 1), min(len(line), hi + 1)) for lo, hi in kept]
+        while left:
+            lo, hi = left.pop()
+            if match := matchers[k][1].search(line, lo, hi):
                 a, b = match.span()
                 if (a == 0 or line[a - 1] == " ") and (b == len(line) or line[b] == " "):
                     found.append((k, a, b, sum(match.fuzzy_counts)))
+                # The best match comes first; others may lie before and after it.
+                left += [(x, y) for x, y in ((lo, a), (max(b, lo + 1), hi)) if y - x > matchers[k][2] and (x, y) != (lo, hi)]
     return sorted(found)
 
 

@@ -40,7 +40,7 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return scan_licenses(table(spark, sf_dir, "documents")).drop("spans")
+    return scan_licenses(table(spark, sf_dir, "documents"))
 
 
 def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
