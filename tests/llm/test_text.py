@@ -144,6 +144,20 @@ def test_pigeonhole_finds_what_a_full_search_finds():
         assert bool(fuzzy_spans(f" foo{line}bar ", notices)) == bool(matcher.search(f" foo{line}bar "))
 
 
+def test_classes_are_those_of_the_tokenizer():
+    """Every code point: a letter merges with a letter before it and a number with a number, if the tokenizer sees them so."""
+    from wellfield.llm.codepoints import LETTER, NUMBER, classes
+
+    ranks = {bytes([b]): b for b in range(256)}
+    for b in range(128, 256):
+        ranks[b"a" + bytes([b])], ranks[b"1" + bytes([b])] = 2 * b, 2 * b + 1
+    encoder = tiktoken.Encoding("probe", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    codes = [c for c in range(128, 0x110000) if not 0xD800 <= c < 0xE000]
+    for before, kind in (("a", LETTER), ("1", NUMBER)):
+        found = [encoder.encode_ordinary(before + chr(c))[0] >= 256 for c in codes]
+        assert found == (classes()[codes] == kind).tolist()
+
+
 def test_close_notices_with_unlike_edits_are_all_found():
     """A worse copy before or after a better one in the same window is reported, too."""
     from wellfield.llm.license_scan import NOTICES
