@@ -39,8 +39,9 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     side, so a group of any size never meets in one task."""
     kept = exact_dedup(docs).where("kept").select(_id_and_text("doc_id", F.col("text_sha256")).alias("pick")).distinct()
     text = F.sha2(lower_ascii(F.coalesce(F.col("text"), F.lit(""))), 256)
-    plain = F.struct(*(f.name for f in docs.schema if isinstance(f.dataType, T.AtomicType)))
-    rows = docs.groupBy(_id_and_text("doc_id", text).alias("pick")).agg(F.min_by(F.struct(*docs.columns), plain).alias("row"))
+    plain = [f.name for f in docs.schema if isinstance(f.dataType, T.AtomicType)]
+    first = F.min(F.struct(*plain)) if plain == docs.columns else F.min_by(F.struct(*docs.columns), F.struct(*plain))
+    rows = docs.groupBy(_id_and_text("doc_id", text).alias("pick")).agg(first.alias("row"))
     return rows.join(kept, "pick", "left_semi").select("row.*").select(*docs.columns)
 
 
