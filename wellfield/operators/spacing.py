@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions import geometry as G
+from ..session import checkpointed
 
 
 def _cells(low: Column, high: Column, size: float) -> Column:
@@ -28,6 +29,13 @@ def within(left: DataFrame, right: DataFrame, reach: float, *, same_id: bool = F
     return pairs.where(F.lit(same_id) | (F.col("id") != F.col("other"))).select("id", "other", gap.alias("distance"))
 
 
+def prepared(lines: DataFrame, heel_feet: float = 500.0) -> DataFrame:
+    """(id, a, b): the chord of each line (id, coords) of two unlike points or more, from where it leaves the disc of
+    `heel_feet` around its heel to its toe. Lines of which nothing is left go."""
+    cut = lines.where(G.two_points(F.col("coords"))).select("id", G.beyond(F.col("coords"), heel_feet / G.FEET).alias("chord"))
+    return cut.where("chord is not null").select("id", "chord.a", "chord.b")
+
+
 def lateral_pairs(laterals: DataFrame, reach: float) -> DataFrame:
     """Pairs (id, other) of two-point laterals of which the other meets the id's flat-ended buffer of `reach` metres.
 
@@ -156,7 +164,23 @@ def bilinear(points: DataFrame, grid: DataFrame, step: float) -> DataFrame:
 
 
 def nearest(points: DataFrame, grid: DataFrame, reach: float) -> DataFrame:
-    """points with the z of the nearest grid node within `reach`, the lower (x, y) of equals."""
+    """points with the z of the nearest grid node, however far, the lower (x, y) of equals; null only without a grid.
+
+    Nodes within `reach` are looked up by grid cells first; for points that have none the reach doubles, round by round."""
+    if not grid.limit(1).count():
+        return points.withColumn("z", F.lit(None).cast("double"))
+    found, left = None, points
+    while True:
+        step = checkpointed(_nearest_within(left, grid, reach))
+        got = step.where("z is not null")
+        found = got if found is None else found.unionByName(got)
+        left = step.where("z is null").drop("z")
+        if not left.limit(1).count():
+            return found
+        reach *= 2
+
+
+def _nearest_within(points: DataFrame, grid: DataFrame, reach: float) -> DataFrame:
     near = points.withColumn("cx", F.explode(_cells(F.col("x") - reach, F.col("x") + reach, reach))).withColumn("cy", F.explode(_cells(F.col("y") - reach, F.col("y") + reach, reach)))
     known = grid.select(F.col("x").alias("gx"), F.col("y").alias("gy"), "z", F.floor(F.col("x") / reach).alias("cx"), F.floor(F.col("y") / reach).alias("cy"))
     gap = F.hypot(F.col("x") - F.col("gx"), F.col("y") - F.col("gy"))

@@ -24,6 +24,13 @@ def laterals(spark, d):
     return wells(spark, d).where("trajectory = 'HORIZONTAL'").select(X.well().alias("id"), a.alias("a"), b.alias("b"))
 
 
+def lines(spark, d):
+    """The laterals as lines: a bend near the heel for some, one point twice for others."""
+    bent = F.array("a", G.point(F.col("a")["x"] - 40, F.col("a")["y"] + 30), "b")
+    coords = F.when(F.col("id") % 5 == 0, bent).when(F.col("id") % 7 == 0, F.array("a", "a", "b")).otherwise(F.array("a", "b"))
+    return laterals(spark, d).select("id", coords.alias("coords"))
+
+
 def g1_wkt(spark, d):
     text = F.concat(F.lit("LINESTRING ("), F.col("x0").cast("long"), F.lit(" "), F.col("y0").cast("long"), F.lit(", "), X.well(), F.lit(" -12.5)"))
     coords = G.from_wkt(F.when(X.well() % 5 == 0, "EMPTY").otherwise(text))
@@ -137,23 +144,24 @@ def pairs(spark, d):
 
 
 def jn16_spatial_join(spark, d):
-    return S.lateral_pairs(laterals(spark, d), 500.0).select("id", "other")
+    return S.lateral_pairs(S.prepared(lines(spark, d)), 500.0).select("id", "other")
 
 
 def g10_neighbours(spark, d):
-    found = S.lateral_pairs(laterals(spark, d), 500.0)
+    found = S.lateral_pairs(S.prepared(lines(spark, d)), 500.0)
     return found.groupBy("id").agg(F.count("*").alias("n"), F.min("other").alias("least"), F.max("other").alias("most"))
 
 
 def g11_distances(spark, d):
-    found = S.spacing(S.lateral_pairs(laterals(spark, d), 500.0), 500.0)
+    found = S.spacing(S.lateral_pairs(S.prepared(lines(spark, d)), 500.0), 500.0)
     return found.select("id", "other", "position", *(F.round(c, 3).alias(c) for c in ("min_ft", "median_ft", "max_ft", "avg_ft", "fraction")))
 
 
 def g9_buffers(spark, d):
-    """Each lateral's flat buffer is a rectangle on its chord."""
-    area = 2 * 500.0 * G.distance(F.col("a"), F.col("b"))
-    return laterals(spark, d).select("id", F.round(area, 2).alias("area"))
+    """Each lateral's flat buffer is a rectangle on its chord beyond the heel's disc."""
+    ring, area = G.flat_buffer(F.col("a"), F.col("b"), 500.0), 2 * 500.0 * G.distance(F.col("a"), F.col("b"))
+    corner = lambda k, c: F.round(F.element_at("ring", k)[c], 3).alias(f"{c}{k}")
+    return S.prepared(lines(spark, d)).select("id", area.alias("area"), ring.alias("ring")).select("id", F.round("area", 2).alias("area"), corner(1, "x"), corner(1, "y"), corner(3, "x"), corner(3, "y"))
 
 
 def g3_resample(spark, d):
@@ -222,7 +230,11 @@ _PAIRS = f"""{W}, h as (select * from well_header where trajectory = 'HORIZONTAL
     from h a join h b on a.y0 = b.y0 and a.wellid <> b.wellid and abs(a.x0 - b.x0) <= 1609)"""
 _LAT = f"{W}, lt as (select wellid as id, x0 as ax, y0 + 160 as ay, x0 + case when wellid % 6 = 0 then 150 else 0 end as bx, y0 + 160 + laterallength_ft / 3.281::double as by_ from well_header where trajectory = 'HORIZONTAL')"
 #: Liang-Barsky clipping of the other lateral in the chord's frame, all pairs.
-_CLIP = f"""{_LAT}, c as (select a.id, b.id as other, sqrt((a.bx - a.ax) ** 2 + (a.by_ - a.ay) ** 2) as l, a.ax, a.ay, (a.bx - a.ax) as dx, (a.by_ - a.ay) as dy, b.ax as px, b.ay as py, b.bx as qx, b.by_ as qy from lt a, lt b where a.id <> b.id),
+_CUT = f"""{_LAT}, h0 as (select *, 500 / 3.281::double as r, case when id % 5 = 0 then ax - 40 else ax end as sx, case when id % 5 = 0 then ay + 30 else ay end as sy from lt),
+  h1 as (select *, bx - sx as ex, by_ - sy as ey, sx - ax as ox, sy - ay as oy from h0 where (bx - ax) ** 2 + (by_ - ay) ** 2 > r ** 2),
+  h2 as (select *, (sqrt((ex * ox + ey * oy) ** 2 - (ex ** 2 + ey ** 2) * (ox ** 2 + oy ** 2 - r ** 2)) - (ex * ox + ey * oy)) / (ex ** 2 + ey ** 2) as tt from h1),
+  lc as (select id, sx + ex * tt as ax, sy + ey * tt as ay, bx, by_ from h2)"""
+_CLIP = f"""{_CUT}, c as (select a.id, b.id as other, sqrt((a.bx - a.ax) ** 2 + (a.by_ - a.ay) ** 2) as l, a.ax, a.ay, (a.bx - a.ax) as dx, (a.by_ - a.ay) as dy, b.ax as px, b.ay as py, b.bx as qx, b.by_ as qy from lc a, lc b where a.id <> b.id),
   f as (select *, ((px - ax) * dx + (py - ay) * dy) / l as s0, ((qx - ax) * dx + (qy - ay) * dy) / l as s1, ((py - ay) * dx - (px - ax) * dy) / l as c0, ((qy - ay) * dx - (qx - ax) * dy) / l as c1 from c),
   g as (select id, other, greatest(0, case when s1 = s0 then if(s0 between 0 and l, 0, 2) else least(-s0 / (s1 - s0), (l - s0) / (s1 - s0)) end, case when c1 = c0 then if(abs(c0) <= 500, 0, 2) else least((-500 - c0) / (c1 - c0), (500 - c0) / (c1 - c0)) end) as t0,
     least(1, case when s1 = s0 then if(s0 between 0 and l, 1, -1) else greatest(-s0 / (s1 - s0), (l - s0) / (s1 - s0)) end, case when c1 = c0 then if(abs(c0) <= 500, 1, -1) else greatest((-500 - c0) / (c1 - c0), (500 - c0) / (c1 - c0)) end) as t1 from f)"""
@@ -237,7 +249,8 @@ ORACLES = {
     "g6_longest": f"{W} select wellid, (5 + wellid % 9)::double as length from well_header",
     "g7_azimuth": f"{W}, v as (select wellid, (wellid * 37) % 21 - 10 as dx, (wellid * 53) % 23 - 11 as dy from well_header) select wellid, round(case when dx = 0 and dy = 0 then 0 else (degrees(atan2(dx, dy)) + 360) % 360 end, 4) as bearing, round(case when dx = 0 and dy = 0 then 0 else (degrees(atan2(dy, dx)) + 360) % 360 end, 4) as angle from v",
     "g8_side": f"{W} select wellid, case (wellid * 90 - wellid * 45 + 36000000) % 360 when 0 then 'IN-LINE' when 180 then 'IN-LINE' when 45 then 'RIGHT' when 90 then 'RIGHT' when 135 then 'RIGHT' else 'LEFT' end as side from well_header",
-    "g9_buffers": f"{_LAT} select id, round(1000 * sqrt((bx - ax) ** 2 + (by_ - ay) ** 2), 2) as area from lt",
+    "g9_buffers": f"""{_CUT}, l as (select *, sqrt((bx - ax) ** 2 + (by_ - ay) ** 2) as l from lc)
+      select id, round(1000 * l, 2) as area, round(ax + (by_ - ay) / l * 500, 3) as x1, round(ay - (bx - ax) / l * 500, 3) as y1, round(bx - (by_ - ay) / l * 500, 3) as x3, round(by_ + (bx - ax) / l * 500, 3) as y3 from l""",
     "g10_neighbours": f"{_CLIP} select id, count(*) as n, min(other) as least, max(other) as most from g where t0 <= t1 group by 1",
     "g12_vertical_distance": _NEAR,
     "jn17_distance_join": _NEAR,
@@ -257,7 +270,7 @@ ORACLES = {
       select wellid, x between 0 and 10 and y between 0 and 10 and (case when x <= 5 then y <= 10 - 1.2::double * x + 1e-9 else y <= 4 + 1.2::double * (x - 5) + 1e-9 end) as inside from p""",
     "g20_bilinear": f"{_SPOTS} select id, case when x <= 4000 and y <= 4000 then round(x * 2 - y * 3 + x * y / 1000 + 50, 4) end as z from sp",
     "g20_nearest": f"""{_SPOTS}, gr as (select i * 100.0::double as gx, j * 100.0::double as gy from (select unnest(generate_series(0, 40)) as i), (select unnest(generate_series(0, 40)) as j)),
-      n as (select id, gx, gy from sp join gr on sqrt((x - gx) ** 2 + (y - gy) ** 2) <= 150 qualify row_number() over (partition by id order by sqrt((x - gx) ** 2 + (y - gy) ** 2), gx, gy) = 1)
+      n as (select id, gx, gy from sp join gr on sqrt((x - gx) ** 2 + (y - gy) ** 2) < 1e9 qualify row_number() over (partition by id order by sqrt((x - gx) ** 2 + (y - gy) ** 2), gx, gy) = 1)
       select id, gx * 2 - gy * 3 + gx * gy / 1000 + 50 as z from sp left join n using (id)""",
     "g21_sample": f"{_SAMPLE} select id, count(*) as n, count(*) as n_valid, round(avg(z), 4) as mean, round(stddev_pop(z), 4) as std, round(min(z), 4) as least, round(max(z), 4) as most from z group by 1",
     "g22_update_geology": f"{_SAMPLE} select id, case when id % 2 = 0 then round(avg(z), 4) else 1 end as top, case when id % 2 = 0 then 1 else round(avg(z), 4) end as base from z group by 1",
