@@ -77,19 +77,21 @@ def side(reference: Column, other: Column) -> Column:
     return F.when((turn == 0) | (turn == 180), "IN-LINE").when(turn < 180, "RIGHT").otherwise("LEFT")
 
 
-def beyond(coords: Column, reach: Column | float) -> Column:
-    """(a, b): where a line leaves the disc of `reach` around its first point for the last time, and its end. Null where
-    no part of it lies outside, or where it ends inside."""
-    reach, centre = F.lit(reach), first(coords)
-    n = F.greatest(F.size(coords) - 1, F.lit(0))
+def leaving(coords: Column, reach: float) -> Column:
+    """The piece (p, q) on which a line leaves the disc of `reach` around its first point for the last time; null where
+    the line ends inside it."""
+    centre, n = first(coords), F.greatest(F.size(coords) - 1, F.lit(0))
     pieces = F.arrays_zip(F.slice(coords, F.lit(1), n).alias("p"), F.slice(coords, F.lit(2), n).alias("q"))
-    leaving = F.filter(pieces, lambda s: (distance(s["p"], centre) <= reach) & (distance(s["q"], centre) > reach))
-    piece = F.try_element_at(leaving, F.lit(-1))
-    p, q = piece["p"], piece["q"]
+    out = F.filter(pieces, lambda s: (distance(s["p"], centre) <= reach) & (distance(s["q"], centre) > reach))
+    return F.when(distance(last(coords), centre) > reach, F.try_element_at(out, F.lit(-1)))
+
+
+def exit_point(p: Column, q: Column, centre: Column, reach: float) -> Column:
+    """Where the piece from p to q leaves the disc."""
     dx, dy, ox, oy = q["x"] - p["x"], q["y"] - p["y"], p["x"] - centre["x"], p["y"] - centre["y"]
     square, half = dx * dx + dy * dy, dx * ox + dy * oy
     t = (F.sqrt(half * half - square * (ox * ox + oy * oy - reach * reach)) - half) / F.nullif(square, F.lit(0.0))
-    return F.when(distance(last(coords), centre) > reach, F.struct(point(p["x"] + dx * t, p["y"] + dy * t).alias("a"), last(coords).alias("b")))
+    return point(p["x"] + dx * t, p["y"] + dy * t)
 
 
 def flat_buffer(a: Column, b: Column, reach: float) -> Column:

@@ -32,8 +32,9 @@ def within(left: DataFrame, right: DataFrame, reach: float, *, same_id: bool = F
 def prepared(lines: DataFrame, heel_feet: float = 500.0) -> DataFrame:
     """(id, a, b): the chord of each line (id, coords) of two unlike points or more, from where it leaves the disc of
     `heel_feet` around its heel to its toe. Lines of which nothing is left go."""
-    cut = lines.where(G.two_points(F.col("coords"))).select("id", G.beyond(F.col("coords"), heel_feet / G.FEET).alias("chord"))
-    return cut.where("chord is not null").select("id", "chord.a", "chord.b")
+    coords, reach = F.col("coords"), heel_feet / G.FEET
+    cut = lines.where(G.two_points(coords)).select("id", G.first(coords).alias("heel"), G.last(coords).alias("b"), F.inline(F.array(G.leaving(coords, reach))))
+    return cut.where("p is not null").select("id", "b", F.inline(F.array(F.struct(G.exit_point(F.col("p"), F.col("q"), F.col("heel"), reach).alias("a"))))).select("id", "a", "b")
 
 
 def lateral_pairs(laterals: DataFrame, reach: float) -> DataFrame:
