@@ -364,7 +364,7 @@ def components(scratch: Scratch, name: str, edges: DataFrame) -> DataFrame:
         labels = labels.select("node", "comp")
 
 
-def near_duplicates(docs: DataFrame, *, words: int = 5, percent: int = 75, stars: int = 8, most: int = 1 << 11, report: dict | None = None) -> DataFrame:
+def near_duplicates(docs: DataFrame, *, words: int = 5, percent: int = 75, stars: int = 8, most: int = 1 << 10, report: dict | None = None) -> DataFrame:
     """One row per row of docs: doc_id, n_shingles, component_id (the smallest doc_id that links reach).
 
     Documents link when the Jaccard similarity of their sets of `words`-word shingles is `percent` % or more; a
