@@ -212,7 +212,7 @@ _PARTS = f"""{BEST}, p0 as (select wellid, measure, case when wellid % 3 = 0 and
   src as (select *, unnest(generate_series(0, n))::double as t from seg), {arps('src')},
   steps as (select *, case when t = 0 then 0 else np end as np0 from c6),
   vol as (select *, np0 - lag(np0) over (partition by wellid, measure, part order by t) as volume from steps)"""
-_D8 = f"""{BEST}, h as (select wellid, measure, max(daterank) as mm from ranked group by 1, 2),
+MONTHS = f"""{BEST}, h as (select wellid, measure, max(daterank) as mm from ranked group by 1, 2),
   v as (select b.*, r.daterank as sm, coalesce((select sum(value) from ranked x where x.wellid = b.wellid and x.measure = b.measure and x.dt <= b.startdate), 0) as sc from best b left join (select distinct wellid, measure, dt, daterank from ranked) r on r.wellid = b.wellid and r.measure = b.measure and r.dt = b.startdate),
   src as (select wellid, measure, startdate, coalesce(sm, 0) as sm, sc, q3 as qi, dei, def, round(b_factor, 4) as b, qabn, unnest(generate_series(0, 360 - coalesce(sm, 0)))::double as t from v where q3 > qabn), {arps('src')},
   vol as (select *, case when t = 0 then 0 else np end as n0 from c6),
@@ -238,7 +238,7 @@ ORACLES = {
       src as (select b.wellid, b.measure, q3 as qi, dei, def, b_factor as b, produced, greatest(datediff('month', startdate, last), 0)::double as t from best b join h on h.wellid = b.wellid and h.measure = b.measure), {arps('src')},
       src2 as (select wellid, measure, q as qi, de as dei, def, b, produced, 360::double as t from c6), {arps('src2', 'e')}
       select wellid, measure, round(produced + np, 4) as eur from e6""",
-    "d8_volumes": f"""{_D8} select wellid, measure, (t + sm)::bigint as month, last_day(startdate + to_months(t::int)) as dt, round(q, 4) as q, round(sc + n0, 4) as cumulative, round(greatest(volume, 0), 4) as volume from w where t > 0 and q >= qabn
+    "d8_volumes": f"""{MONTHS} select wellid, measure, (t + sm)::bigint as month, last_day(startdate + to_months(t::int)) as dt, round(q, 4) as q, round(sc + n0, 4) as cumulative, round(greatest(volume, 0), 4) as volume from w where t > 0 and q >= qabn
       union all select wellid, measure, coalesce(sm, 0), last_day(startdate), null, round(sc, 4), null from v where q3 <= qabn""",
     "d9_type_curve": f"{_PARTS.replace('{0}', '360')} select wellid, measure, round(max(cum + np0), 4) as eur from vol where wellid in (select wellid from p0 where q3 > 0) and t > 0 group by 1, 2",
     "d10_scaling": f"""{RANKED}, v as (select r.wellid, measure, value * case when r.wellid % 6 = 0 then 1 else 10000 / laterallength_ft end * sqrt(30.0 / (r.wellid % 40 + 10)) * power(880.0 / least(r.wellid % 9 * 200 + 300, 1500), 0.25) * power(880.0 / least(r.wellid % 7 * 250 + 400, 1500), 0.25) as value from ranked r join well_header h on h.wellid = r.wellid)

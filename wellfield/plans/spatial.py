@@ -245,6 +245,12 @@ _SURVEY = f"{W}, sv as (select wellid, s * 500.0::double as md, round(6000 * (1
 ORACLES = {
     "g1_wkt": f"{W} select wellid, case when wellid % 5 <> 0 then x0 end as x, case when wellid % 5 <> 0 then -12.5::double end as y from well_header",
     "g2_reproject": f"{W} select wellid, x0 as x, y0 + 1000000 as y from well_header",
+    "g3_resample": f"{W} select wellid as id, case when wellid % 3 = 0 then 2 else floor(195 / (100 / 3.281::double)) + 1 end::bigint as n, round(wellid + case when wellid % 3 = 0 then 1 else 100 end, 4)::double as x, round(wellid + case when wellid % 3 = 0 then 0 else floor(195 / (100 / 3.281::double)) * 100 / 3.281::double - 100 end, 4) as y from well_header",
+    "g4_conformity": f"""{W}, p as (select wellid as id, (wellid % 7 + 1)::double as w, (wellid % 5 + 1)::double as h, (wellid % 3 + 1)::double as k from well_header), u as (select *, -w / sqrt(w * w + (k - h) ** 2) as ux, (k - h) / sqrt(w * w + (k - h) ** 2) as uy from p),
+      r as (select *, (greatest(0, w * ux, w * ux + h * uy, k * uy) - least(0, w * ux, w * ux + h * uy, k * uy)) * (greatest(0, -w * uy, -w * uy + h * ux, k * ux) - least(0, -w * uy, -w * uy + h * ux, k * ux)) as slanted from u)
+      select id, round(w * (h + k) / 2 / least(w * greatest(h, k), slanted), 4) as conformity from r""",
+    "g18_mesh": f"""{W}, m as (select wellid as id, (wellid % 7 + 1) * (i + 0.5::double) / 14 as x, (wellid % 5 + 1) * (j + 0.5::double) / 14 as y from well_header, (select unnest(generate_series(0, 13)) as i), (select unnest(generate_series(0, 13)) as j) where i + j <= 13)
+      select id, count(*) as n, round(avg(x), 4) as x, round(avg(y), 4) as y from m group by 1""",
     "g5_endpoints": f"{_LAT} select id, ay as first_y, round(by_, 4) as last_y from lt",
     "g6_longest": f"{W} select wellid, (5 + wellid % 9)::double as length from well_header",
     "g7_azimuth": f"{W}, v as (select wellid, (wellid * 37) % 21 - 10 as dx, (wellid * 53) % 23 - 11 as dy from well_header) select wellid, round(case when dx = 0 and dy = 0 then 0 else (degrees(atan2(dx, dy)) + 360) % 360 end, 4) as bearing, round(case when dx = 0 and dy = 0 then 0 else (degrees(atan2(dy, dx)) + 360) % 360 end, 4) as angle from v",
