@@ -144,6 +144,48 @@ def test_pigeonhole_finds_what_a_full_search_finds():
         assert bool(fuzzy_spans(f" foo{line}bar ", notices)) == bool(matcher.search(f" foo{line}bar "))
 
 
+def plain_languages(data):
+    """Bundles letter by letter, prototypes, cosines: (doc_id, held out, language, score) of each row."""
+    import zlib
+
+    vectors, letter = L._vectors().astype(int), str.isalpha
+
+    def bundle(text):
+        symbols, before = [], True
+        for c in (text or "").lower() + "\0":
+            if letter(c):
+                symbols.append(ord(c) - 96 if "a" <= c <= "z" else 27 + ord(c) * 2654435761 % (1 << 32) % (L.SYMBOLS - 27))
+            elif before:
+                symbols.append(0)
+            before = letter(c)
+        total = np.zeros(L.DIMENSIONS)
+        for a, b, c in zip(symbols, symbols[1:], symbols[2:]):
+            total += vectors[a] * np.roll(vectors[b], 1) * np.roll(vectors[c], 2)
+        return total
+
+    out = lambda i: zlib.crc32(str(i).encode() if i is not None else b"") % 3 == 1
+    known = {}
+    for r in data:
+        if r[2] is not None and not out(r[0]):
+            known[r[2]] = known.get(r[2], 0) + bundle(r[1])
+    names = sorted(known)
+    table = np.array([known[n] / max(1.0, np.linalg.norm(known[n])) for n in names])
+    table = table - table.mean(axis=0)
+    table /= np.maximum(1e-12, np.linalg.norm(table, axis=1, keepdims=True))
+    for r in data:
+        own = bundle(r[1])
+        cosine = np.round(table @ own / max(1e-12, np.linalg.norm(own)), 9)
+        known_text = any(map(letter, r[1] or ""))
+        yield r[0], out(r[0]), names[cosine.argmax()] if known_text else "und", round((1 + cosine.max()) / 2, 6) if known_text else 0.0
+
+
+def test_language_id_is_the_plain_one(spark):
+    """Repeated rows count as often as they come; nulls, texts without letters, ties and long words included."""
+    data = [r for r in rows() if len(r[1] or "") < 20_000]
+    got = L.language_id(documents(spark, data)).collect()
+    assert Counter((r.doc_id, r.held_out, r.lang_pred, round(r.score, 6)) for r in got) == Counter(plain_languages(data))
+
+
 def test_classes_are_those_of_the_tokenizer():
     """Every code point: a letter merges with a letter before it and a number with a number, if the tokenizer sees them so."""
     from wellfield.llm.codepoints import LETTER, NUMBER, classes

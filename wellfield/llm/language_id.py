@@ -128,7 +128,11 @@ def held_out(doc_id: Column) -> Column:
 
 
 def language_id(docs: DataFrame) -> DataFrame:
-    """doc_id, held_out, lang_pred, score: learned from the documents that are not held out, predicted for all."""
+    """doc_id, held_out, lang_pred, score: learned from the documents that are not held out, predicted for all.
+
+    Null or empty texts and those without a letter are `und` with score 0. Repeated rows are learned from as often as
+    they come, and each is predicted. Ties go to the first language by name. Long texts are read whole. An empty table
+    gives no rows; other columns of docs are ignored."""
     known = profiles(docs.where(~held_out(F.col("doc_id"))))
     found = identify(docs.select("doc_id", "text"), known)
     return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
