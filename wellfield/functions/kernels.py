@@ -148,3 +148,19 @@ def sample(log_density: Callable, start: np.ndarray, scale: np.ndarray, draws: i
         if k >= tune:
             out.append(x)
     return np.array(out)
+
+
+def hull(xy: np.ndarray) -> np.ndarray:
+    """Corners of the convex hull of places (rows of x, y), counterclockwise from the least; all places where there are
+    fewer than three corners."""
+    points = sorted(set(map(tuple, xy.tolist())))
+    turn = lambda o, a, b: (a[0] - o[0]) * (b[1] - o[1]) - (a[1] - o[1]) * (b[0] - o[0])
+    half = []
+    for line in (points, points[::-1]):
+        chain = []
+        for p in line:
+            while len(chain) > 1 and turn(chain[-2], chain[-1], p) <= 0:
+                chain.pop()
+            chain.append(p)
+        half += chain[:-1]
+    return np.array(half or points, float).reshape(-1, 2)

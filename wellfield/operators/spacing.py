@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions import geometry as G
+from ..functions import kernels as K
 from ..session import checkpointed
 
 
@@ -247,26 +248,13 @@ def conformity(polygons: DataFrame) -> DataFrame:
                 best = min(best, np.ptp(s) * np.ptp(c))
         return best
 
-    def hull(xy: np.ndarray) -> np.ndarray:
-        points = sorted(map(tuple, xy))
-        turn = lambda o, a, b: (a[0] - o[0]) * (b[1] - o[1]) - (a[1] - o[1]) * (b[0] - o[0])
-        half = []
-        for line in (points, points[::-1]):
-            chain = []
-            for p in line:
-                while len(chain) > 1 and turn(chain[-2], chain[-1], p) <= 0:
-                    chain.pop()
-                chain.append(p)
-            half += chain[:-1]
-        return np.array(half or points, float)
-
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             out = []
             for coords in frame["coords"]:
                 xy = np.array([(c["x"], c["y"]) for c in coords], float)
                 area = abs(np.dot(xy[:, 0], np.roll(xy[:, 1], -1)) - np.dot(xy[:, 1], np.roll(xy[:, 0], -1))) / 2
-                box = least_rectangle(hull(xy))
+                box = least_rectangle(K.hull(xy))
                 out.append(area / box if box and np.isfinite(box) else None)
             yield pd.DataFrame({"id": frame["id"], "conformity": out})
 

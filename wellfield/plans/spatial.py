@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions import geometry as G
+from ..operators import scattered as N
 from ..operators import spacing as S
 from ..sources import fixtures as X
 
@@ -107,6 +108,17 @@ def g20_nearest(spark, d):
     return S.nearest(spots(spark, d), grid(spark), 150.0).select("id", "z")
 
 
+def scattered(spark):
+    """The grid's nodes, each but those on its border moved aside by up to 45, with values on a plane."""
+    aside = lambda a, b: F.when((F.col("x") % 4000 == 0) | (F.col("y") % 4000 == 0), 0).otherwise((F.col("x") * a + F.col("y") * b) / 100 % 91 - 45)
+    moved = grid(spark).select((F.col("x") + aside(37, 53)).alias("x"), (F.col("y") + aside(71, 29)).alias("y"))
+    return moved.withColumn("z", F.col("x") * 2 - F.col("y") * 3 + 50)
+
+
+def g20_linear(spark, d):
+    return N.linear(spots(spark, d), scattered(spark)).select("id", F.round("z", 4).alias("z"))
+
+
 def _lines(spark, d):
     return wells(spark, d).select(X.well().alias("id"), G.point((X.well() * 31) % 1500, (X.well() * 17) % 2500).alias("a"), G.point((X.well() * 31) % 1500 + 900, (X.well() * 17) % 2500 + 1200).alias("b"))
 
@@ -221,7 +233,7 @@ def g15_parent_child(spark, d):
 
 QUERIES = {f.__name__: f for f in (
     g1_wkt, g2_reproject, g3_resample, g4_conformity, g5_endpoints, g6_longest, g7_azimuth, g8_side, g9_buffers, g10_neighbours, g11_distances, g12_vertical_distance, g13_relation, g14_running_nearest, g15_parent_child, g16_tvd,
-    g17_units, g18_mesh, g19_covers, g20_bilinear, g20_nearest, g21_sample, g22_update_geology, src7_grid, snk6_bounds, jn16_spatial_join, w14_running_least, w15_forward_fill, ag4_pivot_pairs, jn5_outer_merge,
+    g17_units, g18_mesh, g19_covers, g20_bilinear, g20_linear, g20_nearest, g21_sample, g22_update_geology, src7_grid, snk6_bounds, jn16_spatial_join, w14_running_least, w15_forward_fill, ag4_pivot_pairs, jn5_outer_merge,
 )} | {"jn17_distance_join": jn17_distance_join}
 
 _PAIRS = f"""{W}, h as (select * from well_header where trajectory = 'HORIZONTAL'),
@@ -275,6 +287,7 @@ ORACLES = {
     "g19_covers": f"""{W}, p as (select wellid, wellid % 13 - 1 as x, (wellid * 7) % 12 as y from well_header)
       select wellid, x between 0 and 10 and y between 0 and 10 and (case when x <= 5 then y <= 10 - 1.2::double * x + 1e-9 else y <= 4 + 1.2::double * (x - 5) + 1e-9 end) as inside from p""",
     "g20_bilinear": f"{_SPOTS} select id, case when x <= 4000 and y <= 4000 then round(x * 2 - y * 3 + x * y / 1000 + 50, 4) end as z from sp",
+    "g20_linear": f"{_SPOTS} select id, case when x <= 4000 and y <= 4000 then round(x * 2 - y * 3 + 50, 4) end as z from sp",
     "g20_nearest": f"""{_SPOTS}, gr as (select i * 100.0::double as gx, j * 100.0::double as gy from (select unnest(generate_series(0, 40)) as i), (select unnest(generate_series(0, 40)) as j)),
       n as (select id, gx, gy from sp join gr on sqrt((x - gx) ** 2 + (y - gy) ** 2) < 1e9 qualify row_number() over (partition by id order by sqrt((x - gx) ** 2 + (y - gy) ** 2), gx, gy) = 1)
       select id, gx * 2 - gy * 3 + gx * gy / 1000 + 50 as z from sp left join n using (id)""",
