@@ -325,3 +325,20 @@ def test_measure_of_very_long_texts_is_bounded(unit):
 
 def test_schema_has_clashing_names():
     assert "size long" in SCHEMA and "block long" in SCHEMA
+
+
+def test_license_spans_of_many_near_notices():
+    """Matches are whole words, none overlaps another, and the work grows with the text, not with its square."""
+    from time import process_time
+
+    from wellfield.llm.license_scan import fuzzy_spans
+
+    line = " " + "under the mit licence foo creative commons atribution license " * 4000
+    begin = process_time()
+    spans = fuzzy_spans(line)
+    assert process_time() - begin < 10
+    assert [s[0] for s in spans].count(0) == 4000 and {s[3] for s in spans} == {1}
+    for own in ([s for s in spans if s[0] == k] for k in {s[0] for s in spans}):
+        assert all(a[2] <= b[1] for a, b in zip(own, own[1:]))
+    assert all(line[a - 1] == " " != line[a] and line[b] == " " != line[b - 1] for _, a, b, _ in spans)
+    assert fuzzy_spans(" reative commons zero public domain dedication ")[0][1:] == (1, 46, 1)

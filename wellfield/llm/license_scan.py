@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from bisect import bisect_right
 from collections.abc import Iterator
 from functools import lru_cache
+from heapq import heappop, heappush
 
 import ahocorasick
 import pyarrow as pa
@@ -51,7 +53,7 @@ def _search(notices: tuple[tuple[str, str], ...], per_edit: int):
         cuts = [len(phrase) * j // (edits + 1) for j in range(edits + 2)]
         for a, b in zip(cuts, cuts[1:]):
             seeds.setdefault(phrase[a:b], []).append((k, a))
-        matchers.append((edits, regex.compile(rf"(?b)(?<![^ ])(?:{regex.escape(phrase)}){{e<={edits}}}(?![^ ])"), len(phrase) - edits - 1))
+        matchers.append((edits, regex.compile(rf"(?b)(?<![^ ])(?=[^ ])(?:{regex.escape(phrase)}){{e<={edits}}}(?![^ ])"), len(phrase) - edits - 1))
     automaton = ahocorasick.Automaton()
     for seed, places in seeds.items():
         automaton.add_word(seed, (len(seed), places))
@@ -62,29 +64,50 @@ def _search(notices: tuple[tuple[str, str], ...], per_edit: int):
 def fuzzy_spans(line: str, notices=NOTICES, per_edit: int = CHARACTERS_PER_EDIT) -> list[tuple[int, int, int, int]]:
     """(notice, start, end, edits) of the best match in each candidate place of a line of words, overlaps joined."""
     automaton, matchers = _search(notices, per_edit)
-    windows: dict[int, list[list[int]]] = {}
+    windows: dict[int, set[tuple[int, int]]] = {}
     for last, (length, places) in automaton.iter(line):
         for k, offset in places:
-            edits = matchers[k][0]
-            start = last + 1 - length - offset
-            lo, hi = max(0, start - edits), start + len(notices[k][1]) + edits
-            kept = windows.setdefault(k, [])
-            if kept and lo <= kept[-1][1]:
-                kept[-1][:] = min(lo, kept[-1][0]), max(hi, kept[-1][1])
-            else:
-                kept.append([lo, hi])
+            start, edits = last + 1 - length - offset, matchers[k][0]
+            # One character more on each side shows whether the match ends with a word.
+            windows.setdefault(k, set()).add((max(0, start - edits - 1), min(len(line), start + len(notices[k][1]) + edits + 1)))
+    return [(k, *span) for k in sorted(windows) for span in _best_first(line, windows[k], *matchers[k][1:])]
+
+
+def _best_first(line: str, windows: set[tuple[int, int]], matcher: regex.Pattern, least: int) -> list[tuple[int, int, int]]:
+    """(start, end, edits) of matches that do not overlap: over all windows that with the fewest edits first, of these the
+    leftmost. What a match leaves of the windows it touches is searched again, so each search is as short as a window,
+    however long the text."""
+    waiting: list[tuple[int, int, int, int, int]] = []
+    starts: list[int] = []
+    ends: list[int] = []
+
+    def search(lo: int, hi: int) -> None:
+        # Matches lie between blanks, so a window is cut to whole words; the blank before them stays, as the matcher
+        # allows no insertion where its search starts.
+        if lo and line[lo] != " ":
+            lo = lo - 1 if line[lo - 1] == " " else line.find(" ", lo, hi) if " " in line[lo:hi] else hi
+        if hi < len(line) and line[hi] != " ":
+            hi = line.rfind(" ", lo, hi)
+        elif hi > lo and line[hi - 1] == " ":
+            hi -= 1
+        if hi - lo > least and (match := matcher.search(line, lo, hi)):
+            heappush(waiting, (sum(match.fuzzy_counts), *match.span(), lo, hi))
+
+    for lo, hi in sorted(windows):
+        search(lo, hi)
     found = []
-    for k, kept in windows.items():
-        # One character more on each side shows whether the match ends with a word.
-        left = [(max(0, lo - 1), min(len(line), hi + 1)) for lo, hi in kept]
-        while left:
-            lo, hi = left.pop()
-            if match := matchers[k][1].search(line, lo, hi):
-                a, b = match.span()
-                if (a == 0 or line[a - 1] == " ") and (b == len(line) or line[b] == " "):
-                    found.append((k, a, b, sum(match.fuzzy_counts)))
-                # The best match comes first; others may lie before and after it.
-                left += [(x, y) for x, y in ((lo, a), (max(b, lo + 1), hi)) if y - x > matchers[k][2] and (x, y) != (lo, hi)]
+    while waiting:
+        edits, a, b, lo, hi = heappop(waiting)
+        k = bisect_right(starts, b - 1)
+        if k and ends[k - 1] > a:
+            # Taken in part: what lies before and after the span that took it.
+            a, b = starts[k - 1], ends[k - 1]
+        else:
+            found.append((a, b, edits))
+            starts.insert(k, a)
+            ends.insert(k, b)
+        search(lo, min(hi, a))
+        search(max(lo, b), hi)
     return sorted(found)
 
 
@@ -118,7 +141,10 @@ def scan_licenses(docs: DataFrame, *, notices=NOTICES, per_edit: int = CHARACTER
                 places += at
                 base.add(label)
         plain = line.decode()
-        spans = [(notices[k][0], plain.count(" ", 0, a) - 1, plain.count(" ", 0, b) - 1, e, 1 - e / len(notices[k][1])) for k, a, b, e in fuzzy_spans(plain, notices, per_edit)]
+        spans, number, done = [], -1, 0
+        for k, a, b, e in sorted(fuzzy_spans(plain, notices, per_edit), key=lambda s: s[1]):
+            number, done = number + plain.count(" ", done, a), a
+            spans.append((notices[k][0], number, number + plain.count(" ", a, b), e, 1 - e / len(notices[k][1])))
         labels = base | {s[0] for s in spans}
         score = 1.0 if base else max((s[4] for s in spans), default=0.0)
         own = [dict(zip(("label", "first_word", "last_word", "edits"), s[:4])) for s in spans]
