@@ -342,3 +342,11 @@ def test_license_spans_of_many_near_notices():
         assert all(a[2] <= b[1] for a, b in zip(own, own[1:]))
     assert all(line[a - 1] == " " != line[a] and line[b] == " " != line[b - 1] for _, a, b, _ in spans)
     assert fuzzy_spans(" reative commons zero public domain dedication ")[0][1:] == (1, 46, 1)
+
+
+def test_long_pieces_leave_the_cache():
+    with open(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), "rb") as file:
+        bpe = Merger(file.read())
+    texts = ["word " + "ab" * 5000 + str(k) for k in range(3)] + ["ab" * 5000 + "0"]
+    got = [b"".join(bpe.tokens[i] for i in ids).decode() for _ in range(2) for ids in bpe.encode(texts)]
+    assert got == texts * 2 and all(len(piece) <= 128 for piece in bpe.cache) and "word" in bpe.cache

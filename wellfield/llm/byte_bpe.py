@@ -25,6 +25,8 @@ L, N, O, A2, A3, W, Z, G, E = range(9)  # noqa: E741
 DONE, IN_L, IN_N, IN_O, BLANK, ONE, TWO, IN_W = range(8)
 #: Pieces that a worker remembers; past that it starts anew, which costs time only.
 CACHE = 200_000
+#: Pieces of more characters are merged anew in each batch, so the cache stays small whatever the texts hold.
+LONGEST = 128
 
 
 def _machine() -> tuple[np.ndarray, np.ndarray]:
@@ -161,13 +163,17 @@ class Merger:
         cache = self.cache
         if len(cache) > CACHE:
             cache.clear()
-        for piece in set(pieces).difference(cache):
+        new = set(pieces).difference(cache)
+        for piece in new:
             cache[piece] = self.piece(piece)
         cuts = np.searchsorted(starts, ends).tolist()
         out, a = [], 0
         for b in cuts:
             out.append(np.fromiter(chain.from_iterable(map(cache.__getitem__, pieces[a:b])), np.int32))
             a = b
+        for piece in new:
+            if len(piece) > LONGEST:
+                del cache[piece]
         return out
 
 
