@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import functools
+import math
 from collections.abc import Callable
 
 import numpy as np
@@ -45,29 +47,59 @@ def typical_points(y: np.ndarray, x: np.ndarray, apart: float = 0.05, limit: flo
     return ~(np.abs(z) >= limit).any(axis=0) & ~np.isnan(both).all(axis=0)
 
 
+def middle_gap(values: np.ndarray) -> float:
+    """The median of the squared differences of all pairs, found by counting: memory stays linear in their number."""
+    ranked = np.sort(np.asarray(values, float))
+    n, pairs = len(ranked), len(ranked) * (len(ranked) - 1) // 2
+
+    def smallest(k: int) -> float:
+        """The k-th smallest difference, from 0: bisection until the bracket holds one value of those that occur."""
+        low, high = -1.0, float(ranked[-1] - ranked[0])
+        while True:
+            middle = low + (high - low) / 2
+            ends = np.searchsorted(ranked, ranked + middle, "right")
+            ends = np.maximum(ends, np.arange(n) + 1)
+            if int((ends - np.arange(n) - 1).sum()) > k:
+                high = float((ranked[ends - 1] - ranked).max())
+            elif low < middle < high:
+                low = middle
+            else:
+                return high
+
+    if not pairs:
+        return float("nan")
+    one, two = smallest((pairs - 1) // 2), smallest(pairs // 2)
+    return (one * one + two * two) / 2
+
+
 def breaks(signal: np.ndarray, penalty: float, least: int = 6, jump: int = 5) -> list[int]:
     """Ends of the segments with the least kernel cost plus penalty per break, by pruned dynamic programming over every
-    `jump`-th place. Empty where the series is too short for one break."""
+    `jump`-th place. Empty where the series is too short for one break.
+
+    For each place that a segment may still start at, the kernel's sum over the square from there to the current end is
+    kept and grown by the new rows; so memory is a few rows of the kernel, however long the series."""
     n = len(signal)
     if -(-least // jump) * jump + least > n:
         return []
-    gaps = (signal[:, None] - signal[None, :]) ** 2
-    middle = np.median(gaps[np.triu_indices(n, 1)])
-    kernel = np.exp(-np.clip(gaps / middle if middle else gaps, 1e-2, 1e2))
-    np.fill_diagonal(kernel, 1.0)
-    block = np.zeros((n + 1, n + 1))
-    block[1:, 1:] = kernel.cumsum(0).cumsum(1)
-
-    def cost(a: int, b: int) -> float:
-        return (b - a) - (block[b, b] - block[a, b] - block[b, a] + block[a, a]) / (b - a)
-
-    best, come, live = {0: 0.0}, {}, [0]
+    signal = np.asarray(signal, float)
+    middle = middle_gap(signal)
+    best, come, live, sums, before = {0: 0.0}, {}, np.array([0]), np.array([0.0]), 0
     for end in [*range(jump, n, jump), n]:
-        options = [(best[a] + cost(a, end) + penalty, a) for a in live if end - a >= least and a in best]
-        if options:
-            best[end], come[end] = min(options)
-            live = [a for a in live if end - a < least or best[a] + cost(a, end) <= best[end]]
-            live.append(end)
+        first = int(live.min())
+        gaps = (signal[before:end, None] - signal[None, first:end]) ** 2
+        kernel = np.exp(-np.clip(gaps / middle if middle else gaps, 1e-2, 1e2))
+        kernel[np.arange(end - before), np.arange(before - first, end - first)] = 1.0
+        aside = np.append(np.cumsum(kernel[:, : before - first].sum(0)[::-1])[::-1], 0.0)
+        sums = sums + 2 * aside[live - first] + kernel[:, before - first :].sum()
+        before = end
+        cost = (end - live) - sums / (end - live)
+        worth = np.array([best.get(int(x), np.inf) for x in live]) + cost
+        ready = (end - live >= least) & np.isfinite(worth)
+        if ready.any():
+            k = int(np.flatnonzero(ready)[np.argmin(worth[ready])])
+            best[end], come[end] = float(worth[k]) + penalty, int(live[k])
+            stay = (end - live < least) | (worth <= best[end])
+            live, sums = np.append(live[stay], end), np.append(sums[stay], 0.0)
     ends, at = [], n
     while at:
         ends.append(at)
@@ -134,33 +166,100 @@ def evolve(f: Callable, low: np.ndarray, high: np.ndarray, rounds: int, seed: in
     return pool[worth.argmin()]
 
 
-def sample(log_density: Callable, start: np.ndarray, scale: np.ndarray, draws: int, tune: int, seed: int) -> np.ndarray:
-    """Random-walk Metropolis draws whose step adapts to the tuning draws' spread."""
-    rng = np.random.default_rng(seed)
-    x, value, out, step, won = start, log_density(start), [], scale, 0
-    for k in range(tune + draws):
-        new = x + rng.normal(size=len(x)) * step
-        other = log_density(new)
-        if np.log(rng.random()) < other - value:
-            x, value, won = new, other, won + 1
-        if k < tune and k % 50 == 49:
-            step, won = step * (1.3 if won > 15 else 0.6), 0
-        if k >= tune:
-            out.append(x)
-    return np.array(out)
+@functools.cache
+def t_quantile(degrees: int, both_sides: float = 0.9) -> float:
+    """The t up to which Student's distribution with so many degrees holds a share of `both_sides` around 0: bisection on
+    the finite series of its distribution function in the angle atan(t / sqrt(degrees))."""
+
+    def share(angle: float) -> float:
+        odd, total, term = degrees % 2, 0.0, math.cos(angle) if degrees % 2 else 1.0
+        for k in range((degrees - odd) // 2):
+            total += term
+            term *= (2 * k + 1 + odd) / (2 * k + 2 + odd) * math.cos(angle) ** 2
+        return (angle + math.sin(angle) * total) * 2 / math.pi if odd else math.sin(angle) * total
+
+    low, high = 0.0, math.pi / 2
+    for _ in range(60):
+        low, high = ((low + high) / 2, high) if share((low + high) / 2) < both_sides else (low, (low + high) / 2)
+    return math.sqrt(degrees) * math.tan(low)
+
+
+def smoothed(q: np.ndarray, passes: int) -> np.ndarray:
+    """The mean of up to three points up to each one, `passes` times."""
+    for _ in range(passes):
+        so_far = np.append(0.0, np.cumsum(q))
+        at = np.arange(1, len(q) + 1)
+        q = (so_far[at] - so_far[np.maximum(at - 3, 0)]) / np.minimum(at, 3)
+    return q
+
+
+def b_line(t: np.ndarray, q: np.ndarray, passes: int = 2, least: int = 24, most: int = 60) -> tuple[float, float, float, int] | None:
+    """Slope of (1 - D) / D over time, the ends of its 90% interval (NaN for two points), and the limit in months that
+    fits best; None where there is no line. Times rise.
+
+    What counts is as in forecast.b_diagnostics: rates from the last place of the largest on, smoothed, of which `least`
+    are needed. Running sums give the lines of all limits at once; of equally good ones the first limit stays."""
+    t, q = t[q > 0], q[q > 0]
+    if not len(q):
+        return None
+    last = len(q) - 1 - int(np.argmax(q[::-1]))
+    t, q = np.asarray(t[last:], float), smoothed(np.asarray(q[last:], float), passes)
+    if len(q) < least:
+        return None
+    with np.errstate(all="ignore"):
+        decline = np.log(q[:-1] / q[1:]) / np.diff(t)
+        y = (1 - decline) / decline
+    fine = np.isfinite(y) & (y > 0.001 * t[1:]) & (y < 3 * t[1:])
+    x, y = t[1:][fine], y[fine]
+    limits = np.arange(least, most + 1)
+    upto = np.searchsorted(x, limits, "right")
+    centred = x - t[0]
+    n, sx, sy, sxx, sxy, syy = (np.append(0.0, np.cumsum(v))[upto] for v in (np.ones(len(x)), centred, y, centred**2, centred * y, y**2))
+    xx, xy, yy = n * sxx - sx * sx, n * sxy - sx * sy, n * syy - sy * sy
+    with np.errstate(all="ignore"):
+        r2 = np.where(xx > 0, np.where(yy <= 1e-12 * n, 1.0, xy * xy / (xx * yy)), -np.inf)
+    k = int(np.argmax(np.round(r2, 10)))
+    if not np.isfinite(r2[k]):
+        return None
+    slope, wide = xy[k] / xx[k], float("nan")
+    if n[k] > 2:
+        wide = t_quantile(int(n[k]) - 2) * math.sqrt(max(yy[k] - xy[k] * slope, 0.0) / (n[k] - 2) / xx[k])
+    return float(slope), float(slope - wide), float(slope + wide), int(limits[k])
+
+
+def b_limits(low: float, middle: float, high: float, least: float = 0.5, most: float = 1.4) -> tuple[float, float, float]:
+    """Lower limit, start and upper limit of a fit's b; NaN stands for unknown. As forecast.b_bounds has them."""
+    low = max(low if low == low else least, least)
+    high = min(max(high if high == high else most, 1.1 * low), most)
+    start = middle if low <= middle <= high else (low + high) / 2
+    return round(low, 4), round(start, 4), round(high, 4)
 
 
 def hull(xy: np.ndarray) -> np.ndarray:
     """Corners of the convex hull of places (rows of x, y), counterclockwise from the least; all places where there are
-    fewer than three corners."""
-    points = sorted(set(map(tuple, xy.tolist())))
-    turn = lambda o, a, b: (a[0] - o[0]) * (b[1] - o[1]) - (a[1] - o[1]) * (b[0] - o[0])
-    half = []
-    for line in (points, points[::-1]):
-        chain = []
-        for p in line:
-            while len(chain) > 1 and turn(chain[-2], chain[-1], p) <= 0:
-                chain.pop()
-            chain.append(p)
-        half += chain[:-1]
-    return np.array(half or points, float).reshape(-1, 2)
+    fewer than three corners.
+
+    Only the lowest and the highest place of each x can be corners. Places that lie on or above the line between their
+    neighbours (for the lower half) go, all such at once with every second one staying, until none is left."""
+    ranked = np.unique(np.asarray(xy, float).reshape(-1, 2), axis=0)
+    if len(ranked) < 3:
+        return ranked
+    first = np.flatnonzero(np.append(True, ranked[1:, 0] != ranked[:-1, 0]))
+    last = np.append(first[1:], len(ranked)) - 1
+    lower, upper = _chain(ranked[first]), _chain(-ranked[last][::-1])
+    ring = np.vstack([lower, -upper])
+    keep = np.append(True, (ring[1:] != ring[:-1]).any(axis=1)) & np.append((ring[0] != ring[-1]).any(), np.ones(len(ring) - 1, bool))
+    return ring[keep] if keep.sum() > 2 else ranked[[0, -1]]
+
+
+def _chain(line: np.ndarray) -> np.ndarray:
+    """The lower hull of places with rising x."""
+    while len(line) > 2:
+        a, b, c = line[:-2], line[1:-1], line[2:]
+        turn = (b[:, 0] - a[:, 0]) * (c[:, 1] - a[:, 1]) - (b[:, 1] - a[:, 1]) * (c[:, 0] - a[:, 0])
+        out = turn <= 0
+        if not out.any():
+            break
+        run = np.arange(len(out)) - np.maximum.accumulate(np.where(~out, np.arange(len(out)), -1)) - 1
+        line = np.delete(line, np.flatnonzero(out & (run % 2 == 0)) + 1, axis=0)
+    return line

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions.decline import YEAR, Curve, decline_for, number
+from ..functions.kernels import t_quantile
 from .production import month_diff, priority
 
 ANALYSTS = ("manual", "auto_fit_1", "auto_fit_2", "auto_fit_3")
@@ -134,40 +135,46 @@ def smoothed(rows: DataFrame, column: str, keys: list[str], order: str, passes:
 
 
 def b_diagnostics(rows: DataFrame, keys: list[str], *, rate: str = "q", time: str = "t", passes: int = 2, least: int = 24, most: int = 60) -> DataFrame:
-    """keys, months, slope, r2, n: for each group the straight line of (1 - D) / D over time with the best fit.
+    """keys, months, slope, low, high, r2, points: for each group the straight line of (1 - D) / D over time with the best
+    fit, and the ends of the slope's 90% interval (null for a line through two points).
 
     Rates of zero go; a group starts at the last place of its largest rate and needs `least` points. D is the log of the
-    last rate over this one per time; only values between 0.001 t and 3 t count. Every limit from `least` to `most`
-    months is tried, and the first with the largest r2 stays. Running sums up to a point give the line of every limit
+    last rate over this one per time; only values between 0.001 t and 3 t count. Every limit of time (a whole number)
+    from `least` to `most` is tried, and the first with the largest r2 stays. Running sums up to a point give the line of every limit
     from its place to the next point's, so one pass over the group serves them all."""
     group = Window.partitionBy(*keys)
     rows = rows.where(F.col(rate) > 0).withColumn("top", F.max(rate).over(group))
     rows = rows.withColumn("from", F.max(F.when(F.col(rate) == F.col("top"), F.col(time))).over(group)).where(F.col(time) >= F.col("from"))
     rows = smoothed(rows, rate, keys, time, passes)
     order = group.orderBy(time)
-    rows = rows.withColumn("k", F.row_number().over(order)).withColumn("n", F.count("*").over(group)).where(F.col("n") >= least)
+    rows = rows.withColumn("n", F.count("*").over(group)).where(F.col("n") >= least)
     step = F.nullif(F.col(time) - F.lag(time).over(order), F.lit(0))
     rows = rows.withColumn("d", F.ln(F.lag(rate).over(order) / F.col(rate)) / step)
     rows = rows.withColumn("y", (1 - F.col("d")) / F.nullif(F.col("d"), F.lit(0.0))).where(f"y > 0.001 * {time} and y < 3 * {time}")
     so_far = order.rowsBetween(Window.unboundedPreceding, 0)
     x, y = F.col(time) - F.col("from"), F.col("y")
     sums = {"points": F.lit(1), "sx": x, "sy": y, "sxx": x * x, "sxy": x * y, "syy": y * y}
-    rows = rows.select(*keys, "k", *(F.sum(v).over(so_far).alias(n) for n, v in sums.items()), F.coalesce(F.lead("k").over(order) - 1, F.lit(most)).alias("upto"))
-    rows = rows.withColumn("months", F.greatest("k", F.lit(least))).where((F.col("months") <= F.col("upto")) & (F.col("months") <= most))
+    limit = F.col(time).cast("int")
+    rows = rows.select(*keys, limit.alias("at"), *(F.sum(v).over(so_far).alias(n) for n, v in sums.items()), F.coalesce(F.lead(limit).over(order) - 1, F.lit(most)).alias("upto"))
+    rows = rows.withColumn("months", F.greatest("at", F.lit(least))).where((F.col("months") <= F.col("upto")) & (F.col("months") <= most))
     spread = lambda a, b, ab: F.col(ab) * F.col("points") - F.col(a) * F.col(b)
     rows = rows.select(*keys, "months", "points", spread("sx", "sx", "sxx").alias("xx"), spread("sx", "sy", "sxy").alias("xy"), spread("sy", "sy", "syy").alias("yy"))
     flat = F.when(F.col("yy") <= 1e-12 * F.col("points"), 1.0)
-    lines = rows.where("xx > 0").select(*keys, "months", (F.col("xy") / F.col("xx")).alias("slope"), F.coalesce(flat, F.col("xy") * F.col("xy") / (F.col("xx") * F.col("yy"))).alias("r2"), "points")
+    slope, degrees = F.col("xy") / F.col("xx"), F.col("points") - 2
+    quantile = F.element_at(F.array(*(F.lit(t_quantile(k)) for k in range(1, most + 1))), degrees.cast("int"))
+    wide = F.when(degrees > 0, quantile * F.sqrt(F.greatest(F.col("yy") - F.col("xy") * slope, F.lit(0.0)) / degrees / F.col("xx")))
+    lines = rows.where("xx > 0").select(*keys, "months", slope.alias("slope"), (slope - wide).alias("low"), (slope + wide).alias("high"), F.coalesce(flat, F.col("xy") * F.col("xy") / (F.col("xx") * F.col("yy"))).alias("r2"), "points")
     by = Window.partitionBy(*keys).orderBy(F.desc(F.round("r2", 10)), "months")
     return lines.withColumn("place", F.row_number().over(by)).where("place = 1").drop("place")
 
 
 def b_bounds(low: Column, average: Column, high: Column, least: float = 0.5, most: float = 1.4) -> list[Column]:
-    """Bounds and start of a b factor: clamped, the upper at least a tenth above the lower, the start between them."""
-    clamp = lambda c: F.least(F.greatest(c, F.lit(least)), F.lit(most))
-    lo = clamp(low)
-    hi = F.greatest(clamp(high), lo * 1.1)
-    start = F.when(average.isNull() | (average < lo) | (average > hi), (lo + hi) / 2).otherwise(average)
+    """Lower limit, start and upper limit of a b factor: the lower is `least` or more, the upper a tenth above it but
+    `most` or less, the start between them, or else half way. Null limits are `least` and `most`. A lower limit above
+    `most` leaves no room for b; fits then take the start as it is."""
+    lo = F.greatest(F.coalesce(low, F.lit(least)), F.lit(least))
+    hi = F.least(F.greatest(F.coalesce(high, F.lit(most)), lo * 1.1), F.lit(most))
+    start = F.when((average >= lo) & (average <= hi), average).otherwise((lo + hi) / 2)
     return [F.round(c, 4).alias(n) for c, n in ((lo, "low"), (start, "start"), (hi, "high"))]
 
 

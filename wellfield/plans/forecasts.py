@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions.decline import Curve, decline_for
+from ..functions.kernels import t_quantile
+from ..operators import fits
 from ..operators import forecast as Q
 from ..operators import production as P
 from ..sources import fixtures as X
@@ -154,6 +156,12 @@ def b1_b_factor(spark, d):
     return found.select("wellid", "measure", "months", F.round("slope", 4).alias("slope"), F.round("r2", 4).alias("r2"))
 
 
+def b12_b_limits(spark, d):
+    """What the automatic fit lets b be, from each well's own line."""
+    rows = _series(spark, d).select("wellid", "measure", F.col("t").alias("months"), F.col("q").alias("value"))
+    return fits.b_limits(rows).select("wellid", "measure", *(F.round(c, 3).alias(c) for c in ("b_low", "b_start", "b_high")))
+
+
 def b2_bounds(spark, d):
     rows = X.well_header(spark, d).select("wellid", (X.well() % 13 / 10).alias("lo"), F.when(X.well() % 5 != 0, X.well() % 17 / 10).alias("mid"), (X.well() % 19 / 10).alias("hi"))
     return rows.select("wellid", *Q.b_bounds(F.col("lo"), F.col("mid"), F.col("hi")))
@@ -199,9 +207,19 @@ def ag15_errors(spark, d):
 
 QUERIES = {f.__name__: f for f in (
     w8_best_forecast, jn10_history, jn11_cumulative_at_start, jn14_rank_at_start, flt5_population, flt6_fit_window, d1_month_diff, d2_arps, d3_rate_only, d4_exp_dei, d5_roll_forward, d6_segments, d7_eur, d8_volumes,
-    d9_type_curve, d10_scaling, b1_b_factor, b2_bounds, b7_thinning, b13_goodness, b15_bands, w18_smoothing, w19_log_difference, ag14_regression, ag15_errors,
+    d9_type_curve, d10_scaling, b1_b_factor, b2_bounds, b12_b_limits, b7_thinning, b13_goodness, b15_bands, w18_smoothing, w19_log_difference, ag14_regression, ag15_errors,
 )}
 
+#: The best of the straight lines of all limits, with the sums of its squares.
+_LINES = f"""{SERIES}, top as (select wellid, measure, max(q) as m from series where q > 0 group by 1, 2),
+      f as (select s.wellid, s.measure, max(t) as f from series s join top on top.wellid = s.wellid and top.measure = s.measure and s.q = top.m group by 1, 2),
+      r as (select s.* from series s join f on f.wellid = s.wellid and f.measure = s.measure where t >= f),
+      s1 as (select wellid, measure, t, avg(q) over (partition by wellid, measure order by t rows 2 preceding) as q from r), s2 as (select wellid, measure, t, avg(q) over (partition by wellid, measure order by t rows 2 preceding) as q from s1),
+      n as (select *, count(*) over (partition by wellid, measure) as n, ln(lag(q) over w / q) / (t - lag(t) over w) as dd from s2 window w as (partition by wellid, measure order by t)),
+      y as (select wellid, measure, t, (1 - dd) / dd as y from n where n >= 24 and dd <> 0), z as (select * from y where y > 0.001 * t and y < 3 * t),
+      l as (select wellid, measure, m::int as months, regr_slope(y, t) as slope, regr_r2(y, t) as r2, count(*) as n, regr_sxx(y, t) as xx, regr_syy(y, t) as yy, regr_sxy(y, t) as xy from z, (select unnest(generate_series(24, 60)) as m) where t <= m group by 1, 2, 3),
+      line as (select * from l where r2 is not null qualify row_number() over (partition by wellid, measure order by round(r2, 10) desc, months) = 1)"""
+
 #: One row per well, phase and month of each segment; exponential segments have equal declines.
 _PARTS = f"""{BEST}, p0 as (select wellid, measure, case when wellid % 3 = 0 and wellid % 7 = 1 then 0 else q3 end as q3, q3 * 1.5 as q1, case when wellid % 3 = 2 then q3 * 1.2 else q3 end as q2, dei, def, b_factor, qabn, wellid % 3 * 6 as t1, case when wellid % 3 = 2 then 12 else 0 end as t2 from best),
   p1 as (select *, 1 - power(q2 / q1, 12.0 / nullif(t1, 0)) as d1, 1 - power(q3 / q2, 12.0 / nullif(t2, 0)) as d2 from p0),
@@ -243,15 +261,13 @@ ORACLES = {
     "d9_type_curve": f"{_PARTS.replace('{0}', '360')} select wellid, measure, round(max(cum + np0), 4) as eur from vol where wellid in (select wellid from p0 where q3 > 0) and t > 0 group by 1, 2",
     "d10_scaling": f"""{RANKED}, v as (select r.wellid, measure, value * case when r.wellid % 6 = 0 then 1 else 10000 / laterallength_ft end * sqrt(30.0 / (r.wellid % 40 + 10)) * power(880.0 / least(r.wellid % 9 * 200 + 300, 1500), 0.25) * power(880.0 / least(r.wellid % 7 * 250 + 400, 1500), 0.25) as value from ranked r join well_header h on h.wellid = r.wellid)
       select wellid, round(coalesce(max(value) filter (measure = 'OIL'), 0), 4) as oil, round(coalesce(max(value) filter (measure = 'GAS'), 0), 4) as gas, round(coalesce(max(value) filter (measure = 'WATER'), 0), 4) as water from v group by 1""",
-    "b1_b_factor": f"""{SERIES}, top as (select wellid, measure, max(q) as m from series where q > 0 group by 1, 2),
-      f as (select s.wellid, s.measure, max(t) as f from series s join top on top.wellid = s.wellid and top.measure = s.measure and s.q = top.m group by 1, 2),
-      r as (select s.* from series s join f on f.wellid = s.wellid and f.measure = s.measure where t >= f),
-      s1 as (select wellid, measure, t, avg(q) over (partition by wellid, measure order by t rows 2 preceding) as q from r), s2 as (select wellid, measure, t, avg(q) over (partition by wellid, measure order by t rows 2 preceding) as q from s1),
-      n as (select *, row_number() over w as k, count(*) over (partition by wellid, measure) as n, ln(lag(q) over w / q) / (t - lag(t) over w) as dd from s2 window w as (partition by wellid, measure order by t)),
-      y as (select wellid, measure, t, k, (1 - dd) / dd as y from n where n >= 24 and dd <> 0), z as (select * from y where y > 0.001 * t and y < 3 * t),
-      l as (select wellid, measure, m::int as months, regr_slope(y, t) as slope, regr_r2(y, t) as r2 from z, (select unnest(generate_series(24, 60)) as m) where k <= m group by 1, 2, 3)
-      select wellid, measure, months, round(slope, 4) as slope, round(r2, 4) as r2 from l where r2 is not null qualify row_number() over (partition by wellid, measure order by round(r2, 10) desc, months) = 1""",
-    "b2_bounds": f"""{W}, c as (select wellid, least(greatest((wellid % 13) / 10, 0.5::double), 1.4::double) as lo, case when wellid % 5 <> 0 then (wellid % 17) / 10 end as mid, least(greatest((wellid % 19) / 10, 0.5::double), 1.4::double) as hi0 from well_header), e as (select *, greatest(hi0, lo * 1.1::double) as hi from c)
+    "b1_b_factor": f"{_LINES} select wellid, measure, months, round(slope, 4) as slope, round(r2, 4) as r2 from line",
+    "b12_b_limits": f"""{_LINES}, quantile as (select unnest(range(1, 61)) as degrees, unnest({[t_quantile(k) for k in range(1, 61)]}) as v),
+      ends as (select wellid, measure, slope, v * sqrt((yy - xy * xy / xx) / (n - 2) / xx) as wide from line left join quantile on degrees = n - 2),
+      lo as (select *, greatest(coalesce(slope - wide, 0.5::double), 0.5::double) as lo from ends), hi as (select *, least(greatest(coalesce(slope + wide, 1.4::double), lo * 1.1::double), 1.4::double) as hi from lo)
+      select s.wellid, s.measure, coalesce(round(round(lo, 4), 3), 0.5) as b_low, coalesce(round(round(case when slope between lo and hi then slope else (lo + hi) / 2 end, 4), 3), 1.0) as b_start, coalesce(round(round(hi, 4), 3), 1.4) as b_high
+      from (select distinct wellid, measure from series) s left join hi on hi.wellid = s.wellid and hi.measure = s.measure""",
+    "b2_bounds": f"""{W}, c as (select wellid, greatest((wellid % 13) / 10, 0.5::double) as lo, case when wellid % 5 <> 0 then (wellid % 17) / 10 end as mid, (wellid % 19) / 10 as hi0 from well_header), e as (select *, least(greatest(hi0, lo * 1.1::double), 1.4::double) as hi from c)
       select wellid, round(lo, 4) as low, round(case when mid between lo and hi then mid else (lo + hi) / 2 end, 4) as start, round(hi, 4) as high from e""",
     "b7_thinning": f"{SERIES} select wellid, measure, t from series where t <= 36 or t % 2 = 1 or t = 72",
     "b13_goodness": f"{SERIES}, f as (select *, case when wellid % 4 = 0 then 5.0::double else q + t % 5 end as fit from series) select wellid, measure, round(case when wellid % 4 = 0 then 0 else power(corr(q, fit), 2) end, 4) as r2, round(sqrt(avg(power(q - fit, 2))), 4) as rmse, round(avg(abs(q - fit)), 4) as mae from f group by 1, 2",
