@@ -46,15 +46,16 @@ def plain_suffix(data, length=50):
         texts.setdefault((r[1] or "").encode(), []).append(r[0])
     key = lambda i: (i is None, i or 0)
     first = sorted(((min(ids, key=key), t) for t, ids in texts.items()), key=lambda x: (key(x[0]), x[1]))
-    seen, done = set(), {}
+    seen, own, done, last = set(), set(), {}, None
     for i, t in first:
-        gone, own = bytearray(len(t)), set()
+        if i != last:  # only smaller ids count
+            seen, own, last = seen | own, set(), i
+        gone = bytearray(len(t))
         for p in range(len(t) - length + 1):
             w = t[p : p + length]
             own.add(w)
             if w in seen:
                 gone[p : p + length] = b"\1" * length
-        seen |= own
         kept = bytes(c for c, g in zip(t, gone) if not g)
         spans = sum(g and (k == 0 or not gone[k - 1]) for k, g in enumerate(gone))
         done[i, t] = (len(t), len(t) - len(kept), spans, hashlib.sha256(kept).hexdigest())
@@ -91,9 +92,33 @@ def test_suffix_dedup_shared_passages(spark):
 
 def test_window_hashes_at_stretch_edges():
     data = np.random.default_rng(0).integers(0, 256, 1000, np.uint8)
-    whole = B.window_hashes(data, 50, 2, 5000)
+    whole = B._polynomials(data, 50, 2, 5000)
     for n in (1, 49, 50, 51, 63, 64, 65, 127, 129, 200, 1000):
-        assert (B.window_hashes(data[:n], 50, 2, 64)[: max(0, n - 49)] == whole[: max(0, n - 49)]).all()
+        assert (B._polynomials(data[:n], 50, 2, 64)[: max(0, n - 49)] == whole[: max(0, n - 49)]).all()
+    for length in (64, 65, 128, 300, 999):
+        twice = B.window_hashes(np.concatenate([data, data]), length, 1)
+        assert (twice[: 1001 - length] == twice[1000 : 2001 - length]).all() and len(np.unique(twice[:1000])) == 1000
+
+
+def test_patterns_that_cancel_in_a_polynomial(spark):
+    """Two different texts whose difference is a Thue-Morse pattern, and the same with a true repeat."""
+    morse = "".join("ab"[bin(k).count("1") % 2] for k in range(1024))
+    texts = ["p" * 40 + morse + "s" * 40, "p" * 40 + morse.translate(str.maketrans("ab", "ba")) + "s" * 40, "q" * 9 + "p" * 40 + morse + "s" * 40]
+    data = [(k, t, *[None] * 12) for k, t in enumerate(texts)]
+    got = suffix_dedup(documents(spark, data), length=1104).drop("spans")
+    assert Counter(tuple(r) for r in got.collect()) == plain_suffix(data, 1104)
+
+
+@pytest.mark.parametrize("most", [1, 200, 1 << 20])
+def test_rows_of_one_id_lose_nothing_to_each_other(spark, monkeypatch, most):
+    """Also where the texts of one id lie in several blocks."""
+    build = B.build
+    monkeypatch.setattr(B, "build", lambda scratch, name, docs: build(scratch, name, docs, most))
+    shared, other = prose(1, 30), prose(2, 30)
+    texts = [(3, shared + " one"), (3, shared + " two"), (3, shared + " three " + other), (5, "five " + shared), (5, other + " and " + shared), (None, shared), (None, "none " + shared), (9, other), (9, other + " more"), (9, shared[:40]), (4, "z" * 60), (4, "z" * 70)]
+    data = [(i, t, *[None] * 12) for i, t in texts]
+    got = suffix_dedup(documents(spark, data)).drop("spans")
+    assert Counter(tuple(r) for r in got.collect()) == plain_suffix(data)
 
 
 def plain_near(data, words=5):

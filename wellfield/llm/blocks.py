@@ -202,9 +202,28 @@ def words(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return np.flatnonzero(begin), np.flatnonzero(over) + 1
 
 
-def window_hashes(data: np.ndarray, length: int, seed: int, step: int = 1 << 15) -> np.ndarray:
-    """A 64-bit hash of the `length` bytes from each place (those that reach past the end mean nothing), by doubling;
-    in stretches that fit a core's cache."""
+#: Windows up to this length are hashed by one polynomial.
+SHORT = 64
+
+
+def window_hashes(data: np.ndarray, length: int, seed: int) -> np.ndarray:
+    """A 64-bit hash of the `length` bytes from each place (those that reach past the end mean nothing).
+
+    Up to SHORT bytes by a polynomial. In a longer one, texts that differ in a regular pattern (Thue-Morse) would cancel
+    modulo 2^64 whatever the factor, so a longer window is a chain over the hashes of its pieces of SHORT bytes, scrambled
+    at every link; the last piece ends where the window ends."""
+    if length <= SHORT:
+        return _polynomials(data, length, seed)
+    piece, out = _polynomials(data, SHORT, seed), np.full(len(data), seed, np.uint64)
+    for at in [*range(0, length - SHORT, SHORT), length - SHORT]:
+        out *= np.uint64(0x9E3779B97F4A7C15)
+        out[: max(0, len(data) - at)] ^= piece[at:]
+        out = mix64(out)
+    return out
+
+
+def _polynomials(data: np.ndarray, length: int, seed: int, step: int = 1 << 15) -> np.ndarray:
+    """Polynomials of short windows by doubling, in stretches that fit a core's cache."""
     factor = int(mix64(np.array([seed], np.uint64))[0]) | 1
     values = BYTE * np.uint64(2 * seed + 1)
     out = np.zeros(len(data), np.uint64)

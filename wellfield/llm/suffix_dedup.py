@@ -18,6 +18,10 @@ from .common import Scratch
 #: below PERIOD brings both onto sampled places.
 PERIOD, COVER = 21, np.array([3, 6, 7, 12, 14])
 SAMPLE_BITS, WINDOW_BITS = 48, 64
+#: What a bucket says of a block's window: no earlier block has it; one has it under an id smaller than all ids here; earlier
+#: ones have it, but only under the id that this block begins with.
+NEW, SEEN, SEEN_UNDER_FIRST = 0, 1, 2
+SENT = B.SENT + ", first long, last long, flags binary"
 #: A bucket holds the samples or windows of so many bytes of text.
 BUCKET_TEXT = 1 << 22
 
@@ -51,6 +55,8 @@ class _Suffixes:
 
     def __init__(self, block: B.Block, length: int):
         self.block, self.length, self.head = block, length, length - PERIOD + 1
+        ids = block.doc_ids
+        self.rank = np.cumsum(np.append(0, (ids[1:] != ids[:-1]).astype(np.int64))) if len(ids) else ids  # of ids, which rise
         self.heads = B.window_hashes(block.data, self.head, 1)
 
     def samples(self, buckets: int) -> tuple[np.ndarray, ...]:
@@ -68,7 +74,8 @@ class _Suffixes:
 
     def windows(self, shared: np.ndarray, buckets: int) -> tuple[np.ndarray, ...]:
         """Distinct windows that have a shared sample, in suffix buckets by the hash of their head, sorted within a
-        bucket; each such place with the number of its window, and whether an earlier text of this block has it."""
+        bucket, and whether only texts of the block's last id have them; each such place with the number of its window,
+        whether a text of this block with a smaller id has it, and whether the id is larger than the block's first."""
         n = len(self.block.data)
         flag = np.zeros(n + PERIOD + 1, np.int32)
         flag[shared + 1] = 1
@@ -80,10 +87,10 @@ class _Suffixes:
         keys, tails = self._whole_hashes(at), self.heads[at + self.length - self.head].astype(np.uint16)
         bucket = B.bucket_of(self.heads[at], buckets)
         order, new = _order(keys, tails, bucket)
-        docs, group = doc[order], np.cumsum(new) - 1
-        earliest = np.minimum.reduceat(docs, np.flatnonzero(new)) if len(at) else docs
-        first = order[new]
-        return keys[first], bucket[first], tails[first], at[order], group, docs > earliest[group]
+        ranks, group = self.rank[doc[order]], np.cumsum(new) - 1
+        earliest = np.minimum.reduceat(ranks, np.flatnonzero(new)) if len(at) else ranks
+        first, final = order[new], self.rank[-1] if len(self.rank) else 0
+        return keys[first], bucket[first], tails[first], earliest == final, at[order], group, ranks > earliest[group], ranks > 0
 
     def _whole_hashes(self, at: np.ndarray) -> np.ndarray:
         """Hashes of the windows at rising places, run by run of places that lie close together."""
@@ -114,20 +121,31 @@ def _classes(frame: pd.DataFrame) -> pd.DataFrame:
 
 
 def _suffix_bucket(frame: pd.DataFrame) -> pd.DataFrame:
-    """One suffix bucket, sorted: which blocks sent a window that an earlier block sent too."""
+    """One suffix bucket, sorted: which blocks sent a window that an earlier block sent too. Ids rise from block to block,
+    so the first block that sent a window has its smallest id; that is not smaller than all ids of a later block only
+    where one id goes on from block to block (`first`, `last` and `flags` are there if any id does)."""
     frame = frame.sort_values("block")
     keys, sizes = B.received(frame, WINDOW_BITS)
     order, new = _order(keys, np.frombuffer(b"".join(map(B.unpack, frame["notes"])), np.uint16))
-    return B.answer(frame, order != np.minimum.reduceat(order, np.flatnonzero(new))[np.cumsum(new) - 1], order, sizes)
+    group = np.cumsum(new) - 1
+    earliest = np.minimum.reduceat(order, np.flatnonzero(new))[group]  # keys stand block after block
+    codes = np.where(order != earliest, SEEN, NEW).astype(np.uint8)
+    if frame["first"].notna().any():
+        sender = np.repeat(np.arange(len(frame)), sizes)
+        alone = np.frombuffer(b"".join(map(B.unpack, frame["flags"])), bool)[earliest]
+        same = frame["last"].to_numpy(np.int64)[sender[earliest]] == frame["first"].to_numpy(np.int64)[sender[order]]
+        codes[(codes == SEEN) & alone & same] = SEEN_UNDER_FIRST
+    return B.answer(frame, codes, order, sizes)
 
 
 def _cut(suffixes: _Suffixes, frame: pd.DataFrame, buckets: int) -> pd.DataFrame:
     block, length = suffixes.block, suffixes.length
     shared = _shared_samples(suffixes, frame[frame["step"] == 1], buckets)
-    _, bucket, _, at, group, again = suffixes.windows(shared, buckets)
+    _, bucket, _, _, at, group, again, later = suffixes.windows(shared, buckets)
     repeated = np.zeros(len(block.data) + 1, np.int32)
     if len(at):
-        repeated[at[again | (B.answers(frame[frame["step"] == 2], bucket)[group] > 0)] + 1] = 1
+        code = B.answers(frame[frame["step"] == 2], bucket)[group]
+        repeated[at[again | (code == SEEN) | ((code == SEEN_UNDER_FIRST) & later)] + 1] = 1
     so_far = np.append(np.zeros(length, np.int32), np.cumsum(repeated, dtype=np.int32))
     gone = so_far[length + 1 :] > so_far[1 : len(block.data) + 1]
     opens = gone.copy()
@@ -160,8 +178,8 @@ def suffix_dedup(docs: DataFrame, *, length: int = 50) -> DataFrame:
     hashes: 48 bits for samples, where a chance hit only costs time; for windows 64 bits of the whole, 16 of its last bytes and the bucket's own of its first, as only equality to a fixed depth counts, not order.
 
     A null text counts as empty and has nothing removed; texts are read whole, however long. A null doc_id counts as
-    larger than any other. Rows that repeat id and text are one document; rows with one id and several texts are taken
-    in the order of the texts. An empty table gives no rows; other columns of docs are ignored. doc_id is an integer.
+    larger than any other (and as equal to 2^63 - 1, which stands for it). Rows with one id, of one text or of several,
+    lose nothing to each other. An empty table gives no rows; other columns of docs are ignored. doc_id is an integer.
     """
     if length < 2 * PERIOD:
         raise ValueError(f"length must be {2 * PERIOD} or more")
@@ -172,6 +190,8 @@ def suffix_dedup(docs: DataFrame, *, length: int = 50) -> DataFrame:
     by_id = F.col("doc_id").asc_nulls_last()
     texts = B.build(scratch, "blocks", distinct.repartitionByRange(by_id).sortWithinPartitions(by_id, "text"))
     buckets = B.bucket_count(texts, BUCKET_TEXT)
+    ends = texts.select("block", F.explode(F.array(F.element_at("doc_ids", 1), F.element_at("doc_ids", -1))).alias("id")).distinct()
+    spanned = bool(ends.groupBy("id").count().where("count > 1").limit(1).count())
 
     def send_samples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in B.rows_of(batches):
@@ -180,18 +200,22 @@ def suffix_dedup(docs: DataFrame, *, length: int = 50) -> DataFrame:
 
     def send_windows(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         if left.empty:
-            return pd.DataFrame({"bucket": [], "block": [], "keys": [], "notes": []})
+            return pd.DataFrame({c: [] for c in ("bucket", "block", "keys", "notes", "first", "last", "flags")})
         block = B.first_block(left)
         suffixes = _Suffixes(block, length)
-        keys, bucket, tails, *_ = suffixes.windows(_shared_samples(suffixes, right, buckets), buckets)
-        return B.send(block.number, bucket, keys, WINDOW_BITS, tails)
+        keys, bucket, tails, alone, *_ = suffixes.windows(_shared_samples(suffixes, right, buckets), buckets)
+        sent = B.send(block.number, bucket, keys, WINDOW_BITS, tails)
+        if not spanned:
+            return sent.assign(first=None, last=None, flags=None)
+        flags = B.send(block.number, bucket, keys, WINDOW_BITS, alone)["notes"]
+        return sent.assign(first=block.doc_ids[0], last=block.doc_ids[-1], flags=flags)
 
     def cut(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         return _cut(_Suffixes(B.first_block(left), length), right, buckets)
 
     with scratch.small_batches():
         samples = scratch.put("samples", texts.mapInArrow(send_samples, B.SENT).repartition(buckets, "bucket").groupBy("bucket").applyInPandas(_classes, B.ANSWER))
-        sent = texts.groupBy("block").cogroup(samples.groupBy("block")).applyInPandas(send_windows, B.SENT)
+        sent = texts.groupBy("block").cogroup(samples.groupBy("block")).applyInPandas(send_windows, SENT)
         windows = scratch.put("windows", sent.repartition(buckets, "bucket").groupBy("bucket").applyInPandas(_suffix_bucket, B.ANSWER))
         both = samples.withColumn("step", F.lit(1)).unionByName(windows.withColumn("step", F.lit(2)))
         schema = "first_id long, sha string, n_bytes long, n_removed long, n_spans long, kept_sha256 string, spans array<struct<start: long, end: long>>"
