@@ -1,11 +1,13 @@
 """Upserts, headers, relationships, geometry, tables and streams on small cases, and every query against its SQL."""
 
 import os
+from itertools import groupby
 
 import duckdb
 import pytest
 from pyspark.sql import functions as F
 
+from wellfield.functions import fluids as L
 from wellfield.functions import geometry as G
 from wellfield.operators import header as H
 from wellfield.operators import spacing as S
@@ -172,3 +174,34 @@ def test_flagship(spark):
 
     assert entry.entry(spark).count() > 0
     assert set(entry.oracle_sql()) <= set(entry.queries())
+
+
+def test_rows_with_null_keys_are_spread(spark):
+    """They never match, and however many there are, no task gets them all."""
+    source = spark.range(100_000).selectExpr("cast(null as long) as k", "id as v", "1 as w")
+    target = spark.createDataFrame([(1, 5, 5), (None, 6, 6)], "k long, v long, w int")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        out = U.merge(target, source.unionByName(spark.createDataFrame([(1, 7, 7), (2, 8, 8)], source.schema)), ["k"])
+        sizes = [r["count"] for r in out.groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert sum(sizes) == 100_003 and max(sizes) < 40_000
+    assert sorted(map(tuple, out.where("k is not null").collect())) == [(1, 7, 7), (2, 8, 8)]
+
+
+def test_pseudo_pressure_is_the_integral(spark):
+    """Against trapezoids over 4,000 pressures; rows that repeat stay apart."""
+    rows = spark.createDataFrame([(1, 3000.0, 150.0, 0.7, 0.01, 0.0), (1, 3000.0, 150.0, 0.7, 0.01, 0.0), (2, 900.0, 90.0, 0.65, 0.0, 0.02)], "id int, p double, t double, sg double, co2 double, h2s double")
+    got = {}
+    for r in L.pseudo_pressure(rows).collect():
+        got.setdefault(r["id"], []).append(r["m"])
+    assert len(got[1]) == 2 and got[1][0] == got[1][1]
+    steps = rows.distinct().withColumn("n", F.explode(F.sequence(F.lit(1), F.lit(4000)))).withColumn("at", F.col("p") * F.col("n") / 4000)
+    z = L.z_factor(F.col("at"), F.col("t"), F.col("sg"), F.col("co2"), F.col("h2s"))
+    curve = steps.withColumn("z", z).withColumn("f", F.col("at") / (L.gas_viscosity(F.col("at"), F.col("t"), F.col("sg"), F.col("z")) * F.col("z")))
+    for key, rows_ in groupby(curve.orderBy("id", "at").collect(), key=lambda r: r["id"]):
+        own = list(rows_)
+        area = sum((a["f"] + b["f"]) / 2 * (b["at"] - a["at"]) for a, b in zip(own, own[1:])) + own[0]["f"] * own[0]["at"] / 2
+        assert got[key][0] == pytest.approx(area, rel=1e-5)
+    assert "Exchange" not in L.pseudo_pressure(rows)._jdf.queryExecution().executedPlan().toString()

@@ -171,14 +171,17 @@ def water_gas(p: Column, t: Column, salt: Column) -> Column:
 
 
 def pseudo_pressure(rows: DataFrame, *, nodes: int = 24) -> DataFrame:
-    """rows (id, p, t, sg, co2, h2s) with m, the integral of p / (viscosity z) from 0 to p by Gauss-Legendre nodes, which
-    become rows so that the properties stay column expressions."""
+    """rows (p, t, sg, co2, h2s and any others) with m, the integral of p / (viscosity z) from 0 to p, by Gauss-Legendre
+    nodes. Each row sums its own nodes, so nothing is shuffled and rows that repeat stay apart."""
     x, w = np.polynomial.legendre.leggauss(nodes)
     points = F.array(*(F.struct(F.lit(float((a + 1) / 2)).alias("x"), F.lit(float(b / 2)).alias("w")) for a, b in zip(x, w)))
-    flat = rows.withColumn("node", F.explode(points)).withColumn("at", F.col("p") * F.col("node.x"))
-    flat = flat.withColumn("z", z_factor(F.col("at"), F.col("t"), F.col("sg"), F.col("co2"), F.col("h2s")))
-    part = F.col("at") / (gas_viscosity(F.col("at"), F.col("t"), F.col("sg"), F.col("z")) * F.col("z")) * F.col("node.w") * F.col("p")
-    return flat.groupBy(*rows.columns).agg(F.sum(part).alias("m"))
+
+    def part(total: Column, node: Column) -> Column:
+        at = F.col("p") * node["x"]
+        # One element, so that the factor is worked out once a node.
+        return total + F.element_at(F.transform(F.array(z_factor(at, F.col("t"), F.col("sg"), F.col("co2"), F.col("h2s"))), lambda z: at / (gas_viscosity(at, F.col("t"), F.col("sg"), z) * z) * node["w"] * F.col("p")), 1)
+
+    return rows.withColumn("m", F.aggregate(points, F.lit(0.0), part))
 
 
 def halved(lo: Column, hi: Column, f, steps: int = 80) -> Column:

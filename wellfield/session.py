@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import shutil
 import tempfile
 from pathlib import Path
@@ -22,10 +23,12 @@ def session(name: str = "wellfield", **conf: str) -> SparkSession:
 
 
 def ship(spark: SparkSession) -> None:
-    """Let Python workers import this package where neither their path nor their folder has it."""
+    """Let Python workers import this package. A local master's workers see what the driver sees, where its path or folder
+    has the package; any other cluster gets it sent, once an application."""
     paths = {os.path.realpath(p) for p in os.environ.get("PYTHONPATH", "").split(":") if p}
     context = spark.sparkContext
-    if str(ROOT) in paths or (Path.cwd() / "wellfield").exists() or getattr(context, "_wellfield_shipped", False):
+    seen = str(ROOT) in paths or (Path.cwd() / "wellfield").exists()
+    if (seen and re.fullmatch(r"local(\[[^\]]*\])?", context.master)) or getattr(context, "_wellfield_shipped", False):
         return
     context.addPyFile(shutil.make_archive(f"{tempfile.mkdtemp()}/wellfield", "zip", ROOT, "wellfield"))
     context._wellfield_shipped = True
