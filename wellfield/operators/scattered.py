@@ -81,14 +81,46 @@ def triangle_at(px: float, py: float, x: np.ndarray, y: np.ndarray) -> tuple[lis
     return corners, weights, float(np.hypot(cx, cy) + np.sqrt(r2) * (1 + 1e-6))
 
 
-def _valued(frames: Iterator[pd.DataFrame], reach: float, all_seen: bool) -> Iterator[pd.DataFrame]:
+def _plane(at: np.ndarray, xy: np.ndarray, weights: np.ndarray, values: np.ndarray) -> float:
+    """Linear within the triangle."""
+    return float(weights @ values[:, 0])
+
+
+def _cubic(at: np.ndarray, xy: np.ndarray, weights: np.ndarray, values: np.ndarray) -> float:
+    """Cubic within each third of the triangle around its centre, by corner values and slopes (rows of z, zx, zy).
+
+    Slopes across an edge run linearly between its ends, so they are the same from the triangle on the other side; within
+    the triangle the thirds meet with one slope. A surface of second degree comes out as it is."""
+    z, slope, centre = values[:, 0], values[:, 1:], xy.mean(axis=0)
+    k = int(np.argmin(weights))
+    inward = z + (slope * (centre - xy)).sum(1) / 3  # a third of the way from each corner to the centre
+    middle = np.empty(3)  # the inner control value of the third at the edge opposite each corner
+    for e in range(3):
+        i, j = (e + 1) % 3, (e + 2) % 3
+        along = xy[j] - xy[i]
+        out, back = z[i] + slope[i] @ along / 3, z[j] - slope[j] @ along / 3
+        lean = (centre - (xy[i] + xy[j]) / 2) @ along / (along @ along)
+        ends = (inward[i] - (z[i] + out) / 2 - lean * (out - z[i])) + (inward[j] - (z[j] + back) / 2 - lean * (z[j] - back))
+        middle[e] = (out + back) / 2 + lean * (back - out) + ends / 2
+    near = (inward + middle.sum() - middle) / 3
+    i, j = (k + 1) % 3, (k + 2) % 3
+    along = xy[j] - xy[i]
+    u, v, w = weights[i] - weights[k], weights[j] - weights[k], 3 * weights[k]
+    edge = z[i] * u**3 + 3 * (z[i] + slope[i] @ along / 3) * u * u * v + 3 * (z[j] - slope[j] @ along / 3) * u * v * v + z[j] * v**3
+    inner = 3 * inward[i] * u * u + 6 * middle[k] * u * v + 3 * inward[j] * v * v
+    return float(edge + inner * w + 3 * (near[i] * u + near[j] * v) * w * w + near.mean() * w**3)
+
+
+def _valued(frames: Iterator[pd.DataFrame], reach: float, all_seen: bool, columns: list[str], surface) -> Iterator[pd.DataFrame]:
     for frame in frames:
         z, done = np.full(len(frame), np.nan), np.zeros(len(frame), bool)
-        for k, (px, py, nodes) in enumerate(zip(frame["x"], frame["y"], frame["nodes"])):
-            if nodes is not None and len(nodes) > 2:
-                x, y, value = (np.array([n[c] for n in nodes]) for c in ("gx", "gy", "z"))
-                if (found := triangle_at(px, py, x, y)) and (all_seen or found[2] <= reach):
-                    z[k], done[k] = found[1] @ value[found[0]], True
+        for k, (px, py, x, y, *values) in enumerate(zip(frame["x"], frame["y"], frame["node_x"], frame["node_y"], *(frame[f"node_{c}"] for c in columns))):
+            if x is not None and len(x) > 2 and (found := triangle_at(px, py, x, y)) and (all_seen or found[2] <= reach):
+                corners, weights, _ = found
+                held = np.stack([v[corners] for v in values], 1)
+                at_node = weights[0] == 1.0 and corners[0] == corners[1]
+                z[k] = held[0, 0] if at_node else surface(np.array([px, py]), np.stack([x[corners], y[corners]], 1), weights, held)
+                done[k] = True
         yield pd.DataFrame({"id": frame["id"], "x": frame["x"], "y": frame["y"], "z": pd.Series(z).astype(object).where(done, None), "done": done | all_seen})
 
 
@@ -96,7 +128,7 @@ def hull(nodes: DataFrame) -> DataFrame:
     """The edges (x0, y0, x1, y1, upper) of the nodes' convex hull, from left to right, without upright ones;
     none where all nodes lie on one line.
 
-    Every partition keeps the corners of its own hull, batch by batch; one task then takes the hull of these corners."""
+    Every partition keeps the corners of its own hull, batch by batch; these few go to one task, which takes their hull."""
 
     def corners(frames: Iterator[pd.DataFrame]) -> np.ndarray:
         held = np.zeros((0, 2))
@@ -114,7 +146,7 @@ def hull(nodes: DataFrame) -> DataFrame:
         back = edges.rename(columns={"x0": "x1", "y0": "y1", "x1": "x0", "y1": "y0"})
         yield pd.concat([edges.assign(upper=False), back.assign(upper=True)]).query("x0 < x1")[["x0", "y0", "x1", "y1", "upper"]]
 
-    return nodes.select("x", "y").mapInPandas(part, "x double, y double").coalesce(1).mapInPandas(whole, "x0 double, y0 double, x1 double, y1 double, upper boolean")
+    return nodes.select("x", "y").mapInPandas(part, "x double, y double").repartition(1).mapInPandas(whole, "x0 double, y0 double, x1 double, y1 double, upper boolean")
 
 
 def _inside(points: DataFrame, edges: DataFrame, low: float, width: float, slack: float) -> DataFrame:
@@ -128,8 +160,98 @@ def _inside(points: DataFrame, edges: DataFrame, low: float, width: float, slack
     return points.join(held.where("good and above and not below").select("id"), "id", "left_semi")
 
 
+def _known(nodes: DataFrame) -> DataFrame:
+    """One row per place of nodes (x, y, z): the least z; nulls and NaN are left out."""
+    known = nodes.select("x", "y", "z").where("not isnan(x) and not isnan(y) and not isnan(z)").groupBy("x", "y").agg(F.min("z").alias("z"))
+    return checkpointed(known.where("x is not null and y is not null and z is not null"))
+
+
+def _cell(column: str, size: float):
+    return F.floor(F.col(column) / size)
+
+
+def _extent(known: DataFrame) -> tuple[int, float, float, float, float]:
+    return known.agg(F.count("*"), F.min("x"), F.max("x"), F.min("y"), F.max("y")).first()  # five numbers
+
+
+def _first_reach(known: DataFrame, n: int, area: float) -> float:
+    """Cells of this size hold at most CELL_NODES nodes."""
+    reach = 2 * np.sqrt(area / n)
+    while known.groupBy(_cell("x", reach), _cell("y", reach)).count().agg(F.max("count")).first()[0] > CELL_NODES:
+        reach /= 2
+    return float(reach)
+
+
+def _lists(known: DataFrame, wanted: DataFrame, reach: float, columns: list[str]) -> DataFrame:
+    """For each cell (cx, cy) of wanted the nodes of its own and the eight cells around, as arrays node_x, node_y and
+    one per column."""
+    near = F.sequence(F.lit(-1), F.lit(1))
+    spread = known.select("x", "y", *columns, F.explode(near).alias("i"), _cell("x", reach).alias("cx"), _cell("y", reach).alias("cy"))
+    spread = spread.select("x", "y", *columns, (F.col("cx") + F.col("i")).alias("cx"), F.explode(near).alias("j"), "cy")
+    around = spread.select("cx", (F.col("cy") + F.col("j")).alias("cy"), F.struct("x", "y", *columns).alias("node"))
+    lists = around.join(wanted.select("cx", "cy").distinct(), ["cx", "cy"], "left_semi").groupBy("cx", "cy").agg(F.collect_list("node").alias("nodes"))
+    return lists.select("cx", "cy", *(F.col(f"nodes.{c}").alias(f"node_{c}") for c in ("x", "y", *columns)))
+
+
+def slopes(known: DataFrame) -> DataFrame:
+    """Nodes (x, y, z), places of their own, with the slopes zx, zy of the surface of second degree that passes through a
+    node and fits those around best, nearer ones more.
+
+    Around a node are the nodes of its own cell and the eight beside it, from each quarter of a quarter of a cell the
+    first by (x, y); so a list has at most 144 nodes however dense they lie. Cells start small, and double for nodes
+    with fewer than ENOUGH around. Where the whole grid has fewer than six nodes the surface is a plane; where the nodes
+    leave its slope open it is the flattest of those that fit."""
+    n, x0, x1, y0, y1 = _extent(known)
+    if n < 3 or x0 == x1 or y0 == y1:
+        return known.select("*", F.lit(0.0).alias("zx"), F.lit(0.0).alias("zy"))
+    diagonal, reach = float(np.hypot(x1 - x0, y1 - y0)), _first_reach(known, n, (x1 - x0) * (y1 - y0))
+    left, found = known, None
+    while left.limit(1).count():
+        last = reach >= diagonal
+        fewer = known.groupBy(_cell("x", reach / 4).alias("i"), _cell("y", reach / 4).alias("j")).agg(F.min(F.struct("x", "y", "z")).alias("n")).select("n.*")
+        wanted = left.withColumns({"cx": _cell("x", reach), "cy": _cell("y", reach)})
+        met = wanted.join(_lists(fewer, wanted, reach, ["z"]), ["cx", "cy"], "left").select("x", "y", "z", "node_x", "node_y", "node_z")
+        step = checkpointed(met.mapInPandas(lambda frames, e=last: _sloped(frames, e), "x double, y double, z double, zx double, zy double, done boolean"))
+        got = step.where("done").drop("done")
+        found = got if found is None else found.unionByName(got)
+        left = step.where("not done").select("x", "y", "z")
+        reach *= 2
+    return found
+
+
+#: Nodes that a slope needs around its own.
+ENOUGH = 10
+
+
+def _sloped(frames: Iterator[pd.DataFrame], last: bool) -> Iterator[pd.DataFrame]:
+    for frame in frames:
+        out, done = np.zeros((len(frame), 2)), np.zeros(len(frame), bool)
+        for k, (px, py, pz, x, y, z) in enumerate(zip(*(frame[c] for c in ("x", "y", "z", "node_x", "node_y", "node_z")))):
+            x, y, z = (np.zeros(0) if v is None else v - p for v, p in ((x, px), (y, py), (z, pz)))
+            away = np.hypot(x, y)
+            x, y, z, away = (v[away > 0] for v in (x, y, z, away))
+            done[k] = last or len(x) >= ENOUGH
+            if done[k] and len(x):
+                size = away.max()
+                x, y, weight = x / size, y / size, 1 / (away / size + 0.05)
+                terms = np.stack([x, y, x * x, x * y, y * y], 1)[:, : 5 if len(x) > 4 else 2] * weight[:, None]
+                out[k] = np.linalg.lstsq(terms, z * weight, rcond=1e-9)[0][:2] / size
+        yield frame[["x", "y", "z"]].assign(zx=out[:, 0], zy=out[:, 1], done=done)
+
+
 def linear(points: DataFrame, nodes: DataFrame) -> DataFrame:
-    """points (id, x, y) with z, linear within the Delaunay triangle of nodes (x, y, z) that holds them.
+    """points (id, x, y) with z, linear within the Delaunay triangle of nodes (x, y, z) that holds them; see _searched."""
+    return _searched(points, _known(nodes), ["z"], _plane)
+
+
+def smooth(points: DataFrame, nodes: DataFrame) -> DataFrame:
+    """points (id, x, y) with z from a surface through the nodes (x, y, z) whose slope has no breaks: cubic in each third
+    of the Delaunay triangle, by values and slopes at its corners (see slopes and _cubic). Null and NaN as in linear()."""
+    return _searched(points, checkpointed(slopes(_known(nodes))), ["z", "zx", "zy"], _cubic)
+
+
+def _searched(points: DataFrame, known: DataFrame, columns: list[str], surface) -> DataFrame:
+    """points (id, x, y) with z from the Delaunay triangle of known nodes that holds them.
 
     Null outside the nodes' hull, for points without a place, and where all nodes lie on one line. Nodes with a null or
     NaN are left out; of several nodes at one place the least z counts. `id` is unique.
@@ -138,29 +260,19 @@ def linear(points: DataFrame, nodes: DataFrame) -> DataFrame:
     is final, as no other node can lie inside; for the other points the reach doubles, round by round. The first reach
     is so short that no cell holds more than CELL_NODES nodes. A cell's nodes travel once, whatever the number of points
     in it; points beside nodes far denser than those around themselves see all nodes of their last reach."""
-    known = nodes.select("x", "y", "z").where("not isnan(x) and not isnan(y) and not isnan(z)").groupBy("x", "y").agg(F.min("z").alias("z"))
-    known = checkpointed(known.where("x is not null and y is not null and z is not null"))
-    n, x0, x1, y0, y1 = known.agg(F.count("*"), F.min("x"), F.max("x"), F.min("y"), F.max("y")).first()  # five numbers
+    n, x0, x1, y0, y1 = _extent(known)
     empty = points.withColumn("z", F.lit(None).cast("double"))
     if n < 3 or x0 == x1 or y0 == y1:
         return empty
-    diagonal = float(np.hypot(x1 - x0, y1 - y0))
-    reach = 2 * np.sqrt((x1 - x0) * (y1 - y0) / n)
-    cell = lambda c, size: F.floor(F.col(c) / size)
-    while known.groupBy(cell("x", reach), cell("y", reach)).count().agg(F.max("count")).first()[0] > CELL_NODES:
-        reach /= 2
+    diagonal, reach = float(np.hypot(x1 - x0, y1 - y0)), _first_reach(known, n, (x1 - x0) * (y1 - y0))
     named = f"id {points.schema['id'].dataType.simpleString()}, x double, y double"
     place = points.select("id", F.col("x").cast("double").alias("x"), F.col("y").cast("double").alias("y"))
     left, found = checkpointed(_inside(place, hull(known), x0, x1 - x0, ON_CIRCLE * diagonal)), None
     while left.limit(1).count():
         all_seen = reach >= diagonal
-        near = F.sequence(F.lit(-1), F.lit(1))
-        spread = known.select("x", "y", "z", F.explode(near).alias("i"), cell("x", reach).alias("cx"), cell("y", reach).alias("cy")).select("x", "y", "z", (F.col("cx") + F.col("i")).alias("cx"), F.explode(near).alias("j"), "cy")
-        wanted = left.withColumns({"cx": cell("x", reach), "cy": cell("y", reach)})
-        around = spread.select("cx", (F.col("cy") + F.col("j")).alias("cy"), F.struct(F.col("x").alias("gx"), F.col("y").alias("gy"), "z").alias("node"))
-        lists = around.join(wanted.select("cx", "cy").distinct(), ["cx", "cy"], "left_semi").groupBy("cx", "cy").agg(F.collect_list("node").alias("nodes"))
-        met = wanted.join(lists, ["cx", "cy"], "left").select("id", "x", "y", "nodes")
-        step = checkpointed(met.mapInPandas(lambda frames, r=reach, a=all_seen: _valued(frames, r, a), f"{named}, z double, done boolean"))
+        wanted = left.withColumns({"cx": _cell("x", reach), "cy": _cell("y", reach)})
+        met = wanted.join(_lists(known, wanted, reach, columns), ["cx", "cy"], "left").select("id", "x", "y", *(f"node_{c}" for c in ("x", "y", *columns)))
+        step = checkpointed(met.mapInPandas(lambda frames, r=reach, a=all_seen: _valued(frames, r, a, columns, surface), f"{named}, z double, done boolean"))
         got = step.where("done").select("id", "z")
         found = got if found is None else found.unionByName(got)
         left = step.where("not done").select("id", "x", "y")

@@ -119,6 +119,12 @@ def g20_linear(spark, d):
     return N.linear(spots(spark, d), scattered(spark)).select("id", F.round("z", 4).alias("z"))
 
 
+def g20_smooth(spark, d):
+    """On nodes whose values are of second degree, which the smooth surface gives back as they are."""
+    nodes = scattered(spark).withColumn("z", F.col("x") * 2 - F.col("y") * 3 + F.col("x") * F.col("y") / 1000 - F.col("y") * F.col("y") / 2000 + 50)
+    return N.smooth(spots(spark, d), nodes).select("id", F.round("z", 3).alias("z"))
+
+
 def _lines(spark, d):
     return wells(spark, d).select(X.well().alias("id"), G.point((X.well() * 31) % 1500, (X.well() * 17) % 2500).alias("a"), G.point((X.well() * 31) % 1500 + 900, (X.well() * 17) % 2500 + 1200).alias("b"))
 
@@ -233,7 +239,7 @@ def g15_parent_child(spark, d):
 
 QUERIES = {f.__name__: f for f in (
     g1_wkt, g2_reproject, g3_resample, g4_conformity, g5_endpoints, g6_longest, g7_azimuth, g8_side, g9_buffers, g10_neighbours, g11_distances, g12_vertical_distance, g13_relation, g14_running_nearest, g15_parent_child, g16_tvd,
-    g17_units, g18_mesh, g19_covers, g20_bilinear, g20_linear, g20_nearest, g21_sample, g22_update_geology, src7_grid, snk6_bounds, jn16_spatial_join, w14_running_least, w15_forward_fill, ag4_pivot_pairs, jn5_outer_merge,
+    g17_units, g18_mesh, g19_covers, g20_bilinear, g20_linear, g20_nearest, g20_smooth, g21_sample, g22_update_geology, src7_grid, snk6_bounds, jn16_spatial_join, w14_running_least, w15_forward_fill, ag4_pivot_pairs, jn5_outer_merge,
 )} | {"jn17_distance_join": jn17_distance_join}
 
 _PAIRS = f"""{W}, h as (select * from well_header where trajectory = 'HORIZONTAL'),
@@ -287,6 +293,7 @@ ORACLES = {
     "g19_covers": f"""{W}, p as (select wellid, wellid % 13 - 1 as x, (wellid * 7) % 12 as y from well_header)
       select wellid, x between 0 and 10 and y between 0 and 10 and (case when x <= 5 then y <= 10 - 1.2::double * x + 1e-9 else y <= 4 + 1.2::double * (x - 5) + 1e-9 end) as inside from p""",
     "g20_bilinear": f"{_SPOTS} select id, case when x <= 4000 and y <= 4000 then round(x * 2 - y * 3 + x * y / 1000 + 50, 4) end as z from sp",
+    "g20_smooth": f"{_SPOTS} select id, case when x <= 4000 and y <= 4000 then round(x * 2 - y * 3 + x * y / 1000 - y * y / 2000 + 50, 3) end as z from sp",
     "g20_linear": f"{_SPOTS} select id, case when x <= 4000 and y <= 4000 then round(x * 2 - y * 3 + 50, 4) end as z from sp",
     "g20_nearest": f"""{_SPOTS}, gr as (select i * 100.0::double as gx, j * 100.0::double as gy from (select unnest(generate_series(0, 40)) as i), (select unnest(generate_series(0, 40)) as j)),
       n as (select id, gx, gy from sp join gr on sqrt((x - gx) ** 2 + (y - gy) ** 2) < 1e9 qualify row_number() over (partition by id order by sqrt((x - gx) ** 2 + (y - gy) ** 2), gx, gy) = 1)
