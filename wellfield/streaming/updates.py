@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-import uuid
+from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
-from ..operators.upsert import latest_wins, merge
+from ..operators.upsert import latest_wins
+from ..sources.versions import VersionedTable
 
 
 def updates(stream: DataFrame, keys: list[str], time: str, late: str = "30 days") -> DataFrame:
@@ -21,51 +22,23 @@ def monthly_totals(stream: DataFrame, time: str, late: str = "30 days") -> DataF
     return timed.groupBy(F.window(time, "30 days"), "measure").agg(F.sum("value").alias("value"), F.count("*").alias("n"))
 
 
-class VersionedTable:
-    """A table at root/<version>; a batch writes the next version and then points to it, so a reader or a restarted
-    stream sees whole versions only. The version before stays for its readers, older ones are removed."""
+def merge_stream(stream: DataFrame, table: VersionedTable, newer: str, checkpoint: str) -> StreamingQuery:
+    """Start a query that merges each micro-batch: the latest row of a key wins if it is newer than the table's. A batch
+    that runs again after a restart changes nothing."""
+    return _start(stream.writeStream, lambda batch, number: table.merge(latest_wins(batch, table.keys, newer), number, only_newer=newer), checkpoint)
 
-    def __init__(self, spark: SparkSession, root: str):
-        self.spark, self.root = spark, root.rstrip("/")
 
-    def current(self) -> str | None:
-        jvm = self.spark.sparkContext._jvm
-        pointers = jvm.org.apache.hadoop.fs.Path(f"{self.root}/pointers")
-        if not pointers.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).exists(pointers):
-            return None
-        row = self.spark.read.parquet(f"{self.root}/pointers").agg(F.max_by("version", "batch")).first()
-        return row[0]
-
-    def read(self) -> DataFrame | None:
-        version = self.current()
-        return None if version is None else self.spark.read.parquet(f"{self.root}/{version}")
-
-    def replace(self, df: DataFrame, batch: int) -> None:
-        version = f"v{batch}-{uuid.uuid4().hex[:8]}"
-        df.write.parquet(f"{self.root}/{version}")
-        old = [] if self.current() is None else [r[0] for r in self.spark.read.parquet(f"{self.root}/pointers").orderBy("batch").collect()]
-        self.spark.createDataFrame([(batch, version)], "batch long, version string").coalesce(1).write.mode("append").parquet(f"{self.root}/pointers")
-        for name in old[:-1]:
-            path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}")
-            path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
-
-
-def merge_stream(stream: DataFrame, table: VersionedTable, keys: list[str], newer: str, checkpoint: str) -> StreamingQuery:
-    """Start a query that merges each micro-batch: the latest row of a key wins if it is newer than the table's."""
-
-    def apply(batch: DataFrame, number: int) -> None:
-        rows = latest_wins(batch, keys, newer)
-        old = table.read()
-        table.replace(rows if old is None else merge(old, rows, keys, only_newer=newer), number)
-
-    return stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-
-
-def upsert_stream(stream: DataFrame, table: VersionedTable, keys: list[str], checkpoint: str) -> StreamingQuery:
+def upsert_stream(stream: DataFrame, table: VersionedTable, checkpoint: str) -> StreamingQuery:
     """Start a query in update mode: the rows that a micro-batch changes replace those with their keys."""
+    return _start(stream.writeStream.outputMode("update"), table.merge, checkpoint)
+
 
-    def apply(batch: DataFrame, number: int) -> None:
-        old = table.read()
-        table.replace(batch if old is None else merge(old, batch, keys), number)
+def _start(writer: DataStreamWriter, apply: Callable[[DataFrame, int], bool], checkpoint: str) -> StreamingQuery:
+    def once(batch: DataFrame, number: int) -> None:
+        batch.persist()  # its buckets are listed before it is merged
+        try:
+            apply(batch, number)
+        finally:
+            batch.unpersist()
 
-    return stream.writeStream.outputMode("update").foreachBatch(apply).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    return writer.foreachBatch(once).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
