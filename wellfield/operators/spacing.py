@@ -165,31 +165,6 @@ def bilinear(points: DataFrame, grid: DataFrame, step: float) -> DataFrame:
     return points.join(sums, "id", "left")
 
 
-def nearest(points: DataFrame, grid: DataFrame, reach: float) -> DataFrame:
-    """points with the z of the nearest grid node, however far, the lower (x, y) of equals; null only without a grid.
-
-    Nodes within `reach` are looked up by grid cells first; for points that have none the reach doubles, round by round."""
-    if not grid.limit(1).count():
-        return points.withColumn("z", F.lit(None).cast("double"))
-    found, left = None, points
-    while True:
-        step = checkpointed(_nearest_within(left, grid, reach))
-        got = step.where("z is not null")
-        found = got if found is None else found.unionByName(got)
-        left = step.where("z is null").drop("z")
-        if not left.limit(1).count():
-            return found
-        reach *= 2
-
-
-def _nearest_within(points: DataFrame, grid: DataFrame, reach: float) -> DataFrame:
-    near = points.withColumn("cx", F.explode(_cells(F.col("x") - reach, F.col("x") + reach, reach))).withColumn("cy", F.explode(_cells(F.col("y") - reach, F.col("y") + reach, reach)))
-    known = grid.select(F.col("x").alias("gx"), F.col("y").alias("gy"), "z", F.floor(F.col("x") / reach).alias("cx"), F.floor(F.col("y") / reach).alias("cy"))
-    gap = F.hypot(F.col("x") - F.col("gx"), F.col("y") - F.col("gy"))
-    best = near.join(known, ["cx", "cy"]).where(gap <= reach).groupBy("id").agg(F.min_by("z", F.struct(gap, "gx", "gy")).alias("z"))
-    return points.join(best, "id", "left")
-
-
 def along(lines: DataFrame, count: int = 50) -> DataFrame:
     """`count` evenly spaced points on each two-point line (id, a, b)."""
     t = F.explode(F.sequence(F.lit(0), F.lit(count - 1)))

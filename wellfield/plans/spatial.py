@@ -8,6 +8,7 @@ from pyspark.sql.window import Window
 from ..functions import geometry as G
 from ..operators import scattered as N
 from ..operators import spacing as S
+from ..operators.quadtree import nearest
 from ..sources import fixtures as X
 
 W = f"with {X.SQL}"
@@ -105,7 +106,7 @@ def g20_bilinear(spark, d):
 
 
 def g20_nearest(spark, d):
-    return S.nearest(spots(spark, d), grid(spark), 150.0).select("id", "z")
+    return nearest(spots(spark, d), grid(spark)).select("id", "z")
 
 
 def scattered(spark):
