@@ -12,7 +12,7 @@ import corpus_pipeline
 from wellfield.llm.mixing import _quotas, mix_sources
 from wellfield.llm.queries import ORACLES, QUERIES
 from wellfield.llm.sharding import shard_documents
-from wellfield.llm.warc import archive_pages, export_warc, read_archive, read_warc, records_in, write_archive
+from wellfield.llm.warc import archive_pages, export_warc, read_archive, read_pages, read_warc, records_in, write_archive
 
 from .common import FOLD, WORD, documents, empty, rows
 from .test_dedup import plain_near
@@ -111,7 +111,8 @@ def test_warc(spark, tmp_path):
         body = (html or "").encode()
         again = len(body) >= 100 and first[html or ""] != i
         expected[i, len(body), hashlib.sha256(body).hexdigest(), "revisit" if again else "response", first[html] if again else None] += 1
-    got = archive_pages(frame)
+    write_archive(frame, str(tmp_path / "archive"))
+    got = read_archive(spark, str(tmp_path / "archive"))
     assert Counter((r.page_id, r.payload_bytes, r.payload_digest, r.record_type, r.refers_to) for r in got.collect()) == expected
     assert Counter((r.page_id, r.payload) for r in got.collect()) == Counter((r[0], r[2] or "") for r in pages())
     for r in got.collect():
@@ -119,7 +120,11 @@ def test_warc(spark, tmp_path):
         fields = dict(x.split(": ", 1) for x in head.split("\r\n")[1:])
         assert len(rest.encode()) == int(fields["Content-Length"]) + 4 and rest.endswith("\r\n\r\n") and fields["Content-Type"].startswith("application/http")
         assert rest == r.http + (r.payload if r.record_type == "response" else "") + "\r\n\r\n" and f"Content-Length: {r.payload_bytes}\r\n" in r.http
-    export_warc(got, str(tmp_path / "w"))
+    read = archive_pages(frame).collect()
+    assert Counter(tuple(r)[:5] for r in read) == expected
+    assert Counter(r.record_sha256 for r in read) == Counter(hashlib.sha256(r.record.encode()).hexdigest() for r in got.collect())
+    export_warc(got, str(tmp_path / "w"), per_file=3)
+    assert len(list((tmp_path / "w").glob("part-*.gz"))) >= len(pages()) // 3
     back = read_warc(spark, str(tmp_path / "w")).collect()
     assert Counter(r.header + r.block + "\r\n\r\n" for r in back) == Counter(r.record for r in got.collect())
     with pytest.raises(ValueError, match="no record end"):
@@ -127,6 +132,24 @@ def test_warc(spark, tmp_path):
     assert archive_pages(spark.createDataFrame([], PAGES)).count() == 0
 
 
+def test_warc_files_are_checked(spark, tmp_path):
+    """A file of which a payload has changed, and one that was cut off, end the read."""
+    import gzip
+
+    write_archive(spark.createDataFrame(pages(), PAGES), str(tmp_path / "archive"))
+    export_warc(read_archive(spark, str(tmp_path / "archive")).coalesce(1), str(tmp_path / "w"))
+    (file,) = (tmp_path / "w").glob("part-*.gz")
+    whole = gzip.decompress(file.read_bytes())
+    assert read_pages(spark, str(tmp_path / "w")).count() == len(pages())
+    for crc in (tmp_path / "w").glob(".part-*.crc"):
+        crc.unlink()
+    at = whole.index(b"\r\n\r\n", whole.index(b"HTTP/1.1 200 OK")) + 5
+    for bad, why in ((whole[:at] + bytes([whole[at] ^ 1]) + whole[at + 1 :], "does not match"), (whole[:-9], "no record end")):
+        file.write_bytes(gzip.compress(bad))
+        with pytest.raises(Exception, match=why):
+            read_pages(spark, str(tmp_path / "w")).collect()
+
+
 def test_warc_refuses_a_wrong_payload(spark, tmp_path):
     path = str(tmp_path / "archive")
     write_archive(spark.createDataFrame(pages(), PAGES), path)

@@ -51,8 +51,7 @@ def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = archive_pages(table(spark, sf_dir, "pages"))
-    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", F.sha2("record", 256).alias("record_sha256"))
+    return archive_pages(table(spark, sf_dir, "pages"))
 
 
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import gzip
+import hashlib
+import io
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -11,8 +14,9 @@ from pyspark.sql import functions as F
 from .common import Scratch
 
 CRLF = "\r\n"
-#: Records in an exported file at most.
-FILE_RECORDS = 10_000
+#: An exported file has about so many bytes of records before it is packed.
+FILE_BYTES = 1 << 25
+READ = "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, record_sha256 string"
 
 
 def _field(name: str, value) -> "F.Column":
@@ -76,40 +80,87 @@ def read_archive(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def export_warc(archive: DataFrame, path: str) -> None:
-    """Write the records as WARC files of up to FILE_RECORDS records; the writer puts the blank lines after each."""
+def export_warc(archive: DataFrame, path: str, *, per_file: int = 10_000) -> None:
+    """Write the records as packed WARC files of up to per_file records; the writer puts the blank lines after each."""
     ends = F.expr(f"substring(record, 1, length(record) - {len(CRLF * 2)})")
-    archive.select(ends).write.mode("overwrite").option("lineSep", CRLF * 2).option("maxRecordsPerFile", FILE_RECORDS).text(path)
+    archive.select(ends).write.mode("overwrite").option("lineSep", CRLF * 2).option("compression", "gzip").option("maxRecordsPerFile", per_file).text(path)
 
 
 def records_in(data: bytes) -> Iterator[tuple[bytes, bytes]]:
-    """Header and block of each record in a WARC file, by the lengths that the headers give."""
-    at = 0
-    while at < len(data):
-        end = data.index(b"\r\n\r\n", at) + 4
-        fields = dict(line.split(b": ", 1) for line in data[at:end].split(b"\r\n")[1:] if line)
+    """Header and block of each record in a WARC file, packed or not, by the lengths that the headers give."""
+    source = gzip.open(io.BytesIO(data)) if data[:2] == b"\x1f\x8b" else io.BytesIO(data)
+    while first := source.readline():
+        lines = [first]
+        while lines[-1] not in (b"\r\n", b""):
+            lines.append(source.readline())
+        fields = dict(line.rstrip(b"\r\n").split(b": ", 1) for line in lines[1:-1])
         size = int(fields[b"Content-Length"])
-        if data[end + size : end + size + 4] != b"\r\n\r\n":
-            raise ValueError(f"no record end after {size} bytes at {end}")
-        yield data[at:end], data[end : end + size]
-        at = end + size + 4
+        block = source.read(size)
+        if len(block) < size or source.read(4) != b"\r\n\r\n":
+            raise ValueError(f"no record end after {size} bytes")
+        yield b"".join(lines), block
 
 
 def read_warc(spark: SparkSession, path: str) -> DataFrame:
-    """header, block of every record in the WARC files under path; a task holds one file at a time."""
+    """header, block of every record in the WARC files under path; a task holds one packed file and one record."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for content in batch.column("content"):
-                found = list(records_in(content.as_py()))
-                yield pa.RecordBatch.from_arrays([pa.array([r[k].decode() for r in found], pa.string()) for k in (0, 1)], ["header", "block"])
+        for header, block in _records(batches):
+            yield pa.RecordBatch.from_arrays([pa.array([header.decode()]), pa.array([block.decode()])], ["header", "block"])
 
-    return spark.read.format("binaryFile").load(path).select("content").mapInArrow(run, "header string, block string")
+    return _files(spark, path).mapInArrow(run, "header string, block string")
+
+
+def read_pages(spark: SparkSession, path: str) -> DataFrame:
+    """page_id, payload_bytes, payload_digest, record_type, refers_to, record_sha256 of every record in the WARC files under
+    path, told by the records alone. A response whose payload is not what its digest says ends the read with an error."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = []
+        for header, block in _records(batches):
+            rows.append(_page(header, block))
+            if len(rows) == 4096:
+                yield _table(rows)
+                rows = []
+        if rows:
+            yield _table(rows)
+
+    return _files(spark, path).mapInArrow(run, READ)
+
+
+def _files(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).select("content")
+
+
+def _records(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[bytes, bytes]]:
+    for batch in batches:
+        for content in batch.column("content"):
+            yield from records_in(content.as_py())
+
+
+def _page(header: bytes, block: bytes) -> tuple:
+    fields = dict(line.split(": ", 1) for line in header.decode().split(CRLF)[1:] if line)
+    number = lambda name: int(fields[name].removeprefix("<urn:page:").removesuffix(">")) if name in fields else None
+    http, _, payload = block.partition(b"\r\n\r\n")
+    told = dict(line.split(b": ", 1) for line in http.split(b"\r\n")[1:])
+    size, digest, kind = int(told[b"Content-Length"]), fields["WARC-Payload-Digest"].removeprefix("sha256:"), fields["WARC-Type"]
+    if kind == "response" and (len(payload) != size or hashlib.sha256(payload).hexdigest() != digest):
+        raise ValueError("payload does not match its digest")
+    return number("WARC-Record-ID"), size, digest, kind, number("WARC-Refers-To"), hashlib.sha256(header + block + b"\r\n\r\n").hexdigest()
+
+
+def _table(rows: list[tuple]) -> pa.RecordBatch:
+    kinds = (pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.string())
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], [c.split()[0] for c in READ.split(", ")])
 
 
 def archive_pages(pages: DataFrame) -> DataFrame:
-    """Write the pages to an archive in the shared folder and read it back, every record rebuilt."""
-    scratch = Scratch(pages.sparkSession, "warc")
+    """Write the pages to a content-addressed archive in the shared folder, rebuild every record into WARC files, and
+    read these files back; see write_archive() for what is a response and for odd rows, read_pages() for the columns."""
+    spark, scratch = pages.sparkSession, Scratch(pages.sparkSession, "warc")
     write_archive(pages, scratch.root)
     scratch.until_exit(scratch.root)
-    return read_archive(pages.sparkSession, scratch.root)
+    n, size = pages.agg(F.count("*"), F.sum(F.octet_length("html"))).first()  # two numbers
+    export_warc(read_archive(spark, scratch.root), f"{scratch.root}/warc", per_file=max(1, int(n * FILE_BYTES / ((size or 0) + 1000 * n + 1))))
+    with scratch.small_batches(1):
+        return scratch.put("read", read_pages(spark, f"{scratch.root}/warc"))
