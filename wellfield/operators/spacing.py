@@ -173,18 +173,23 @@ def along(lines: DataFrame, count: int = 50) -> DataFrame:
     return spots.select("id", "k", *((F.col("a")[c] + (F.col("b")[c] - F.col("a")[c]) * f).alias(c) for c in ("x", "y")))
 
 
-def mesh(polygons: DataFrame, nodes: int = 200) -> DataFrame:
-    """(id, k, x, y): about `nodes` places of a square mesh over each ring's envelope that the ring covers, or the mean
-    of its corners where it covers none of them."""
+def mesh_places(ring: Column, nodes: int = 200) -> Column:
+    """About `nodes` places of a square mesh over a ring's envelope that the ring covers, or the mean of its corners where
+    it covers none of them."""
     side = max(2, round(nodes**0.5))
-    low = lambda c: F.array_min(F.transform("coords", lambda p: p[c]))
-    high = lambda c: F.array_max(F.transform("coords", lambda p: p[c]))
-    mean = lambda c: F.aggregate(F.transform("coords", lambda p: p[c]), F.lit(0.0), lambda a, b: a + b) / F.size("coords")
+    low = lambda c: F.array_min(F.transform(ring, lambda p: p[c]))
+    high = lambda c: F.array_max(F.transform(ring, lambda p: p[c]))
+    mean = lambda c: F.aggregate(F.transform(ring, lambda p: p[c]), F.lit(0.0), lambda a, b: a + b) / F.size(ring)
     at = lambda c, k: low(c) + (high(c) - low(c)) * (k + 0.5) / side
     spots = F.flatten(F.transform(F.sequence(F.lit(0), F.lit(side - 1)), lambda i: F.transform(F.sequence(F.lit(0), F.lit(side - 1)), lambda j: G.point(at("x", i), at("y", j)))))
-    inside = F.filter(spots, lambda p: G.covers(F.col("coords"), p))
-    kept = F.when(F.size(inside) > 0, inside).otherwise(F.array(G.point(mean("x"), mean("y"))))
-    return polygons.select("id", F.posexplode(kept).alias("k", "p")).select("id", "k", "p.x", "p.y")
+    inside = F.filter(spots, lambda p: G.covers(ring, p))
+    return F.when(F.size(inside) > 0, inside).otherwise(F.array(G.point(mean("x"), mean("y"))))
+
+
+def mesh(polygons: DataFrame, nodes: int = 200) -> DataFrame:
+    """(id, k, x, y): the places of mesh_places() for each ring (id, coords)."""
+    return polygons.select("id", F.posexplode(mesh_places(F.col("coords"), nodes)).alias("k", "p")).select("id", "k", "p.x", "p.y")
+
 
 
 def sampled(values: DataFrame) -> DataFrame:

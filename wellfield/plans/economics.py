@@ -112,22 +112,24 @@ def e11_strip(spark, d):
     return dates.select("wellid", "c.contract_month", "c.ticker")
 
 
-def _calendar(spark):
-    days = spark.range(0, 3650).select(F.date_add(F.lit("2005-01-01").cast("date"), F.col("id").cast("int")).alias("day"))
+def _calendar(spark, d):
+    """Trading days: the weekdays on which orders came, but for holidays."""
+    days = spark.read.parquet(f"{d}/orders.parquet").select(F.col("o_orderdate").cast("date").alias("day")).distinct()
     holidays = days.where(((F.month("day") == 7) & (F.dayofmonth("day") == 4)) | ((F.month("day") == 12) & (F.dayofmonth("day") == 25)) | ((F.month("day") == 1) & (F.dayofmonth("day") == 1)))
     return E.business_days(days, holidays)
 
 
-def _contracts(spark):
-    return spark.range(2, 100).select(F.add_months(F.lit("2005-01-01").cast("date"), F.col("id").cast("int")).alias("contract_month"))
+def _contracts(spark, d):
+    """The months in which orders came."""
+    return spark.read.parquet(f"{d}/orders.parquet").select(F.trunc("o_orderdate", "month").alias("contract_month")).distinct()
 
 
 def e12_expiry_oil(spark, d):
-    return E.expiry(_contracts(spark), _calendar(spark), "oil")
+    return E.expiry(_contracts(spark, d), _calendar(spark, d), "oil")
 
 
 def e12_expiry_gas(spark, d):
-    return E.expiry(_contracts(spark), _calendar(spark), "gas")
+    return E.expiry(_contracts(spark, d), _calendar(spark, d), "gas")
 
 
 def src9_prices(spark, d):
@@ -219,9 +221,9 @@ QUERIES = {f.__name__: f for f in (
 
 _NPV = "sum(net / power(1 + {r}, (month + 0.5) / 12))"
 _STRIP = f"{W}, st as (select wellid, (date_trunc('month', firstproddate) + to_months(n::int))::date as contract_month from well_header, (select unnest(generate_series(1, 12)) as n)), sp as (select *, 'CL' || substring('FGHJKMNQUVXZ', month(contract_month)::int, 1) || strftime(contract_month, '%y') as ticker from st)"
-_CAL = """with dd as (select unnest(generate_series(date '2005-01-01', date '2014-12-29', interval 1 day))::date as day),
+_CAL = """with dd as (select distinct cast(o_orderdate as date) as day from orders),
   bd as (select day from dd where isodow(day) < 6 and strftime(day, '%m-%d') not in ('07-04', '12-25', '01-01')),
-  cm as (select (date '2005-01-01' + to_months(n::int))::date as contract_month from (select unnest(generate_series(2, 99)) as n))"""
+  cm as (select distinct date_trunc('month', o_orderdate)::date as contract_month from orders)"""
 _LINES = f"""{BEST}, st as (select *, last_day(startdate + case when wellid % 3 = 0 then interval 90 month else to_months(cast(wellid % 50 as int)) end) as sd, floor(q3 * 2) as a1, floor(q3 * 1.5::double) as a2, floor(q3) as a3, wellid % 4 * 5 as n1, case when wellid % 4 = 3 then 6 else 0 end as n2, case when measure = 'GAS' then 'M/D' else 'B/D' end as un from best),
   li as (select wellid, measure, sd, n1, n2, 1::bigint as line, printf('%.6f', a1) || ' ' || printf('%.6f', case when n2 = 0 then a3 else a2 end) || ' ' || un || ' ' || n1 || ' MO EXP X' as expression from st
     union all select wellid, measure, sd, n1, n2, 2, printf('%.6f', a2) || ' ' || printf('%.6f', a3) || ' ' || un || ' ' || n2 || ' IMO EXP X' from st
@@ -247,8 +249,8 @@ ORACLES = {
     "e9_dates": f"{ECON} select uid, month, (date '2024-06-01' + to_months(month::int))::date as dt from e where rev <> 0",
     "e10_volumes": f"{FLOW} select uid, month - 1 as month, round(oil / 3, 4) as oil, round(gas / 3, 4) as gas, round(water / 3, 4) as water from v where month >= 1",
     "e11_strip": f"{_STRIP} select wellid, contract_month, ticker from sp",
-    "e12_expiry_oil": f"{_CAL} select contract_month, (select day from bd where day <= (contract_month - interval 1 month)::date + 24 order by day desc limit 1 offset 3) as expiry from cm",
-    "e12_expiry_gas": f"{_CAL} select contract_month, (select day from bd where day < contract_month order by day desc limit 1 offset 2) as expiry from cm",
+    "e12_expiry_oil": f"{_CAL} select * from (select contract_month, (select day from bd where day <= (contract_month - interval 1 month)::date + 24 order by day desc limit 1 offset 3) as expiry from cm) where expiry is not null",
+    "e12_expiry_gas": f"{_CAL} select * from (select contract_month, (select day from bd where day < contract_month order by day desc limit 1 offset 2) as expiry from cm) where expiry is not null",
     "src9_prices": f"{_STRIP} select contract_month, ticker, case when bool_or(wellid % 3 = 0) then 71.5::double when bool_or(wellid % 3 <> 2) then 68.25 end as close from sp group by 1, 2",
     "e13_expressions": f"{_LINES} select wellid, measure, line, expression from li",
     "e14_live_lines": f"{_LINES} select wellid, measure, line from lv",

@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions import geometry as G
+from ..operators import geology as O
 from ..operators import scattered as N
 from ..operators import spacing as S
 from ..operators.quadtree import nearest
+from ..session import shared_dir
 from ..sources import fixtures as X
+from ..sources.tables import read_grid
 
 W = f"with {X.SQL}"
 FT = 3.281
@@ -126,29 +131,47 @@ def g20_smooth(spark, d):
     return N.smooth(spots(spark, d), nodes).select("id", F.round("z", 3).alias("z"))
 
 
-def _lines(spark, d):
-    return wells(spark, d).select(X.well().alias("id"), G.point((X.well() * 31) % 1500, (X.well() * 17) % 2500).alias("a"), G.point((X.well() * 31) % 1500 + 900, (X.well() * 17) % 2500 + 1200).alias("b"))
+def parts_grid(spark, d, value="p_retailprice"):
+    """A regular grid of which every part is a node, fifty to a row."""
+    n = F.col("p_partkey")
+    return spark.read.parquet(f"{d}/part.parquet").select((n % 50 * 100).cast("double").alias("x"), (F.floor(n / 50) * 100).cast("double").alias("y"), F.col(value).cast("double").alias("z"))
+
+
+def src7_grid(spark, d):
+    """The parts' grid, written as a delimited file and read from there."""
+    path = f"{shared_dir(spark)}/grid-{uuid.uuid4().hex[:12]}"
+    parts_grid(spark, d).write.option("sep", ";").csv(path)
+    return read_grid(spark, path, ";")
 
 
-def _values(spark, d):
-    points = S.along(_lines(spark, d)).withColumn("well", F.col("id")).withColumn("id", F.struct("id", "k"))
-    return S.bilinear(points, grid(spark), 100.0).select(F.col("well").alias("id"), "z")
+def geometries(spark, d):
+    """Points, lines with a bend, and rectangles."""
+    x, y = (X.well() * 31 % 1500).cast("double"), (X.well() * 17 % 2500).cast("double")
+    line = [(x, y), (x + 900, y), (x + 900, y + 600)]
+    box = [(x, y), (x + 700, y), (x + 700, y + 1400), (x, y + 1400)]
+    make = lambda p: F.array(*(G.point(*v) for v in p))
+    kind = F.element_at(F.array(*map(F.lit, ("point", "line", "polygon"))), (X.well() % 3 + 1).cast("int"))
+    coords = F.when(X.well() % 3 == 0, make([(x, y)])).when(X.well() % 3 == 1, make(line)).otherwise(make(box))
+    return wells(spark, d).select(X.well().alias("id"), F.when(X.well() % 2 == 0, "UPPER").otherwise("LOWER").alias("interval"), kind.alias("kind"), coords.alias("coords"))
 
 
 def g21_sample(spark, d):
-    return S.sampled(_values(spark, d)).select("id", "n", "n_valid", *(F.round(c, 4).alias(c) for c in ("mean", "std", "least", "most")))
+    found = O.sample(geometries(spark, d), parts_grid(spark, d), method="bilinear", step=100.0)
+    return found.select("id", "n", "n_valid", *(F.round(c, 4).alias(c) for c in ("centroid_x", "centroid_y", "mean", "std", "least", "most")))
 
 
-def g22_update_geology(spark, d):
-    """Means per zone as columns, with the wells' own value where a zone has none."""
-    zones = S.sampled(_values(spark, d)).withColumn("zone", F.when(F.col("id") % 2 == 0, "TOP").otherwise("BASE"))
-    wide = zones.groupBy("id").pivot("zone", ["TOP", "BASE"]).agg(F.sum("mean"))
-    joined = wells(spark, d).select(X.well().alias("id"), F.lit(1.0).alias("own")).join(wide, "id", "left")
-    return joined.select("id", F.round(F.coalesce("TOP", "own"), 4).alias("top"), F.round(F.coalesce("BASE", "own"), 4).alias("base"))
+def g21_centres(spark, d):
+    """At the centres alone, by the nearest node."""
+    return O.sample(geometries(spark, d), parts_grid(spark, d), method="nearest", strategy="centroid").select("id", "n", F.round("mean", 4).alias("mean"))
 
 
-def src7_grid(spark, d):
-    return grid(spark).where("x < 500 and y < 500").select("x", "y", F.round("z", 4).alias("z"))
+def g22_update_geology(spark, d):
+    """Two grids for one column, of different intervals, and one for all wells, written back to the wells' own rows."""
+    own = wells(spark, d).select(X.well().alias("id"), F.when(X.well() % 5 == 0, "OTHER").otherwise("GRIDS").alias("datasource"), F.lit(1.0).alias("top"), F.lit(2.0).alias("base"))
+    price, size = parts_grid(spark, d), parts_grid(spark, d, "p_size")
+    grids = [O.Grid("upper", price, "top", "UPPER", "bilinear", 100.0), O.Grid("upper again", size, "top", "UPPER", "bilinear", 100.0), O.Grid("all", size, "base", None, "bilinear", 100.0)]
+    updated = O.update_geology(own, geometries(spark, d), grids, "GRIDS")
+    return updated.select("id", "datasource", F.round("top", 4).alias("top"), F.round("base", 4).alias("base"))
 
 
 def snk6_bounds(spark, d):
@@ -240,7 +263,7 @@ def g15_parent_child(spark, d):
 
 QUERIES = {f.__name__: f for f in (
     g1_wkt, g2_reproject, g3_resample, g4_conformity, g5_endpoints, g6_longest, g7_azimuth, g8_side, g9_buffers, g10_neighbours, g11_distances, g12_vertical_distance, g13_relation, g14_running_nearest, g15_parent_child, g16_tvd,
-    g17_units, g18_mesh, g19_covers, g20_bilinear, g20_linear, g20_nearest, g20_smooth, g21_sample, g22_update_geology, src7_grid, snk6_bounds, jn16_spatial_join, w14_running_least, w15_forward_fill, ag4_pivot_pairs, jn5_outer_merge,
+    g17_units, g18_mesh, g19_covers, g20_bilinear, g20_linear, g20_nearest, g20_smooth, g21_sample, g21_centres, g22_update_geology, src7_grid, snk6_bounds, jn16_spatial_join, w14_running_least, w15_forward_fill, ag4_pivot_pairs, jn5_outer_merge,
 )} | {"jn17_distance_join": jn17_distance_join}
 
 _PAIRS = f"""{W}, h as (select * from well_header where trajectory = 'HORIZONTAL'),
@@ -259,7 +282,16 @@ _CLIP = f"""{_CUT}, c as (select a.id, b.id as other, sqrt((a.bx - a.ax) ** 2 +
     least(1, case when s1 = s0 then if(s0 between 0 and l, 1, -1) else greatest(-s0 / (s1 - s0), (l - s0) / (s1 - s0)) end, case when c1 = c0 then if(abs(c0) <= 500, 1, -1) else greatest((-500 - c0) / (c1 - c0), (500 - c0) / (c1 - c0)) end) as t1 from f)"""
 _NEAR = f"{W} select a.wellid as id, b.wellid as other, round(sqrt((a.x0 - b.x0) ** 2 + (a.y0 - b.y0) ** 2) * 3.281::double, 4) as feet from well_header a join well_header b on a.wellid <> b.wellid and sqrt((a.x0 - b.x0) ** 2 + (a.y0 - b.y0) ** 2) <= 1609"
 _SPOTS = f"{W}, sp as (select wellid as id, ((wellid * 733) % 4200)::double as x, ((wellid * 377) % 4050 + 0.5)::double as y from well_header)"
-_SAMPLE = f"{W}, ln as (select wellid as id, (wellid * 31) % 1500 as ax, (wellid * 17) % 2500 as ay, unnest(generate_series(0, 49)) as n from well_header), v as (select id, ax + 900 * n / 49 as x, ay + 1200 * n / 49 as y from ln), z as (select id, x * 2 - y * 3 + x * y / 1000 + 50 as z from v)"
+#: Where geometries are sampled, and the values there of the grids that parts make.
+_SAMPLE = f"""{W}, g as (select wellid as id, wellid % 3 as kind, ((wellid * 31) % 1500)::double as x, ((wellid * 17) % 2500)::double as y from well_header),
+  pts as (select id, 0 as k, x, y from g where kind = 0
+    union all select id, n, x + least(1500 * n / 49, 900), y + greatest(1500 * n / 49 - 900, 0) from g, (select unnest(generate_series(0, 49)) as n) where kind = 1
+    union all select id, i * 14 + j, x + 700 * (i + 0.5::double) / 14, y + 1400 * (j + 0.5::double) / 14 from g, (select unnest(generate_series(0, 13)) as i), (select unnest(generate_series(0, 13)) as j) where kind = 2),
+  centre as (select id, case kind when 0 then x when 1 then (900 * (x + 450) + 600 * (x + 900)) / 1500 else x + 350 end as cx, case kind when 0 then y when 1 then (900 * y + 600 * (y + 300)) / 1500 else y + 700 end as cy from g),
+  node as (select p_partkey % 50 as i, p_partkey // 50 as j, p_retailprice::double as price, p_size::double as size from part),
+  low as (select id, k, floor(x / 100)::int as i, floor(y / 100)::int as j, x / 100 - floor(x / 100) as fx, y / 100 - floor(y / 100) as fy from pts),
+  near as (select id, k, i + a as i, j + b as j, (case a when 1 then fx else 1 - fx end) * (case b when 1 then fy else 1 - fy end) as w from low, (values (0, 0), (0, 1), (1, 0), (1, 1)) v(a, b)),
+  z as (select id, k, case when count(price) = count(*) then sum(w * price) end as price, case when count(size) = count(*) then sum(w * size) end as size from near left join node using (i, j) where w > 0 group by 1, 2)"""
 _SURVEY = f"{W}, sv as (select wellid, s * 500.0::double as md, round(6000 * (1 - exp(-s / (5 + wellid % 4))), 4) as z from well_header, (select unnest(generate_series(0, 20)) as s))"
 ORACLES = {
     "g1_wkt": f"{W} select wellid, case when wellid % 5 <> 0 then x0 end as x, case when wellid % 5 <> 0 then -12.5::double end as y from well_header",
@@ -299,9 +331,11 @@ ORACLES = {
     "g20_nearest": f"""{_SPOTS}, gr as (select i * 100.0::double as gx, j * 100.0::double as gy from (select unnest(generate_series(0, 40)) as i), (select unnest(generate_series(0, 40)) as j)),
       n as (select id, gx, gy from sp join gr on sqrt((x - gx) ** 2 + (y - gy) ** 2) < 1e9 qualify row_number() over (partition by id order by sqrt((x - gx) ** 2 + (y - gy) ** 2), gx, gy) = 1)
       select id, gx * 2 - gy * 3 + gx * gy / 1000 + 50 as z from sp left join n using (id)""",
-    "g21_sample": f"{_SAMPLE} select id, count(*) as n, count(*) as n_valid, round(avg(z), 4) as mean, round(stddev_pop(z), 4) as std, round(min(z), 4) as least, round(max(z), 4) as most from z group by 1",
-    "g22_update_geology": f"{_SAMPLE} select id, case when id % 2 = 0 then round(avg(z), 4) else 1 end as top, case when id % 2 = 0 then 1 else round(avg(z), 4) end as base from z group by 1",
-    "src7_grid": "select i * 100.0::double as x, j * 100.0::double as y, round(i * 200 - j * 300 + i * j * 10.0::double + 50, 4) as z from (select unnest(generate_series(0, 4)) as i), (select unnest(generate_series(0, 4)) as j)",
+    "g21_sample": f"{_SAMPLE} select id, any_value(round(cx, 4)) as centroid_x, any_value(round(cy, 4)) as centroid_y, count(*) as n, count(price) as n_valid, round(avg(price), 4) as mean, round(stddev_pop(price), 4) as std, round(min(price), 4) as least, round(max(price), 4) as most from z join centre using (id) group by 1",
+    "g21_centres": f"{_SAMPLE}, d as (select id, price, power(i * 100 - cx, 2) + power(j * 100 - cy, 2) as gap, i, j from centre, node) select id, 1::bigint as n, round(price, 4) as mean from d qualify row_number() over (partition by id order by gap, i, j) = 1",
+    "g22_update_geology": f"""{_SAMPLE}, m as (select id, avg(price) as price, avg(size) as size from z group by 1)
+      select wellid as id, case when wellid % 5 = 0 then 'OTHER' else 'GRIDS' end as datasource, round(case when wellid % 5 = 0 then 1 when wellid % 2 = 0 then price + size end, 4) as top, round(case when wellid % 5 = 0 then 2 else size end, 4) as base from well_header join m on id = wellid""",
+    "src7_grid": "select (p_partkey % 50 * 100)::double as x, (p_partkey // 50 * 100)::double as y, p_retailprice::double as z from part",
     "snk6_bounds": f"{W} select min(y0) as min_y, max(y0) as max_y, min(x0) as min_x, max(x0) as max_x from well_header",
     "jn16_spatial_join": f"{_CLIP} select id, other from g where t0 <= t1",
     "w14_running_least": f"{_PAIRS} select a.wellid, a.neighbor, a.distance, (select min(distance) from pr b where b.wellid = a.wellid and (b.dt < a.dt or (b.dt = a.dt and b.neighbor <= a.neighbor))) as nearest from pr a",
