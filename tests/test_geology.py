@@ -17,7 +17,7 @@ def shapes(spark, rows):
 
 
 def middle(spark, kind, coords):
-    row = shapes(spark, [(1, kind, coords)]).select(O.centroid(F.col("kind"), F.col("coords")).alias("c")).first().c
+    row = O.staged(shapes(spark, [(1, kind, coords)])).select(O.centroid().alias("c")).first().c
     return row and (row.x, row.y)
 
 

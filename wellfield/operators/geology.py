@@ -10,7 +10,7 @@ from pyspark.sql.window import Window
 
 from .quadtree import nearest
 from .scattered import linear, smooth
-from .spacing import bilinear, mesh_places, sampled
+from .spacing import bilinear, box, mesh_places, sampled
 from .upsert import update_from
 
 METHODS = ("bilinear", "nearest", "linear", "cubic")
@@ -25,37 +25,45 @@ def _segments(coords: Column, closed: bool = False) -> Column:
     return F.transform(F.filter(pairs, lambda s: s["a"].isNotNull() & s["b"].isNotNull()), lambda s: F.struct(moved(s["a"]).alias("a"), moved(s["b"]).alias("b"), F.hypot(s["b"]["x"] - s["a"]["x"], s["b"]["y"] - s["a"]["y"]).alias("length")))
 
 
-def _total(array: Column, value) -> Column:
-    return F.aggregate(array, F.lit(0.0), lambda total, s: total + value(s))
+def staged(geometries: DataFrame) -> DataFrame:
+    """geometries (id, kind, coords) with `pieces` of a line or polygon, `ring` of a polygon, the lengths `ends` up to each
+    place of a line, and a polygon's `box`: columns of their own, so that each is worked out once a row."""
+    coords, line, polygon = F.col("coords"), F.col("kind") != "point", F.col("kind") == "polygon"
+    own = geometries.withColumns({"pieces": F.when(line, _segments(coords)), "ring": F.when(polygon, _segments(coords, closed=True)), "box": F.when(polygon, box(coords))})
+    ends = F.aggregate("pieces", F.array(F.lit(0.0)), lambda so_far, s: F.concat(so_far, F.array(F.element_at(so_far, -1) + s["length"])))
+    return own.withColumn("ends", F.when(F.col("kind") == "line", ends))
 
 
-def centroid(kind: Column, coords: Column) -> Column:
-    """The centre (x, y) of a point, of a line by the lengths of its pieces, of a polygon by its area. A polygon without
-    area counts as a line, a line without length as its first place; null without coordinates."""
+def centroid() -> Column:
+    """The centre (x, y) of a staged geometry: of a line by the lengths of its pieces, of a polygon by its area. A polygon
+    without area counts as a line, a line without length as its first place; null without coordinates."""
+    coords = F.col("coords")
 
     def weighed(segments: Column, weight, share: float) -> Column:
         """Sums of a + b times weight, over `share` times the weights."""
-        all_ = F.nullif(_total(segments, weight), F.lit(0.0))
-        at = lambda c: coords[0][c] + _total(segments, lambda s: (s["a"][c] + s["b"][c]) * weight(s)) / (all_ * share)
-        return F.when(all_.isNotNull(), F.struct(at("x").alias("x"), at("y").alias("y")))
+        add = lambda t, s: F.struct((t["n"] + weight(s)).alias("n"), (t["x"] + (s["a"]["x"] + s["b"]["x"]) * weight(s)).alias("x"), (t["y"] + (s["a"]["y"] + s["b"]["y"]) * weight(s)).alias("y"))
+        at = lambda t, c: coords[0][c] + t[c] / (t["n"] * share)
+        zero = F.struct(*(F.lit(0.0).alias(c) for c in ("n", "x", "y")))
+        return F.aggregate(segments, zero, add, lambda t: F.when(t["n"] != 0, F.struct(at(t, "x").alias("x"), at(t, "y").alias("y"))))
 
     first = F.when(F.size(coords) > 0, F.struct(coords[0]["x"].alias("x"), coords[0]["y"].alias("y")))
-    ring = F.when(kind == "polygon", weighed(_segments(coords, closed=True), lambda s: s["a"]["x"] * s["b"]["y"] - s["b"]["x"] * s["a"]["y"], 3.0))
-    return F.coalesce(ring, F.when(kind != "point", weighed(_segments(coords), lambda s: s["length"], 2.0)), first)
+    by_area = weighed(F.col("ring"), lambda s: s["a"]["x"] * s["b"]["y"] - s["b"]["x"] * s["a"]["y"], 3.0)
+    return F.coalesce(by_area, weighed(F.col("pieces"), lambda s: s["length"], 2.0), first)
 
 
-def _along(coords: Column, count: int) -> Column:
-    """`count` places at even steps along a line of any number of places."""
-    pieces = _segments(coords)
-    ends = F.aggregate(pieces, F.array(F.lit(0.0)), lambda so_far, s: F.concat(so_far, F.array(F.element_at(so_far, -1) + s["length"])))
+def _along(count: int) -> Column:
+    """`count` places at even steps along a staged line of any number of places."""
+    coords, pieces, ends = F.col("coords"), F.col("pieces"), F.col("ends")
 
     def place(k: Column) -> Column:
         gone = F.element_at(ends, -1) * k / max(count - 1, 1)
-        at = F.least(F.size(F.filter(ends, lambda e: e <= gone)), F.size(pieces))
-        piece = F.element_at(pieces, at)
-        share = F.coalesce((gone - F.element_at(ends, at)) / F.nullif(piece["length"], F.lit(0.0)), F.lit(0.0))
-        on = lambda c: coords[0][c] + piece["a"][c] + (piece["b"][c] - piece["a"][c]) * share
-        return F.struct(on("x").alias("x"), on("y").alias("y"))
+        found = F.struct(gone.alias("gone"), F.least(F.size(F.filter(ends, lambda e: e <= gone)), F.size(pieces)).alias("at"))
+        return F.element_at(F.transform(F.array(found), lambda f: on(f["gone"], F.element_at(pieces, f["at"]), F.element_at(ends, f["at"]))), 1)
+
+    def on(gone: Column, piece: Column, start: Column) -> Column:
+        share = F.coalesce((gone - start) / F.nullif(piece["length"], F.lit(0.0)), F.lit(0.0))
+        at = lambda c: coords[0][c] + piece["a"][c] + (piece["b"][c] - piece["a"][c]) * share
+        return F.struct(at("x").alias("x"), at("y").alias("y"))
 
     return F.when(F.size(pieces) > 0, F.transform(F.sequence(F.lit(0), F.lit(count - 1)), place)).otherwise(F.array_repeat(coords[0], count))
 
@@ -65,11 +73,11 @@ def places(geometries: DataFrame, *, strategy: str = "across", line_points: int
     a polygon at the places of a mesh of about polygon_nodes that it covers; with `centroid` all at their centre."""
     if strategy not in ("across", "centroid"):
         raise ValueError(f"unknown strategy: {strategy}")
-    kind, coords = F.col("kind"), F.col("coords")
-    spots = F.array(centroid(kind, coords))
+    kind, spots = F.col("kind"), F.array(centroid())
     if strategy == "across":
-        spots = F.when(kind == "line", _along(coords, line_points)).when(kind == "polygon", mesh_places(coords, polygon_nodes)).otherwise(spots)
-    return geometries.where(F.size(coords) > 0).select("id", F.posexplode(spots).alias("k", "p")).select("id", "k", "p.x", "p.y")
+        spots = F.when(kind == "line", _along(line_points)).when(kind == "polygon", mesh_places(F.col("coords"), F.col("box"), polygon_nodes)).otherwise(spots)
+    own = staged(geometries.where(F.size("coords") > 0).select("id", "kind", "coords"))
+    return own.select("id", F.posexplode(spots).alias("k", "p")).select("id", "k", "p.x", "p.y")
 
 
 def sample(geometries: DataFrame, grid: DataFrame, *, method: str = "linear", step: float | None = None, **how) -> DataFrame:
@@ -89,8 +97,7 @@ def sample(geometries: DataFrame, grid: DataFrame, *, method: str = "linear", st
     spots = places(own, **how).withColumn("owner", F.col("id")).withColumn("id", F.struct("id", "k"))
     values = bilinear(spots, grid, step) if method == "bilinear" else {"nearest": nearest, "linear": linear, "cubic": smooth}[method](spots, grid)
     found = sampled(values.select(F.col("owner").alias("id"), "z"))
-    middle = centroid(F.col("kind"), F.col("coords"))
-    known = own.select("id", F.lit(method).alias("method"), middle["x"].alias("centroid_x"), middle["y"].alias("centroid_y"))
+    known = staged(own).select("id", centroid().alias("c")).select("id", F.lit(method).alias("method"), F.col("c.x").alias("centroid_x"), F.col("c.y").alias("centroid_y"))
     return known.join(found, "id", "left").fillna(0, ["n", "n_valid"])
 
 
