@@ -16,7 +16,7 @@ def exact_dedup(docs: DataFrame, *, keep: str = "largest", content_hash=F.md5) -
     map task shrink to one row before the shuffle; only (hash, digest) keys go into the join back, which adaptive
     execution splits where a group is hot.
 
-    A null text counts as empty. Of equal texts the row with the largest (or smallest) doc_id stays; a null doc_id
+    A null text counts as empty; texts are hashed and compared whole, however long. Of equal texts the row with the largest (or smallest) doc_id stays; a null doc_id
     loses to any other, and stays if its group has no other. Rows that repeat the id that stays are all marked kept.
     An empty table gives no rows; other columns of docs are ignored.
     """
