@@ -36,7 +36,7 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each group of equal texts (A-Z lower-cased; null is empty) stays: that with the largest id, a null id
     before all others; of rows that repeat it, the first by the other plain columns. Repeats shrink to one on the map
-    side, so a group of any size never meets in one task."""
+    side, so a group of any size never meets in one task. Texts are compared whole, however long."""
     kept = exact_dedup(docs).where("kept").select(_id_and_text("doc_id", F.col("text_sha256")).alias("pick")).distinct()
     text = F.sha2(lower_ascii(F.coalesce(F.col("text"), F.lit(""))), 256)
     plain = [f.name for f in docs.schema if isinstance(f.dataType, T.AtomicType)]
@@ -51,7 +51,7 @@ def _id_and_text(doc_id: str, digest: Column) -> Column:
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each component of near duplicates stays: that with the smallest id, a null id after all others; of
-    several, the first in docs. Texts without words are alone. Rows are numbered for that, as ids may repeat or be null."""
+    several, the first in docs. Texts without words are alone; long ones are read whole. Rows are numbered for that, as ids may repeat or be null."""
     (row,) = fresh(docs, "row")
     rows = Scratch(spark, "near").put("numbered", docs.withColumn(row, F.monotonically_increasing_id()))
     found = near_duplicates(rows.select(F.col(row).alias("doc_id"), "text")).select(F.col("doc_id").alias(row), "component_id")
