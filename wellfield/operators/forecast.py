@@ -30,16 +30,17 @@ def view(forecast: DataFrame, production: DataFrame) -> DataFrame:
 
     The start month counts on from the last month where the start lies after history; otherwise it is the month's rank,
     null if there is none. production has a daterank and one row per month. One shuffle by well and phase serves all."""
-    past = production.join(best(forecast).select("wellid", "measure", "startdate"), ["wellid", "measure"])
-    at_start = F.col("dt") == F.col("startdate")
-    sums = past.groupBy("wellid", "measure").agg(
-        F.min("dt").alias("mindate"), F.max("dt").alias("maxdate"), F.sum("value").alias("total"), F.max("daterank").alias("maxmonth"),
-        F.coalesce(F.sum(F.when(F.col("dt") <= F.col("startdate"), F.col("value"))), F.lit(0.0)).alias("startcumulative"), F.max(F.when(at_start, F.col("daterank"))).alias("rank_there"),
+    keys, chosen = ["wellid", "measure"], best(forecast)
+    own = [c for c in chosen.columns if c not in keys]
+    rows = chosen.select(*keys, F.struct(*own).alias("own")).join(production.select(*keys, "dt", "value", "daterank"), keys, "left")
+    start = F.col("own.startdate")
+    sums = rows.groupBy(*keys).agg(
+        F.any_value("own").alias("own"), F.min("dt").alias("mindate"), F.max("dt").alias("maxdate"), F.sum("value").alias("total"), F.max("daterank").alias("maxmonth"),
+        F.coalesce(F.sum(F.when(F.col("dt") <= start, F.col("value"))), F.lit(0.0)).alias("startcumulative"), F.max(F.when(F.col("dt") == start, F.col("daterank"))).alias("rank_there"),
     )
-    joined = best(forecast).join(sums, ["wellid", "measure"], "left")
-    after = F.col("startdate") > F.col("maxdate")
-    month = F.when(after, F.col("maxmonth") + month_diff(F.col("maxdate"), F.col("startdate"))).otherwise(F.col("rank_there"))
-    return joined.withColumn("startmonth", month).withColumn("startcumulative", F.coalesce("startcumulative", F.lit(0.0))).drop("rank_there")
+    after = start > F.col("maxdate")
+    month = F.when(after, F.col("maxmonth") + month_diff(F.col("maxdate"), start)).otherwise(F.col("rank_there"))
+    return sums.select(*keys, "own.*", "mindate", "maxdate", "total", "maxmonth", "startcumulative", month.alias("startmonth"))
 
 
 def segments(rows: DataFrame, keys: list[str], *, duration: int = HORIZON, prior_cum: Column | float = 0.0, prior_t: Column | int = 0, compat: bool = True) -> DataFrame:
