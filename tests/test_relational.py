@@ -46,11 +46,37 @@ def test_query_runs(spark, name):
     assert rows and any(v is not None for r in rows for v in r)
 
 
+def plain_value(t, i, price, rate, ratio):
+    """One well's months, one after another."""
+    t, full = t.sort_values("month").to_dict("records"), i["wi"] == 0 or i["nri"] / i["wi"] > 1 - i["roy"]
+    first = min((m["month"] for m in t if m["oil"] + m["gas"] > 0), default=float("inf"))
+
+    def op(m, wi, nri):
+        produced, invested = i["weight"] * i["prod_wt"], i["weight"] * i["inv_wt"]
+        oil = m["oil"] * nri * produced * (price + i["paj_oil"])
+        gas = m["gas"] * nri * i["shrink"] * produced * i["btu"] * (price / ratio + i["paj_gas"])
+        ngl = i["ngl_yield"] * m["gas"] * nri * produced * price * i["paj_ngl"]
+        tax = oil * i["stx_oil"] + gas * i["stx_gas"] + ngl * i["stx_ngl"] + (oil + gas + ngl) * i["adval"]
+        cost = wi * invested * (i["prod_wt"] * (m["oil"] * i["opc_oil"] + m["gas"] * i["shrink"] * i["opc_gas"] + m["water"] * i["opc_wtr"]) + i["opc_fix"])
+        return oil + gas + ngl - tax - (cost if m["month"] >= first else 0)
+
+    so_far, best, life = 0.0, -float("inf"), 0
+    for k, m in enumerate(t):
+        so_far += op(m, 1.0, 1 - i["roy"]) if full else op(m, i["wi"], i["nri"])
+        if so_far > best:
+            best, life = so_far, k
+    end, total = min(life + int(i["eloss"]), len(t)) - 1, 0.0
+    for m in t:
+        if m["month"] <= end:
+            net = op(m, i["wi"], i["nri"]) - (i["capex"] * i["weight"] * i["inv_wt"] * i["wi"] if m["month"] == first else 0) - (i["aban"] * i["weight"] * i["inv_wt"] * i["wi"] if m["month"] == end else 0)
+            total += net / (1 + rate) ** ((m["month"] + 0.5) / 12)
+    return total
+
+
 def test_breakeven_is_where_the_value_turns(spark):
     """At a cent more the value is positive, at a cent less it is not; a null price has a value of one sign only."""
     import pandas as pd
 
-    from wellfield.operators import economics as E
     from wellfield.plans import economics as P
 
     price = {r.uid: r.price for r in registry.queries()["e8_breakeven"](spark, SF).collect()}
@@ -58,11 +84,23 @@ def test_breakeven_is_where_the_value_turns(spark):
     inputs = {r.uid: r.asDict() for r in P.inputs(spark, SF).collect()}
     assert len(price) == months["uid"].nunique() and sum(p is not None for p in price.values()) > len(price) / 2
     for uid, table in months.groupby("uid"):
-        value = lambda p: E._value(pd.DataFrame(table), inputs[int(uid)], p, 0.1, 20.0) > 0  # noqa: B023, E731
+        value = lambda p: plain_value(pd.DataFrame(table), inputs[int(uid)], p, 0.1, 20.0) > 0  # noqa: B023, E731
         p = price[int(uid)]
         assert (value(-1e9), value(1e9)) in ((True, True), (False, False)) if p is None else (value(p + 0.01), value(p - 0.01)) == (True, False)
 
 
+def test_roots_of_many_functions():
+    """Each bracket grows on its own; no root where a function never changes its sign."""
+    import numpy as np
+
+    from wellfield.operators.economics import _roots
+
+    at = np.array([0.3, -7.25, 1e6, 49.0])
+    assert _roots(lambda x: at - x, 4, 0.0, 1.0) == pytest.approx(at, rel=1e-14)
+    both = _roots(lambda x: np.array([1.0, -1.0, 5.0 - x[2]]), 3, 0.0, 1.0)
+    assert np.isnan(both[:2]).all() and both[2] == pytest.approx(5)
+
+
 def test_merge_refuses_two_rows_for_one_key(spark):
     target = spark.createDataFrame([(1, "a")], "k int, v string")
     source = spark.createDataFrame([(1, "b"), (1, "c")], "k int, v string")

@@ -102,71 +102,90 @@ def summary(flows: DataFrame, rate: float = 0.1) -> DataFrame:
 DOUBLINGS = 40
 
 
-def _root(f, lo: float, hi: float, steps: int = 100) -> float | None:
-    """Where f, positive below and not above, changes sign: the bracket grows on both sides until it does, or None."""
+#: Wells solved together.
+TOGETHER = 512
+
+
+def _roots(f, count: int, lo: float, hi: float) -> np.ndarray:
+    """For each of `count` functions, positive below and not above, where it changes sign: brackets grow on both sides until
+    it does; NaN where it never does. f maps an array of arguments, one a function, to their values."""
     width = hi - lo
-    for k in range(DOUBLINGS):
-        if f(lo) > 0:
-            break
-        lo, hi = lo - width * 2.0**k, lo
-    else:
-        return None
-    for k in range(DOUBLINGS):
-        if f(hi) <= 0:
-            break
-        lo, hi = hi, hi + width * 2.0**k
-    else:
-        return None
-    for _ in range(steps):
-        mid = (lo + hi) / 2
-        lo, hi = (mid, hi) if f(mid) > 0 else (lo, mid)
-    return (lo + hi) / 2
+    low, high, none = np.full(count, lo), np.full(count, hi), np.zeros(count, bool)
+    for step in (-1, 1):
+        for k in range(DOUBLINGS):
+            wrong = ~none & ((f(low) <= 0) if step < 0 else (f(high) > 0))
+            if not wrong.any():
+                break
+            low, high = np.where(wrong, low - width * 2.0**k if step < 0 else high, low), np.where(wrong, low if step < 0 else high + width * 2.0**k, high)
+        else:
+            none |= wrong
+    while True:
+        middle = (low + high) / 2
+        if not ((low < middle) & (middle < high) & ~none).any():
+            return np.where(none, np.nan, middle)
+        below = f(middle) > 0
+        low, high = np.where(below, middle, low), np.where(below, high, middle)
+
+
+def _padded(columns: list, length: int) -> np.ndarray:
+    """Arrays of several wells as rows of one, filled up with zeros."""
+    out = np.zeros((len(columns), length))
+    for k, values in enumerate(columns):
+        out[k, : len(values)] = values
+    return out
+
+
+def _together(frames, columns: list[str]):
+    """Slices of a batch: the other columns, and for each of `columns` (arrays by month) one row a well; which are months."""
+    for frame in frames:
+        for at in range(0, len(frame), TOGETHER):
+            part = frame.iloc[at : at + TOGETHER]
+            lengths = part[columns[0]].map(len).to_numpy()
+            yield part, {c: _padded(list(part[c]), int(lengths.max(initial=1))) for c in columns}, np.arange(int(lengths.max(initial=1))) < lengths[:, None]
 
 
 def irr(flows: DataFrame) -> DataFrame:
     """The yearly rate at which the net present value is zero, 0 at least; 1 without interest or investment, null where
-    the value is positive at every rate."""
-
-    def root(cash: np.ndarray, years: np.ndarray) -> float | None:
-        value = lambda r: float(np.sum(cash / (1 + r) ** years))
-        return 0.0 if value(0.0) <= 0 else _root(value, 0.0, 1.0)
+    the value is positive at every rate. A well's months come together as one array, and many wells are solved at once."""
+    rows = flows.select("uid", "month", "net_cf", (F.col("wi") * F.col("capex")).alias("spent"))
+    ordered = F.sort_array(F.collect_list(F.struct("month", "net_cf", "spent")))
+    months = rows.groupBy("uid").agg(ordered.alias("m")).select("uid", F.col("m")[0]["spent"].alias("spent"), F.col("m.month").alias("month"), F.col("m.net_cf").alias("net_cf"))
 
-    def run(frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.sort_values("month")
-        if not frame["spent"].iloc[0]:
-            return pd.DataFrame({"uid": frame["uid"].iloc[:1], "irr": [1.0]})
-        cash, years = frame["net_cf"].to_numpy(), (frame["month"].to_numpy() + 0.5) / 12
-        return pd.DataFrame({"uid": frame["uid"].iloc[:1], "irr": [None if (found := root(cash, years)) is None else float(found)]}).astype({"irr": float})
+    def solve(frames):
+        for part, own, there in _together(frames, ["month", "net_cf"]):
+            years = (own["month"] + 0.5) / 12
+            value = lambda r: (np.where(there, own["net_cf"], 0.0) / (1 + r[:, None]) ** years).sum(1)  # noqa: E731, B023
+            start = value(np.zeros(len(part)))
+            found = np.where(start <= 0, 0.0, _roots(lambda r: np.where(start <= 0, 0.5 - r, value(r)), len(part), 0.0, 1.0))  # noqa: B023
+            rate = np.where(np.nan_to_num(part["spent"].to_numpy(float)) == 0, 1.0, found)
+            yield pd.DataFrame({"uid": part["uid"], "irr": pd.Series(rate, index=part.index).astype(object).where(~np.isnan(rate), None)})
 
-    rows = flows.select("uid", "month", "net_cf", (F.col("wi") * F.col("capex")).alias("spent"))
-    return rows.groupBy("uid").applyInPandas(run, f"uid {flows.schema['uid'].dataType.simpleString()}, irr double")
+    return months.mapInPandas(solve, f"uid {flows.schema['uid'].dataType.simpleString()}, irr double")
 
 
 def breakeven(volumes: DataFrame, inputs: DataFrame, *, rate: float = 0.1, ratio: float = 20.0) -> DataFrame:
     """The oil price, to cents, above which the present value is positive, the gas price being a fixed share of it; it
     may be negative, and is null where the value is positive at all prices or at none. A well's months come together as
-    one array; every row is solved on its own."""
-    months = volumes.groupBy("uid").agg(F.sort_array(F.collect_list(F.struct("month", "oil", "gas", "water"))).alias("rows"))
-
-    def solve(batches):
-        for frame in batches:
-            prices = []
-            for row in frame.to_dict("records"):
-                table = pd.DataFrame(list(row["rows"])).astype(float)
-                found = _root(lambda p, t=table, r=row: 0.5 - (_value(t, r, p, rate, ratio) > 0), 0.0, 50.0)
-                prices.append(None if found is None else round(found, 2))
-            yield pd.DataFrame({"uid": frame["uid"], "price": np.array(prices, float)})
+    one array, and many wells are solved at once."""
+    ordered = F.sort_array(F.collect_list(F.struct("month", "oil", "gas", "water")))
+    months = volumes.groupBy("uid").agg(ordered.alias("m")).select("uid", *(F.col(f"m.{c}").cast("array<double>").alias(c) for c in ("month", "oil", "gas", "water")))
+
+    def solve(frames):
+        for part, own, there in _together(frames, ["month", "oil", "gas", "water"]):
+            price = _roots(lambda p: 0.5 - (_values(own, there, part, p, rate, ratio) > 0), len(part), 0.0, 50.0).round(2)  # noqa: B023
+            yield pd.DataFrame({"uid": part["uid"], "price": pd.Series(price, index=part.index).astype(object).where(~np.isnan(price), None)})
 
     return months.join(inputs, "uid").mapInPandas(solve, f"uid {inputs.schema['uid'].dataType.simpleString()}, price double")
 
 
-def _value(t: pd.DataFrame, i: dict, price: float, rate: float, ratio: float) -> float:
-    """Present value of one well's months to its economic limit at an oil price."""
+def _values(t: dict[str, np.ndarray], there: np.ndarray, inputs: pd.DataFrame, price: np.ndarray, rate: float, ratio: float) -> np.ndarray:
+    """Present value of each well's months (rows of t; `there` where it has a month) to its economic limit at its oil price."""
+    i = {c: inputs[c].to_numpy(float)[:, None] for c in inputs.columns if c not in ("uid", "month", "oil", "gas", "water") and pd.api.types.is_numeric_dtype(inputs[c])}
+    oil, gas, water, month, price = t["oil"], t["gas"], t["water"], t["month"], price[:, None]
+    first = np.where(there & (oil + gas > 0), month, np.inf).min(axis=1, keepdims=True)
+    produced, invested = i["weight"] * i["prod_wt"], i["weight"] * i["inv_wt"]
 
-    def flow(wi: float, nri: float) -> tuple[np.ndarray, np.ndarray]:
-        produced, invested = i["weight"] * i["prod_wt"], i["weight"] * i["inv_wt"]
-        oil, gas, water, month = (t[c].to_numpy() for c in ("oil", "gas", "water", "month"))
-        first = month[(oil + gas) > 0].min(initial=np.inf)
+    def flow(wi: np.ndarray, nri: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         revenue = [oil * nri * produced * (price + i["paj_oil"]), gas * nri * i["shrink"] * produced * i["btu"] * (price / ratio + i["paj_gas"]), i["ngl_yield"] * gas * nri * produced * price * i["paj_ngl"]]
         total = sum(revenue)
         tax = sum(r * i[s] for r, s in zip(revenue, ("stx_oil", "stx_gas", "stx_ngl"))) + total * i["adval"]
@@ -174,12 +193,13 @@ def _value(t: pd.DataFrame, i: dict, price: float, rate: float, ratio: float) ->
         op = total - tax - np.where(month >= first, cost, 0.0)
         return op, op - np.where(month == first, i["capex"] * invested * wi, 0.0)
 
-    full = i["wi"] == 0 or i["nri"] / i["wi"] > 1 - i["roy"]
-    life = int(np.argmax(np.cumsum(flow(1.0, 1 - i["roy"])[0] if full else flow(i["wi"], i["nri"])[0])))
-    net, month = flow(i["wi"], i["nri"])[1], t["month"].to_numpy()
-    end = min(life + int(i["eloss"]), len(t)) - 1
-    net = np.where(month == end, net - i["aban"] * i["weight"] * i["inv_wt"] * i["wi"], net)[month <= end]
-    return float(np.sum(net / (1 + rate) ** ((month[month <= end] + 0.5) / 12)))
+    with np.errstate(all="ignore"):
+        full = (i["wi"] == 0) | (i["nri"] / i["wi"] > 1 - i["roy"])
+    basis = flow(np.where(full, 1.0, i["wi"]), np.where(full, 1 - i["roy"], i["nri"]))[0]
+    life = np.argmax(np.where(there, np.cumsum(np.where(there, basis, 0.0), axis=1), -np.inf), axis=1)[:, None]
+    end = np.minimum(life + i["eloss"].astype(np.int64), there.sum(1, keepdims=True)) - 1
+    net = flow(i["wi"], i["nri"])[1] - np.where(month == end, i["aban"] * invested * i["wi"], 0.0)
+    return np.where(there & (month <= end), net / (1 + rate) ** ((month + 0.5) / 12), 0.0).sum(axis=1)
 
 
 def strip(start: Column, months: int, symbol: str) -> Column:
