@@ -108,8 +108,8 @@ def jn3_nullable_key(spark, d):
 
 
 def jn4_full_outer(spark, d):
-    sums = lambda m, n: X.production(spark, d).where((F.col("measure") == m) & (X.well() % n == 0)).groupBy("wellid").agg(F.sum("value").alias(m.lower()))
-    return sums("OIL", 2).join(sums("WATER", 3), "wellid", "full").select("wellid", "oil", "water")
+    sums = lambda m, n: X.production(spark, d).where((F.col("measure") == m) & (X.well() % 3 != n)).groupBy("wellid").agg(F.sum("value").alias(m.lower()))
+    return sums("OIL", 1).join(sums("WATER", 2), "wellid", "full").select("wellid", "oil", "water")
 
 
 def jn6_cross(spark, d):
@@ -219,7 +219,7 @@ ORACLES = {
     "jn1_inner": f"{W} select completionid, c.wellid, basin from completion_header c, well_header w where c.wellid = w.wellid",
     "jn2_left_outer": f"{W} select wellid, basin, (select max(o.basin) from well_override o where o.wellid = w.wellid) as own_basin from well_header w",
     "jn3_nullable_key": f"{W} select w.wellid, c.completionid from well_header w left join completion_header c on c.wellid = w.wellid and (w.wellid % 2 <> 0 or c.completionid = w.currentcompletionid)",
-    "jn4_full_outer": f"{W} select wellid, case when wellid % 2 = 0 then sum(value) filter (measure = 'OIL') end as oil, case when wellid % 3 = 0 then sum(value) filter (measure = 'WATER') end as water from production where (wellid % 2 = 0 and measure = 'OIL') or (wellid % 3 = 0 and measure = 'WATER') group by 1",
+    "jn4_full_outer": f"{W} select wellid, sum(value) filter (measure = 'OIL' and wellid % 3 <> 1) as oil, sum(value) filter (measure = 'WATER' and wellid % 3 <> 2) as water from production where (wellid % 3 <> 1 and measure = 'OIL') or (wellid % 3 <> 2 and measure = 'WATER') group by 1",
     "jn6_cross": f"{W} select wellid, datediff('day', min(firstproddate) over (), firstproddate)::int as days from well_header",
     "jn12_best_completion": f"{W} select wellid, arg_max(completionid, completionid) as completionid, 'PRIMARY' as datasource from completion_header where datasource = 'PRIMARY' group by 1",
     "jn13_earliest": f"{W} select wellid, (select min(dt) from production p where p.wellid = w.wellid) as first, (select min(dt) from production p where p.wellid = w.wellid and measure = 'OIL') as first_oil from well_header w",

@@ -250,7 +250,7 @@ def ag4_pivot_pairs(spark, d):
 
 
 def jn5_outer_merge(spark, d):
-    events = pairs(spark, d).select("wellid", "neighbor").where("neighbor % 2 = 0")
+    events = pairs(spark, d).select("wellid", "neighbor")
     merged = wells(spark, d).select("wellid", "basin").join(events, "wellid", "full")
     return merged.select("wellid", "basin", F.when(F.col("neighbor").isNull(), "left_only").otherwise("both").alias("found")).distinct()
 
@@ -342,5 +342,5 @@ ORACLES = {
     "w15_forward_fill": f"{_SURVEY}, v as (select wellid, md, case when (md + wellid * 500) % 1500 = 0 then z end as v from sv) select wellid, md as md_ft, coalesce(last_value(v ignore nulls) over (partition by wellid order by md), -1) as v from v",
     "ag4_pivot_pairs": f"""{_PAIRS}, n as (select * from pr qualify row_number() over (partition by wellid, side order by distance, neighbor) = 1)
       select wellid, round(max(distance) filter (side = 'LEFT'), 4) as LEFT_d, max(rel) filter (side = 'LEFT') as LEFT_r, round(max(distance) filter (side = 'RIGHT'), 4) as RIGHT_d, max(rel) filter (side = 'RIGHT') as RIGHT_r from n group by 1""",
-    "jn5_outer_merge": f"{_PAIRS} select w.wellid, basin, case when exists (select 1 from pr where pr.wellid = w.wellid and neighbor % 2 = 0) then 'both' else 'left_only' end as found from well_header w",
+    "jn5_outer_merge": f"{_PAIRS} select w.wellid, basin, case when exists (select 1 from pr where pr.wellid = w.wellid) then 'both' else 'left_only' end as found from well_header w",
 }

@@ -31,7 +31,7 @@ def up1_merge_forecast(spark, d):
 
 def up2_merge_keep(spark, d):
     target = X.well_header(spark, d).select("wellid", "basin", "fitmethod").where(X.well() % 5 != 0)
-    source = X.well_header(spark, d).select("wellid", F.lit("NEW").alias("basin"), F.lit("x").alias("fitmethod")).where(X.well() % 2 == 0)
+    source = X.well_header(spark, d).select("wellid", F.lit("NEW").alias("basin"), F.lit("x").alias("fitmethod")).where((X.well() % 2 == 0) | (X.well() % 5 == 0))
     return U.merge(target, source, ["wellid"])
 
 
@@ -69,13 +69,13 @@ def up6_merge_three_keys(spark, d):
 
 def up7_insert_only_columns(spark, d):
     target = X.well_header(spark, d).select("wellid", "basin", "fitmethod").where(X.well() % 5 != 0)
-    source = X.well_header(spark, d).select("wellid", F.lit("NEW").alias("basin"), F.lit("x").alias("fitmethod")).where(X.well() % 2 == 0)
+    source = X.well_header(spark, d).select("wellid", F.lit("NEW").alias("basin"), F.lit("x").alias("fitmethod")).where((X.well() % 2 == 0) | (X.well() % 5 == 0))
     return U.merge(target, source, ["wellid"], keep_old=["fitmethod"])
 
 
 def up8_merge_property(spark, d):
     target = X.well_header(spark, d).where(X.well() % 3 == 0).select(X.well().cast("string").alias("propnum"), "operator", F.lit("2PUD").alias("rsv_cat"))
-    source = X.well_header(spark, d).where(X.well() % 2 == 0).select(X.well().cast("string").alias("propnum"), F.upper("basin").alias("operator"), F.lit("1PDP").alias("rsv_cat"))
+    source = X.well_header(spark, d).where((X.well() % 2 == 0) | (X.well() % 3 != 0)).select(X.well().cast("string").alias("propnum"), F.upper("basin").alias("operator"), F.lit("1PDP").alias("rsv_cat"))
     return U.merge(target, source, ["propnum"], keep_old=["rsv_cat"])
 
 
@@ -161,14 +161,14 @@ _PRODUCT = f"{W}, r as (select wellid, dt, datasource, sum(value) filter (measur
 _MERGED = "select wellid, dt, datasource, case when month(dt) > 4 then oil + 1 else oil end as oil, gas, water from r"
 ORACLES = {
     "up1_merge_forecast": f"{W} select wellid, measure, analyst, round(case when wellid % 2 = 0 then q3 * 2 else q3 end, 4) as q3, b_factor from forecast union all select wellid + 100000, measure, analyst, round(q3, 4), b_factor from forecast where wellid % 3 = 0",
-    "up2_merge_keep": f"{W} select wellid, case when wellid % 2 = 0 then 'NEW' else basin end as basin, case when wellid % 2 = 0 then 'x' else fitmethod end as fitmethod from well_header where wellid % 5 <> 0 or wellid % 2 = 0",
+    "up2_merge_keep": f"{W} select wellid, case when wellid % 2 = 0 or wellid % 5 = 0 then 'NEW' else basin end as basin, case when wellid % 2 = 0 or wellid % 5 = 0 then 'x' else fitmethod end as fitmethod from well_header",
     "up3_merge_newer": f"{W} select wellid, dt, measure, datasource, case when wellid % 6 = 0 then value + 1 else value end as value from production",
     "up4_replace": f"{W} select wellid, completionid, case when wellid % 4 = 0 then 1.0 else proppant_lbs end::double as proppant_lbs from completion_header where wellid % 4 <> 0 or completionid % 10 = 1",
     "up5_incremental": f"{W} select wellid, dt, measure, sum(value) as value from production group by 1, 2, 3",
     "up6_merge_three_keys": f"""{W} select completionid, wellid, datasource, interval_name, case when wellid % 3 = 0 and completionid % 2 = 1 then 5.0 else proppant_lbs end::double as proppant_lbs from completion_header
       union all select completionid, wellid, 'THIRD', interval_name, 5.0 from completion_header where wellid % 3 = 0 and completionid % 2 = 0""",
-    "up7_insert_only_columns": f"{W} select wellid, case when wellid % 2 = 0 then 'NEW' else basin end as basin, case when wellid % 5 = 0 then 'x' else fitmethod end as fitmethod from well_header where wellid % 5 <> 0 or wellid % 2 = 0",
-    "up8_merge_property": f"{W} select wellid::varchar as propnum, case when wellid % 2 = 0 then basin else operator end as operator, case when wellid % 3 = 0 then '2PUD' else '1PDP' end as rsv_cat from well_header where wellid % 2 = 0 or wellid % 3 = 0",
+    "up7_insert_only_columns": f"{W} select wellid, case when wellid % 2 = 0 or wellid % 5 = 0 then 'NEW' else basin end as basin, case when wellid % 5 = 0 then 'x' else fitmethod end as fitmethod from well_header",
+    "up8_merge_property": f"{W} select wellid::varchar as propnum, case when wellid % 2 = 0 or wellid % 3 <> 0 then basin else operator end as operator, case when wellid % 3 = 0 then '2PUD' else '1PDP' end as rsv_cat from well_header",
     "up9_merge_monthly": f"{_PRODUCT} {_MERGED} where datasource = 'PRIMARY'",
     "up10_merge_by_source": f"{_PRODUCT} {_MERGED}",
     "up11_backfill": f"{W} select wellid, case when wellid % 3 <> 0 then x0 else x0 + 1 end as x0 from well_header",
