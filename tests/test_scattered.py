@@ -141,3 +141,38 @@ def test_hull_of_random_places(seed):
         assert all((side(p) >= -1e-12).all() for p in xy)
         assert all((side(p) > 1e-12).sum() >= len(ring) - 2 for p in ring)  # corners only, in one turn
         assert {tuple(p) for p in ring} <= {tuple(p) for p in xy}
+
+
+@pytest.mark.parametrize("seed", range(5))
+def test_simplified_lines_stay_near(seed):
+    """Places that go lie near the line that stays; a straight line keeps its ends only, a far bend stays."""
+    rng = np.random.default_rng(seed)
+    xy = np.cumsum(rng.normal(size=(80, 2)), axis=0)
+    kept = xy[K.simplified(xy, 0.5)]
+    assert 2 < len(kept) < 80 and (kept[0] == xy[0]).all() and (kept[-1] == xy[-1]).all()
+    for p in xy:
+        gaps = []
+        for a, b in zip(kept, kept[1:]):
+            t = np.clip((p - a) @ (b - a) / max((b - a) @ (b - a), 1e-30), 0, 1)
+            gaps.append(np.hypot(*(p - a - t * (b - a))))
+        assert min(gaps) <= 0.5 + 1e-9
+    line = np.stack([np.arange(9.0), 2 * np.arange(9.0)], 1)
+    assert K.simplified(line, 0.1).sum() == 2
+    line[4, 1] += 0.3
+    assert K.simplified(line, 0.1)[4]
+
+
+def test_lines_of_several_parts(spark):
+    from wellfield.operators import spacing as S
+
+    point = lambda *p: [(float(x), float(y)) for x, y in p]
+    rows = [
+        (1, [point((0, 0), (1, 0)), point((0, 0), (5, 0.05), (10, 0)), point((3, 3), (3, 3))]), (2, [point((0, 0), (5, 0.05), (10, 0))]), (3, [point((1, 1), (1, 1))]), (4, []), (5, None),
+        (6, [point((0, 0), (2, 0)), point((9, 9), (9, 11))]), (7, [None, point((0, 0), (0, 1))]),
+    ]
+    frame = spark.createDataFrame(rows, "id int, parts array<array<struct<x: double, y: double>>>")
+    got = {r.id: [tuple(c) for c in r.coords] for r in S.single(frame).collect()}
+    assert got == {1: [(0, 0), (10, 0)], 2: rows[1][1][0], 6: [(0, 0), (2, 0)], 7: [(0, 0), (0, 1)]}
+    assert S.single(frame.limit(0)).count() == 0
+    chords = S.prepared(S.single(spark.createDataFrame([(1, [point((0, 0), (0, 10)), point((0, 20), (0, 900))])], frame.schema)), 500.0).first()
+    assert chords.b.y == 900 and chords.a.y == pytest.approx(20 + 500 / 3.281, abs=0.01)

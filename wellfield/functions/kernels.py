@@ -235,6 +235,27 @@ def b_limits(low: float, middle: float, high: float, least: float = 0.5, most: f
     return round(low, 4), round(start, 4), round(high, 4)
 
 
+def simplified(xy: np.ndarray, tolerance: float) -> np.ndarray:
+    """Which places of a line stay, so that none of the others lies further than `tolerance` from the line through those that
+    stay: between two kept places the furthest one is kept while it is too far (Douglas and Peucker)."""
+    keep = np.zeros(len(xy), bool)
+    keep[[0, -1]] = True
+    waiting = [(0, len(xy) - 1)]
+    while waiting:
+        a, b = waiting.pop()
+        if b - a < 2:
+            continue
+        inner, along = xy[a + 1 : b] - xy[a], xy[b] - xy[a]
+        square = along @ along
+        share = np.clip(inner @ along / square, 0, 1) if square else np.zeros(len(inner))
+        away = np.hypot(*(inner - share[:, None] * along).T)
+        k = int(np.argmax(away))
+        if away[k] > tolerance:
+            keep[a + 1 + k] = True
+            waiting += [(a, a + 1 + k), (a + 1 + k, b)]
+    return keep
+
+
 def hull(xy: np.ndarray) -> np.ndarray:
     """Corners of the convex hull of places (rows of x, y), counterclockwise from the least; all places where there are
     fewer than three corners.

@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -38,6 +39,28 @@ def prepared(lines: DataFrame, heel_feet: float = 500.0) -> DataFrame:
     return cut.where("p is not null").select("id", "b", F.inline(F.array(F.struct(G.exit_point(F.col("p"), F.col("q"), F.col("heel"), reach).alias("a"))))).select("id", "a", "b")
 
 
+def single(lines: DataFrame, tolerance: float = 0.1) -> DataFrame:
+    """(id, coords) for lines (id, parts) of one part or several: the longest part, the first of equals. Where there are
+    several, places that lie within `tolerance` metres of the line through the others go first, part by part. Lines
+    without parts, or with less than two unlike places in the longest, go."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids, kept = [], []
+            for k, parts in enumerate(batch.column("parts").to_pylist()):
+                shapes = [np.array([(c["x"], c["y"]) for c in part], float).reshape(-1, 2) for part in parts or () if part]
+                shapes = [xy[K.simplified(xy, tolerance)] if len(shapes) > 1 and len(xy) > 2 else xy for xy in shapes]
+                shapes = [xy for xy in shapes if len(np.unique(xy, axis=0)) > 1]
+                if shapes:
+                    longest = max(shapes, key=lambda xy: np.hypot(*np.diff(xy, axis=0).T).sum())
+                    ids.append(k)
+                    kept.append([{"x": x, "y": y} for x, y in longest.tolist()])
+            coords = pa.array(kept, pa.list_(pa.struct([("x", pa.float64()), ("y", pa.float64())])))
+            yield pa.RecordBatch.from_arrays([batch.column("id").take(pa.array(ids, pa.int64())), coords], ["id", "coords"])
+
+    return lines.select("id", "parts").mapInArrow(run, f"id {lines.schema['id'].dataType.simpleString()}, coords array<struct<x: double, y: double>>")
+
+
 def lateral_pairs(laterals: DataFrame, reach: float) -> DataFrame:
     """Pairs (id, other) of two-point laterals of which the other meets the id's flat-ended buffer of `reach` metres.
 

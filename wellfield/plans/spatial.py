@@ -206,6 +206,15 @@ def g9_buffers(spark, d):
     return S.prepared(lines(spark, d)).select("id", area.alias("area"), ring.alias("ring")).select("id", F.round("area", 2).alias("area"), corner(1, "x"), corner(1, "y"), corner(3, "x"), corner(3, "y"))
 
 
+def g9_parts(spark, d):
+    """Laterals in two parts, the longer of which has a place that is hardly off its line."""
+    mix = lambda f, off: G.point(F.col("a")["x"] + (F.col("b")["x"] - F.col("a")["x"]) * f + off, F.col("a")["y"] + (F.col("b")["y"] - F.col("a")["y"]) * f)
+    parts = F.array(F.array("a", mix(0.2, 0.0)), F.array(mix(0.25, 0.0), mix(0.5, 0.05), mix(0.75, 0.0), "b"))
+    found = S.single(laterals(spark, d).select("id", parts.alias("parts")))
+    end = lambda p, c: F.round(p(F.col("coords"))[c], 3)
+    return found.select("id", F.size("coords").alias("n"), end(G.first, "x").alias("ax"), end(G.first, "y").alias("ay"), end(G.last, "x").alias("bx"), end(G.last, "y").alias("by"))
+
+
 def g3_resample(spark, d):
     bent = F.array(G.point(X.well(), X.well()), G.point(X.well() + 100, X.well()), G.point(X.well() + 100, X.well() + 95))
     straight = F.array(G.point(X.well(), X.well()), G.point(X.well() + 1, X.well()))
@@ -262,7 +271,7 @@ def g15_parent_child(spark, d):
 
 
 QUERIES = {f.__name__: f for f in (
-    g1_wkt, g2_reproject, g3_resample, g4_conformity, g5_endpoints, g6_longest, g7_azimuth, g8_side, g9_buffers, g10_neighbours, g11_distances, g12_vertical_distance, g13_relation, g14_running_nearest, g15_parent_child, g16_tvd,
+    g1_wkt, g2_reproject, g3_resample, g4_conformity, g5_endpoints, g6_longest, g7_azimuth, g8_side, g9_buffers, g9_parts, g10_neighbours, g11_distances, g12_vertical_distance, g13_relation, g14_running_nearest, g15_parent_child, g16_tvd,
     g17_units, g18_mesh, g19_covers, g20_bilinear, g20_linear, g20_nearest, g20_smooth, g21_sample, g21_centres, g22_update_geology, src7_grid, snk6_bounds, jn16_spatial_join, w14_running_least, w15_forward_fill, ag4_pivot_pairs, jn5_outer_merge,
 )} | {"jn17_distance_join": jn17_distance_join}
 
@@ -306,6 +315,8 @@ ORACLES = {
     "g6_longest": f"{W} select wellid, (5 + wellid % 9)::double as length from well_header",
     "g7_azimuth": f"{W}, v as (select wellid, (wellid * 37) % 21 - 10 as dx, (wellid * 53) % 23 - 11 as dy from well_header) select wellid, round(case when dx = 0 and dy = 0 then 0 else (degrees(atan2(dx, dy)) + 360) % 360 end, 4) as bearing, round(case when dx = 0 and dy = 0 then 0 else (degrees(atan2(dy, dx)) + 360) % 360 end, 4) as angle from v",
     "g8_side": f"{W} select wellid, case (wellid * 90 - wellid * 45 + 36000000) % 360 when 0 then 'IN-LINE' when 180 then 'IN-LINE' when 45 then 'RIGHT' when 90 then 'RIGHT' when 135 then 'RIGHT' else 'LEFT' end as side from well_header",
+    "g9_parts": f"""{W}, la as (select wellid as id, x0 as ax, y0 + 160 as ay, x0 + case when wellid % 6 = 0 then 150 else 0 end as bx, y0 + 160 + laterallength_ft / 3.281 as by_ from well_header where trajectory = 'HORIZONTAL')
+      select id, 2::int as n, round(ax + (bx - ax) * 0.25, 3) as ax, round(ay + (by_ - ay) * 0.25, 3) as ay, round(bx, 3) as bx, round(by_, 3) as by from la""",
     "g9_buffers": f"""{_CUT}, l as (select *, sqrt((bx - ax) ** 2 + (by_ - ay) ** 2) as l from lc)
       select id, round(1000 * l, 2) as area, round(ax + (by_ - ay) / l * 500, 3) as x1, round(ay - (bx - ax) / l * 500, 3) as y1, round(bx - (by_ - ay) / l * 500, 3) as x3, round(by_ + (bx - ax) / l * 500, 3) as y3 from l""",
     "g10_neighbours": f"{_CLIP} select id, count(*) as n, min(other) as least, max(other) as most from g where t0 <= t1 group by 1",
