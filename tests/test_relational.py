@@ -243,3 +243,49 @@ def test_pseudo_pressure_is_the_integral(spark):
         area = sum((a["f"] + b["f"]) / 2 * (b["at"] - a["at"]) for a, b in zip(own, own[1:])) + own[0]["f"] * own[0]["at"] / 2
         assert got[key][0] == pytest.approx(area, rel=1e-5)
     assert "Exchange" not in L.pseudo_pressure(rows)._jdf.queryExecution().executedPlan().toString()
+
+
+def test_free_gas_solves_both_equations(spark):
+    """What is left of both equations at the roots: the bubble point of the gas in solution is the pressure, and Corey's
+    fractional flow is the produced one. Above the bubble point there is no free gas."""
+    data = [(k, p, 180.0, gor, 35.0, 0.75, 0.2, 0.01, 0.0) for k, (p, gor) in enumerate([(900.0, 600.0), (1500.0, 900.0), (400.0, 500.0), (2500.0, 5000.0), (6000.0, 500.0)])]
+    rows = spark.createDataFrame(data, "id int, p double, t double, gor double, api double, sg double, sw double, co2 double, h2s double")
+    found = L.free_gas(rows).withColumn("again", L.bubble_point(F.col("t"), F.col("rsb"), F.col("api"), F.col("sg"))).orderBy("id").collect()
+    for r in found[:4]:
+        assert r.rsb < r.gor and r.again == pytest.approx(r.p, rel=1e-9) and r.pb == r.p
+        room, oil = 1 - 0.3 - r.sw, 1 - r.sw - r.gas_sat
+        krg, kro = 0.8 * (r.gas_sat / room) ** 3, 0.7 * ((oil - 0.3) / room) ** 3
+        gas = (r.gor - r.rsb) * r.bg / 5.615
+        assert krg / r.mu_g / (krg / r.mu_g + kro / r.mu_o) == pytest.approx(gas / (r.bo + gas), abs=1e-9)
+        assert 0 < r.gas_sat < room and r.oil_sat == pytest.approx(oil)
+    assert found[4].gas_sat == 0 and found[4].rsb == found[4].gor and found[4].pb < found[4].p
+
+
+def test_distances_between_laterals_by_sampling(spark):
+    """A lateral's spacing to another against places sampled along it, each with its nearest place on the other."""
+    import numpy as np
+
+    rng = np.random.default_rng(6)
+    ends = [(k, (float(x), float(y)), (float(x + dx), float(y + dy))) for k, ((x, y), (dx, dy)) in enumerate(zip(rng.random((6, 2)) * [600, 300], rng.normal([40, 900], [60, 200], (6, 2))))]
+    frame = spark.createDataFrame(ends, "id int, a struct<x: double, y: double>, b struct<x: double, y: double>")
+    pairs = S.lateral_pairs(frame, 800.0)
+    got = {(r["id"], r["other"]): r for r in pairs.collect()}
+    line = {k: np.linspace(a, b, 4001) for k, a, b in ends}
+    for (i, j), r in got.items():
+        (ax, ay), (bx, by) = ends[i][1], ends[i][2]
+        along, span = np.array([bx - ax, by - ay]), np.hypot(bx - ax, by - ay)
+        rel = line[j] - [ax, ay]
+        s, across = rel @ along / span, (rel[:, 1] * along[0] - rel[:, 0] * along[1]) / span
+        inside = (s >= 0) & (s <= span) & (np.abs(across) <= 800)
+        assert inside.any() or r["t1"] - r["t0"] < 1e-3
+        if inside.any():
+            t = np.flatnonzero(inside) / 4000
+            assert (r["t0"], r["t1"]) == pytest.approx((t[0], t[-1]), abs=5e-4)
+    for i, *_ in ends:
+        for j, *_ in ends:
+            if i != j and (i, j) not in got:
+                (ax, ay), (bx, by) = ends[i][1], ends[i][2]
+                along, span = np.array([bx - ax, by - ay]), np.hypot(bx - ax, by - ay)
+                rel = line[j] - [ax, ay]
+                s, across = rel @ along / span, (rel[:, 1] * along[0] - rel[:, 0] * along[1]) / span
+                assert not ((s > 1e-6) & (s < span - 1e-6) & (np.abs(across) < 800 - 1e-6)).any()
