@@ -287,7 +287,7 @@ def test_oracles(spark, name):
     import duckdb
 
     con = duckdb.connect()
-    for table in ("documents", "pages", "labels"):
+    for table in ("documents", "pages", "labels", "embeddings", "conversations"):
         con.execute(f"create view {table} as select * from '{SF}/{table}.parquet'")
     got = QUERIES[name](spark, SF)
     result = con.execute(ORACLES[name])
