@@ -31,15 +31,14 @@ def log_rate(t: np.ndarray, qi: np.ndarray, dei: np.ndarray, b: np.ndarray, deff
 
 
 def _digamma(x: np.ndarray) -> np.ndarray:
-    """Raised above 6 by its recurrence, then the asymptotic series."""
-    out, x = np.zeros_like(x), x.copy()
-    for _ in range(6):
-        out, x = out - 1 / x, x + 1
+    """Raised by 6 by its recurrence, then the asymptotic series."""
+    out, x = -(1 / (x[:, None] + np.arange(6))).sum(1), x + 6
     inverse = 1 / (x * x)
     return out + np.log(x) - 0.5 / x - inverse * (1 / 12 - inverse * (1 / 120 - inverse / 252))
 
 
-_log_gamma = np.vectorize(math.lgamma, otypes=[float])
+def _log_gamma(x: np.ndarray) -> np.ndarray:
+    return np.array([math.lgamma(v) if v < 1e300 else math.inf for v in x.tolist()])
 
 
 @dataclass(frozen=True)
