@@ -151,7 +151,7 @@ def hamiltonian(density, start: np.ndarray, covariance: np.ndarray, draws: int,
         for k in range(tune + draws):
             momentum = rng.normal(size=z.shape)
             size = step if k < tune else math.exp(smooth)
-            paths = int(np.clip(round(rng.uniform(0.6, 1.6) * 1.5 / size), 1, 24))
+            paths = int(np.clip(round(rng.uniform(0.6, 1.6) * 1.5 / size), 1, 8))
             to, push, pull = z, momentum + size / 2 * slope, slope
             for leap in range(paths):
                 to = to + size * push
