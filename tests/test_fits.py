@@ -7,6 +7,7 @@ import pandas as pd
 import pyspark.sql.functions as F
 import pytest
 
+from wellfield.functions import batches as B
 from wellfield.functions import kernels as K
 from wellfield.functions import posterior as P
 from wellfield.operators import fits as T
@@ -280,3 +281,69 @@ def test_runs_go_on_where_they_broke_off(spark, tmp_path):
     again = in_chunks(changed, ["wellid", "measure"], work, folder, chunks=5)
     assert len(calls) == n + 1 and 5 in calls[-1] and again.count() == len(want)
     assert in_chunks(rows.limit(0), ["wellid", "measure"], T.auto_forecast, f"file://{tmp_path}/none").count() == 0
+
+
+def some_tasks(config, method=None, wells=24):
+    tasks = []
+    for well in range(wells):
+        t, q = series(well, gaps=well % 2 == 1)
+        q = q[: len(q) - well % 5 * 3]
+        tasks.append(T._task(well, "OIL", np.asarray(t, float)[: len(q)], q, np.ones(len(q), int), method or "curve_fit", config.b, config))
+    return tasks
+
+
+@pytest.mark.parametrize("method, sampler", [("curve_fit", "hamiltonian"), ("differential_evolution", "hamiltonian"), ("monte_carlo", "hamiltonian"), ("monte_carlo", "mean_field")])
+def test_fits_of_many_are_those_of_each(method, sampler):
+    """What a series gives does not depend on those beside it, and is what it gives by itself."""
+    config = T.FitConfig(trials=60, draws=80, sampler=sampler)
+    tasks = some_tasks(config, method)
+    found = T.fit_tasks(tasks, config)
+    assert {f["analyst"] for f in found} == {"auto_fit_1"}
+    noisy = [k for k in range(len(tasks)) if k % 4][:6]  # without noise a posterior has no width, and rounding decides
+    for task, got in [(tasks[k], found[k]) for k in noisy]:
+        want = T._alone(task, config)
+        assert [got[c] for c in ("qi", "dei", "b", "r2")] == pytest.approx([want[c] for c in ("qi", "dei", "b", "r2")], rel=1e-4)
+    halves = T.fit_tasks(tasks[:7], config) + T.fit_tasks(tasks[7:], config)
+    assert [[f[c] for c in ("qi", "dei", "b")] for f in halves] == [[f[c] for c in ("qi", "dei", "b")] for f in found]
+
+
+def test_fits_of_many_take_few_operations(monkeypatch):
+    """A hundred series of a length share the calls that one needs."""
+    calls, plain = [], B.rates
+    monkeypatch.setattr(B, "rates", lambda *a, **k: calls.append(1) or plain(*a, **k))
+    config = T.FitConfig()
+    tasks = [T._task(k, "OIL", np.arange(60.0), K.rate(np.arange(60.0), 900.0 + k, 0.6, 0.08, 0.9), np.ones(60, int), "curve_fit", config.b, config) for k in range(100)]
+    found = T.fit_tasks(tasks, config)
+    assert len(found) == 100 and len(calls) < 27 + 2 * 200 + 2
+
+
+def test_overflowing_and_unknown_series_go_alone():
+    config = T.FitConfig()
+    good, bad = some_tasks(config, wells=2)
+    bad.q[:] = 1e200
+    got = T.fit_tasks([good, bad], config)
+    assert got[0]["analyst"] == "auto_fit_1" and got[1]["analyst"] == T._alone(bad, config)["analyst"]
+    good.method = "guess"
+    with pytest.raises(ValueError, match="unknown method"):
+        T.fit_tasks([good], config)
+
+
+def test_breaks_of_many_are_those_of_each():
+    rng = np.random.default_rng(8)
+    signals = [np.concatenate([rng.normal(level, 1, rng.integers(4, 40)) for level in rng.choice([0, 5, 20], 3)]) for _ in range(60)]
+    signals += [np.full(30, 7.0), np.arange(5.0), np.empty(0), rng.normal(0, 1, 450)]
+    assert B.breaks(signals, 1.0) == [K.breaks(s, 1.0) for s in signals]
+
+
+def test_few_rows_still_spread_over_the_cores(spark):
+    """Groups cost seconds, not bytes: a table of a few kB is worked on by every core."""
+    rows = plans.declining(spark, SF).withColumn("segment", F.lit(1))
+    for got in (T.fit(rows), T.with_segments(rows.drop("segment")), T.auto_forecast(rows)):
+        assert got.select(F.spark_partition_id().alias("p")).distinct().count() >= 4
+
+
+def test_groups_longer_than_a_batch_stay_whole(spark):
+    rows = spark.range(150_000).select(F.floor(F.col("id") / 70_000).alias("wellid"), F.when(F.col("id") < 140_000, "OIL").alias("measure"), (F.col("id") % 70_000).cast("int").alias("months"), (F.lit(5.0) + F.col("id") % 7).alias("value"))
+    limits = T.b_limits(rows).collect()
+    assert sorted((r["wellid"], r["measure"] or "") for r in limits) == [(0, "OIL"), (1, "OIL"), (2, "")]
+    assert T.b_limits(rows.limit(0)).count() == 0
