@@ -172,6 +172,18 @@ def test_every_grid_point_comes_back(spark):
     assert lowest < -90 and highest > 90
 
 
+def test_days_of_a_month_are_counted_in_one_aggregate(spark):
+    """Distinct dates took a shuffle and two aggregates of their own."""
+    from wellfield.sources import fixtures as X
+
+    got = X.production(spark, SF)
+    assert got._jdf.queryExecution().sparkPlan().toString().count("HashAggregate") == 2
+    lines = spark.read.parquet(f"{SF}/lineitem.parquet")
+    want = lines.groupBy("l_suppkey", F.last_day(F.col("l_shipdate").cast("date")), "l_returnflag", "l_linestatus").agg(F.count_distinct(F.col("l_shipdate").cast("date")).alias("n"))
+    assert got.agg(F.sum("producingdays"), F.max("producingdays"), F.count("*")).first() == want.agg(F.sum("n"), F.max("n"), F.count("*")).first()
+    assert dict(got.dtypes)["producingdays"] == "bigint"
+
+
 def test_wkt(spark):
     row = spark.createDataFrame([("POINT (1 -2.5)",), ("LINESTRING (0 0, 3 4)",), ("nothing",)], "t string").select(G.from_wkt(F.col("t")).alias("c")).collect()
     assert [len(r.c or []) for r in row] == [1, 2, 0]
@@ -238,6 +250,18 @@ def test_rows_with_null_keys_are_spread(spark):
     assert sorted(map(tuple, out.where("k is not null").collect())) == [(1, 7, 7), (2, 8, 8)]
 
 
+def test_pseudo_pressure_halves_outside_of_interpreted_functions(spark):
+    """Nested higher-order functions cost milliseconds a row; the roots are those of z_factor."""
+    rows = spark.range(300).select("id", *((F.col("id") % n * k + a).cast("double").alias(c) for c, n, k, a in (("p", 250, 12, 300), ("t", 150, 1, 100), ("sg", 30, 0.01, 0.6), ("co2", 3, 0.01, 0), ("h2s", 2, 0.005, 0))))
+    plan = L.pseudo_pressure(rows)._jdf.queryExecution().optimizedPlan().toString()
+    assert "_z_factors" in plan and "sequence(" not in plan and plan.count("aggregate(") == 1
+    parts = [F.col(c) for c in ("p", "t", "sg", "co2", "h2s")]
+    tr = (parts[1] + L.RANKINE) / L.critical_temperature(*parts[2:])
+    k = 0.27 * (parts[0] / L.critical_pressure(*parts[2:])) / tr
+    both = rows.withColumn("z", L.z_factor(*parts)).withColumn("fast", L._z_factors(*L._state(tr), F.array(k, F.lit(None).cast("double"))))
+    assert all(abs(r.z - r.fast[0]) < 1e-12 and r.fast[1] is None for r in both.collect())
+
+
 def test_pseudo_pressure_is_the_integral(spark):
     """Against trapezoids over 4,000 pressures; rows that repeat stay apart."""
     rows = spark.createDataFrame([(1, 3000.0, 150.0, 0.7, 0.01, 0.0), (1, 3000.0, 150.0, 0.7, 0.01, 0.0), (2, 900.0, 90.0, 0.65, 0.0, 0.02)], "id int, p double, t double, sg double, co2 double, h2s double")
