@@ -101,3 +101,19 @@ def test_null_keys_and_empty_batches(spark, tmp_path):
     table.merge(rows(spark, [None], 2), 1)
     table.merge(rows(spark, [], 2), 2)
     assert sorted((r["k"] is None, r["v"]) for r in table.read().collect()) == [(False, 1), (True, 1), (True, 2)] and table.version() == 2
+
+
+def test_a_merge_shuffles_its_rows_once(spark, tmp_path):
+    """Rows are written from where the join left them: no shuffle of their own to gather a bucket."""
+    from pyspark.sql import DataFrame
+
+    dealt, plain = [], DataFrame.repartition
+    table = VersionedTable(spark, f"file://{tmp_path}/once", ["k"], buckets=4)
+    rows = spark.range(100).select(F.col("id").alias("k"), F.lit(1).alias("v"))
+    DataFrame.repartition = lambda self, *a: dealt.append(a) or plain(self, *a)
+    try:
+        table.merge(rows, 0)
+        table.merge(rows.withColumn("v", F.lit(2)), 1)
+    finally:
+        DataFrame.repartition = plain
+    assert not dealt and table.read().where("v = 2").count() == 100

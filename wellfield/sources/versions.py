@@ -62,7 +62,7 @@ class VersionedTable:
     def _write(self, rows: DataFrame) -> tuple[str, set[int]]:
         """Write rows by bucket; the folder, and the buckets that are in it."""
         name = f"data/{uuid.uuid4().hex}"
-        rows.withColumn("bucket__", self._bucket()).repartition("bucket__").write.partitionBy("bucket__").parquet(f"{self.root}/{name}")
+        rows.withColumn("bucket__", self._bucket()).write.partitionBy("bucket__").parquet(f"{self.root}/{name}")
         return name, {int(p.getName().partition("=")[2]) for p in self._glob(f"{name}/bucket__=*")}
 
     def _commit(self, number: int, schema: T.StructType, folders: dict[int, list[str]]) -> None:
