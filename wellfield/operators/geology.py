@@ -10,7 +10,7 @@ from pyspark.sql.window import Window
 
 from .quadtree import nearest
 from .scattered import linear, smooth
-from .spacing import bilinear, box, mesh_places, sampled
+from .spacing import bilinear, mesh_places, sampled
 from .upsert import update_from
 
 METHODS = ("bilinear", "nearest", "linear", "cubic")
@@ -26,10 +26,10 @@ def _segments(coords: Column, closed: bool = False) -> Column:
 
 
 def staged(geometries: DataFrame) -> DataFrame:
-    """geometries (id, kind, coords) with `pieces` of a line or polygon, `ring` of a polygon, the lengths `ends` up to each
-    place of a line, and a polygon's `box`: columns of their own, so that each is worked out once a row."""
+    """geometries (id, kind, coords) with `pieces` of a line or polygon, `ring` of a polygon, and the lengths `ends` up to
+    each place of a line: columns of their own, so that each is worked out once a row."""
     coords, line, polygon = F.col("coords"), F.col("kind") != "point", F.col("kind") == "polygon"
-    own = geometries.withColumns({"pieces": F.when(line, _segments(coords)), "ring": F.when(polygon, _segments(coords, closed=True)), "box": F.when(polygon, box(coords))})
+    own = geometries.withColumns({"pieces": F.when(line, _segments(coords)), "ring": F.when(polygon, _segments(coords, closed=True))})
     ends = F.aggregate("pieces", F.array(F.lit(0.0)), lambda so_far, s: F.concat(so_far, F.array(F.element_at(so_far, -1) + s["length"])))
     return own.withColumn("ends", F.when(F.col("kind") == "line", ends))
 
@@ -75,7 +75,7 @@ def places(geometries: DataFrame, *, strategy: str = "across", line_points: int
         raise ValueError(f"unknown strategy: {strategy}")
     kind, spots = F.col("kind"), F.array(centroid())
     if strategy == "across":
-        spots = F.when(kind == "line", _along(line_points)).when(kind == "polygon", mesh_places(F.col("coords"), F.col("box"), polygon_nodes)).otherwise(spots)
+        spots = F.when(kind == "line", _along(line_points)).when(kind == "polygon", mesh_places(F.when(kind == "polygon", F.col("coords")), polygon_nodes)).otherwise(spots)
     own = staged(geometries.where(F.size("coords") > 0).select("id", "kind", "coords"))
     return own.select("id", F.posexplode(spots).alias("k", "p")).select("id", "k", "p.x", "p.y")
 

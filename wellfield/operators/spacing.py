@@ -196,28 +196,28 @@ def along(lines: DataFrame, count: int = 50) -> DataFrame:
     return spots.select("id", "k", *((F.col("a")[c] + (F.col("b")[c] - F.col("a")[c]) * f).alias(c) for c in ("x", "y")))
 
 
-def box(ring: Column) -> Column:
-    """The envelope of a ring and the mean of its corners."""
-    part = lambda c: F.transform(ring, lambda p: p[c])
-    mean = lambda c: F.aggregate(part(c), F.lit(0.0), lambda a, b: a + b) / F.size(ring)
-    return F.struct(*(f(c).alias(f"{c}{n}") for c in ("x", "y") for n, f in (("0", lambda c: F.array_min(part(c))), ("1", lambda c: F.array_max(part(c))), ("m", mean))))
-
-
-def mesh_places(ring: Column, around: Column, nodes: int = 200) -> Column:
-    """About `nodes` places of a square mesh over a ring's box() that the ring covers, or the mean of its corners where
+def mesh_places(ring: Column, nodes: int = 200) -> Column:
+    """About `nodes` places of a square mesh over a ring's envelope that the ring covers, or the mean of its corners where
     it covers none of them."""
     side = max(2, round(nodes**0.5))
-    at = lambda c, k: around[f"{c}0"] + (around[f"{c}1"] - around[f"{c}0"]) * (k + 0.5) / side
-    spots = F.flatten(F.transform(F.sequence(F.lit(0), F.lit(side - 1)), lambda i: F.transform(F.sequence(F.lit(0), F.lit(side - 1)), lambda j: G.point(at("x", i), at("y", j)))))
-    inside = F.filter(spots, lambda p: G.covers(ring, p))
-    return F.transform(F.array(inside), lambda kept: F.when(F.size(kept) > 0, kept).otherwise(F.array(G.point(around["xm"], around["ym"]))))[0]
+
+    @F.arrow_udf("array<struct<x: double, y: double>>")
+    def places(rings: pa.Array) -> pa.Array:
+        return K.meshes(rings, side)
+
+    return places(ring)
+
+
+def dealt(geometries: DataFrame) -> DataFrame:
+    """geometries (id and others), all of an id in one part, for work on their places. The number of parts is given, as a
+    few MB of geometries are minutes of work and GB of places: Spark would join them to fewer tasks than cores."""
+    return geometries.repartition(max(3 * geometries.sparkSession.sparkContext.defaultParallelism, 24), "id")
 
 
 def mesh(polygons: DataFrame, nodes: int = 200) -> DataFrame:
     """(id, k, x, y): the places of mesh_places() for each ring (id, coords)."""
-    own = polygons.select("id", "coords", box(F.col("coords")).alias("box"))
-    return own.select("id", F.posexplode(mesh_places(F.col("coords"), F.col("box"), nodes)).alias("k", "p")).select("id", "k", "p.x", "p.y")
-
+    own = dealt(polygons.select("id", "coords"))
+    return own.select("id", F.posexplode(mesh_places(F.col("coords"), nodes)).alias("k", "p")).select("id", "k", "p.x", "p.y")
 
 
 def sampled(values: DataFrame) -> DataFrame:
