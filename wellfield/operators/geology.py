@@ -10,7 +10,7 @@ from pyspark.sql.window import Window
 
 from .quadtree import nearest
 from .scattered import linear, smooth
-from .spacing import bilinear, mesh_places, sampled
+from .spacing import bilinear, dealt, mesh_places, sampled
 from .upsert import update_from
 
 METHODS = ("bilinear", "nearest", "linear", "cubic")
@@ -68,16 +68,24 @@ def _along(count: int) -> Column:
     return F.when(F.size(pieces) > 0, F.transform(F.sequence(F.lit(0), F.lit(count - 1)), place)).otherwise(F.array_repeat(coords[0], count))
 
 
-def places(geometries: DataFrame, *, strategy: str = "across", line_points: int = 50, polygon_nodes: int = 200) -> DataFrame:
-    """(id, k, x, y) where geometries (id, kind, coords) are sampled: a point at itself, a line at line_points even steps,
-    a polygon at the places of a mesh of about polygon_nodes that it covers; with `centroid` all at their centre."""
+def _placed(geometries: DataFrame, *, strategy: str = "across", line_points: int = 50, polygon_nodes: int = 200) -> DataFrame:
+    """The rows of places(), with each geometry's centre on its first; a row of nulls for one without coordinates."""
     if strategy not in ("across", "centroid"):
         raise ValueError(f"unknown strategy: {strategy}")
-    kind, spots = F.col("kind"), F.array(centroid())
+    kind, middle = F.col("kind"), centroid()
+    spots = F.array(middle)
     if strategy == "across":
         spots = F.when(kind == "line", _along(line_points)).when(kind == "polygon", mesh_places(F.when(kind == "polygon", F.col("coords")), polygon_nodes)).otherwise(spots)
-    own = staged(geometries.where(F.size("coords") > 0).select("id", "kind", "coords"))
-    return own.select("id", F.posexplode(spots).alias("k", "p")).select("id", "k", "p.x", "p.y")
+    own = staged(geometries.select("id", "kind", F.when(F.size("coords") > 0, F.col("coords")).alias("coords")))
+    found = own.select("id", middle.alias("centre"), F.posexplode_outer(F.when(F.col("coords").isNotNull(), spots)).alias("k", "p"))
+    return found.select("id", "k", "p.x", "p.y", *(F.when(F.col("k") == 0, F.col(f"centre.{c}")).alias(f"centroid_{c}") for c in "xy"))
+
+
+def places(geometries: DataFrame, **how) -> DataFrame:
+    """(id, k, x, y) where geometries (id, kind, coords) are sampled: a point at itself, a line at line_points (50) even
+    steps, a polygon at the places of a mesh of about polygon_nodes (200) that it covers; all at their centre where
+    strategy is `centroid`, not `across`."""
+    return _placed(geometries.where(F.size("coords") > 0), **how).select("id", "k", "x", "y")
 
 
 def sample(geometries: DataFrame, grid: DataFrame, *, method: str = "linear", step: float | None = None, **how) -> DataFrame:
@@ -91,14 +99,15 @@ def sample(geometries: DataFrame, grid: DataFrame, *, method: str = "linear", st
         raise ValueError(f"unknown method: {method}")
     if method == "bilinear" and not step:
         raise ValueError("a bilinear grid needs its step")
-    own = geometries.select("id", "kind", "coords").distinct()
-    again = F.count("*").over(Window.partitionBy("id")) > 1
-    own = own.withColumn("kind", F.when(again, F.raise_error(F.concat(F.lit("several geometries for "), F.col("id").cast("string")))).otherwise(F.col("kind")))
-    spots = places(own, **how).withColumn("owner", F.col("id")).withColumn("id", F.struct("id", "k"))
-    values = bilinear(spots, grid, step) if method == "bilinear" else {"nearest": nearest, "linear": linear, "cubic": smooth}[method](spots, grid)
-    found = sampled(values.select(F.col("owner").alias("id"), "z"))
-    known = staged(own).select("id", centroid().alias("c")).select("id", F.lit(method).alias("method"), F.col("c.x").alias("centroid_x"), F.col("c.y").alias("centroid_y"))
-    return known.join(found, "id", "left").fillna(0, ["n", "n_valid"])
+    both = dealt(geometries).groupBy("id").agg(*(f(F.struct("kind", "coords")).alias(n) for n, f in (("g", F.min), ("last", F.max))))
+    again = F.raise_error(F.concat(F.lit("several geometries for "), F.col("id").cast("string")))
+    spots = _placed(both.select("id", F.when(F.col("g") == F.col("last"), F.col("g.kind")).otherwise(again).alias("kind"), "g.coords"), **how)
+    if method == "bilinear":
+        values = bilinear(spots, grid, step)
+    else:
+        spots = spots.withColumn("owner", F.col("id")).withColumn("id", F.struct("id", "k"))
+        values = {"nearest": nearest, "linear": linear, "cubic": smooth}[method](spots, grid).withColumn("id", F.col("owner"))
+    return sampled(values).withColumn("method", F.lit(method)).select("id", "method", "centroid_x", "centroid_y", "n", "n_valid", "mean", "std", "least", "most")
 
 
 @dataclass(frozen=True)

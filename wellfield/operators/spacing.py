@@ -176,16 +176,32 @@ def depth_at(survey: DataFrame, wanted: DataFrame) -> DataFrame:
     return wanted.join(found.select("wellid", "md", z.alias("tvd")), ["wellid", "md"], "left")
 
 
+def _squares(grid: DataFrame, step: float) -> DataFrame:
+    """(i, j, z00, z01, z10, z11): the values at the corners of each square that has a node of a regular grid; null where
+    a node is missing or without a value. Of a node that comes twice both values count, as in a join."""
+    shifts = [(a, b) for a in (0, 1) for b in (0, 1)]
+    i, j = (F.round(F.col(c) / step).cast("long") for c in ("x", "y"))
+    corners = F.array(*(F.struct((i - a).alias("i"), (j - b).alias("j"), F.lit(2 * a + b).alias("c")) for a, b in shifts))
+    flat = grid.select(F.explode(corners).alias("at"), "z").select("at.*", "z")
+    here = lambda c: F.when(F.col("c") == c, F.col("z"))
+    whole = lambda c: F.when(F.count(here(c)) == F.count_if(F.col("c") == c), F.sum(here(c)))
+    return flat.groupBy("i", "j").agg(*(whole(2 * a + b).alias(f"z{a}{b}") for a, b in shifts))
+
+
 def bilinear(points: DataFrame, grid: DataFrame, step: float) -> DataFrame:
-    """points (id, x, y) with z of a regular grid (x, y, z at multiples of `step`): one join on the four corners around
-    each point. A point outside the grid has no z."""
+    """points (x, y and others) with z of a regular grid (x, y, z at multiples of `step`): one join on the square that a
+    point lies in, so a point is moved once. A point outside the grid has no z."""
     i, j = F.floor(F.col("x") / step), F.floor(F.col("y") / step)
-    fx, fy = F.col("x") / step - i, F.col("y") / step - j
-    corners = F.array(*(F.struct((i + a).alias("i"), (j + b).alias("j"), ((fx if a else 1 - fx) * (fy if b else 1 - fy)).alias("w")) for a in (0, 1) for b in (0, 1)))
-    flat = points.select("id", F.explode(F.filter(corners, lambda c: c["w"] > 0)).alias("c")).select("id", "c.*")
-    known = grid.select(F.round(F.col("x") / step).cast("long").alias("i"), F.round(F.col("y") / step).cast("long").alias("j"), "z")
-    sums = flat.join(known, ["i", "j"], "left").groupBy("id").agg(F.when(F.count("z") == F.count("*"), F.sum(F.col("w") * F.col("z"))).alias("z"))
-    return points.join(sums, "id", "left")
+    placed = points.withColumns({"i": i, "j": j})
+    fx, fy = F.col("x") / step - F.col("i"), F.col("y") / step - F.col("j")
+    z = None
+    for a in (0, 1):
+        for b in (0, 1):
+            w = (fx if a else 1 - fx) * (fy if b else 1 - fy)
+            part = F.when(w == 0, 0.0).otherwise(w * F.col(f"z{a}{b}"))
+            z = part if z is None else z + part
+    # By file sizes Spark would take millions of squares for a table to broadcast.
+    return placed.join(_squares(grid, step).hint("merge"), ["i", "j"], "left").select(*points.columns, z.alias("z"))
 
 
 def along(lines: DataFrame, count: int = 50) -> DataFrame:
@@ -221,8 +237,10 @@ def mesh(polygons: DataFrame, nodes: int = 200) -> DataFrame:
 
 
 def sampled(values: DataFrame) -> DataFrame:
-    """Per geometry: how many samples, how many with a value, and their mean, population deviation, least and largest."""
-    return values.groupBy("id").agg(F.count("*").alias("n"), F.count("z").alias("n_valid"), F.avg("z").alias("mean"), F.stddev_pop("z").alias("std"), F.min("z").alias("least"), F.max("z").alias("most"))
+    """Per geometry: how many samples (id, k, z and the centre on one row; k null: none), how many with a value, their mean,
+    population deviation, least and largest, and the centre."""
+    centre = (F.max(c).alias(c) for c in ("centroid_x", "centroid_y"))
+    return values.groupBy("id").agg(*centre, F.count("k").alias("n"), F.count("z").alias("n_valid"), F.avg("z").alias("mean"), F.stddev_pop("z").alias("std"), F.min("z").alias("least"), F.max("z").alias("most"))
 
 
 def resampled(lines: DataFrame, every: float) -> DataFrame:
