@@ -10,7 +10,7 @@ from pyspark.sql.window import Window
 
 from .quadtree import nearest
 from .scattered import linear, smooth
-from .spacing import bilinear, dealt, mesh_places, sampled
+from .spacing import bilinear, bilinears, dealt, mesh_places, sampled
 from .upsert import update_from
 
 METHODS = ("bilinear", "nearest", "linear", "cubic")
@@ -69,16 +69,18 @@ def _along(count: int) -> Column:
 
 
 def _placed(geometries: DataFrame, *, strategy: str = "across", line_points: int = 50, polygon_nodes: int = 200) -> DataFrame:
-    """The rows of places(), with each geometry's centre on its first; a row of nulls for one without coordinates."""
+    """The rows of places() and what else geometries have, with each geometry's centre on its first; a row of nulls for one
+    without coordinates."""
     if strategy not in ("across", "centroid"):
         raise ValueError(f"unknown strategy: {strategy}")
     kind, middle = F.col("kind"), centroid()
     spots = F.array(middle)
     if strategy == "across":
         spots = F.when(kind == "line", _along(line_points)).when(kind == "polygon", mesh_places(F.when(kind == "polygon", F.col("coords")), polygon_nodes)).otherwise(spots)
-    own = staged(geometries.select("id", "kind", F.when(F.size("coords") > 0, F.col("coords")).alias("coords")))
-    found = own.select("id", middle.alias("centre"), F.posexplode_outer(F.when(F.col("coords").isNotNull(), spots)).alias("k", "p"))
-    return found.select("id", "k", "p.x", "p.y", *(F.when(F.col("k") == 0, F.col(f"centre.{c}")).alias(f"centroid_{c}") for c in "xy"))
+    others = [c for c in geometries.columns if c not in ("id", "kind", "coords")]
+    own = staged(geometries.select("id", "kind", F.when(F.size("coords") > 0, F.col("coords")).alias("coords"), *others))
+    found = own.select("id", *others, middle.alias("centre"), F.posexplode_outer(F.when(F.col("coords").isNotNull(), spots)).alias("k", "p"))
+    return found.select("id", *others, "k", "p.x", "p.y", *(F.when(F.col("k") == 0, F.col(f"centre.{c}")).alias(f"centroid_{c}") for c in "xy"))
 
 
 def places(geometries: DataFrame, **how) -> DataFrame:
@@ -88,6 +90,33 @@ def places(geometries: DataFrame, **how) -> DataFrame:
     return _placed(geometries.where(F.size("coords") > 0), **how).select("id", "k", "x", "y")
 
 
+def _checked(method: str, step: float | None) -> None:
+    if method not in METHODS:
+        raise ValueError(f"unknown method: {method}")
+    if method == "bilinear" and not step:
+        raise ValueError("a bilinear grid needs its step")
+
+
+def _ends(name: str, whose: Column) -> list[Column]:
+    """Aggregates least`name` and most`name` of a group's geometries where `whose` holds: alike, if there is only one."""
+    return [f(F.when(whose, F.struct("kind", "coords"))).alias(f"{n}{name}") for n, f in (("least", F.min), ("most", F.max))]
+
+
+def _kind(name: str, *more: str) -> Column:
+    """The kind of the one geometry of that name; an error where it, or those of the names `more`, are several."""
+    alike = F.lit(True)
+    for n in (name, *more):
+        alike = alike & F.col(f"least{n}").eqNullSafe(F.col(f"most{n}"))
+    again = F.raise_error(F.concat(F.lit("several geometries for "), F.col("id").cast("string")))
+    return F.when(alike, F.col(f"least{name}.kind")).otherwise(again)
+
+
+def _scattered(spots: DataFrame, nodes: DataFrame, method: str) -> DataFrame:
+    """Rows of _placed() with z from nodes anywhere."""
+    keyed = spots.withColumn("owner", F.col("id")).withColumn("id", F.struct("id", "k"))
+    return {"nearest": nearest, "linear": linear, "cubic": smooth}[method](keyed, nodes).withColumn("id", F.col("owner"))
+
+
 def sample(geometries: DataFrame, grid: DataFrame, *, method: str = "linear", step: float | None = None, **how) -> DataFrame:
     """One row per geometry (id, kind: point, line or polygon, coords): id, method, centroid_x, centroid_y, n, n_valid, mean,
     std, least, most of the grid's (x, y, z) values at its places (see places()).
@@ -95,18 +124,10 @@ def sample(geometries: DataFrame, grid: DataFrame, *, method: str = "linear", st
     method: `bilinear` on a regular grid of that step; `nearest`, `linear`, `cubic` on nodes anywhere. Places off the grid
     have no value (the nearest node always has one). Geometries without coordinates have no places and no centre. Rows
     that repeat are one; an id with two geometries is an error, raised when the result is computed."""
-    if method not in METHODS:
-        raise ValueError(f"unknown method: {method}")
-    if method == "bilinear" and not step:
-        raise ValueError("a bilinear grid needs its step")
-    both = dealt(geometries).groupBy("id").agg(*(f(F.struct("kind", "coords")).alias(n) for n, f in (("g", F.min), ("last", F.max))))
-    again = F.raise_error(F.concat(F.lit("several geometries for "), F.col("id").cast("string")))
-    spots = _placed(both.select("id", F.when(F.col("g") == F.col("last"), F.col("g.kind")).otherwise(again).alias("kind"), "g.coords"), **how)
-    if method == "bilinear":
-        values = bilinear(spots, grid, step)
-    else:
-        spots = spots.withColumn("owner", F.col("id")).withColumn("id", F.struct("id", "k"))
-        values = {"nearest": nearest, "linear": linear, "cubic": smooth}[method](spots, grid).withColumn("id", F.col("owner"))
+    _checked(method, step)
+    both = dealt(geometries).groupBy("id").agg(*_ends("", F.lit(True)))
+    spots = _placed(both.select("id", _kind("").alias("kind"), "least.coords"), **how)
+    values = bilinear(spots, grid, step) if method == "bilinear" else _scattered(spots, grid, method)
     return sampled(values).withColumn("method", F.lit(method)).select("id", "method", "centroid_x", "centroid_y", "n", "n_valid", "mean", "std", "least", "most")
 
 
@@ -122,17 +143,60 @@ class Grid:
     step: float | None = None
 
 
+def _means(geometries: DataFrame, grids: list[Grid], regular: dict[float, list[DataFrame]], **how) -> list[tuple[list[Grid], DataFrame]]:
+    """Parts of the grids, and (id, for_all, m0, m1, ...) for each: the means that its grids have at geometries (id, for_all,
+    kind, coords). Regular grids of one step are one part, which places meet at once. `regular` has the nodes of all grids by
+    step: parts that want half of them or more share their squares, others make their own."""
+    spots = _placed(geometries, **how)
+    parts: dict = {}
+    for k, g in enumerate(grids):
+        parts.setdefault(("step", g.step) if g.method == "bilinear" else ("grid", k), []).append(g)
+    found = []
+    for (kind, _), part in parts.items():
+        if kind == "step":
+            nodes, own = regular[part[0].step], list({id(g.nodes): g.nodes for g in part}.values())
+            nodes = nodes if 2 * len(own) >= len(nodes) else own
+            at = [next(k for k, n in enumerate(nodes) if n is g.nodes) for g in part]
+            values = bilinears(spots, nodes, part[0].step, {f"z{k}": k for k in sorted(set(at))})
+        else:
+            at, values = [0], _scattered(spots, part[0].nodes, part[0].method).withColumnRenamed("z", "z0")
+        means = values.groupBy("id", "for_all").agg(*(F.avg(f"z{k}").alias(f"z{k}") for k in sorted(set(at))))
+        found.append((part, means.select("id", "for_all", *(F.col(f"z{k}").alias(f"m{n}") for n, k in enumerate(at)))))
+    return found
+
+
 def zone_columns(wells: DataFrame, grids: list[Grid], **how) -> DataFrame:
     """id and a column per destination of the grids: the sum of the means that the grids of that destination have at each
-    of wells (id, interval, kind, coords). ValueError for two grids of one name and destination, which would count twice."""
+    of wells (id, interval, kind, coords). ValueError for two grids of one name and destination, which would count twice.
+
+    The wells of each interval are sampled once, for its own grids and for those of all wells; other wells for the latter. A
+    well of several intervals takes the grids of all wells with the first. Two geometries that one grid would sample for
+    an id are an error, raised when the result is computed."""
     named = [(g.name, g.column) for g in grids]
     if len(set(named)) < len(named):
         raise ValueError(f"duplicate grids: {sorted(named)}")
-    found = None
     for g in grids:
-        own = wells if g.interval is None else wells.where(F.col("interval") == g.interval)
-        one = sample(own, g.nodes, method=g.method, step=g.step, **how).select("id", F.lit(g.column).alias("column"), "mean")
-        found = one if found is None else found.unionByName(one)
+        _checked(g.method, g.step)
+    intervals, general = sorted({g.interval for g in grids if g.interval is not None}), [g for g in grids if g.interval is None]
+    own = {str(k): F.col("interval") == name for k, name in enumerate(intervals)} | ({"_all": F.lit(True)} if general else {})
+    held = (wells if general else wells.where(F.col("interval").isin(intervals))).select("id", "interval", "kind", "coords")
+    held = dealt(held).groupBy("id").agg(*(end for name, whose in own.items() for end in _ends(name, whose)))
+    regular: dict = {}
+    for g in grids:
+        if g.method == "bilinear" and not any(g.nodes is n for n in regular.setdefault(g.step, [])):
+            regular[g.step].append(g.nodes)
+    found, before = None, F.lit(False)
+    for name in own:
+        theirs = general if name == "_all" else [g for g in grids if g.interval == intervals[int(name)]]
+        there = ~before if name == "_all" else F.col(f"least{name}").isNotNull()
+        for_all = F.lit(bool(general)) & ~before
+        part = held.where(there).select("id", for_all.alias("for_all"), _kind(name, *(["_all"] if general else [])).alias("kind"), f"least{name}.coords")
+        before = before | there
+        for these, means in _means(part, theirs if name == "_all" else theirs + general, regular, **how):
+            pairs = (F.struct(F.lit(g.column).alias("column"), F.col(f"m{k}").alias("mean")) for k, g in enumerate(these))
+            taken = F.array(*(pair if g.interval is not None else F.when(F.col("for_all"), pair) for g, pair in zip(these, pairs)))
+            one = means.select("id", F.inline(F.array_compact(taken)))
+            found = one if found is None else found.unionByName(one)
     return found.groupBy("id").pivot("column", sorted({g.column for g in grids})).agg(F.sum("mean"))
 
 

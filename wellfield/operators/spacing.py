@@ -176,32 +176,50 @@ def depth_at(survey: DataFrame, wanted: DataFrame) -> DataFrame:
     return wanted.join(found.select("wellid", "md", z.alias("tvd")), ["wellid", "md"], "left")
 
 
-def _squares(grid: DataFrame, step: float) -> DataFrame:
-    """(i, j, z00, z01, z10, z11): the values at the corners of each square that has a node of a regular grid; null where
-    a node is missing or without a value. Of a node that comes twice both values count, as in a join."""
+def _squares(grids: list[DataFrame], step: float) -> DataFrame:
+    """(i, j, corners) of each square that has a node of one of the regular grids: the values at its corners 00, 01, 10, 11
+    by the first grid, then by the next; null where a node is missing or without a value. Of a node that comes twice both
+    values count, as in a join. What all grids have at a node is one row, before it goes to the four squares around."""
+    nodes, names = None, [f"z{k}" for k in range(len(grids))]
+    for name, grid in zip(names, grids):
+        i, j = (F.round(F.col(c) / step).cast("long").alias(n) for c, n in (("x", "i"), ("y", "j")))
+        one = grid.select(i, j, F.lit(name).alias("name"), "z")
+        nodes = one if nodes is None else nodes.unionByName(one)
+    here = lambda name: F.when(F.col("name") == name, F.col("z"))
+    whole = lambda name: F.when(F.count(here(name)) == F.count_if(F.col("name") == name), F.sum(here(name)))
+    known = nodes.groupBy("i", "j").agg(*(whole(name).alias(name) for name in names))
     shifts = [(a, b) for a in (0, 1) for b in (0, 1)]
-    i, j = (F.round(F.col(c) / step).cast("long") for c in ("x", "y"))
-    corners = F.array(*(F.struct((i - a).alias("i"), (j - b).alias("j"), F.lit(2 * a + b).alias("c")) for a, b in shifts))
-    flat = grid.select(F.explode(corners).alias("at"), "z").select("at.*", "z")
-    here = lambda c: F.when(F.col("c") == c, F.col("z"))
-    whole = lambda c: F.when(F.count(here(c)) == F.count_if(F.col("c") == c), F.sum(here(c)))
-    return flat.groupBy("i", "j").agg(*(whole(2 * a + b).alias(f"z{a}{b}") for a, b in shifts))
+    around = F.array(*(F.struct((F.col("i") - a).alias("i"), (F.col("j") - b).alias("j"), F.lit(2 * a + b).alias("c")) for a, b in shifts))
+    flat = known.select(F.explode(around).alias("at"), *names).select("at.*", *names)
+    corners = (F.max(F.when(F.col("c") == 2 * a + b, F.col(name))) for name in names for a, b in shifts)
+    return flat.groupBy("i", "j").agg(F.array(*corners).alias("corners"))
 
 
 def bilinear(points: DataFrame, grid: DataFrame, step: float) -> DataFrame:
-    """points (x, y and others) with z of a regular grid (x, y, z at multiples of `step`): one join on the square that a
-    point lies in, so a point is moved once. A point outside the grid has no z."""
+    """points (x, y and others) with z of a regular grid (x, y, z at multiples of `step`). A point outside the grid has no z."""
+    return bilinears(points, [grid], step, {"z": 0})
+
+
+def bilinears(points: DataFrame, grids: list[DataFrame], step: float, wanted: dict[str, int]) -> DataFrame:
+    """points (x, y and others) with a column for each of the regular grids wanted, by their places in the list: one join
+    on the square that a point lies in, so a point is moved once for all of them. The squares are those of all grids, so
+    that Spark makes them once for several frames of points that want different ones."""
     i, j = F.floor(F.col("x") / step), F.floor(F.col("y") / step)
     placed = points.withColumns({"i": i, "j": j})
     fx, fy = F.col("x") / step - F.col("i"), F.col("y") / step - F.col("j")
-    z = None
-    for a in (0, 1):
-        for b in (0, 1):
-            w = (fx if a else 1 - fx) * (fy if b else 1 - fy)
-            part = F.when(w == 0, 0.0).otherwise(w * F.col(f"z{a}{b}"))
-            z = part if z is None else z + part
+
+    def value(grid: int) -> Column:
+        z = None
+        for a in (0, 1):
+            for b in (0, 1):
+                w = (fx if a else 1 - fx) * (fy if b else 1 - fy)
+                part = F.when(w == 0, 0.0).otherwise(w * F.col("corners")[4 * grid + 2 * a + b])
+                z = part if z is None else z + part
+        return z
+
     # By file sizes Spark would take millions of squares for a table to broadcast.
-    return placed.join(_squares(grid, step).hint("merge"), ["i", "j"], "left").select(*points.columns, z.alias("z"))
+    joined = placed.join(_squares(grids, step).hint("merge"), ["i", "j"], "left")
+    return joined.select(*points.columns, *(value(grid).alias(name) for name, grid in wanted.items()))
 
 
 def along(lines: DataFrame, count: int = 50) -> DataFrame:
