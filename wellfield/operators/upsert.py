@@ -19,20 +19,21 @@ def _spread(df: DataFrame, keys: list[str]) -> DataFrame:
     return df.withColumn(SPREAD, F.when(known, F.lit(0).cast("long")).otherwise(F.xxhash64(*plain).bitwiseOR(F.lit(1))))
 
 
-def merge(target: DataFrame, source: DataFrame, keys: list[str], *, keep_old: list[str] = (), coalesce_old: list[str] = (), only_newer: str | None = None) -> DataFrame:
+def merge(target: DataFrame, source: DataFrame, keys: list[str], *, keep_old: list[str] = (), coalesce_old: list[str] = (), only_newer: str | None = None, unique: bool = False) -> DataFrame:
     """Update rows whose keys match, insert the others. Null keys never match. A key that the source has twice would
     update one row twice: that is an error, raised when the result is computed.
 
     keep_old: columns set on insert only. coalesce_old: the old value stays where the new one is null. only_newer: an
-    update happens only where this column has grown. One full join on the keys does all of it; rows with a null key are
-    dealt by what else they hold, so that many of them don't meet in one task."""
+    update happens only where this column has grown. unique: the source is known to hold no key twice, so that isn't
+    checked. One full join on the keys does all of it; rows with a null key are dealt by what else they hold, so that many
+    of them don't meet in one task."""
     t, s = (_spread(df, keys) for df in (target, source))
     match = F.lit(True)
     for key in [*keys, SPREAD]:
         match = match & (F.col(f"t.{key}") == F.col(f"s.{key}"))
     there, here = F.col("t.__old").isNotNull(), F.col("s.__new").isNotNull()
     twice = F.when((F.col(SPREAD) == 0) & (F.count("*").over(Window.partitionBy(*keys, SPREAD)) > 1), F.raise_error(F.lit("several source rows for one key"))).otherwise(1)
-    t, s = t.withColumn("__old", F.lit(1)).alias("t"), s.withColumn("__new", twice.cast("int")).alias("s")
+    t, s = t.withColumn("__old", F.lit(1)).alias("t"), s.withColumn("__new", F.lit(1) if unique else twice.cast("int")).alias("s")
     take = here if only_newer is None else here & (~there | (F.col(f"t.{only_newer}") < F.col(f"s.{only_newer}")))
 
     def pick(c: str):

@@ -27,10 +27,10 @@ def _source(spark, d, root):
 
 
 def stream_merge(spark, d):
-    """Production that arrives in files, merged if newer."""
+    """Production that arrives in files, merged if newer. A bucket holds few months, so a batch rewrites those it brings."""
     root, keys = _root(spark), ["wellid", "dt", "measure", "datasource"]
     stream = updates(_source(spark, d, root), keys, "datecreated", "800 days")
-    table = VersionedTable(spark, f"{root}/table", keys, by=["wellid"], buckets=8)
+    table = VersionedTable(spark, f"{root}/table", keys, by=["dt"], buckets=512)
     merge_stream(stream, table, "datecreated", f"{root}/state").awaitTermination()
     return table.read().select(*keys, "value")
 
